@@ -1,0 +1,6 @@
+"""Streaming: nothing here on purpose.
+
+Table migration and reconciliation are batch work: the tools being rebuilt have no stream source,
+sink, watermark or state, so this package holds no operator. Incremental re-verification of
+tables that keep receiving writes is done by re-running the batch reconciliation.
+"""
