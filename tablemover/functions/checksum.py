@@ -20,6 +20,8 @@ order-free and keeps duplicate rows (a bag checksum, unlike xor).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, DateType,
                                DecimalType, DoubleType, FloatType, MapType, StringType, StructType,
@@ -82,11 +84,32 @@ def _hashable(c: Column, t: DataType) -> Column:
     return c
 
 
+def null_masks(cols: list[str]) -> list[Column]:
+    """One long per 62 columns with a bit set for each null column.
+
+    Spark's ``xxhash64`` and ``hash`` skip null inputs, so ``(null, 'a')`` and ``('a', null)`` would
+    hash alike; hashing the null pattern as well keeps the position of each null.
+    """
+    out = []
+    for i in range(0, len(cols), 62):
+        bits = [F.when(F.col(f"`{c}`").isNull(), F.lit(1 << j)).otherwise(F.lit(0))
+                for j, c in enumerate(cols[i:i + 62])]
+        out.append(reduce(lambda a, b: a + b, bits).cast("long"))
+    return out
+
+
 def row_hash(df: DataFrame, cols: list[str] | None = None) -> Column:
-    """Fast 64-bit row hash over typed columns (Spark only)."""
+    """Fast 64-bit row hash over typed columns and their null pattern (Spark only)."""
+    cols = cols or df.columns
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return F.xxhash64(*[_hashable(F.col(f"`{c}`"), types[c]) for c in cols], *null_masks(cols))
+
+
+def row_hash32(df: DataFrame, cols: list[str] | None = None) -> Column:
+    """A second, independent 32-bit row hash (murmur3), also null-position aware."""
     cols = cols or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    return F.xxhash64(*[_hashable(F.col(f"`{c}`"), types[c]) for c in cols])
+    return F.hash(*[_hashable(F.col(f"`{c}`"), types[c]) for c in cols], *null_masks(cols))
 
 
 def checksum_aggs(df: DataFrame, cols: list[str] | None = None, portable: bool = False) -> list[Column]:

@@ -24,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.checksum import checksum_aggs, row_hash
+from ..functions.checksum import checksum_aggs, row_hash, row_hash32
 from .select import exclude_schemas as _exclude_schemas
 
 
@@ -139,7 +139,7 @@ def table_checksums(tables: dict[str, DataFrame], portable: bool = False, chunk:
 
 def _bucket_signature(df: DataFrame, buckets: int) -> DataFrame:
     h = row_hash(df)
-    h2 = F.hash(*[F.col(f"`{c}`") for c in df.columns])
+    h2 = row_hash32(df)
     return (df.select(F.pmod(h, F.lit(buckets)).alias("_b"),
                       h.cast("decimal(38,0)").alias("_h"), h2.cast("decimal(38,0)").alias("_h2"))
             .groupBy("_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_h").alias("_sh"),
