@@ -44,33 +44,49 @@ def _render(name: Column) -> Column:
                                     .otherwise(F.concat(F.lit("`"), F.replace(p, F.lit("`"), F.lit("``")), F.lit("`")))), ".")
 
 
-def _parts(tok: Column) -> Column:
-    return F.regexp_extract_all(tok, F.lit(NAME_PART), 1)
+def _candidate(t: Column) -> Column:
+    """Name parts of a dotted identifier token (two parts or more), else null. Cheap tests first:
+    most tokens are spaces, punctuation, keywords or literals and never reach the regexes."""
+    dotted = (F.instr(t, ".") > 0) & t.rlike(r"^[\w`]") & t.rlike(IDENT_TOKEN)
+    return F.when(dotted, F.regexp_extract_all(t, F.lit(NAME_PART), 1))
 
 
-def _lookup_parts(tok: Column, catalog_from: str | None):
-    """(has_catalog, key) for one token: key is lower-cased ``schema.table``."""
-    parts = _parts(tok)
-    n = F.size(parts)
-    has_cat = F.lit(False) if not catalog_from else (
-        (n >= 3) & (F.lower(_unquote(F.try_element_at(parts, F.lit(1)))) == F.lit(catalog_from.lower())))
+def _key(parts: Column, has_cat: Column) -> Column:
     i = F.when(has_cat, F.lit(2)).otherwise(F.lit(1))
-    key = F.when(n >= i + 1, F.lower(F.concat(_unquote(F.try_element_at(parts, i)), F.lit("."),
-                                              _unquote(F.try_element_at(parts, i + 1)))))
-    return parts, n, has_cat, i, key
+    return F.when(F.size(parts) >= i + 1, F.lower(F.concat(
+        _unquote(F.try_element_at(parts, i)), F.lit("."), _unquote(F.try_element_at(parts, i + 1)))))
 
 
-def _rewrite_token(tok: Column, lookup, catalog_from: str | None, catalog_to: str | None) -> Column:
-    parts, n, has_cat, i, key = _lookup_parts(tok, catalog_from)
-    new = lookup(key)
-    head = F.when(has_cat, F.lit(catalog_to or catalog_from))
-    old_name = F.array_join(F.slice(parts, i, 2), ".")
-    name = F.when(new.isNotNull(), _render(new)).otherwise(old_name)
-    rest = F.when(n >= i + 2, F.array_join(F.slice(parts, i + 2, 1 << 20), "."))
-    out = F.concat_ws(".", head, name, rest)
-    is_ident = tok.rlike(IDENT_TOKEN) & (n >= 2)
-    changes = new.isNotNull() | (has_cat & F.lit(bool(catalog_to)))
-    return F.when(is_ident & changes, out).otherwise(tok)
+def _has_cat(parts: Column, catalog_from: str | None) -> Column:
+    if not catalog_from:
+        return F.lit(False)
+    return (F.size(parts) >= 3) & (F.lower(_unquote(F.try_element_at(parts, F.lit(1)))) == F.lit(catalog_from.lower()))
+
+
+def _key_of(tok: Column, catalog_from: str | None) -> Column:
+    parts = _candidate(tok)
+    return _key(parts, _has_cat(parts, catalog_from))
+
+
+def _rewrite_tokens(toks: Column, lookup, catalog_from: str | None, catalog_to: str | None) -> Column:
+    """Three passes over the token array, so each token is parsed once and looked up once."""
+    parsed = F.transform(toks, lambda t: F.struct(t.alias("tok"), _candidate(t).alias("parts")))
+    keyed = F.transform(parsed, lambda p: F.struct(
+        p["tok"].alias("tok"), p["parts"].alias("parts"), _has_cat(p["parts"], catalog_from).alias("cat")))
+    looked = F.transform(keyed, lambda k: F.struct(
+        k["tok"].alias("tok"), k["parts"].alias("parts"), k["cat"].alias("cat"),
+        F.when(k["parts"].isNotNull(), lookup(_key(k["parts"], k["cat"]))).alias("new")))
+
+    def render(x: Column) -> Column:
+        parts, cat, new = x["parts"], x["cat"], x["new"]
+        i = F.when(cat, F.lit(2)).otherwise(F.lit(1))
+        head = F.when(cat, F.lit(catalog_to or catalog_from or ""))
+        name = F.when(new.isNotNull(), _render(new)).otherwise(F.array_join(F.slice(parts, i, 2), "."))
+        rest = F.when(F.size(parts) >= i + 2, F.array_join(F.slice(parts, i + 2, 1 << 20), "."))
+        changes = new.isNotNull() | (cat & F.lit(bool(catalog_to)))
+        return F.when(parts.isNotNull() & changes, F.concat_ws(".", head, name, rest)).otherwise(x["tok"])
+
+    return F.transform(looked, render)
 
 
 def tokens(text) -> Column:
@@ -116,16 +132,15 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
     toks = tokens(text_col)
     if pairs is not None:
         m = _literal_map(pairs)
-        mapped = F.transform(toks, lambda t: _rewrite_token(t, lambda k: F.try_element_at(m, k), catalog_from, catalog_to))
+        mapped = _rewrite_tokens(toks, lambda k: F.try_element_at(m, k), catalog_from, catalog_to)
         return df.withColumn(out_col, F.when(F.col(text_col).isNotNull(), F.array_join(mapped, "")))
     if not key_cols:
         raise ValueError("key_cols are needed to rewrite with a mapping this large")
     # Join path: distinct candidate keys per text -> mapping -> per-text map of hits.
-    keyed = df.select(*key_cols, F.explode(F.array_distinct(F.transform(
-        F.filter(toks, lambda t: t.rlike(IDENT_TOKEN)), lambda t: _lookup_parts(t, catalog_from)[4]))).alias("key"))
+    keyed = df.select(*key_cols, F.explode(F.array_distinct(F.filter(
+        F.transform(toks, lambda t: _key_of(t, catalog_from)), lambda k: k.isNotNull()))).alias("key"))
     hits = (keyed.where(F.col("key").isNotNull()).join(mapping_df, "key", "inner")
             .groupBy(*key_cols).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_hits")))
     j = df.join(hits, key_cols, "left")
-    mapped = F.transform(toks, lambda t: _rewrite_token(t, lambda k: F.try_element_at(F.col("_hits"), k),
-                                                         catalog_from, catalog_to))
+    mapped = _rewrite_tokens(toks, lambda k: F.try_element_at(F.col("_hits"), k), catalog_from, catalog_to)
     return j.withColumn(out_col, F.when(F.col(text_col).isNotNull(), F.array_join(mapped, ""))).drop("_hits")
