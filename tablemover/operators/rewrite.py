@@ -11,11 +11,20 @@ Two rules:
   never chain), the source catalog is swapped for the target catalog, and literals, comments and
   longer names are left alone.
 
-Scale: a per-row ``transform`` over the token array, no shuffle, when the mapping is small enough
-to be a map literal (its size is counted first, ``max_literal`` entries). Larger mappings use a
-join: the distinct references of each text are exploded, joined with the mapping (AQE picks
-broadcast or shuffle and splits skewed keys), gathered back into a per-text map of hits -- bounded
-by the text's own length -- and applied by the same ``transform``.
+Plan of the token rule (all built-in expressions):
+
+1. tokenize each text with one regex pass (``regexp_extract_all``);
+2. ``posexplode`` the tokens and keep the dotted identifiers only -- from here on the per-token
+   work (split into parts, catalog test, key) is ordinary whole-stage-codegen expressions over
+   rows instead of interpreted lambdas over arrays;
+3. join the candidates with the mapping on the key: a broadcast join when the mapping's row count
+   is under ``max_broadcast`` (counted first), otherwise a shuffle join that AQE can split when a
+   key is hot;
+4. gather the replacements of each text into a ``position -> new token`` map (bounded by the
+   text's own length), join it back to the texts on ``key_cols`` and swap the tokens by position.
+
+Texts without any candidate never reach the join; a text's tokens are never shuffled, only its
+candidate identifiers.
 """
 
 from __future__ import annotations
@@ -44,13 +53,6 @@ def _render(name: Column) -> Column:
                                     .otherwise(F.concat(F.lit("`"), F.replace(p, F.lit("`"), F.lit("``")), F.lit("`")))), ".")
 
 
-def _candidate(t: Column) -> Column:
-    """Name parts of a dotted identifier token (two parts or more), else null. Cheap tests first:
-    most tokens are spaces, punctuation, keywords or literals and never reach the regexes."""
-    dotted = (F.instr(t, ".") > 0) & t.rlike(r"^[\w`]") & t.rlike(IDENT_TOKEN)
-    return F.when(dotted, F.regexp_extract_all(t, F.lit(NAME_PART), 1))
-
-
 def _key(parts: Column, has_cat: Column) -> Column:
     i = F.when(has_cat, F.lit(2)).otherwise(F.lit(1))
     return F.when(F.size(parts) >= i + 1, F.lower(F.concat(
@@ -63,32 +65,6 @@ def _has_cat(parts: Column, catalog_from: str | None) -> Column:
     return (F.size(parts) >= 3) & (F.lower(_unquote(F.try_element_at(parts, F.lit(1)))) == F.lit(catalog_from.lower()))
 
 
-def _key_of(tok: Column, catalog_from: str | None) -> Column:
-    parts = _candidate(tok)
-    return _key(parts, _has_cat(parts, catalog_from))
-
-
-def _rewrite_tokens(toks: Column, lookup, catalog_from: str | None, catalog_to: str | None) -> Column:
-    """Three passes over the token array, so each token is parsed once and looked up once."""
-    parsed = F.transform(toks, lambda t: F.struct(t.alias("tok"), _candidate(t).alias("parts")))
-    keyed = F.transform(parsed, lambda p: F.struct(
-        p["tok"].alias("tok"), p["parts"].alias("parts"), _has_cat(p["parts"], catalog_from).alias("cat")))
-    looked = F.transform(keyed, lambda k: F.struct(
-        k["tok"].alias("tok"), k["parts"].alias("parts"), k["cat"].alias("cat"),
-        F.when(k["parts"].isNotNull(), lookup(_key(k["parts"], k["cat"]))).alias("new")))
-
-    def render(x: Column) -> Column:
-        parts, cat, new = x["parts"], x["cat"], x["new"]
-        i = F.when(cat, F.lit(2)).otherwise(F.lit(1))
-        head = F.when(cat, F.lit(catalog_to or catalog_from or ""))
-        name = F.when(new.isNotNull(), _render(new)).otherwise(F.array_join(F.slice(parts, i, 2), "."))
-        rest = F.when(F.size(parts) >= i + 2, F.array_join(F.slice(parts, i + 2, 1 << 20), "."))
-        changes = new.isNotNull() | (cat & F.lit(bool(catalog_to)))
-        return F.when(parts.isNotNull() & changes, F.concat_ws(".", head, name, rest)).otherwise(x["tok"])
-
-    return F.transform(looked, render)
-
-
 def tokens(text) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     return F.regexp_extract_all(t, F.lit(SQL_TOKEN), 1)
@@ -98,49 +74,50 @@ def mapping_from_manifest(manifest: DataFrame) -> DataFrame:
     """``(key, value)``: lower-cased ``database.name`` -> ``target_schema.target_table``."""
     return (manifest.where(F.col("database").isNotNull() & F.col("name").isNotNull())
             .select(F.lower(F.concat_ws(".", "database", "name")).alias("key"),
-                    F.concat_ws(".", "target_schema", F.coalesce("target_table", "name")).alias("value"))
-            .dropDuplicates(["key"]))
+                    F.concat_ws(".", "target_schema", F.coalesce("target_table", "name")).alias("value")))
 
 
-def _literal_map(pairs: list[tuple[str, str]]) -> Column:
-    if not pairs:
-        return F.create_map().cast("map<string,string>")
-    ks = F.array(*[F.lit(k) for k, _ in pairs])
-    vs = F.array(*[F.lit(v) for _, v in pairs])
-    return F.map_from_arrays(ks, vs)
+def _mapping_frame(df: DataFrame, mapping) -> DataFrame:
+    if isinstance(mapping, dict):
+        rows = sorted((k.lower(), v) for k, v in mapping.items())
+        return df.sparkSession.createDataFrame(rows, "key string, value string")
+    # One value per key; a key listed with two values takes the smallest, never an arbitrary one.
+    return mapping.groupBy(F.lower("key").alias("key")).agg(F.min("value").alias("value"))
 
 
-def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
-                       catalog_from: str | None = None, catalog_to: str | None = None,
-                       out_col: str | None = None, key_cols: list[str] | None = None,
-                       max_literal: int = 5000) -> DataFrame:
+def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict, catalog_from: str | None = None,
+                       catalog_to: str | None = None, out_col: str | None = None,
+                       key_cols: list[str] | None = None, max_broadcast: int = 1_000_000) -> DataFrame:
     """Add ``out_col`` (default: replace ``text_col``) with references rewritten by the token rule.
 
-    ``mapping`` is a dict or a ``(key, value)`` frame (see ``mapping_from_manifest``). Keys are
-    lower-cased ``schema.table``. ``key_cols`` identify rows uniquely; they are needed only when
-    the mapping is larger than ``max_literal`` entries.
+    ``mapping`` is a dict or a ``(key, value)`` frame (see ``mapping_from_manifest``); keys are
+    lower-cased ``schema.table``. ``key_cols`` must identify the rows of ``df`` uniquely.
     """
     out_col = out_col or text_col
-    if isinstance(mapping, dict):
-        pairs = sorted((k.lower(), v) for k, v in mapping.items())
-        mapping_df = None
-    else:
-        mapping_df = mapping.select(F.lower("key").alias("key"), F.col("value"))
-        small = mapping_df.limit(max_literal + 1).count() <= max_literal
-        # A bounded mapping (counted above) becomes a map literal: no shuffle of the texts.
-        pairs = sorted((r["key"], r["value"]) for r in mapping_df.collect()) if small else None
-    toks = tokens(text_col)
-    if pairs is not None:
-        m = _literal_map(pairs)
-        mapped = _rewrite_tokens(toks, lambda k: F.try_element_at(m, k), catalog_from, catalog_to)
-        return df.withColumn(out_col, F.when(F.col(text_col).isNotNull(), F.array_join(mapped, "")))
     if not key_cols:
-        raise ValueError("key_cols are needed to rewrite with a mapping this large")
-    # Join path: distinct candidate keys per text -> mapping -> per-text map of hits.
-    keyed = df.select(*key_cols, F.explode(F.array_distinct(F.filter(
-        F.transform(toks, lambda t: _key_of(t, catalog_from)), lambda k: k.isNotNull()))).alias("key"))
-    hits = (keyed.where(F.col("key").isNotNull()).join(mapping_df, "key", "inner")
-            .groupBy(*key_cols).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_hits")))
-    j = df.join(hits, key_cols, "left")
-    mapped = _rewrite_tokens(toks, lambda k: F.try_element_at(F.col("_hits"), k), catalog_from, catalog_to)
-    return j.withColumn(out_col, F.when(F.col(text_col).isNotNull(), F.array_join(mapped, ""))).drop("_hits")
+        raise ValueError("key_cols (a unique key of the texts) are required")
+    m = _mapping_frame(df, mapping)
+    # Size check before broadcasting: at most ``max_broadcast`` rows are shipped to every executor.
+    if m.limit(max_broadcast + 1).count() <= max_broadcast:
+        m = F.broadcast(m)
+    cat_swap = F.lit(bool(catalog_to) and bool(catalog_from))
+    # One shuffle of the texts by their key; the candidate branch, the per-text aggregation of the
+    # hits and the join back all reuse this partitioning, so no further exchange of texts or hits.
+    df = df.repartition(*key_cols)
+    cand = (df.select(*key_cols, F.posexplode(tokens(text_col)).alias("_pos", "_tok"))
+            .where((F.instr("_tok", ".") > 0) & F.col("_tok").rlike(r"^[\w`]") & F.col("_tok").rlike(IDENT_TOKEN))
+            .withColumn("_parts", F.regexp_extract_all("_tok", F.lit(NAME_PART), 1))
+            .withColumn("_cat", _has_cat(F.col("_parts"), catalog_from))
+            .withColumn("key", _key(F.col("_parts"), F.col("_cat"))))
+    hits = cand.join(m, "key", "left").where(F.col("value").isNotNull() | (F.col("_cat") & cat_swap))
+    parts, cat, new = F.col("_parts"), F.col("_cat"), F.col("value")
+    i = F.when(cat, F.lit(2)).otherwise(F.lit(1))
+    head = F.when(cat, F.lit(catalog_to or catalog_from or ""))
+    name = F.when(new.isNotNull(), _render(new)).otherwise(F.array_join(F.slice(parts, i, 2), "."))
+    rest = F.when(F.size(parts) >= i + 2, F.array_join(F.slice(parts, i + 2, 1 << 20), "."))
+    per_text = (hits.select(*key_cols, "_pos", F.concat_ws(".", head, name, rest).alias("_new"))
+                .groupBy(*key_cols).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_hits")))
+    j = df.join(per_text, key_cols, "left")
+    swapped = F.transform(tokens(text_col), lambda t, p: F.coalesce(F.try_element_at(F.col("_hits"), p), t))
+    text = F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(F.array_join(swapped, ""))
+    return j.withColumn(out_col, text).drop("_hits")

@@ -29,9 +29,9 @@ def view_plan(inv: DataFrame, target_catalog: str | None = None, view_manifest:
 
 
 def view_statements(plan: DataFrame, mapping, catalog_from: str | None = None, catalog_to: str | None = None,
-                    max_literal: int = 5000) -> DataFrame:
+                    max_broadcast: int = 1_000_000) -> DataFrame:
     rw = rewrite_references(plan, "view_text", mapping, catalog_from, catalog_to, out_col="new_text",
-                            key_cols=["source_schema", "source_view"], max_literal=max_literal)
+                            key_cols=["source_schema", "source_view"], max_broadcast=max_broadcast)
     target = F.concat_ws(".", *[F.concat(F.lit("`"), F.replace(F.col(c), F.lit("`"), F.lit("``")), F.lit("`"))
                                 for c in ("target_schema", "target_view")])
     return rw.withColumn("statement", F.when(F.col("new_text").isNotNull(), F.concat(

@@ -349,7 +349,7 @@ def q_rewrite_references(spark, sf):
 def q_rewrite_references_join(spark, sf):
     m = mapping_from_manifest(man_df(spark, sf))
     return rewrite_references(_reference_texts(spark, sf), "text", m, SOURCE_CATALOG, CATALOG,
-                              out_col="new_text", key_cols=["o_orderkey"], max_literal=0).select("o_orderkey", "new_text")
+                              out_col="new_text", key_cols=["o_orderkey"], max_broadcast=0).select("o_orderkey", "new_text")
 
 
 def _managed(spark, sf, db: str, table: str, partition_by: list[str] | None = None, name: str | None = None):

@@ -23,12 +23,12 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("literal", [True, False])
-def test_token_rule_cases(spark, literal):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_token_rule_cases(spark, broadcast):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)] + [(len(CASES), None)], "id int, text string")
-    mapping = MAP if literal else spark.createDataFrame(list(MAP.items()), "key string, value string")
+    mapping = MAP if broadcast else spark.createDataFrame(list(MAP.items()), "key string, value string")
     out = rewrite_references(df, "text", mapping, "hive_metastore", "main", out_col="new", key_cols=["id"],
-                             max_literal=5000 if literal else 0)
+                             max_broadcast=1000 if broadcast else 0)
     got = {r["id"]: r["new"] for r in out.collect()}
     for i, (_, expected) in enumerate(CASES):
         assert got[i] == expected, CASES[i][0]
@@ -43,7 +43,7 @@ def test_literal_catalog_rule_matches_reference_behaviour(spark):
 
 def test_empty_mapping_is_identity(spark):
     df = spark.createDataFrame([(1, "select * from db.a where x = 'q'")], "id int, text string")
-    out = rewrite_references(df, "text", {}, None, None).collect()[0]["text"]
+    out = rewrite_references(df, "text", {}, None, None, key_cols=["id"]).collect()[0]["text"]
     assert out == "select * from db.a where x = 'q'"
 
 
