@@ -181,35 +181,62 @@ def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact",
     return s.exceptAll(t), t.exceptAll(s)
 
 
+def _zero(t) -> F.Column | None:
+    """A stand-in value of type ``t`` for null keys (paired with an is-null flag), or None."""
+    from pyspark.sql.types import (BinaryType, BooleanType, DateType, DecimalType, NumericType, StringType,
+                                   TimestampNTZType, TimestampType)
+    if isinstance(t, (NumericType, DecimalType)):
+        return F.lit(0).cast(t)
+    if isinstance(t, StringType):
+        return F.lit("")
+    if isinstance(t, BooleanType):
+        return F.lit(False)
+    if isinstance(t, BinaryType):
+        return F.lit("").cast("binary")
+    if isinstance(t, (DateType, TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01").cast(t)
+    return None
+
+
 def keyed_diff(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: ``missing`` (only in source), ``extra`` (only in target), ``changed``.
 
-    Each side is first reduced to one row per key (row count, smallest and largest value struct and
-    a hash sum), so the join sees one row per key and side whatever the key distribution. Keys are
-    compared null-safe: a null key is a key. With duplicate keys, ``changed`` means the bag of rows
-    under that key differs (count, extremes or hash sum).
+    Each side is first reduced to one row per key -- row count and three independent hash sums of
+    the value columns (64 + 64 + 32 bits, null positions included) -- so the join sees one row per
+    key and side whatever the key distribution: a hot or duplicated key is one row after the
+    map-side partial aggregate, never a set of pairs. Fixed-width aggregates keep it a hash
+    aggregate (no sort), and a null key is grouped and joined as a (value, is-null) pair so the
+    join reuses the aggregate's partitioning. ``changed`` means the bag of rows under the key
+    differs in count or digest; use ``reconcile_rows`` for the rows themselves.
     """
     dst = align_columns(src, dst)
     vals = [c for c in src.columns if c not in keys]
+    types = {f.name: f.dataType for f in src.schema.fields}
+    zeros = {k: _zero(types[k]) for k in keys}
+    if any(z is None for z in zeros.values()):
+        raise TypeError(f"unsupported key types: {[k for k, z in zeros.items() if z is None]}")
+    gk = [f"_k{i}" for i in range(len(keys))] + [f"_n{i}" for i in range(len(keys))]
 
     def side(df: DataFrame, p: str) -> DataFrame:
-        v = F.struct(*[F.col(f"`{c}`") for c in vals]) if vals else F.lit(None)
-        return (df.select(*[F.col(f"`{k}`") for k in keys], v.alias("_v"),
-                          row_hash(df).cast("decimal(38,0)").alias("_h"))
-                .groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{p}_rows"), F.min("_v").alias(f"{p}_min"),
-                                    F.max("_v").alias(f"{p}_max"), F.sum("_h").alias(f"{p}_h")))
-
-    s, t = side(src, "s").alias("s"), side(dst, "t").alias("t")
-    cond = reduce(lambda a, b: a & b, [F.col(f"s.`{k}`").eqNullSafe(F.col(f"t.`{k}`")) for k in keys])
-    j = s.join(t, cond, "full_outer")
+        grp = ([F.coalesce(F.col(f"`{k}`"), zeros[k]).alias(f"_k{i}") for i, k in enumerate(keys)]
+               + [F.col(f"`{k}`").isNull().alias(f"_n{i}") for i, k in enumerate(keys)])
+        if vals:
+            h1, h3 = row_hash(df, vals), row_hash32(df, vals)
+            h2 = F.xxhash64(F.lit("tablemover"), h1, *[F.col(f"`{c}`") for c in vals])
+        else:
+            h1 = h2 = h3 = F.lit(0)
+        return (df.select(*grp, h1.cast("decimal(38,0)").alias("_h1"), h2.cast("decimal(38,0)").alias("_h2"),
+                          h3.cast("decimal(38,0)").alias("_h3"))
+                .groupBy(*gk).agg(F.count(F.lit(1)).alias(f"{p}_rows"), F.sum("_h1").alias(f"{p}_h1"),
+                                  F.sum("_h2").alias(f"{p}_h2"), F.sum("_h3").alias(f"{p}_h3")))
+
+    j = side(src, "s").join(side(dst, "t"), gk, "full_outer")
+    differs = reduce(lambda a, b: a | b, [~F.col(f"s_{x}").eqNullSafe(F.col(f"t_{x}")) for x in ("rows", "h1", "h2", "h3")])
     status = (F.when(F.col("t_rows").isNull(), F.lit("missing"))
               .when(F.col("s_rows").isNull(), F.lit("extra"))
-              .when(~(F.col("s_rows") == F.col("t_rows")) | ~F.col("s_min").eqNullSafe(F.col("t_min"))
-                    | ~F.col("s_max").eqNullSafe(F.col("t_max")) | ~F.col("s_h").eqNullSafe(F.col("t_h")),
-                    F.lit("changed")))
-    key_out = [F.when(F.col("s_rows").isNotNull(), F.col(f"s.`{k}`")).otherwise(F.col(f"t.`{k}`")).alias(k)
-               for k in keys]
-    return (j.select(*key_out, status.alias("status"),
-                     F.coalesce("s_rows", F.lit(0)).alias("source_rows"),
+              .when(differs, F.lit("changed")))
+    key_out = [F.when(F.col(f"_n{i}"), F.lit(None).cast(types[k])).otherwise(F.col(f"_k{i}")).alias(k)
+               for i, k in enumerate(keys)]
+    return (j.select(*key_out, status.alias("status"), F.coalesce("s_rows", F.lit(0)).alias("source_rows"),
                      F.coalesce("t_rows", F.lit(0)).alias("target_rows"))
             .where(F.col("status").isNotNull()))
