@@ -64,63 +64,87 @@ def _outcome(row: dict, outcome: str, reason: str | None = None, **kw) -> Row:
     return base
 
 
+def _skip(row: dict, db: str, t: str, kind: str | None, has_ext: bool, old_kind: str | None) -> dict:
+    if kind is None:
+        extra = f" (only {t}_old exists)" if old_kind else ""
+        return _outcome(row, "SOURCE_MISSING", f"{db}.{t} not found{extra}")
+    if kind != "MANAGED":
+        return _outcome(row, f"SKIPPED_{kind}", f"{db}.{t} is {kind.lower()}, not managed")
+    if has_ext:
+        return _outcome(row, "SKIPPED_EXT_EXISTS", f"{db}.{t}_ext already exists")
+    return _outcome(row, "SKIPPED_OLD_EXISTS", f"{db}.{t}_old already exists")
+
+
 def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify: str = "count",
-                fmt: str = "parquet") -> dict:
+                fmt: str = "parquet", resume: bool = True) -> dict:
+    """Convert one table; returns its outcome row.
+
+    With ``resume`` a run picks up where a lost driver left off: a committed ``t_ext`` is verified
+    and swapped in, a swap interrupted between its two renames is finished, and a finished swap is
+    verified again before ``t_old`` may be dropped. Without it those states are skipped.
+    """
     db, t, loc = row["database"], row["name"], row["location"]
     src, ext, old = _q(db, t), _q(db, t + "_ext"), _q(db, t + "_old")
     try:
-        kind = object_type(spark, src)
-        if kind is None:
-            return _outcome(row, "SOURCE_MISSING", f"{db}.{t} not found")
-        if kind != "MANAGED":
-            return _outcome(row, f"SKIPPED_{kind}", f"{db}.{t} is {kind.lower()}, not managed")
-        if spark.catalog.tableExists(ext):
-            return _outcome(row, "SKIPPED_EXT_EXISTS", f"{db}.{t}_ext already exists")
-        if spark.catalog.tableExists(old):
-            return _outcome(row, "SKIPPED_OLD_EXISTS", f"{db}.{t}_old already exists")
-        if copy_ops.path_has_files(spark, loc):
-            return _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {loc}")
+        kind, old_kind, ext_kind = object_type(spark, src), object_type(spark, old), object_type(spark, ext)
+        has_ext = ext_kind is not None
     except Exception as e:  # noqa: BLE001 - one outcome per table
         return _outcome(row, "CHECK_FAILED", str(e))
     start = time.monotonic()
+    note = None
+    if kind == "MANAGED" and old_kind is None and not has_ext:
+        try:
+            if copy_ops.path_has_files(spark, loc):
+                return _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {loc}")
+            copy_ops.copy_table(spark, src, ext, loc, fmt=fmt)
+        except Exception as e:  # noqa: BLE001
+            return _outcome(row, "COPY_FAILED", str(e))
+        stage = "copied"
+    # Only an external ``t_ext`` can be a copy made by this tool; anything else is left alone.
+    elif resume and kind == "MANAGED" and old_kind is None and ext_kind == "EXTERNAL":
+        stage, note = "copied", f"resumed: {t}_ext from an earlier run"
+    elif resume and kind is None and old_kind == "MANAGED" and ext_kind == "EXTERNAL":
+        stage, note = "renamed_old", "resumed: finished an interrupted swap"
+    elif resume and kind == "EXTERNAL" and old_kind == "MANAGED" and not has_ext:
+        stage, note = "swapped", "resumed: swap was already done"
+    else:
+        return _skip(row, db, t, kind, has_ext, old_kind)
+    managed_side = src if stage == "copied" else old
+    copy_side = src if stage == "swapped" else ext
     try:
-        copy_ops.copy_table(spark, src, ext, loc, fmt=fmt)
-    except Exception as e:  # noqa: BLE001
-        return _outcome(row, "COPY_FAILED", str(e))
-    try:
-        v = verify_copy(spark, src, ext, verify)
+        v = verify_copy(spark, managed_side, copy_side, verify)
     except Exception as e:  # noqa: BLE001
         return _outcome(row, "VERIFY_FAILED", str(e))
-    size_mb = (v["bytes"] or 0) / 1e6
+    counts = dict(source_rows=v["source_rows"], target_rows=v["target_rows"], size_mb=(v["bytes"] or 0) / 1e6)
     if not v["ok"]:
-        return _outcome(row, "VERIFY_FAILED", v["reason"] + f"; copy left at {db}.{t}_ext",
-                        source_rows=v["source_rows"], target_rows=v["target_rows"], size_mb=size_mb)
-    try:
-        spark.sql(f"ALTER TABLE {src} RENAME TO {old}")
-    except Exception as e:  # noqa: BLE001
-        return _outcome(row, "RENAME_FAILED", f"rename {db}.{t} -> {t}_old: {e}",
-                        source_rows=v["source_rows"], target_rows=v["target_rows"], size_mb=size_mb)
-    try:
-        spark.sql(f"ALTER TABLE {ext} RENAME TO {src}")
-    except Exception as e:  # noqa: BLE001
-        undo = "undone"
+        left = f"; copy left at {db}.{t}_ext" if stage != "swapped" else ""
+        return _outcome(row, "VERIFY_FAILED", v["reason"] + left, **counts)
+    if stage == "copied":
         try:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {src}")
-        except Exception as e2:  # noqa: BLE001
-            undo = f"undo failed: {e2}"
-        return _outcome(row, "RENAME_FAILED", f"rename {t}_ext -> {t}: {e}; first rename {undo}",
-                        source_rows=v["source_rows"], target_rows=v["target_rows"], size_mb=size_mb)
+            spark.sql(f"ALTER TABLE {src} RENAME TO {old}")
+        except Exception as e:  # noqa: BLE001
+            return _outcome(row, "RENAME_FAILED", f"rename {db}.{t} -> {t}_old: {e}", **counts)
+        stage = "renamed_old"
+    if stage == "renamed_old":
+        try:
+            spark.sql(f"ALTER TABLE {ext} RENAME TO {src}")
+        except Exception as e:  # noqa: BLE001
+            undo = "undone"
+            try:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {src}")
+            except Exception as e2:  # noqa: BLE001
+                undo = f"undo failed: {e2}"
+            return _outcome(row, "RENAME_FAILED", f"rename {t}_ext -> {t}: {e}; first rename {undo}", **counts)
     outcome = "CONVERTED"
     if drop_old:
         try:
             spark.sql(f"DROP TABLE {old}")
             outcome = "CONVERTED_DROPPED"
         except Exception as e:  # noqa: BLE001
-            return _outcome(row, "CONVERTED", f"drop of {t}_old failed: {e}", source_rows=v["source_rows"],
-                            target_rows=v["target_rows"], size_mb=size_mb)
+            return _outcome(row, "CONVERTED", f"drop of {t}_old failed: {e}", **counts)
     secs = time.monotonic() - start
-    return _outcome(row, outcome, None, source_rows=v["source_rows"], target_rows=v["target_rows"],
-                    size_mb=size_mb, seconds=secs, mb_per_s=(size_mb / secs if secs > 0 else 0.0))
+    return _outcome(row, outcome, note, seconds=secs,
+                    mb_per_s=(counts["size_mb"] / secs if secs > 0 else 0.0), **counts)
 
 
 def _run(spark: SparkSession, rows: list[dict], fn, parallelism: int) -> DataFrame:
@@ -141,10 +165,11 @@ def _plan_rows(targets: DataFrame) -> list[dict]:
 
 
 def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool = False,
-                        verify: str = "count", fmt: str = "parquet", parallelism: int = 1) -> DataFrame:
+                        verify: str = "count", fmt: str = "parquet", parallelism: int = 1,
+                        resume: bool = True) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table."""
     rows = _plan_rows(targets)
-    return _run(spark, rows, lambda r: convert_one(spark, r, drop_old, verify, fmt), parallelism)
+    return _run(spark, rows, lambda r: convert_one(spark, r, drop_old, verify, fmt, resume), parallelism)
 
 
 def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: str) -> str:

@@ -175,3 +175,57 @@ def test_split_by_flag_and_csv(spark):
         sorted(tuple(r) for r in df.collect())
     with pytest.raises(Exception):
         copy_ops.write_csv(df, path)  # default mode refuses to overwrite
+
+
+def test_convert_resumes_after_lost_driver(spark, db):
+    o = orders(spark)
+    root = new_work_dir(spark, "resume")
+    # copied, driver lost before the swap
+    o.write.saveAsTable(f"{db}.a")
+    copy_ops.copy_table(spark, f"{db}.a", f"{db}.a_ext", root + "/other/a")
+    # lost between the two renames
+    o.write.saveAsTable(f"{db}.b")
+    copy_ops.copy_table(spark, f"{db}.b", f"{db}.b_ext", root + "/other/b")
+    spark.sql(f"ALTER TABLE {db}.b RENAME TO {db}.b_old")
+    # swap done, drop pending
+    o.write.saveAsTable(f"{db}.c")
+    copy_ops.copy_table(spark, f"{db}.c", f"{db}.c_ext", root + "/other/c")
+    spark.sql(f"ALTER TABLE {db}.c RENAME TO {db}.c_old")
+    spark.sql(f"ALTER TABLE {db}.c_ext RENAME TO {db}.c")
+    targets = _targets(spark, db, ["a", "b", "c"], root)
+    off = {r["name"]: r["outcome"] for r in conv.convert_to_external(spark, targets, resume=False).collect()}
+    assert off == {"a": "SKIPPED_EXT_EXISTS", "b": "SOURCE_MISSING", "c": "SKIPPED_EXTERNAL"}
+    out = {r["name"]: (r["outcome"], r["reason"], r["target_rows"])
+           for r in conv.convert_to_external(spark, targets, drop_old=True, verify="checksum").collect()}
+    n = o.count()
+    assert {k: v[0] for k, v in out.items()} == {"a": "CONVERTED_DROPPED", "b": "CONVERTED_DROPPED",
+                                                "c": "CONVERTED_DROPPED"}
+    assert all(v[1].startswith("resumed") and v[2] == n for v in out.values())
+    for t in ("a", "b", "c"):
+        assert object_type(spark, f"{db}.{t}") == "EXTERNAL" and object_type(spark, f"{db}.{t}_old") is None
+        assert not spark.catalog.tableExists(f"{db}.{t}_ext")
+
+
+def test_plan_without_manifest_and_migrate_checks(spark):
+    from tablemover.plans.migrate import migrate
+    inv = spark.createDataFrame([("a", "t", "EXTERNAL"), ("a", "m", "MANAGED")], "database string, name string, "
+                                                                                  "object_type string")
+    tinv = spark.createDataFrame([], "table_catalog string, table_schema string, table_name string, table_type string")
+    plan = {r["source_name"]: (r["status_code"], r["target_schema"]) for r in
+            plan_migration(inv, tinv, "c", exclude_schemas="b").collect()}
+    assert plan == {"t": ("READY", "a"), "m": ("MANAGED_SOURCE", "a")}
+    with pytest.raises(ValueError):
+        migrate(spark, "everything")
+
+
+def test_migrate_dry_run_writes_nothing(spark):
+    from tablemover.plans.migrate import migrate
+    src, tgt = new_database(spark, "ds"), new_database(spark, "dt")
+    orders(spark).write.option("path", new_work_dir(spark, "d") + "/d").saveAsTable(f"{src}.o")
+    spark.sql(f"CREATE VIEW {src}.v AS SELECT count(*) AS n FROM {src}.o")
+    man = spark.createDataFrame([(src, "o", tgt, "o", False, 1)], MAN)
+    res = migrate(spark, "all", [src], "spark_catalog", [tgt], manifest=man, dry_run=True,
+                  source_catalog="spark_catalog")
+    assert [r["outcome"] for r in res.tables.collect()] == ["DRY_RUN"]
+    assert [r["outcome"] for r in res.views.collect()] == ["DRY_RUN"]
+    assert spark.catalog.listTables(tgt) == []
