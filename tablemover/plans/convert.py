@@ -157,18 +157,29 @@ def _run(spark: SparkSession, rows: list[dict], fn, parallelism: int) -> DataFra
     return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))
 
 
-def _plan_rows(targets: DataFrame) -> list[dict]:
-    # The plan is metadata: one row per table to convert.
+def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]:
+    """The plan is metadata: one row per table to convert, in ``t_no`` order -- or largest first
+    when ``sizes`` (``database, name, bytes``) is given, so the longest copies start first and a
+    thread pool is not left waiting on one big table at the end."""
     cols = ["database", "name", "target_schema", "target_table", "location", "t_no"]
-    return [r.asDict() for r in targets.select(*cols).orderBy(F.col("t_no").asc_nulls_last(), "database", "name")
-            .collect()]
+    t = targets.select(*cols)
+    if sizes is not None:
+        t = t.join(sizes.select("database", "name", "bytes"), ["database", "name"], "left")
+        t = t.orderBy(F.col("bytes").desc_nulls_last(), F.col("t_no").asc_nulls_last(), "database", "name")
+    else:
+        t = t.orderBy(F.col("t_no").asc_nulls_last(), "database", "name")
+    return [{c: r[c] for c in cols} for r in t.collect()]
 
 
 def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool = False,
                         verify: str = "count", fmt: str = "parquet", parallelism: int = 1,
-                        resume: bool = True) -> DataFrame:
-    """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table."""
-    rows = _plan_rows(targets)
+                        resume: bool = True, sizes: DataFrame | None = None) -> DataFrame:
+    """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
+
+    ``parallelism`` tables are converted at once from a driver thread pool; each table's copy and
+    verification are ordinary Spark jobs, which Spark runs side by side.
+    """
+    rows = _plan_rows(targets, sizes)
     return _run(spark, rows, lambda r: convert_one(spark, r, drop_old, verify, fmt, resume), parallelism)
 
 

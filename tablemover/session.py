@@ -55,6 +55,10 @@ def work_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # A folder on the driver's disk is invisible to executors and lost with the driver.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                               "before running tablemover on a cluster")
         root = tempfile.mkdtemp(prefix="tablemover-")
         spark.sparkContext.setCheckpointDir(root)
     if not spark.sparkContext.getCheckpointDir():

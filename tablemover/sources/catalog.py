@@ -9,12 +9,15 @@ database instead of one ``DESCRIBE`` (plus one existence test) per table. The te
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.select import parse_name_list
 
+log = logging.getLogger(__name__)
+
 INVENTORY_COLUMNS = ["catalog", "database", "name", "object_type", "provider", "location",
                      "partition_columns", "view_text"]
 
@@ -41,18 +44,27 @@ def _listing(spark: SparkSession, db: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, databases: list[str] | None = None,
-              catalog_label: str | None = None) -> DataFrame:
+              catalog_label: str | None = None, errors: str = "raise") -> DataFrame:
     """``catalog, database, name, object_type, provider, location, partition_columns, view_text``.
 
     ``object_type`` is ``MANAGED``, ``EXTERNAL`` or ``VIEW``; temporary views are left out.
-    ``partition_columns`` is an array of names (empty when unpartitioned).
+    ``partition_columns`` is an array of names (empty when unpartitioned). ``errors="skip"`` logs a
+    database that cannot be listed and goes on without it.
     """
     dbs = databases if databases is not None else list_databases(spark)
     label = catalog_label or spark.catalog.currentCatalog()
-    if not dbs:
+    listings = []
+    for d in dbs:
+        try:
+            listings.append(_listing(spark, d))
+        except Exception as e:  # noqa: BLE001
+            if errors != "skip":
+                raise
+            log.warning("cannot list database %s: %s", d, str(e).splitlines()[0] if str(e) else e)
+    if not listings:
         return spark.createDataFrame([], ", ".join(
             f"{c} {'array<string>' if c == 'partition_columns' else 'string'}" for c in INVENTORY_COLUMNS))
-    raw = reduce(DataFrame.unionByName, [_listing(spark, d) for d in dbs])
+    raw = reduce(DataFrame.unionByName, listings)
     info = F.col("information")
     parts = F.regexp_extract(info, r"(?m)^Partition Columns: \[(.*)\]$", 1)
     part_arr = F.when(parts == F.lit(""), F.array().cast("array<string>")).otherwise(

@@ -229,3 +229,20 @@ def test_migrate_dry_run_writes_nothing(spark):
     assert [r["outcome"] for r in res.tables.collect()] == ["DRY_RUN"]
     assert [r["outcome"] for r in res.views.collect()] == ["DRY_RUN"]
     assert spark.catalog.listTables(tgt) == []
+
+
+def test_inventory_skip_unlistable_database(spark, db):
+    orders(spark).limit(5).write.saveAsTable(f"{db}.t")
+    with pytest.raises(Exception):
+        inventory(spark, [db, "no_such_db_xyz"]).collect()
+    names = [r["name"] for r in inventory(spark, [db, "no_such_db_xyz"], errors="skip").collect()]
+    assert names == ["t"]
+
+
+def test_convert_largest_first_order(spark, db):
+    man = spark.createDataFrame([(db, n, "tgt", n, False, i) for i, n in enumerate(["small", "big", "mid"])], MAN)
+    targets = plan_targets(man, "cat", "/p", "/n")
+    sizes = spark.createDataFrame([(db, "small", 1), (db, "big", 100), (db, "mid", 10)],
+                                  "database string, name string, bytes long")
+    assert [r["name"] for r in conv._plan_rows(targets, sizes)] == ["big", "mid", "small"]
+    assert [r["name"] for r in conv._plan_rows(targets)] == ["small", "big", "mid"]
