@@ -1,4 +1,4 @@
-"""A lossless split of SQL text into tokens, for rewriting table references.
+r"""A lossless split of SQL text into tokens, for rewriting table references.
 
 Each match of ``SQL_TOKEN`` is one token; the tokens of a text joined back together are the text.
 Alternatives, tried in order:
@@ -9,18 +9,20 @@ Alternatives, tried in order:
 * a dotted identifier: parts are back-ticked names or word characters, joined by dots,
 * a run of other characters, or any single character.
 
+``\w`` is Unicode-aware (``(?U)``), so a name with non-ASCII letters is one word.
+
 Only dotted identifiers are candidates for rewriting, so names inside literals and comments stay
 as they are, ``my_hive_metastore_z`` is one word, and ``db.ab`` is never a hit for ``db.a``.
 """
 
 # The token pattern (Java regex, used by regexp_extract_all) and the pattern of one
 # part of a dotted name.
-SQL_TOKEN = (r"(?s)('(?:[^'\\]|\\.|'')*'"
+SQL_TOKEN = (r"(?sU)('(?:[^'\\]|\\.|'')*'"
              r'|"(?:[^"\\]|\\.)*"'
              r"|--[^\n]*"
              r"|/\*.*?\*/"
              r"|(?:`[^`]+`|\w+)(?:\.(?:`[^`]+`|\w+))*"
              r"|[^\w`'\"/-]+"
              r"|.)")
-NAME_PART = r"(`[^`]+`|\w+)"
-IDENT_TOKEN = r"^(?:`[^`]+`|\w+)(?:\.(?:`[^`]+`|\w+))*$"
+NAME_PART = r"(?U)(`[^`]+`|\w+)"
+IDENT_TOKEN = r"(?U)^(?:`[^`]+`|\w+)(?:\.(?:`[^`]+`|\w+))*$"

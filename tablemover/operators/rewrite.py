@@ -49,7 +49,7 @@ def _unquote(p: Column) -> Column:
 def _render(name: Column) -> Column:
     """``schema.table`` text -> each part back-ticked only when it needs it."""
     parts = F.split(name, r"\.")
-    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\w+$"), p)
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"(?U)^\w+$"), p)
                                     .otherwise(F.concat(F.lit("`"), F.replace(p, F.lit("`"), F.lit("``")), F.lit("`")))), ".")
 
 
@@ -105,7 +105,7 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
     # hits and the join back all reuse this partitioning, so no further exchange of texts or hits.
     df = df.repartition(*key_cols)
     cand = (df.select(*key_cols, F.posexplode(tokens(text_col)).alias("_pos", "_tok"))
-            .where((F.instr("_tok", ".") > 0) & F.col("_tok").rlike(r"^[\w`]") & F.col("_tok").rlike(IDENT_TOKEN))
+            .where((F.instr("_tok", ".") > 0) & F.col("_tok").rlike(r"(?U)^[\w`]") & F.col("_tok").rlike(IDENT_TOKEN))
             .withColumn("_parts", F.regexp_extract_all("_tok", F.lit(NAME_PART), 1))
             .withColumn("_cat", _has_cat(F.col("_parts"), catalog_from))
             .withColumn("key", _key(F.col("_parts"), F.col("_cat"))))

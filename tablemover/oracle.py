@@ -159,6 +159,10 @@ SELECT "database", "name", target_schema, coalesce(target_table, "name") AS targ
        CASE WHEN is_pii = false THEN '{NONPII_ROOT}' ELSE '{PII_ROOT}' END || '/' || target_schema || '/' || target_table
          AS location
 FROM man"""
+    sql["flag_location"] = _with(MAN) + f"""
+SELECT CASE WHEN is_pii = false THEN '{NONPII_ROOT}' ELSE '{PII_ROOT}' END AS storage_root, target_schema,
+       count(*) AS tables
+FROM man GROUP BY ALL"""
     est = f"""sizes AS (SELECT %s AS target_schema, "source" AS table_name, sum(n_chars) AS bytes
   FROM documents GROUP BY ALL)"""
     r = f"CAST({RATE} AS DOUBLE)"

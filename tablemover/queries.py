@@ -203,6 +203,13 @@ def q_plan_targets(spark, sf):
     return plan_targets(man_df(spark, sf), CATALOG, PII_ROOT, NONPII_ROOT, SOURCE_CATALOG)
 
 
+def q_flag_location(spark, sf):
+    """Where the tables of the manifest land: tables per storage root and target schema."""
+    t = plan_targets(man_df(spark, sf), CATALOG, PII_ROOT, NONPII_ROOT, SOURCE_CATALOG)
+    root = F.regexp_extract("location", r"^(.*)/[^/]+/[^/]+$", 1)
+    return t.groupBy(root.alias("storage_root"), "target_schema").agg(F.count(F.lit(1)).alias("tables"))
+
+
 def q_estimate_tables(spark, sf):
     sizes = (_t(spark, sf, "documents").groupBy(F.concat(F.lit("docs_"), F.col("lang")).alias("target_schema"),
                                                  F.col("source").alias("table_name"))
@@ -236,6 +243,11 @@ def q_table_checksum(spark, sf):
     return table_checksums({t: _t(spark, sf, t) for t in TABLES}, portable=True)
 
 
+def q_table_checksum_fast(spark, sf):
+    """The default (Spark-only) checksum: xxhash64 over typed columns; no SQL twin."""
+    return table_checksums({t: _t(spark, sf, t) for t in TABLES})
+
+
 def q_only_in_source(spark, sf):
     return reconcile_inventory(inv_df(spark, sf), tinv_df(spark, sf), "EXTERNAL", EXCLUDED_SCHEMAS)[0]
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tablemover.operators.rewrite import mapping_from_manifest, rewrite_catalog, rewrite_references, tokens
 
-MAP = {"db.a": "new.a2", "db.b": "new.b2", "new.b2": "other.c", "db.weird": "s p.t`x"}
+MAP = {"db.a": "new.a2", "db.b": "new.b2", "new.b2": "other.c", "db.weird": "s p.t`x", "dbé.ä": "sé.ü"}
 
 CASES = [
     ("select * from db.a join db.ab", "select * from new.a2 join db.ab"),
@@ -19,6 +19,7 @@ CASES = [
     ("select * from `hive_metastore`.`db`.`zz`", "select * from main.`db`.`zz`"),
     ("select * from db.weird", "select * from `s p`.`t``x`"),
     ("select 'it''s db.a', \"db.a\" from db.a", "select 'it''s db.a', \"db.a\" from new.a2"),
+    ("select * from dbé.ä join db.a", "select * from sé.ü join new.a2"),
     ("", ""),
 ]
 
