@@ -40,3 +40,38 @@ def estimate_transfer(sizes: DataFrame, rate: float, mode: str = "mb_per_second"
     totals = sizes.agg(F.coalesce(total_sec, F.lit(0.0)).alias("seconds")).select(
         "seconds", (F.col("seconds") / 60).alias("minutes"), (F.col("seconds") / 3600).alias("hours"))
     return per_table, totals
+
+
+def estimate_manifest(spark, manifest: DataFrame, rate: float, mode: str = "mb_per_second",
+                      inventory_df: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The estimate workflow for a manifest: (per_table, totals, skipped).
+
+    Tables of the manifest are matched with the inventory of their databases; managed tables are
+    sized (``table_stats``: file metadata only) and estimated. Missing and non-managed tables are
+    returned in ``skipped`` with a reason instead of being dropped silently.
+    """
+    from ..sources.catalog import inventory
+    from ..sources.stats import table_stats
+
+    man = manifest.select("database", "name", "target_schema").dropDuplicates(["database", "name"])
+    if inventory_df is None:
+        dbs = sorted({r["database"] for r in man.select("database").distinct().collect() if r["database"]})
+        dbs = [d for d in dbs if spark.catalog.databaseExists(d)]
+        inventory_df = inventory(spark, dbs)
+    j = man.join(inventory_df.select("database", "name", "object_type"), ["database", "name"], "left")
+    skipped = j.where(F.col("object_type").isNull() | (F.col("object_type") != F.lit("MANAGED"))).select(
+        "database", "name", F.when(F.col("object_type").isNull(), F.lit("SOURCE_MISSING"))
+        .otherwise(F.concat(F.lit("NOT_MANAGED_"), F.col("object_type"))).alias("reason"))
+    managed = [(r["database"], r["name"], r["target_schema"]) for r in
+               j.where(F.col("object_type") == F.lit("MANAGED")).select("database", "name", "target_schema").collect()]
+    if not managed:
+        empty = spark.createDataFrame([], "target_schema string, table_name string, bytes long")
+        per, tot = estimate_transfer(empty, rate, mode)
+        return per, tot, skipped
+    label = {f"{d}.{n}": (ts, n) for d, n, ts in managed}
+    stats = table_stats({f"{d}.{n}": spark.table(f"`{d}`.`{n}`") for d, n, _ in managed})
+    keys = spark.createDataFrame([(k, ts, n) for k, (ts, n) in label.items()],
+                                 "table_name string, target_schema string, name string")
+    sizes = stats.join(keys, "table_name").select("target_schema", F.col("name").alias("table_name"), "bytes")
+    per, tot = estimate_transfer(sizes, rate, mode)
+    return per, tot, skipped

@@ -146,7 +146,7 @@ def _bucket_signature(df: DataFrame, buckets: int) -> DataFrame:
                                F.sum("_h2").alias("_sh2")))
 
 
-def mismatched_buckets(src: DataFrame, dst: DataFrame, buckets: int = 4096) -> DataFrame:
+def mismatched_buckets(src: DataFrame, dst: DataFrame, buckets: int = 65536) -> DataFrame:
     """Bucket ids whose (count, hash sums) differ between the sides; at most ``buckets`` rows."""
     s = _bucket_signature(src, buckets).alias("s")
     t = _bucket_signature(dst, buckets).alias("t")
@@ -162,7 +162,7 @@ def _in_buckets(df: DataFrame, bad: DataFrame, buckets: int) -> DataFrame:
 
 
 def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact",
-                   buckets: int = 4096) -> tuple[DataFrame, DataFrame]:
+                   buckets: int = 65536) -> tuple[DataFrame, DataFrame]:
     """Bag difference of whole rows both ways: (rows only in source, rows only in target).
 
     ``method="exact"``: ``exceptAll`` over both tables. ``method="narrow"``: the same ``exceptAll``

@@ -91,7 +91,8 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
     """Add ``out_col`` (default: replace ``text_col``) with references rewritten by the token rule.
 
     ``mapping`` is a dict or a ``(key, value)`` frame (see ``mapping_from_manifest``); keys are
-    lower-cased ``schema.table``. ``key_cols`` must identify the rows of ``df`` uniquely.
+    lower-cased ``schema.table``. ``key_cols`` must identify the rows of ``df`` uniquely and be
+    non-null (a row with a null key keeps its text unchanged).
     """
     out_col = out_col or text_col
     if not key_cols:

@@ -231,6 +231,24 @@ def q_estimate_totals(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def q_estimate_manifest(spark, sf):
+    """The estimate workflow over real tables: managed copies of the test tables are sized from
+    their files and estimated; file sizes have no SQL twin, so this one is checked by rows."""
+    from .operators.estimate import estimate_manifest
+    db = new_database(spark, "est")
+    for t in ("orders", "lineitem", "customer", "documents"):
+        _managed(spark, sf, db, t)
+    _external(spark, sf, db, "part")
+    man = spark.createDataFrame([(db, t, "uc_" + t) for t in ("orders", "lineitem", "customer", "documents",
+                                                              "part", "ghost")],
+                                "database string, name string, target_schema string")
+    per, _, skipped = estimate_manifest(spark, man, RATE, "seconds_per_mb")
+    return per.select("table_name", "size_mb", "elapsed", "seconds", F.lit(None).cast("string").alias("reason")) \
+        .unionByName(skipped.select(F.col("name").alias("table_name"), F.lit(None).cast("double").alias("size_mb"),
+                                    F.lit(None).cast("string").alias("elapsed"), F.lit(None).cast("double").alias("seconds"),
+                                    "reason"))
+
+
 def q_table_counts(spark, sf):
     return count_rows({t: _t(spark, sf, t) for t in TABLES})
 

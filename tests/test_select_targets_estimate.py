@@ -75,3 +75,19 @@ def test_estimate_modes_and_totals(spark):
         estimate_transfer(sizes, 0, "mb_per_second")
     with pytest.raises(ValueError):
         estimate_transfer(sizes, 1, "furlongs")
+
+
+def test_estimate_manifest_sizes_managed_and_lists_the_rest(spark, db):
+    from tablemover.operators.estimate import estimate_manifest
+    from tablemover.session import new_work_dir
+    from conftest import SF
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    o.write.saveAsTable(f"{db}.m")
+    o.write.option("path", new_work_dir(spark, "x") + "/d").saveAsTable(f"{db}.e")
+    man = spark.createDataFrame([(db, "m", "s"), (db, "e", "s"), (db, "gone", "s")],
+                                "database string, name string, target_schema string")
+    per, tot, skipped = estimate_manifest(spark, man, 2.0, "mb_per_second")
+    rows = per.collect()
+    assert [r["table_name"] for r in rows] == ["m"] and rows[0]["size_mb"] > 0
+    assert tot.collect()[0]["seconds"] == pytest.approx(rows[0]["size_mb"] / 2.0)
+    assert {r["name"]: r["reason"] for r in skipped.collect()} == {"e": "NOT_MANAGED_EXTERNAL", "gone": "SOURCE_MISSING"}
