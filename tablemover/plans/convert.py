@@ -20,7 +20,7 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions.timefmt import mm_ss
@@ -57,7 +57,7 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
     return res
 
 
-def _outcome(row: dict, outcome: str, reason: str | None = None, **kw) -> Row:
+def _outcome(row: dict, outcome: str, reason: str | None = None, **kw) -> dict:
     base = {f: None for f in schemas.CONVERSION.fieldNames()}
     base.update({k: row.get(k) for k in ("database", "name", "target_schema", "target_table", "location", "t_no")})
     base.update(outcome=outcome, reason=reason, **kw)

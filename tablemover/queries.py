@@ -13,7 +13,6 @@ perturbs, never how much data a query reads.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tablemover.sources.manifest import (build_manifest, dedup_manifest, load_manifest, manifest_problems,
-                                         read_manifest, type_manifest, write_manifest)
+                                         type_manifest, write_manifest)
 from tablemover.session import new_work_dir
 from tablemover.operators.sequence import with_sequence
 

@@ -1,6 +1,6 @@
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
+
 
 from tablemover.operators.rewrite import mapping_from_manifest, rewrite_catalog, rewrite_references, tokens
 
