@@ -1,7 +1,6 @@
 import pytest
 from hypothesis import given, settings, strategies as st
 
-
 from tablemover.operators.rewrite import mapping_from_manifest, rewrite_catalog, rewrite_references, tokens
 
 MAP = {"db.a": "new.a2", "db.b": "new.b2", "new.b2": "other.c", "db.weird": "s p.t`x", "dbé.ä": "sé.ü"}
