@@ -199,6 +199,21 @@ FROM man GROUP BY ALL"""
         "SELECT * FROM hive EXCEPT ALL SELECT * FROM uc"
     sql["only_in_target_mapped"] = _with(MAN, INV, TINV_MAPPED, mapped_hive, uc("EXTERNAL")) + \
         "SELECT * FROM uc EXCEPT ALL SELECT * FROM hive"
+    checks = {
+        "external_tables": f"""SELECT * FROM inv WHERE object_type = 'EXTERNAL' AND "database" NOT IN {XS}""",
+        "not_upgraded": f"""SELECT * FROM inv WHERE object_type = 'EXTERNAL' AND upgraded_to IS NULL
+                            AND "database" NOT IN {XS}""",
+        "target_tables": """SELECT * FROM tinv WHERE table_schema <> 'information_schema' AND table_type = 'EXTERNAL'""",
+    }
+    for ot, a in (("EXTERNAL", "tables"), ("VIEW", "views")):
+        h = f"""(SELECT "database" AS table_schema, "name" AS table_name FROM inv
+                 WHERE object_type = '{ot}' AND "database" NOT IN {XS})"""
+        u = f"""(SELECT table_schema, table_name FROM tinv
+                 WHERE table_schema <> 'information_schema' AND table_type = '{ot}')"""
+        checks[f"{a}_only_in_source"] = f"{h} EXCEPT ALL {u}"
+        checks[f"{a}_only_in_target"] = f"{u} EXCEPT ALL {h}"
+    sql["validation_summary"] = _with(MAN, INV, TINV) + "\nUNION ALL\n".join(
+        f"SELECT '{k}' AS \"check\", count(*) AS objects FROM ({v})" for k, v in checks.items())
     sql["not_upgraded"] = _with(MAN, INV) + f"""
 SELECT * FROM inv WHERE object_type = 'EXTERNAL' AND upgraded_to IS NULL AND "database" NOT IN {XS}"""
     sql["count_match"] = _with(ORDERS_V2) + """

@@ -289,6 +289,11 @@ def q_only_in_target_mapped(spark, sf):
     return reconcile_inventory(inv_df(spark, sf), tinv_mapped_df(spark, sf), "EXTERNAL", None, man_df(spark, sf))[1]
 
 
+def q_validation_summary(spark, sf):
+    from .plans.validate import validate
+    return validate(inv_df(spark, sf), tinv_df(spark, sf), EXCLUDED_SCHEMAS).summary()
+
+
 def q_not_upgraded(spark, sf):
     return not_upgraded(inv_df(spark, sf), EXCLUDED_SCHEMAS)
 
