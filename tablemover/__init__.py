@@ -6,7 +6,7 @@ report. Every step is a DataFrame plan or a Spark job; the driver only issues ca
 """
 
 from .operators.copy import copy_table, split_by_flag, write_csv
-from .operators.estimate import estimate_transfer
+from .operators.estimate import estimate_manifest, estimate_transfer
 from .operators.reconcile import (count_rows, keyed_diff, not_upgraded, reconcile_counts,
                                   reconcile_inventory, reconcile_rows, table_checksum, table_checksums)
 from .operators.rewrite import mapping_from_manifest, rewrite_catalog, rewrite_references
@@ -17,9 +17,11 @@ from .plans.migrate import migrate
 from .plans.migration import plan_migration
 from .plans.report import conversion_failures, conversion_summary, ineligible, outcome_counts
 from .plans.targets import plan_targets
+from .plans.validate import validate
 from .plans.views import migrate_views, view_plan
 from .sources.catalog import inventory, list_databases
 from .sources.manifest import build_manifest, load_manifest, load_view_manifest, manifest_problems
+from .session import build_session, scale_conf, work_root
 from .sources.stats import table_stats
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -81,3 +81,21 @@ def new_database(spark: SparkSession, purpose: str) -> str:
     loc = new_work_dir(spark, f"db-{purpose}")
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{loc}'")
     return name
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffle_bytes`` on ``total_cores`` cores.
+
+    Aggregates (``exceptAll``, keyed diffs) cannot have a partition split after the fact -- AQE
+    only coalesces small ones and splits skewed *joins* -- so the initial shuffle partition count
+    must already give each reducer about ``target_partition_bytes``; AQE then merges the small
+    ones. Example: a full ``exceptAll`` of two 50 TB tables shuffles ~100 TB -> ~400k initial
+    partitions, coalesced at run time.
+    """
+    n = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
