@@ -54,7 +54,7 @@ def test_inventory_filters_reach_the_scan(spark):
                                 "database string, name string, object_type string, upgraded_to string")
     path = new_work_dir(spark, "inv") + "/p"
     inv.write.parquet(path)
-    p = plan(not_upgraded(spark.read.parquet(path), "ucx"))
+    p = plan(not_upgraded(spark.read.parquet(path), "assess"))
     pushed = [l for l in p.splitlines() if l.startswith("PushedFilters")][0]
     assert "IsNull(upgraded_to)" in pushed and "EqualTo(object_type,EXTERNAL)" in pushed
     assert "Not(In(database" in pushed or "Not(EqualTo(database" in pushed

@@ -20,7 +20,7 @@ def rows(df):
 @pytest.fixture
 def invs(spark):
     src = spark.createDataFrame([("a", "t1", "EXTERNAL", None), ("a", "t1", "EXTERNAL", None), ("a", "t2", "EXTERNAL", "x"),
-                                 ("a", "v1", "VIEW", None), ("ucx", "t9", "EXTERNAL", None), (None, "t3", "EXTERNAL", None)],
+                                 ("a", "v1", "VIEW", None), ("assess", "t9", "EXTERNAL", None), (None, "t3", "EXTERNAL", None)],
                                 SRC)
     dst = spark.createDataFrame([("c", "a", "t1", "EXTERNAL"), ("c", "a", "t4", "EXTERNAL"), ("c", "a", "v1", "VIEW"),
                                  ("c", "information_schema", "tables", "VIEW")], DST)
@@ -29,7 +29,7 @@ def invs(spark):
 
 def test_inventory_bag_difference_both_ways(spark, invs):
     src, dst = invs
-    only_s, only_t = reconcile_inventory(src, dst, "EXTERNAL", "ucx")
+    only_s, only_t = reconcile_inventory(src, dst, "EXTERNAL", "assess")
     assert rows(only_s) == [("a", "t1"), ("a", "t2")]  # one of the two t1 copies is unmatched
     assert rows(only_t) == [("a", "t4")]
     vs, vt = reconcile_inventory(src, dst, "VIEW")
@@ -61,7 +61,7 @@ def test_inventory_with_mapping(spark, invs):
 
 def test_not_upgraded(spark, invs):
     src, _ = invs
-    assert sorted(r["name"] for r in not_upgraded(src, "ucx").collect()) == ["t1", "t1"]
+    assert sorted(r["name"] for r in not_upgraded(src, "assess").collect()) == ["t1", "t1"]
     assert sorted(r["name"] for r in not_upgraded(src, "").collect()) == ["t1", "t1", "t3", "t9"]
 
 
@@ -166,7 +166,7 @@ def test_narrow_equals_exact(spark, left, right):
 def test_validation_lists_and_summary(spark, invs):
     from tablemover.plans.validate import validate
     src, dst = invs
-    v = validate(src, dst, "ucx")
+    v = validate(src, dst, "assess")
     summary = {r["check"]: r["objects"] for r in v.summary().collect()}
     # the null-database row drops out of every NOT IN filter, as in SQL
     assert summary == {"external_tables": 3, "not_upgraded": 2, "target_tables": 2, "tables_only_in_source": 2,
