@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.catalog import partition_columns
+from ..sources.catalog import describe_table, partition_columns
 
 
 class TargetNotEmpty(RuntimeError):
@@ -38,24 +38,44 @@ def path_has_files(spark: SparkSession, path: str) -> bool:
             return False
 
 
-def copy_table(spark: SparkSession, source: str, target: str, location: str, fmt: str = "parquet",
-               partition_by: list[str] | None = None, properties: dict | None = None) -> list[str]:
+def _props_sql(props: dict) -> str:
+    return ", ".join(f"'{k.replace(chr(39), chr(39) * 2)}' = '{str(v).replace(chr(39), chr(39) * 2)}'"
+                     for k, v in props.items())
+
+
+def copy_table(spark: SparkSession, source: str, target: str, location: str, fmt: str | None = None,
+               partition_by: list[str] | None = None, properties: dict | None = None,
+               keep_layout: bool = True) -> list[str]:
     """Copy table ``source`` into a new external table ``target`` stored at ``location``.
 
-    Partition columns are taken from the catalog unless given. Fails with ``TargetNotEmpty`` when
-    the location already holds files (a leftover of an earlier failed copy is reported, never
-    overwritten) and with Spark's own error when ``target`` exists. Returns the partition columns.
+    Kept from the source unless overridden: storage format (``fmt``), partition columns,
+    bucketing and sort columns, storage options, table comment and table properties (plus any
+    ``properties`` given). Bucketed output keeps later joins and aggregations on the bucket
+    columns free of shuffles. Fails with ``TargetNotEmpty`` when the location already holds files
+    (a leftover of an earlier failed copy is reported, never overwritten) and with Spark's own
+    error when ``target`` exists. Returns the partition columns.
     """
     if path_has_files(spark, location):
         raise TargetNotEmpty(f"target location is not empty: {location}")
+    info = describe_table(spark, source) if keep_layout or fmt is None else {}
+    provider = info.get("provider")
+    fmt = fmt or (provider if provider not in (None, "hive") else "parquet")
     parts = partition_by if partition_by is not None else partition_columns(spark, source)
-    w = spark.table(source).write.format(fmt).option("path", location).mode("errorifexists")
+    w = spark.table(source).write.format(fmt).options(**info.get("options", {})).option("path", location)
+    w = w.mode("errorifexists")
     if parts:
         w = w.partitionBy(*parts)
+    if keep_layout and info.get("num_buckets"):
+        w = w.bucketBy(info["num_buckets"], *info["bucket_columns"])
+        if info["sort_columns"]:
+            w = w.sortBy(*info["sort_columns"])
     w.saveAsTable(target)
-    if properties:
-        props = ", ".join(f"'{k}' = '{str(v).replace(chr(39), chr(39) * 2)}'" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({props})")
+    props = dict(info.get("properties", {})) if keep_layout else {}
+    if keep_layout and info.get("comment"):
+        props["comment"] = info["comment"]
+    props.update(properties or {})
+    if props:
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({_props_sql(props)})")
     return parts
 
 

@@ -76,7 +76,7 @@ def _skip(row: dict, db: str, t: str, kind: str | None, has_ext: bool, old_kind:
 
 
 def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify: str = "count",
-                fmt: str = "parquet", resume: bool = True) -> dict:
+                fmt: str | None = None, resume: bool = True) -> dict:
     """Convert one table; returns its outcome row.
 
     With ``resume`` a run picks up where a lost driver left off: a committed ``t_ext`` is verified
@@ -172,7 +172,7 @@ def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]
 
 
 def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool = False,
-                        verify: str = "count", fmt: str = "parquet", parallelism: int = 1,
+                        verify: str = "count", fmt: str | None = None, parallelism: int = 1,
                         resume: bool = True, sizes: DataFrame | None = None) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
 

@@ -97,3 +97,40 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
 def view_text(spark: SparkSession, name: str) -> str | None:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").collect()
     return rows[-1]["data_type"] if rows else None
+
+
+def _name_list(text: str | None) -> list[str]:
+    if not text:
+        return []
+    inner = text.strip()[1:-1]
+    return [p.strip().strip("`").replace("``", "`") for p in inner.split("`, `")] if inner else []
+
+
+def describe_table(spark: SparkSession, name: str) -> dict:
+    """Table-level facts from ``DESCRIBE TABLE EXTENDED`` (rows after the detailed-information
+    header only, so a data column called ``Type`` cannot shadow them): ``type, provider, location,
+    comment, num_buckets, bucket_columns, sort_columns, properties`` (user table properties) and
+    ``options`` (storage options)."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    info, seen = {}, False
+    for r in rows:
+        if r["col_name"] == "# Detailed Table Information":
+            seen = True
+            continue
+        if seen and r["col_name"]:
+            info[r["col_name"]] = r["data_type"]
+    props = {}
+    for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
+        k = r["key"]
+        if k.startswith("option."):
+            continue
+        if k.startswith("spark.sql.") or k in ("transient_lastDdlTime", "comment"):
+            continue
+        props[k] = r["value"]
+    options = {r["key"][7:]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+               if r["key"].startswith("option.") and r["key"] != "option.path"}
+    return {"type": (info.get("Type") or "").upper() or None, "provider": (info.get("Provider") or "").lower() or None,
+            "location": info.get("Location"), "comment": info.get("Comment"),
+            "num_buckets": int(info["Num Buckets"]) if info.get("Num Buckets", "").isdigit() else None,
+            "bucket_columns": _name_list(info.get("Bucket Columns")),
+            "sort_columns": _name_list(info.get("Sort Columns")), "properties": props, "options": options}

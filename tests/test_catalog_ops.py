@@ -246,3 +246,21 @@ def test_convert_largest_first_order(spark, db):
                                   "database string, name string, bytes long")
     assert [r["name"] for r in conv._plan_rows(targets, sizes)] == ["big", "mid", "small"]
     assert [r["name"] for r in conv._plan_rows(targets)] == ["small", "big", "mid"]
+
+
+def test_copy_keeps_format_buckets_comment_and_properties(spark, db):
+    src = orders(spark).select("o_orderkey", "o_custkey", "o_orderstatus")
+    (src.write.format("orc").option("compression", "zlib").bucketBy(4, "o_custkey").sortBy("o_custkey")
+     .partitionBy("o_orderstatus").saveAsTable(f"{db}.b"))
+    spark.sql(f"ALTER TABLE {db}.b SET TBLPROPERTIES ('team' = 'sales', 'comment' = 'orders by customer')")
+    copy_ops.copy_table(spark, f"{db}.b", f"{db}.b_ext", new_work_dir(spark, "k") + "/d", properties={"x": "1"})
+    from tablemover.sources.catalog import describe_table
+    a, b = describe_table(spark, f"{db}.b"), describe_table(spark, f"{db}.b_ext")
+    assert b["type"] == "EXTERNAL" and b["provider"] == "orc" and b["comment"] == "orders by customer"
+    assert (b["num_buckets"], b["bucket_columns"], b["sort_columns"]) == (4, ["o_custkey"], ["o_custkey"])
+    assert b["properties"]["team"] == "sales" and b["properties"]["x"] == "1"
+    assert b["options"].get("compression") == "zlib"
+    assert partition_columns(spark, f"{db}.b_ext") == ["o_orderstatus"]
+    s, t = reconcile_rows(spark.table(f"{db}.b"), spark.table(f"{db}.b_ext"))
+    assert s.count() == 0 and t.count() == 0
+    assert a["type"] == "MANAGED"
