@@ -68,10 +68,14 @@ def estimate_manifest(spark, manifest: DataFrame, rate: float, mode: str = "mb_p
         empty = spark.createDataFrame([], "target_schema string, table_name string, bytes long")
         per, tot = estimate_transfer(empty, rate, mode)
         return per, tot, skipped
-    label = {f"{d}.{n}": (ts, n) for d, n, ts in managed}
-    stats = table_stats({f"{d}.{n}": spark.table(f"`{d}`.`{n}`") for d, n, _ in managed})
-    keys = spark.createDataFrame([(k, ts, n) for k, (ts, n) in label.items()],
-                                 "table_name string, target_schema string, name string")
-    sizes = stats.join(keys, "table_name").select("target_schema", F.col("name").alias("table_name"), "bytes")
+    label = {f"{d}.{n}": (d, ts, n) for d, n, ts in managed}
+    # One unreadable table must not sink the estimate of the others: it is listed as skipped.
+    stats = table_stats({f"{d}.{n}": spark.table(f"`{d}`.`{n}`") for d, n, _ in managed}, errors="isolate")
+    keys = spark.createDataFrame([(k, d, ts, n) for k, (d, ts, n) in label.items()],
+                                 "table_name string, database string, target_schema string, name string")
+    j2 = stats.join(keys, "table_name")
+    sizes = j2.where(F.col("error").isNull()).select("target_schema", F.col("name").alias("table_name"), "bytes")
+    broken = j2.where(F.col("error").isNotNull()).select(
+        "database", "name", F.concat(F.lit("STATS_FAILED: "), F.col("error")).alias("reason"))
     per, tot = estimate_transfer(sizes, rate, mode)
-    return per, tot, skipped
+    return per, tot, skipped.unionByName(broken)

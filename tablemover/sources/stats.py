@@ -26,20 +26,66 @@ def _one(df: DataFrame, label: str, with_bytes: bool) -> DataFrame:
         F.col("bytes").cast("long").alias("bytes"), F.col("files").cast("long").alias("files"))
 
 
-def table_stats(tables: dict[str, DataFrame], chunk: int = 32, no_files: set[str] | list[str] = ()) -> DataFrame:
+STATS_SCHEMA = "table_name string, row_count long, bytes long, files long, size_mb double, error string"
+
+
+def table_stats(tables: dict[str, DataFrame], chunk: int = 32, no_files: set[str] | list[str] = (),
+                errors: str = "raise") -> DataFrame:
     """``(table_name, row_count, bytes, files, size_mb)`` per table, in few jobs. Names in
-    ``no_files`` (views, in-memory frames) get counts only."""
-    parts = [_one(df, name, name not in set(no_files)) for name, df in tables.items()]
-    if not parts:
+    ``no_files`` (views, in-memory frames) get counts only.
+
+    ``errors="isolate"`` runs the chunks eagerly (one small row per table comes back) and, when a
+    chunk fails, runs its tables one by one, so an unreadable table yields an ``error`` text
+    instead of failing the whole inventory; the result then has an extra ``error`` column.
+    """
+    nf = set(no_files)
+    names = list(tables)
+    if not names:
         raise ValueError("no tables")
-    out = reduce(DataFrame.unionAll, [reduce(DataFrame.unionAll, parts[i:i + chunk])
-                                      for i in range(0, len(parts), chunk)])
-    return out.withColumn("size_mb", F.col("bytes").cast("double") / F.lit(1e6))
+
+    def part(name: str) -> DataFrame:
+        return _one(tables[name], name, name not in nf)
+
+    def stats(group: list[str]) -> DataFrame:
+        out = reduce(DataFrame.unionAll, [part(n) for n in group])
+        return out.withColumn("size_mb", F.col("bytes").cast("double") / F.lit(1e6))
+
+    groups = [names[i:i + chunk] for i in range(0, len(names), chunk)]
+    if errors != "isolate":
+        return reduce(DataFrame.unionAll, [stats(g) for g in groups])
+    rows = []
+    for g in groups:
+        try:
+            rows += [tuple(r) + (None,) for r in stats(g).collect()]
+        except Exception:  # noqa: BLE001 - find the broken table(s) of this chunk
+            for n in g:
+                try:
+                    rows += [tuple(r) + (None,) for r in stats([n]).collect()]
+                except Exception as e:  # noqa: BLE001
+                    msg = str(e).strip().splitlines()[0] if str(e).strip() else repr(e)
+                    rows.append((n, None, None, None, None, msg[:500]))
+    spark = tables[names[0]].sparkSession
+    return spark.createDataFrame(rows, STATS_SCHEMA)
 
 
-def catalog_table_stats(spark: SparkSession, names: list[str], chunk: int = 32) -> DataFrame:
-    views = {n for n in names if spark.catalog.getTable(n).tableType == "VIEW"}
-    return table_stats({n: spark.table(n) for n in names}, chunk, views)
+def catalog_table_stats(spark: SparkSession, names: list[str], chunk: int = 32, errors: str = "raise") -> DataFrame:
+    """Stats of catalog tables by name; with ``errors="isolate"`` a table that cannot even be
+    resolved gets an error row too."""
+    tables, views, failed = {}, set(), []
+    for n in names:
+        try:
+            if spark.catalog.getTable(n).tableType == "VIEW":
+                views.add(n)
+            tables[n] = spark.table(n)
+        except Exception as e:  # noqa: BLE001
+            if errors != "isolate":
+                raise
+            failed.append((n, None, None, None, None, (str(e).strip().splitlines() or [repr(e)])[0][:500]))
+    out = table_stats(tables, chunk, views, errors) if tables else None
+    if errors != "isolate":
+        return out
+    bad = spark.createDataFrame(failed, STATS_SCHEMA)
+    return bad if out is None else out.unionByName(bad)
 
 
 def file_table_stats(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> DataFrame:

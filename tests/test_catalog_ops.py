@@ -264,3 +264,23 @@ def test_copy_keeps_format_buckets_comment_and_properties(spark, db):
     s, t = reconcile_rows(spark.table(f"{db}.b"), spark.table(f"{db}.b_ext"))
     assert s.count() == 0 and t.count() == 0
     assert a["type"] == "MANAGED"
+
+
+def test_stats_isolate_a_broken_table(spark, db):
+    import os
+    import shutil
+    from tablemover.sources.stats import catalog_table_stats
+    orders(spark).write.saveAsTable(f"{db}.good")
+    loc = new_work_dir(spark, "broken") + "/d"
+    orders(spark).write.option("path", loc).saveAsTable(f"{db}.broken")
+    for f in os.listdir(loc.replace("file:", "")):
+        if f.endswith(".parquet"):
+            with open(os.path.join(loc.replace("file:", ""), f), "wb") as fh:
+                fh.write(b"not parquet at all")
+    with pytest.raises(Exception):
+        catalog_table_stats(spark, [f"{db}.good", f"{db}.broken"]).collect()
+    out = {r["table_name"]: r for r in catalog_table_stats(spark, [f"{db}.good", f"{db}.broken", f"{db}.nope"],
+                                                           errors="isolate").collect()}
+    assert out[f"{db}.good"]["row_count"] == orders(spark).count() and out[f"{db}.good"]["error"] is None
+    assert out[f"{db}.broken"]["row_count"] is None and out[f"{db}.broken"]["error"]
+    assert out[f"{db}.nope"]["error"]
