@@ -119,16 +119,14 @@ def describe_table(spark: SparkSession, name: str) -> dict:
             continue
         if seen and r["col_name"]:
             info[r["col_name"]] = r["data_type"]
-    props = {}
+    props, options = {}, {}
     for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
         k = r["key"]
         if k.startswith("option."):
-            continue
-        if k.startswith("spark.sql.") or k in ("transient_lastDdlTime", "comment"):
-            continue
-        props[k] = r["value"]
-    options = {r["key"][7:]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-               if r["key"].startswith("option.") and r["key"] != "option.path"}
+            if k != "option.path":
+                options[k[7:]] = r["value"]
+        elif not (k.startswith("spark.sql.") or k in ("transient_lastDdlTime", "comment")):
+            props[k] = r["value"]
     return {"type": (info.get("Type") or "").upper() or None, "provider": (info.get("Provider") or "").lower() or None,
             "location": info.get("Location"), "comment": info.get("Comment"),
             "num_buckets": int(info["Num Buckets"]) if info.get("Num Buckets", "").isdigit() else None,
