@@ -183,10 +183,14 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     return _run(spark, rows, lambda r: convert_one(spark, r, drop_old, verify, fmt, resume), parallelism)
 
 
-def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: str) -> str:
-    if catalog in (None, "", spark.catalog.currentCatalog(), "spark_catalog"):
-        return _q(schema, name)
-    return _q(catalog, schema, name)
+def _in_session_catalog(spark: SparkSession, catalog: str | None) -> bool:
+    return catalog in (None, "", spark.catalog.currentCatalog(), "spark_catalog")
+
+
+def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: str | None = None) -> str:
+    """Quoted ``schema[.name]``, prefixed by the catalog when it is not the session catalog."""
+    parts = [schema] + ([name] if name is not None else [])
+    return _q(*parts) if _in_session_catalog(spark, catalog) else _q(catalog, *parts)
 
 
 def register_one(spark: SparkSession, row: dict, inv_row: dict, dry_run: bool, verify: str,
@@ -206,7 +210,7 @@ def register_one(spark: SparkSession, row: dict, inv_row: dict, dry_run: bool, v
     if dry_run:
         return _outcome(base, "DRY_RUN", stmt)
     try:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(row['target_schema'])}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_target_name(spark, row.get('target_catalog'), row['target_schema'])}")
         spark.sql(stmt)
         if partition_columns(spark, dst):
             spark.sql(f"ALTER TABLE {dst} RECOVER PARTITIONS")

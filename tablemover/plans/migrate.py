@@ -12,7 +12,7 @@ from ..sources.catalog import inventory, list_databases
 from .convert import register_external
 from .migration import plan_migration
 from .report import outcome_counts
-from .views import migrate_views, view_plan
+from .views import migrate_views, view_mapping, view_plan
 from ..operators.rewrite import mapping_from_manifest
 
 SCOPES = ("external-tables", "views", "all")
@@ -62,8 +62,12 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
                 F.min("target_schema").alias("_ts"))
             vp = (vp.join(per_db, "source_schema", "left")
                   .withColumn("target_schema", F.coalesce("_ts", "target_schema")).drop("_ts"))
-        mapping = mapping_from_manifest(manifest) if manifest is not None else {}
-        views = migrate_views(spark, vp, mapping, source_catalog, catalog, dry_run, owner)
+        # Old -> new names of the tables of the manifest and of the views themselves, so views over
+        # tables and views over views both point at the migrated objects.
+        mapping = view_mapping(vp)
+        if manifest is not None:
+            mapping = mapping_from_manifest(manifest).unionByName(mapping)
+        views = migrate_views(spark, vp, mapping, source_catalog, catalog, dry_run, owner, target_catalog=catalog)
     counts = outcome_counts(plan)
     res = MigrationResult(plan, tables, views, counts)
     if not dry_run and tgt_dbs:

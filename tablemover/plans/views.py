@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators.rewrite import rewrite_references
-from .convert import _q
+from .convert import _target_name
 
 
 def view_plan(inv: DataFrame, target_catalog: str | None = None, view_manifest: DataFrame | None = None) -> DataFrame:
@@ -28,21 +28,35 @@ def view_plan(inv: DataFrame, target_catalog: str | None = None, view_manifest:
     return vm.join(views, ["source_schema", "source_view"], "left")
 
 
+def view_mapping(plan: DataFrame) -> DataFrame:
+    """``(key, value)`` from a view plan: each migrated view's old name to its new one, so a view
+    that reads another migrated view is pointed at the new one."""
+    return plan.select(F.lower(F.concat_ws(".", "source_schema", "source_view")).alias("key"),
+                       F.concat_ws(".", "target_schema", "target_view").alias("value"))
+
+
 def view_statements(plan: DataFrame, mapping, catalog_from: str | None = None, catalog_to: str | None = None,
-                    max_broadcast: int = 1_000_000) -> DataFrame:
+                    max_broadcast: int = 1_000_000, target_catalog: str | None = None) -> DataFrame:
     rw = rewrite_references(plan, "view_text", mapping, catalog_from, catalog_to, out_col="new_text",
                             key_cols=["source_schema", "source_view"], max_broadcast=max_broadcast)
-    target = F.concat_ws(".", *[F.concat(F.lit("`"), F.replace(F.col(c), F.lit("`"), F.lit("``")), F.lit("`"))
-                                for c in ("target_schema", "target_view")])
+    parts = ["target_schema", "target_view"]
+    spark = plan.sparkSession
+    if target_catalog and target_catalog not in ("spark_catalog", spark.catalog.currentCatalog()):
+        parts = [F.lit(target_catalog)] + parts
+    target = F.concat_ws(".", *[F.concat(F.lit("`"), F.replace(F.col(c) if isinstance(c, str) else c, F.lit("`"),
+                                                               F.lit("``")), F.lit("`")) for c in parts])
     return rw.withColumn("statement", F.when(F.col("new_text").isNotNull(), F.concat(
         F.lit("CREATE OR REPLACE VIEW "), target, F.lit(" AS "), F.col("new_text"))))
 
 
 def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: str | None = None,
                   catalog_to: str | None = None, dry_run: bool = True, owner: str | None = None,
-                  max_rounds: int = 10) -> DataFrame:
-    """Create the target views; one outcome row per view (``schemas.VIEW_OUTCOME``)."""
-    stm = view_statements(plan, mapping, catalog_from, catalog_to)
+                  max_rounds: int = 10, target_catalog: str | None = None) -> DataFrame:
+    """Create the target views; one outcome row per view (``schemas.VIEW_OUTCOME``).
+
+    ``target_catalog`` names a configured catalog other than the session catalog; views and
+    schemas are then created there with three-part names."""
+    stm = view_statements(plan, mapping, catalog_from, catalog_to, target_catalog=target_catalog)
     todo = [r.asDict() for r in stm.select("source_schema", "source_view", "target_schema", "target_view",
                                            "statement").orderBy("source_schema", "source_view").collect()]
     out = []
@@ -64,10 +78,11 @@ def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: s
         progressed, still = False, []
         for r in pending:
             try:
-                spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(r['target_schema'])}")
+                spark.sql(f"CREATE DATABASE IF NOT EXISTS {_target_name(spark, target_catalog, r['target_schema'])}")
                 spark.sql(r["statement"])
                 if owner:
-                    spark.sql(f"ALTER VIEW {_q(r['target_schema'], r['target_view'])} SET TBLPROPERTIES "
+                    view = _target_name(spark, target_catalog, r["target_schema"], r["target_view"])
+                    spark.sql(f"ALTER VIEW {view} SET TBLPROPERTIES "
                               f"('migration.owner' = '{owner}')")
                 out.append((r["src"], r["dst"], "VIEW_CREATED", None, r["statement"]))
                 progressed = True

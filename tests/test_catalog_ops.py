@@ -284,3 +284,20 @@ def test_stats_isolate_a_broken_table(spark, db):
     assert out[f"{db}.good"]["row_count"] == orders(spark).count() and out[f"{db}.good"]["error"] is None
     assert out[f"{db}.broken"]["row_count"] is None and out[f"{db}.broken"]["error"]
     assert out[f"{db}.nope"]["error"]
+
+
+def test_migrate_moves_views_over_views(spark):
+    from tablemover.plans.migrate import migrate
+    src, tgt = new_database(spark, "vs"), new_database(spark, "vt")
+    orders(spark).write.option("path", new_work_dir(spark, "o") + "/d").saveAsTable(f"{src}.o")
+    spark.sql(f"CREATE VIEW {src}.v1 AS SELECT o_orderstatus, count(*) AS n FROM {src}.o GROUP BY 1")
+    spark.sql(f"CREATE VIEW {src}.v2 AS SELECT sum(n) AS total FROM {src}.v1")
+    man = spark.createDataFrame([(src, "o", tgt, "o", False, 1)], MAN)
+    res = migrate(spark, "all", [src], "spark_catalog", [tgt], manifest=man, dry_run=False,
+                  source_catalog="spark_catalog")
+    assert sorted(r["outcome"] for r in res.views.collect()) == ["VIEW_CREATED", "VIEW_CREATED"]
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {tgt}.v2").where("col_name = 'View Text'").collect()[0][1]
+    assert f"{tgt}.v1" in text and src not in text
+    assert spark.table(f"{tgt}.v2").collect()[0]["total"] == orders(spark).count()
+    spark.sql(f"DROP VIEW {src}.v1")  # the migrated views must not depend on the source ones
+    assert spark.table(f"{tgt}.v2").collect()[0]["total"] == orders(spark).count()
