@@ -130,6 +130,10 @@ def oracle_sql() -> dict[str, str]:
 SELECT {DB} AS "database", {NAME} AS "name", 'uc_' || lower(c_mktsegment) AS target_schema, {NAME} AS target_table,
        CASE c_custkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS is_pii,
        CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS t_no
+FROM customer"""
+    sql["manifest_from_csv"] = f"""
+SELECT {DB} AS "database", {NAME} AS "name", 'uc_' || lower(c_mktsegment) AS target_schema, {NAME} AS target_table,
+       c_custkey % 2 = 0 AS is_pii, CAST(row_number() OVER (ORDER BY c_custkey DESC) AS INTEGER) AS t_no
 FROM customer"""
     sql["manifest_dedup"] = _with(MAN) + """
 SELECT DISTINCT "database", "name", target_schema, target_table, is_pii, t_no FROM (

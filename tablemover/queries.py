@@ -167,6 +167,20 @@ def q_manifest_number(spark, sf):
     return build_manifest(rows, ["c_custkey"])
 
 
+def q_manifest_from_csv(spark, sf):
+    """The people-written manifest CSV (one line per customer table, written in descending key
+    order) read back with ``t_no`` = line order."""
+    from .sources.manifest import manifest_from_csv
+    k = F.col("c_custkey")
+    rows = _t(spark, sf, "customer").select(
+        F.concat(F.lit("cust_"), k.cast("string")).alias("name"), _db_expr(False).alias("database"),
+        F.concat(F.lit("uc_"), F.lower("c_mktsegment")).alias("target_schema"),
+        F.when(k % 2 == 0, "True").otherwise("False").alias("is_pii"), k)
+    path = new_work_dir(spark, "mancsv") + "/data"
+    rows.orderBy(F.desc("c_custkey")).drop("c_custkey").write.option("header", True).csv(path)
+    return manifest_from_csv(spark, path)
+
+
 def q_manifest_dedup(spark, sf):
     m = man_df(spark, sf)
     again = m.join(_t(spark, sf, "customer").where(F.col("c_nationkey") == 1).select(

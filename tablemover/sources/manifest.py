@@ -121,5 +121,17 @@ def read_manifest_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(MANIFEST_CSV).csv(path)
 
 
+def manifest_from_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Manifest from the people-written CSV with ``t_no`` = row order in the file(s).
+
+    Row order is taken from the scan itself: the file path, then ``monotonically_increasing_id``,
+    which inside one scan stage grows with split index and row position -- the same on every
+    recomputation of the same files -- and is numbered 1..n by ``with_sequence``.
+    """
+    raw = read_manifest_csv(spark, path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    return build_manifest(raw, ["_file", "_row"])
+
+
 def write_manifest(df: DataFrame, path: str, fmt: str = "json", mode: str = "errorifexists") -> None:
     df.select(*MANIFEST.fieldNames()).write.mode(mode).format(fmt).option("header", True).save(path)

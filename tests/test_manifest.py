@@ -84,3 +84,14 @@ def test_write_and_read_manifest_roundtrip(spark):
     write_manifest(df, path, "json")
     back, _ = load_manifest(spark, path, "json")
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_manifest_from_csv_numbers_in_file_order(spark, tmp_path):
+    from tablemover.sources.manifest import manifest_from_csv
+    lines = ["name,database,target_schema,is_pii"] + [f"t{i:04d},db{i % 3},s,{'yes' if i % 2 else 'no'}"
+                                                      for i in range(2000, 0, -1)]
+    (tmp_path / "m.csv").write_text("\n".join(lines))
+    m = manifest_from_csv(spark, str(tmp_path / "m.csv")).orderBy("t_no").collect()
+    assert [r["name"] for r in m] == [f"t{i:04d}" for i in range(2000, 0, -1)]
+    assert [r["t_no"] for r in m] == list(range(1, 2001))
+    assert m[0]["is_pii"] is False and m[1]["is_pii"] is True and m[0]["target_table"] == "t2000"
