@@ -301,3 +301,14 @@ def test_migrate_moves_views_over_views(spark):
     assert spark.table(f"{tgt}.v2").collect()[0]["total"] == orders(spark).count()
     spark.sql(f"DROP VIEW {src}.v1")  # the migrated views must not depend on the source ones
     assert spark.table(f"{tgt}.v2").collect()[0]["total"] == orders(spark).count()
+
+
+def test_migrate_finds_existing_targets_without_being_told_where(spark):
+    from tablemover.plans.migrate import migrate
+    src, tgt = new_database(spark, "es"), new_database(spark, "et")
+    o = orders(spark).limit(10)
+    o.write.option("path", new_work_dir(spark, "x") + "/d").saveAsTable(f"{src}.a")
+    o.write.option("path", new_work_dir(spark, "y") + "/d").saveAsTable(f"{tgt}.a")
+    man = spark.createDataFrame([(src, "a", tgt, "a", False, 1)], MAN)
+    res = migrate(spark, "external-tables", [src], "spark_catalog", manifest=man, dry_run=True)
+    assert [r["status_code"] for r in res.plan.collect()] == ["TARGET_EXISTS"]
