@@ -161,15 +161,17 @@ def _in_buckets(df: DataFrame, bad: DataFrame, buckets: int) -> DataFrame:
     return df.join(F.broadcast(bad), b == F.col("_b"), "left_semi")
 
 
-def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact",
-                   buckets: int = 65536) -> tuple[DataFrame, DataFrame]:
+def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact", buckets: int = 65536,
+                   dense_fraction: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """Bag difference of whole rows both ways: (rows only in source, rows only in target).
 
-    ``method="exact"``: ``exceptAll`` over both tables. ``method="narrow"``: the same ``exceptAll``
-    restricted to hash buckets whose signatures differ (checkpointed, so the signature pass runs
-    once). A row that differs always changes its bucket's count or hash sums unless another change
-    in the same bucket cancels both 64-bit and 32-bit sums at once; use ``exact`` when that residual
-    risk is not acceptable.
+    ``method="exact"``: ``exceptAll`` over both tables. ``method="narrow"``: per-bucket signatures
+    first (checkpointed, so that pass runs once); no mismatched bucket -> two empty frames without
+    reading the tables again; more than ``dense_fraction`` of the buckets mismatched -> the exact
+    path (narrowing would only add a pass); otherwise ``exceptAll`` over the rows of the mismatched
+    buckets only. A differing row always changes its bucket's count or hash sums unless another
+    change in the same bucket cancels both its 64-bit and 32-bit sums at once; use ``exact`` when
+    that residual risk is not acceptable.
     """
     dst = align_columns(src, dst)
     if method == "exact":
@@ -177,6 +179,12 @@ def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact",
     if method != "narrow":
         raise ValueError(f"unknown method {method!r}")
     bad = mismatched_buckets(src, dst, buckets).checkpoint(eager=True)
+    n_bad = bad.count()
+    if n_bad == 0:
+        empty = src.sparkSession.createDataFrame([], src.schema)
+        return empty, empty
+    if n_bad > dense_fraction * buckets:
+        return src.exceptAll(dst), dst.exceptAll(src)
     s, t = _in_buckets(src, bad, buckets), _in_buckets(dst, bad, buckets)
     return s.exceptAll(t), t.exceptAll(s)
 

@@ -171,3 +171,14 @@ def test_validation_lists_and_summary(spark, invs):
     # the null-database row drops out of every NOT IN filter, as in SQL
     assert summary == {"external_tables": 3, "not_upgraded": 2, "target_tables": 2, "tables_only_in_source": 2,
                        "tables_only_in_target": 1, "views_only_in_source": 0, "views_only_in_target": 0}
+
+
+def test_narrow_paths_empty_sparse_dense(spark):
+    a = spark.range(3000).select(F.col("id"), (F.col("id") % 7).alias("v"))
+    b = a.withColumn("v", F.when(F.col("id") == 5, 99).otherwise(F.col("v")))
+    c = a.withColumn("v", F.col("v") + 1)
+    for other, expect in ((a, 0), (b, 1), (c, 3000)):
+        s, t = reconcile_rows(a, other, "narrow", buckets=64)
+        e1, e2 = reconcile_rows(a, other, "exact")
+        assert s.count() == expect == t.count()
+        assert rows(s) == rows(e1) and rows(t) == rows(e2)
