@@ -53,7 +53,8 @@ def estimate_manifest(spark, manifest: DataFrame, rate: float, mode: str = "mb_p
     from ..sources.catalog import inventory
     from ..sources.stats import table_stats
 
-    man = manifest.select("database", "name", "target_schema").dropDuplicates(["database", "name"])
+    from .select import one_per_key
+    man = one_per_key(manifest.select("database", "name", "target_schema"), ["database", "name"])
     if inventory_df is None:
         dbs = sorted({r["database"] for r in man.select("database").distinct().collect() if r["database"]})
         dbs = [d for d in dbs if spark.catalog.databaseExists(d)]

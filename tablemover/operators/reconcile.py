@@ -63,10 +63,13 @@ def _source_side(src_inv: DataFrame, object_type: str, exclude: list[str] | None
     s = s.select(F.col("database").alias("table_schema"), F.col("name").alias("table_name"))
     if mapping is not None:
         # Migration may rename schema and table: compare the names the objects should have now.
-        m = mapping.select(F.col("database").alias("table_schema"), F.col("name").alias("table_name"),
-                           F.col("target_schema").alias("_ts"),
-                           F.coalesce("target_table", "name").alias("_tt")).dropDuplicates(
-            ["table_schema", "table_name"])
+        # One target per source name; a name mapped twice takes the smallest target, never an
+        # arbitrary one.
+        m = (mapping.select(F.col("database").alias("table_schema"), F.col("name").alias("table_name"),
+                            F.struct(F.col("target_schema").alias("ts"),
+                                     F.coalesce("target_table", "name").alias("tt")).alias("_t"))
+             .groupBy("table_schema", "table_name").agg(F.min("_t").alias("_t"))
+             .select("table_schema", "table_name", F.col("_t.ts").alias("_ts"), F.col("_t.tt").alias("_tt")))
         s = (s.join(m, ["table_schema", "table_name"], "left")
              .select(F.coalesce("_ts", "table_schema").alias("table_schema"),
                      F.coalesce("_tt", "table_name").alias("table_name")))

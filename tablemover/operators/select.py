@@ -14,6 +14,17 @@ from pyspark.sql import DataFrame, functions as F
 KEYS = ["database", "name"]
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the smallest of the other columns (as a struct), so the pick is the same
+    on every run -- unlike ``dropDuplicates(keys)``, which keeps whichever row comes first. Meant
+    for metadata frames (manifests, inventories)."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
+    return (df.groupBy(*keys).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_r"))
+            .select(*keys, *[F.col("_r").getField(c).alias(c) for c in rest]))
+
+
 def parse_name_list(text: str | list[str] | None) -> list[str]:
     """``"a, b ,c"`` -> ``["a", "b", "c"]``; blanks removed; empty text means no list."""
     if text is None:

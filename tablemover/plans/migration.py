@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import quoted_full_name
 from .. import schemas
-from ..operators.select import parse_name_list
+from ..operators.select import one_per_key, parse_name_list
 
 # Status codes and their descriptions.
 DESCRIPTIONS = {
@@ -35,12 +35,12 @@ def plan_migration(inv: DataFrame, target_inv: DataFrame, catalog: str,
                    exclude_schemas: list[str] | str | None = None,
                    source_catalog: str = "hive_metastore") -> DataFrame:
     """Status rows (``schemas.STATUS``) for every object of ``inv`` (or of ``manifest``)."""
-    inv_k = (inv.select("database", "name", "object_type").where(F.col("name").isNotNull())
-             .dropDuplicates(["database", "name"]))
+    inv_k = one_per_key(inv.select("database", "name", "object_type").where(F.col("name").isNotNull()),
+                        ["database", "name"])
     if manifest is not None:
-        man = (manifest.select("database", "name", "target_schema",
-                               F.coalesce("target_table", "name").alias("target_table"))
-               .where(F.col("name").isNotNull()).dropDuplicates(["database", "name"]))
+        man = one_per_key(manifest.select("database", "name", "target_schema",
+                                          F.coalesce("target_table", "name").alias("target_table"))
+                          .where(F.col("name").isNotNull()), ["database", "name"])
         base = man.join(inv_k, ["database", "name"], "left")
     else:
         base = inv_k.select("database", "name", F.col("database").alias("target_schema"),

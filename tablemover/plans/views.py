@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators.rewrite import rewrite_references
+from ..operators.select import one_per_key
 from .convert import _target_name
 
 
@@ -23,8 +24,8 @@ def view_plan(inv: DataFrame, target_catalog: str | None = None, view_manifest:
     if view_manifest is None:
         return views.select("source_schema", "source_view", F.col("source_schema").alias("target_schema"),
                             F.col("source_view").alias("target_view"), "view_text")
-    vm = view_manifest.select("source_schema", "source_view", "target_schema", "target_view").dropDuplicates(
-        ["source_schema", "source_view"])
+    vm = one_per_key(view_manifest.select("source_schema", "source_view", "target_schema", "target_view"),
+                     ["source_schema", "source_view"])
     return vm.join(views, ["source_schema", "source_view"], "left")
 
 

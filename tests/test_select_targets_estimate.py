@@ -91,3 +91,11 @@ def test_estimate_manifest_sizes_managed_and_lists_the_rest(spark, db):
     assert [r["table_name"] for r in rows] == ["m"] and rows[0]["size_mb"] > 0
     assert tot.collect()[0]["seconds"] == pytest.approx(rows[0]["size_mb"] / 2.0)
     assert {r["name"]: r["reason"] for r in skipped.collect()} == {"e": "NOT_MANAGED_EXTERNAL", "gone": "SOURCE_MISSING"}
+
+
+def test_one_per_key_is_deterministic(spark):
+    from tablemover.operators.select import one_per_key
+    df = spark.createDataFrame([("d", "t", "z", 2), ("d", "t", "a", 9), ("d", "u", None, 1)],
+                               "database string, name string, ts string, n int")
+    out = {(r["database"], r["name"]): (r["ts"], r["n"]) for r in one_per_key(df.repartition(3), ["database", "name"]).collect()}
+    assert out == {("d", "t"): ("a", 9), ("d", "u"): (None, 1)}
