@@ -39,7 +39,8 @@ from ..functions.tokens import IDENT_TOKEN, NAME_PART, SQL_TOKEN
 def rewrite_catalog(text, catalog_from: str = "hive_metastore", catalog_to: str = "main") -> Column:
     """Literal rule: ``(`)?catalog_from(`)?`` -> ```catalog_to``` everywhere in the text."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.regexp_replace(t, "`?" + re.escape(catalog_from) + "`?", "`" + catalog_to.replace("\\", "\\\\") + "`")
+    replacement = catalog_to.replace("\\", "\\\\").replace("$", "\\$")  # literal in a Java replacement
+    return F.regexp_replace(t, "`?" + re.escape(catalog_from) + "`?", "`" + replacement + "`")
 
 
 def _unquote(p: Column) -> Column:
