@@ -312,3 +312,23 @@ def test_migrate_finds_existing_targets_without_being_told_where(spark):
     man = spark.createDataFrame([(src, "a", tgt, "a", False, 1)], MAN)
     res = migrate(spark, "external-tables", [src], "spark_catalog", manifest=man, dry_run=True)
     assert [r["status_code"] for r in res.plan.collect()] == ["TARGET_EXISTS"]
+
+
+def test_schema_listing_is_ordered_and_excludes(spark):
+    from tablemover.sources.catalog import list_databases
+    assert list_databases(spark, "zeta, alpha ,beta,alpha", "beta") == ["alpha", "zeta"]
+    every = list_databases(spark, "all", "")
+    assert every == sorted(every) and "default" in every
+
+
+def test_view_plan_keeps_source_and_target_in_one_row(spark):
+    inv = spark.createDataFrame([("s", "v1", "VIEW", "select 1"), ("s", "v2", "VIEW", "select 2"),
+                                 ("s", "t", "EXTERNAL", None)],
+                                "database string, name string, object_type string, view_text string")
+    vm = spark.createDataFrame([("s", "v2", "n", "w2"), ("s", "v2", "n", "w2"), ("s", "gone", "n", "g")],
+                               "source_schema string, source_view string, target_schema string, target_view string")
+    rows = {r["source_view"]: (r["target_schema"], r["target_view"], r["view_text"])
+            for r in view_plan(inv, view_manifest=vm).collect()}
+    assert rows == {"v2": ("n", "w2", "select 2"), "gone": ("n", "g", None)}
+    plain = {r["source_view"]: (r["target_schema"], r["target_view"]) for r in view_plan(inv).collect()}
+    assert plain == {"v1": ("s", "v1"), "v2": ("s", "v2")}
