@@ -11,6 +11,7 @@ copy even if tasks are retried.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 from ..session import work_root
 
@@ -19,7 +20,9 @@ def with_sequence(df: DataFrame, order_cols: list[str], name: str = "t_no", star
                   partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     work_root(spark)  # make sure a checkpoint folder is registered
-    tie = [c for c in df.columns if c not in order_cols]
+    # Ties are broken by the other columns so the numbering is the same on every run; map columns
+    # cannot be ordered and are left out of the tie-break.
+    tie = [f.name for f in df.schema.fields if f.name not in order_cols and not isinstance(f.dataType, MapType)]
     order = [F.col(f"`{c}`").asc_nulls_first() for c in order_cols + tie]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())

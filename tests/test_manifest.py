@@ -95,3 +95,9 @@ def test_manifest_from_csv_numbers_in_file_order(spark, tmp_path):
     assert [r["name"] for r in m] == [f"t{i:04d}" for i in range(2000, 0, -1)]
     assert [r["t_no"] for r in m] == list(range(1, 2001))
     assert m[0]["is_pii"] is False and m[1]["is_pii"] is True and m[0]["target_table"] == "t2000"
+
+
+def test_sequence_with_map_column_and_ties(spark):
+    df = spark.createDataFrame([(1, "b", {"k": 1}), (1, "a", {"k": 2}), (0, "z", None)], "k int, s string, m map<string,int>")
+    out = [(r["k"], r["s"], r["n"]) for r in with_sequence(df, ["k"], "n").orderBy("n").collect()]
+    assert out == [(0, "z", 1), (1, "a", 2), (1, "b", 3)]
