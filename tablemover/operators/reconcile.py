@@ -140,6 +140,34 @@ def table_checksums(tables: dict[str, DataFrame], portable: bool = False, chunk:
     return reduce(DataFrame.unionAll, chunks)
 
 
+def reconcile_partitions(src: DataFrame, dst: DataFrame, partition_cols: list[str],
+                         portable: bool = False) -> DataFrame:
+    """Per partition value: ``missing`` (only in source), ``extra`` (only in target) or ``changed``
+    (row count or checksum differ), with both row counts; equal partitions are left out.
+
+    One scan per side grouped by the partition columns (partial aggregates, one small row per
+    partition and task are shuffled). On a large partitioned table this says *which* partitions
+    to copy again instead of only that the table differs. Null partition values are compared as
+    values.
+    """
+    dst = align_columns(src, dst)
+
+    def side(df: DataFrame, p: str) -> DataFrame:
+        return (df.groupBy(*partition_cols).agg(*checksum_aggs(df, portable=portable))
+                .select(*partition_cols, F.col("row_count").alias(f"{p}_rows"), F.col("checksum").alias(f"{p}_sum")))
+
+    s, t = side(src, "s").alias("s"), side(dst, "t").alias("t")
+    cond = reduce(lambda a, b: a & b, [F.col(f"s.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in partition_cols])
+    status = (F.when(F.col("t_rows").isNull(), F.lit("missing")).when(F.col("s_rows").isNull(), F.lit("extra"))
+              .when((F.col("s_rows") != F.col("t_rows")) | (F.col("s_sum") != F.col("t_sum")), F.lit("changed")))
+    keys = [F.when(F.col("s_rows").isNotNull(), F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
+            for c in partition_cols]
+    return (s.join(t, cond, "full_outer")
+            .select(*keys, status.alias("status"), F.coalesce("s_rows", F.lit(0)).alias("source_rows"),
+                    F.coalesce("t_rows", F.lit(0)).alias("target_rows"))
+            .where(F.col("status").isNotNull()))
+
+
 def _bucket_signature(df: DataFrame, buckets: int) -> DataFrame:
     h = row_hash(df)
     h2 = row_hash32(df)

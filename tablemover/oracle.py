@@ -236,6 +236,24 @@ SELECT 'lineitem', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM lineit
 SELECT *, 'source' AS side FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM li2)
 UNION ALL
 SELECT *, 'target' AS side FROM (SELECT * FROM li2 EXCEPT ALL SELECT * FROM lineitem)"""
+    li_cols = [c for c, _ in TABLE_COLUMNS["lineitem"]]
+    li3 = ",\n".join(c if c != "l_quantity" else
+                     "CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity"
+                     for c in li_cols)
+    li3x = ", ".join(c if c != "l_linestatus" else "'X' AS l_linestatus" for c in li_cols)
+    canon = "concat_ws(',', " + ", ".join(_canon(f'"{c}"', t) for c, t in TABLE_COLUMNS["lineitem"]) + ")"
+    digest = f"CAST(CAST(('0x' || substr(md5({canon}), 1, 16)) AS UBIGINT) AS HUGEINT)"
+    sql["partition_diff"] = f"""
+WITH v2 AS (
+  SELECT {li3} FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'O')
+  UNION ALL SELECT {li3x} FROM lineitem WHERE l_orderkey % 50 = 0),
+s AS (SELECT l_returnflag, l_linestatus, count(*) AS n, coalesce(sum({digest}), 0) AS h FROM lineitem GROUP BY ALL),
+t AS (SELECT l_returnflag, l_linestatus, count(*) AS n, coalesce(sum({digest}), 0) AS h FROM v2 GROUP BY ALL)
+SELECT coalesce(s.l_returnflag, t.l_returnflag) AS l_returnflag, coalesce(s.l_linestatus, t.l_linestatus) AS l_linestatus,
+       CASE WHEN t.n IS NULL THEN 'missing' WHEN s.n IS NULL THEN 'extra' ELSE 'changed' END AS status,
+       coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows
+FROM s FULL JOIN t ON s.l_returnflag IS NOT DISTINCT FROM t.l_returnflag AND s.l_linestatus IS NOT DISTINCT FROM t.l_linestatus
+WHERE t.n IS NULL OR s.n IS NULL OR s.n <> t.n OR s.h <> t.h"""
     vcols = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     differs = " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in vcols)
     sql["keyed_diff"] = _with(ORDERS_V2) + f"""

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..functions.timefmt import mm_ss
 from ..operators import copy as copy_ops
-from ..operators.reconcile import reconcile_rows, table_checksums
+from ..operators.reconcile import reconcile_partitions, reconcile_rows, table_checksums
 from ..sources.catalog import object_type, partition_columns
 from ..sources.stats import table_stats
 
@@ -48,7 +48,15 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
     if verify == "checksum":
         cs = {r["table_name"]: r["checksum"] for r in table_checksums({"s": src, "t": dst}).collect()}
         if cs["s"] != cs["t"]:
-            res.update(ok=False, reason="checksums differ")
+            reason = "checksums differ"
+            parts = partition_columns(spark, source)
+            if parts:
+                # Name the partitions to copy again: their count, and a few of them for the message.
+                diff = reconcile_partitions(src, dst, parts)
+                n = diff.count()
+                first = ", ".join("/".join(f"{c}={r[c]}" for c in parts) for r in diff.limit(5).collect())
+                reason += f" in {n} partition(s): {first}" + (", ..." if n > 5 else "")
+            res.update(ok=False, reason=reason)
     elif verify == "rows":
         only_s, only_t = reconcile_rows(src, dst, method="narrow")
         n_s, n_t = only_s.count(), only_t.count()

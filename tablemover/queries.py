@@ -343,6 +343,19 @@ def q_lineitem_rows_diff(spark, sf):
     return s.withColumn("side", F.lit("source")).unionByName(t.withColumn("side", F.lit("target")))
 
 
+def q_partition_diff(spark, sf):
+    """Which (l_returnflag, l_linestatus) partitions of lineitem differ from a copy in which one
+    partition lost its rows, one gained a partition that is new, and returned items changed."""
+    li = _t(spark, sf, "lineitem")
+    gone = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
+    v2 = (li.where(~gone)
+          .withColumn("l_quantity", F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 1)
+                      .otherwise(F.col("l_quantity")))
+          .unionByName(li.where(F.col("l_orderkey") % 50 == 0).withColumn("l_linestatus", F.lit("X"))))
+    from .operators.reconcile import reconcile_partitions
+    return reconcile_partitions(li, v2, ["l_returnflag", "l_linestatus"], portable=True)
+
+
 def q_keyed_diff(spark, sf):
     return keyed_diff(_t(spark, sf, "orders"), orders_v2_df(spark, sf, doubled=False), ["o_orderkey"])
 

@@ -332,3 +332,16 @@ def test_view_plan_keeps_source_and_target_in_one_row(spark):
     assert rows == {"v2": ("n", "w2", "select 2"), "gone": ("n", "g", None)}
     plain = {r["source_view"]: (r["target_schema"], r["target_view"]) for r in view_plan(inv).collect()}
     assert plain == {"v1": ("s", "v1"), "v2": ("s", "v2")}
+
+
+def test_verify_names_the_partitions_that_differ(spark, db):
+    o = orders(spark)
+    o.write.partitionBy("o_orderstatus").saveAsTable(f"{db}.p")
+    loc = new_work_dir(spark, "pv") + "/d"
+    copy_ops.copy_table(spark, f"{db}.p", f"{db}.p_ext", loc)
+    spark.sql(f"INSERT INTO {db}.p_ext SELECT o_orderkey + 1000000, o_custkey, o_totalprice, o_orderdate, "
+              f"o_orderpriority, 'F' FROM {db}.p WHERE o_orderstatus = 'F' LIMIT 1")
+    spark.sql(f"INSERT INTO {db}.p SELECT o_orderkey + 1000000, o_custkey, o_totalprice + 1, o_orderdate, "
+              f"o_orderpriority, 'F' FROM {db}.p_ext WHERE o_orderkey >= 1000000")
+    v = conv.verify_copy(spark, f"{db}.p", f"{db}.p_ext", "checksum")
+    assert not v["ok"] and v["reason"] == "checksums differ in 1 partition(s): o_orderstatus=F"
