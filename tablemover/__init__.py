@@ -8,7 +8,8 @@ report. Every step is a DataFrame plan or a Spark job; the driver only issues ca
 from .operators.copy import copy_table, split_by_flag, write_csv
 from .operators.estimate import estimate_manifest, estimate_transfer
 from .operators.reconcile import (count_rows, keyed_diff, not_upgraded, reconcile_counts,
-                                  reconcile_inventory, reconcile_rows, table_checksum, table_checksums)
+                                  reconcile_inventory, reconcile_partitions, reconcile_rows, table_checksum,
+                                  table_checksums)
 from .operators.rewrite import mapping_from_manifest, rewrite_catalog, rewrite_references
 from .operators.select import exclude_schemas, exclude_tables, include_tables, select_tables
 from .operators.sequence import with_sequence
