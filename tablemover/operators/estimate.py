@@ -14,6 +14,9 @@ from ..functions.timefmt import mm_ss
 
 MODES = ("seconds_per_mb", "mb_per_second")
 
+# Fixed value: bytes per MB as the migration reports count them (decimal megabytes).
+BYTES_PER_MB = 1e6
+
 
 def _seconds(mb: Column, rate: float, mode: str) -> Column:
     if mode == "seconds_per_mb":
@@ -32,11 +35,11 @@ def estimate_transfer(sizes: DataFrame, rate: float, mode: str = "mb_per_second"
     rate = float(rate)
     if rate <= 0:
         raise ValueError("rate must be positive")
-    mb = F.col(bytes_col).cast("double") / F.lit(1e6)
+    mb = F.col(bytes_col).cast("double") / F.lit(BYTES_PER_MB)
     sec = _seconds(mb, rate, mode)
     per_table = sizes.select(F.col(schema_col).alias("target_schema"), F.col(table_col).alias("table_name"),
                              mb.alias("size_mb"), mm_ss(sec).alias("elapsed"), sec.alias("seconds"))
-    total_sec = _seconds(F.sum(F.col(bytes_col).cast("long")).cast("double") / F.lit(1e6), rate, mode)
+    total_sec = _seconds(F.sum(F.col(bytes_col).cast("long")).cast("double") / F.lit(BYTES_PER_MB), rate, mode)
     totals = sizes.agg(F.coalesce(total_sec, F.lit(0.0)).alias("seconds")).select(
         "seconds", (F.col("seconds") / 60).alias("minutes"), (F.col("seconds") / 3600).alias("hours"))
     return per_table, totals

@@ -36,11 +36,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.tokens import IDENT_TOKEN, NAME_PART, SQL_TOKEN
 
 
+# Fixed values of the literal catalog rule: an optional back-tick, the catalog name, an optional
+# back-tick; replaced by the destination catalog in back-ticks.
+CATALOG_PATTERN = "`?{name}`?"
+CATALOG_REPLACEMENT = "`{name}`"
+
+
 def rewrite_catalog(text, catalog_from: str = "hive_metastore", catalog_to: str = "main") -> Column:
     """Literal rule: ``(`)?catalog_from(`)?`` -> ```catalog_to``` everywhere in the text."""
     t = F.col(text) if isinstance(text, str) else text
     replacement = catalog_to.replace("\\", "\\\\").replace("$", "\\$")  # literal in a Java replacement
-    return F.regexp_replace(t, "`?" + re.escape(catalog_from) + "`?", "`" + replacement + "`")
+    return F.regexp_replace(t, CATALOG_PATTERN.format(name=re.escape(catalog_from)),
+                            CATALOG_REPLACEMENT.format(name=replacement))
 
 
 def _unquote(p: Column) -> Column:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions.timefmt import mm_ss
+from ..operators.estimate import BYTES_PER_MB
 from ..operators import copy as copy_ops
 from ..operators.reconcile import reconcile_partitions, reconcile_rows, table_checksums
 from ..sources.catalog import object_type, partition_columns
@@ -123,7 +124,7 @@ def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify:
         v = verify_copy(spark, managed_side, copy_side, verify)
     except Exception as e:  # noqa: BLE001
         return _outcome(row, "VERIFY_FAILED", str(e))
-    counts = dict(source_rows=v["source_rows"], target_rows=v["target_rows"], size_mb=(v["bytes"] or 0) / 1e6)
+    counts = dict(source_rows=v["source_rows"], target_rows=v["target_rows"], size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
     if not v["ok"]:
         left = f"; copy left at {db}.{t}_ext" if stage != "swapped" else ""
         return _outcome(row, "VERIFY_FAILED", v["reason"] + left, **counts)
@@ -232,7 +233,7 @@ def register_one(spark: SparkSession, row: dict, inv_row: dict, dry_run: bool, v
         return _outcome(base, "VERIFY_FAILED", v["reason"], source_rows=v["source_rows"],
                         target_rows=v["target_rows"])
     return _outcome(base, "REGISTERED", None, source_rows=v["source_rows"], target_rows=v["target_rows"],
-                    size_mb=(v["bytes"] or 0) / 1e6)
+                    size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
 
 
 def register_external(spark: SparkSession, plan: DataFrame, inv: DataFrame, dry_run: bool = True,

@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.estimate import BYTES_PER_MB
+
 
 def _one(df: DataFrame, label: str, with_bytes: bool) -> DataFrame:
     if not with_bytes:
@@ -48,7 +50,7 @@ def table_stats(tables: dict[str, DataFrame], chunk: int = 32, no_files: set[str
 
     def stats(group: list[str]) -> DataFrame:
         out = reduce(DataFrame.unionAll, [part(n) for n in group])
-        return out.withColumn("size_mb", F.col("bytes").cast("double") / F.lit(1e6))
+        return out.withColumn("size_mb", F.col("bytes").cast("double") / F.lit(BYTES_PER_MB))
 
     groups = [names[i:i + chunk] for i in range(0, len(names), chunk)]
     if errors != "isolate":
