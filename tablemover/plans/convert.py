@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -84,14 +85,19 @@ def _skip(row: dict, db: str, t: str, kind: str | None, has_ext: bool, old_kind:
     return _outcome(row, "SKIPPED_OLD_EXISTS", f"{db}.{t}_old already exists")
 
 
-def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify: str = "count",
-                fmt: str | None = None, resume: bool = True) -> dict:
-    """Convert one table; returns its outcome row.
+@dataclass
+class _Staged:
+    """A table whose copy exists (made now or found from an earlier run), waiting for verify."""
+    row: dict
+    stage: str            # copied | renamed_old | swapped
+    note: str | None
+    managed_side: str     # the managed data, under its current name
+    copy_side: str        # the external copy, under its current name
+    copy_seconds: float
 
-    With ``resume`` a run picks up where a lost driver left off: a committed ``t_ext`` is verified
-    and swapped in, a swap interrupted between its two renames is finished, and a finished swap is
-    verified again before ``t_old`` may be dropped. Without it those states are skipped.
-    """
+
+def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dict | _Staged:
+    """Checks and copy of one table: an outcome row when it stops here, else the staged copy."""
     db, t, loc = row["database"], row["name"], row["location"]
     src, ext, old = _q(db, t), _q(db, t + "_ext"), _q(db, t + "_old")
     try:
@@ -118,13 +124,20 @@ def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify:
         stage, note = "swapped", "resumed: swap was already done"
     else:
         return _skip(row, db, t, kind, has_ext, old_kind)
-    managed_side = src if stage == "copied" else old
-    copy_side = src if stage == "swapped" else ext
-    try:
-        v = verify_copy(spark, managed_side, copy_side, verify)
-    except Exception as e:  # noqa: BLE001
-        return _outcome(row, "VERIFY_FAILED", str(e))
-    counts = dict(source_rows=v["source_rows"], target_rows=v["target_rows"], size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
+    return _Staged(row, stage, note, src if stage == "copied" else old, src if stage == "swapped" else ext,
+                   time.monotonic() - start)
+
+
+def _finish(spark: SparkSession, st: _Staged, v: dict | Exception, drop_old: bool) -> dict:
+    """Verdict -> swap (undone if its second rename fails) -> optional drop of ``t_old``."""
+    row, stage = st.row, st.stage
+    db, t = row["database"], row["name"]
+    src, ext, old = _q(db, t), _q(db, t + "_ext"), _q(db, t + "_old")
+    if isinstance(v, Exception):
+        return _outcome(row, "VERIFY_FAILED", str(v))
+    start = time.monotonic()
+    counts = dict(source_rows=v["source_rows"], target_rows=v["target_rows"],
+                  size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
     if not v["ok"]:
         left = f"; copy left at {db}.{t}_ext" if stage != "swapped" else ""
         return _outcome(row, "VERIFY_FAILED", v["reason"] + left, **counts)
@@ -151,11 +164,81 @@ def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify:
             outcome = "CONVERTED_DROPPED"
         except Exception as e:  # noqa: BLE001
             return _outcome(row, "CONVERTED", f"drop of {t}_old failed: {e}", **counts)
-    secs = time.monotonic() - start
-    return _outcome(row, outcome, note, seconds=secs,
+    secs = st.copy_seconds + (time.monotonic() - start)
+    return _outcome(row, outcome, st.note, seconds=secs,
                     mb_per_s=(counts["size_mb"] / secs if secs > 0 else 0.0), **counts)
 
 
+def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify: str = "count",
+                fmt: str | None = None, resume: bool = True) -> dict:
+    """Convert one table; returns its outcome row.
+
+    With ``resume`` a run picks up where a lost driver left off: a committed ``t_ext`` is verified
+    and swapped in, a swap interrupted between its two renames is finished, and a finished swap is
+    verified again before ``t_old`` may be dropped. Without it those states are skipped.
+    """
+    st = _stage(spark, row, fmt, resume)
+    if isinstance(st, dict):
+        return st
+    try:
+        v = verify_copy(spark, st.managed_side, st.copy_side, verify)
+    except Exception as e:  # noqa: BLE001
+        v = e
+    return _finish(spark, st, v, drop_old)
+
+
+def verify_many(spark: SparkSession, pairs: list[tuple[str, str]], verify: str = "count",
+                chunk: int = 16) -> list[dict | Exception]:
+    """``verify_copy`` for many (source, copy) pairs in few jobs.
+
+    Counts and sizes of all tables come from file metadata in chunked union jobs (an unreadable
+    table yields an error for its pair only); checksums of the pairs whose counts agree run as
+    chunked unions too. Only failing pairs, and ``verify="rows"``, go one by one.
+    """
+    res: list[dict | Exception | None] = [None] * len(pairs)
+    frames: dict[str, DataFrame] = {}
+    for i, (m, c) in enumerate(pairs):
+        try:
+            frames[f"s{i}"], frames[f"t{i}"] = spark.table(m), spark.table(c)
+        except Exception as e:  # noqa: BLE001
+            res[i] = e
+    stats = {r["table_name"]: r for r in table_stats(frames, chunk=2 * chunk, errors="isolate").collect()} if frames else {}
+    for i in range(len(pairs)):
+        if res[i] is not None:
+            continue
+        s, t = stats[f"s{i}"], stats[f"t{i}"]
+        if s["error"] or t["error"]:
+            res[i] = RuntimeError(s["error"] or t["error"])
+            continue
+        ok = s["row_count"] == t["row_count"]
+        res[i] = {"source_rows": s["row_count"], "target_rows": t["row_count"], "bytes": s["bytes"], "ok": ok,
+                  "reason": None if ok else f"row counts differ: {s['row_count']} vs {t['row_count']}"}
+    todo = [i for i, r in enumerate(res) if isinstance(r, dict) and r["ok"]]
+    if verify == "checksum" and todo:
+        sums: dict[str, str] = {}
+        try:
+            cs = {}
+            for i in todo:
+                src = frames[f"s{i}"]
+                cs[f"s{i}"], cs[f"t{i}"] = src, frames[f"t{i}"].select(*[F.col(f"`{c}`") for c in src.columns])
+            sums = {r["table_name"]: r["checksum"] for r in table_checksums(cs, chunk=2 * chunk).collect()}
+        except Exception:  # noqa: BLE001 - a broken pair fails alone below
+            sums = {}
+        for i in todo:
+            if not sums or sums.get(f"s{i}") != sums.get(f"t{i}"):
+                try:
+                    res[i] = verify_copy(spark, pairs[i][0], pairs[i][1], "checksum")
+                except Exception as e:  # noqa: BLE001
+                    res[i] = e
+    elif verify == "rows":
+        for i in todo:
+            try:
+                res[i] = verify_copy(spark, pairs[i][0], pairs[i][1], "rows")
+            except Exception as e:  # noqa: BLE001
+                res[i] = e
+    return res  # type: ignore[return-value]
+
+
 def _run(spark: SparkSession, rows: list[dict], fn, parallelism: int) -> DataFrame:
     if parallelism <= 1:
         out = [fn(r) for r in rows]
@@ -185,11 +268,23 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
                         resume: bool = True, sizes: DataFrame | None = None) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
 
-    ``parallelism`` tables are converted at once from a driver thread pool; each table's copy and
-    verification are ordinary Spark jobs, which Spark runs side by side.
+    Three phases: checks and copies, ``parallelism`` tables at a time from a driver thread pool
+    (each copy is its own Spark job; Spark runs them side by side); verification of all copies in
+    a few batched jobs (``verify_many``), so thousands of small tables do not mean thousands of
+    count and checksum jobs; then the renames and drops, which are catalog calls.
     """
     rows = _plan_rows(targets, sizes)
-    return _run(spark, rows, lambda r: convert_one(spark, r, drop_old, verify, fmt, resume), parallelism)
+    stage = lambda r: _stage(spark, r, fmt, resume)
+    if parallelism <= 1:
+        staged = [stage(r) for r in rows]
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            staged = list(pool.map(stage, rows))
+    todo = [x for x in staged if isinstance(x, _Staged)]
+    verdicts = iter(verify_many(spark, [(x.managed_side, x.copy_side) for x in todo], verify))
+    out = [x if isinstance(x, dict) else _finish(spark, x, next(verdicts), drop_old) for x in staged]
+    df = spark.createDataFrame(out, schemas.CONVERSION)
+    return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))
 
 
 def _in_session_catalog(spark: SparkSession, catalog: str | None) -> bool:

@@ -345,3 +345,19 @@ def test_verify_names_the_partitions_that_differ(spark, db):
               f"o_orderpriority, 'F' FROM {db}.p_ext WHERE o_orderkey >= 1000000")
     v = conv.verify_copy(spark, f"{db}.p", f"{db}.p_ext", "checksum")
     assert not v["ok"] and v["reason"] == "checksums differ in 1 partition(s): o_orderstatus=F"
+
+
+def test_verify_many_batches_and_isolates(spark, db):
+    o = orders(spark)
+    o.write.saveAsTable(f"{db}.a")
+    o.write.saveAsTable(f"{db}.a2")
+    o.write.saveAsTable(f"{db}.b")
+    o.limit(10).write.saveAsTable(f"{db}.b2")
+    o.write.saveAsTable(f"{db}.c")
+    o.withColumn("o_totalprice", F.col("o_totalprice") + 1).write.saveAsTable(f"{db}.c2")
+    pairs = [(f"{db}.a", f"{db}.a2"), (f"{db}.b", f"{db}.b2"), (f"{db}.c", f"{db}.c2"), (f"{db}.a", f"{db}.nope")]
+    out = conv.verify_many(spark, pairs, "checksum")
+    assert out[0]["ok"] is True and out[0]["source_rows"] == o.count()
+    assert out[1]["ok"] is False and out[1]["reason"].startswith("row counts differ")
+    assert out[2]["ok"] is False and out[2]["reason"] == "checksums differ"
+    assert isinstance(out[3], Exception)
