@@ -265,24 +265,33 @@ def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]
 
 def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool = False,
                         verify: str = "count", fmt: str | None = None, parallelism: int = 1,
-                        resume: bool = True, sizes: DataFrame | None = None) -> DataFrame:
+                        resume: bool = True, sizes: DataFrame | None = None, batch: int = 16) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
 
-    Three phases: checks and copies, ``parallelism`` tables at a time from a driver thread pool
-    (each copy is its own Spark job; Spark runs them side by side); verification of all copies in
-    a few batched jobs (``verify_many``), so thousands of small tables do not mean thousands of
-    count and checksum jobs; then the renames and drops, which are catalog calls.
+    Tables are dealt round-robin into groups of at most ``batch`` (so the largest tables, first
+    when ``sizes`` is given, spread over the groups) and ``parallelism`` groups run at once from a
+    driver thread pool. A group copies its tables (each copy is its own Spark job), verifies all
+    of them in a few batched jobs (``verify_many``) and then swaps them (catalog calls). Groups
+    overlap, so one group's verification runs while another copies, and thousands of small tables
+    cost a few verification jobs per group instead of two or three jobs each.
     """
     rows = _plan_rows(targets, sizes)
-    stage = lambda r: _stage(spark, r, fmt, resume)
+    n_groups = max(parallelism, -(-len(rows) // max(batch, 1))) if rows else 0
+    groups = [list(range(j, len(rows), n_groups)) for j in range(n_groups)]
+
+    def run_group(idx: list[int]) -> list[tuple[int, dict]]:
+        staged = [_stage(spark, rows[i], fmt, resume) for i in idx]
+        todo = [x for x in staged if isinstance(x, _Staged)]
+        verdicts = iter(verify_many(spark, [(x.managed_side, x.copy_side) for x in todo], verify))
+        return [(i, x if isinstance(x, dict) else _finish(spark, x, next(verdicts), drop_old))
+                for i, x in zip(idx, staged)]
+
     if parallelism <= 1:
-        staged = [stage(r) for r in rows]
+        done = [r for g in groups for r in run_group(g)]
     else:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            staged = list(pool.map(stage, rows))
-    todo = [x for x in staged if isinstance(x, _Staged)]
-    verdicts = iter(verify_many(spark, [(x.managed_side, x.copy_side) for x in todo], verify))
-    out = [x if isinstance(x, dict) else _finish(spark, x, next(verdicts), drop_old) for x in staged]
+            done = [r for part in pool.map(run_group, groups) for r in part]
+    out = [o for _, o in sorted(done, key=lambda x: x[0])]
     df = spark.createDataFrame(out, schemas.CONVERSION)
     return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))
 
