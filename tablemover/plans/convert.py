@@ -239,16 +239,6 @@ def verify_many(spark: SparkSession, pairs: list[tuple[str, str]], verify: str =
     return res  # type: ignore[return-value]
 
 
-def _run(spark: SparkSession, rows: list[dict], fn, parallelism: int) -> DataFrame:
-    if parallelism <= 1:
-        out = [fn(r) for r in rows]
-    else:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            out = list(pool.map(fn, rows))
-    df = spark.createDataFrame(out, schemas.CONVERSION)
-    return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))
-
-
 def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]:
     """The plan is metadata: one row per table to convert, in ``t_no`` order -- or largest first
     when ``sizes`` (``database, name, bytes``) is given, so the longest copies start first and a
@@ -306,12 +296,10 @@ def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: st
     return _q(*parts) if _in_session_catalog(spark, catalog) else _q(catalog, *parts)
 
 
-def register_one(spark: SparkSession, row: dict, inv_row: dict, dry_run: bool, verify: str,
-                 owner: str | None) -> dict:
-    """Register ``source`` as external table ``target`` over the same files, then verify."""
-    src = _q(row["source_schema"], row["source_name"])
+def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None) -> tuple[dict, str | None, str]:
+    """Create the target table over the source's files: (base row, failure outcome or None, name)."""
     dst = _target_name(spark, row.get("target_catalog"), row["target_schema"], row["target_name"])
-    loc, provider = inv_row.get("location"), (inv_row.get("provider") or "parquet")
+    loc, provider = row.get("location"), (row.get("provider") or "parquet")
     props = {"migration.source": f"{row['source_schema']}.{row['source_name']}"}
     if owner:
         props["migration.owner"] = owner
@@ -321,31 +309,60 @@ def register_one(spark: SparkSession, row: dict, inv_row: dict, dry_run: bool, v
     base = {"database": row["source_schema"], "name": row["source_name"], "target_schema": row["target_schema"],
             "target_table": row["target_name"], "location": loc, "t_no": None}
     if dry_run:
-        return _outcome(base, "DRY_RUN", stmt)
+        return base, _outcome(base, "DRY_RUN", stmt), dst
     try:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_target_name(spark, row.get('target_catalog'), row['target_schema'])}")
         spark.sql(stmt)
         if partition_columns(spark, dst):
             spark.sql(f"ALTER TABLE {dst} RECOVER PARTITIONS")
     except Exception as e:  # noqa: BLE001
-        return _outcome(base, "REGISTER_FAILED", str(e))
-    try:
-        v = verify_copy(spark, src, dst, verify)
-    except Exception as e:  # noqa: BLE001
-        return _outcome(base, "VERIFY_FAILED", str(e))
+        return base, _outcome(base, "REGISTER_FAILED", str(e)), dst
+    return base, None, dst
+
+
+def _registered(base: dict, v: dict | Exception) -> dict:
+    if isinstance(v, Exception):
+        return _outcome(base, "VERIFY_FAILED", str(v))
     if not v["ok"]:
-        return _outcome(base, "VERIFY_FAILED", v["reason"], source_rows=v["source_rows"],
-                        target_rows=v["target_rows"])
+        return _outcome(base, "VERIFY_FAILED", v["reason"], source_rows=v["source_rows"], target_rows=v["target_rows"])
     return _outcome(base, "REGISTERED", None, source_rows=v["source_rows"], target_rows=v["target_rows"],
                     size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
 
 
+def register_one(spark: SparkSession, row: dict, dry_run: bool = True, verify: str = "count",
+                 owner: str | None = None) -> dict:
+    """Register ``source`` as external table ``target`` over the same files, then verify."""
+    base, failed, dst = _register(spark, row, dry_run, owner)
+    if failed is not None:
+        return failed
+    try:
+        v = verify_copy(spark, _q(row["source_schema"], row["source_name"]), dst, verify)
+    except Exception as e:  # noqa: BLE001
+        v = e
+    return _registered(base, v)
+
+
 def register_external(spark: SparkSession, plan: DataFrame, inv: DataFrame, dry_run: bool = True,
                       verify: str = "count", owner: str | None = None, parallelism: int = 1) -> DataFrame:
-    """Register every ``READY`` row of a migration plan under its final target name."""
+    """Register every ``READY`` row of a migration plan under its final target name.
+
+    The tables are created first (catalog calls, ``parallelism`` at a time), then all of them are
+    verified against their sources in a few batched jobs (``verify_many``).
+    """
     ready = plan.where(F.col("status_code") == F.lit("READY"))
     j = ready.join(inv.select(F.col("database").alias("source_schema"), F.col("name").alias("source_name"),
-                              "location", "provider", "partition_columns"),
+                              "location", "provider"),
                    ["source_schema", "source_name"], "left")
     rows = [r.asDict() for r in j.orderBy("source_schema", "source_name").collect()]
-    return _run(spark, rows, lambda r: register_one(spark, r, r, dry_run, verify, owner), parallelism)
+    make = lambda r: _register(spark, r, dry_run, owner)
+    if parallelism <= 1:
+        made = [make(r) for r in rows]
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            made = list(pool.map(make, rows))
+    todo = [k for k, (_, failed, _) in enumerate(made) if failed is None]
+    verdicts = dict(zip(todo, verify_many(
+        spark, [(_q(rows[k]["source_schema"], rows[k]["source_name"]), made[k][2]) for k in todo], verify)))
+    out = [m[1] if m[1] is not None else _registered(m[0], verdicts[k]) for k, m in enumerate(made)]
+    df = spark.createDataFrame(out, schemas.CONVERSION)
+    return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))
