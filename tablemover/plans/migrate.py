@@ -75,9 +75,19 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
         views = migrate_views(spark, vp, mapping, source_catalog, catalog, dry_run, owner, target_catalog=catalog)
     counts = outcome_counts(plan)
     res = MigrationResult(plan, tables, views, counts)
-    if not dry_run and tgt_dbs:
+    if not dry_run and tgt_dbs and tables is not None:
+        # Everything planned READY must now exist under its target name; anything else in the
+        # target schemas that the plan did not account for shows up as only in the target.
+        ready = plan.where(F.col("status_code") == F.lit("READY")).select(
+            F.col("source_schema").alias("database"), F.col("source_name").alias("name"))
+        planned = inv.join(ready, ["database", "name"], "left_semi").withColumn(
+            "upgraded_to", F.lit(None).cast("string"))
+        accounted = plan.where(F.col("status_code") != F.lit("READY")).select(
+            F.lower("target_schema").alias("_s"), F.lower("target_name").alias("_n")).distinct()
         after = target_inventory(inventory(spark, tgt_dbs), catalog)
-        res.only_in_source, res.only_in_target = reconcile_inventory(
-            inv.withColumn("upgraded_to", F.lit(None).cast("string")), after, "EXTERNAL",
-            exclude_schemas, manifest)
+        after = after.join(accounted, (F.lower("table_schema") == F.col("_s")) & (F.lower("table_name") == F.col("_n")),
+                           "left_anti")
+        mapping = plan.select(F.col("source_schema").alias("database"), F.col("source_name").alias("name"),
+                              "target_schema", F.col("target_name").alias("target_table"))
+        res.only_in_source, res.only_in_target = reconcile_inventory(planned, after, "EXTERNAL", None, mapping)
     return res

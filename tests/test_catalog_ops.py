@@ -361,3 +361,18 @@ def test_verify_many_batches_and_isolates(spark, db):
     assert out[1]["ok"] is False and out[1]["reason"].startswith("row counts differ")
     assert out[2]["ok"] is False and out[2]["reason"] == "checksums differ"
     assert isinstance(out[3], Exception)
+
+
+def test_migrate_reconciles_what_was_planned(spark):
+    from tablemover.plans.migrate import migrate
+    src, tgt = new_database(spark, "rs"), new_database(spark, "rt")
+    o = orders(spark).limit(20)
+    for t in ("a", "b", "skip"):
+        o.write.option("path", new_work_dir(spark, t) + "/d").saveAsTable(f"{src}.{t}")
+    o.write.option("path", new_work_dir(spark, "pre") + "/d").saveAsTable(f"{tgt}.b2")   # already there
+    o.write.option("path", new_work_dir(spark, "odd") + "/d").saveAsTable(f"{tgt}.stray")  # nobody planned it
+    man = spark.createDataFrame([(src, "a", tgt, "a2", False, 1), (src, "b", tgt, "b2", False, 2)], MAN)
+    res = migrate(spark, "external-tables", [src], "spark_catalog", manifest=man, dry_run=False)
+    assert {r["source_name"]: r["status_code"] for r in res.plan.collect()} == {"a": "READY", "b": "TARGET_EXISTS"}
+    assert res.only_in_source.count() == 0
+    assert [(r["table_schema"], r["table_name"]) for r in res.only_in_target.collect()] == [(tgt, "stray")]
