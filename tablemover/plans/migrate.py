@@ -45,14 +45,14 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
     if not catalog:
         raise ValueError("a target catalog is needed")
     dbs = list_databases(spark, schemas, exclude_schemas)
-    inv = inventory(spark, dbs)
+    inv = inventory(spark, dbs, parallelism=parallelism)
     if target_schemas is None:
         # The schemas objects will land in: the manifest's target schemas (a short metadata list),
         # else the source schema names.
         target_schemas = (sorted({r[0] for r in manifest.select("target_schema").distinct().collect() if r[0]})
                           if manifest is not None else dbs)
     tgt_dbs = [d for d in target_schemas if spark.catalog.databaseExists(d)]
-    tinv = target_inventory(inventory(spark, tgt_dbs), catalog) if tgt_dbs else spark.createDataFrame(
+    tinv = target_inventory(inventory(spark, tgt_dbs, parallelism=parallelism), catalog) if tgt_dbs else spark.createDataFrame(
         [], "table_catalog string, table_schema string, table_name string, table_type string")
     plan = plan_migration(inv, tinv, catalog, manifest, exclude, exclude_schemas, source_catalog)
     tables = views = None

@@ -44,23 +44,33 @@ def _listing(spark: SparkSession, db: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, databases: list[str] | None = None,
-              catalog_label: str | None = None, errors: str = "raise") -> DataFrame:
+              catalog_label: str | None = None, errors: str = "raise", parallelism: int = 1) -> DataFrame:
     """``catalog, database, name, object_type, provider, location, partition_columns, view_text``.
 
     ``object_type`` is ``MANAGED``, ``EXTERNAL`` or ``VIEW``; temporary views are left out.
     ``partition_columns`` is an array of names (empty when unpartitioned). ``errors="skip"`` logs a
-    database that cannot be listed and goes on without it.
+    database that cannot be listed and goes on without it. ``parallelism`` lists that many
+    databases at once (the calls wait on the metastore, not on executors).
     """
     dbs = databases if databases is not None else list_databases(spark)
     label = catalog_label or spark.catalog.currentCatalog()
-    listings = []
-    for d in dbs:
+
+    def listing(d: str):
         try:
-            listings.append(_listing(spark, d))
+            return _listing(spark, d)
         except Exception as e:  # noqa: BLE001
             if errors != "skip":
                 raise
             log.warning("cannot list database %s: %s", d, str(e).splitlines()[0] if str(e) else e)
+            return None
+
+    if parallelism > 1 and len(dbs) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            found = list(pool.map(listing, dbs))
+    else:
+        found = [listing(d) for d in dbs]
+    listings = [x for x in found if x is not None]
     if not listings:
         return spark.createDataFrame([], ", ".join(
             f"{c} {'array<string>' if c == 'partition_columns' else 'string'}" for c in INVENTORY_COLUMNS))

@@ -376,3 +376,12 @@ def test_migrate_reconciles_what_was_planned(spark):
     assert {r["source_name"]: r["status_code"] for r in res.plan.collect()} == {"a": "READY", "b": "TARGET_EXISTS"}
     assert res.only_in_source.count() == 0
     assert [(r["table_schema"], r["table_name"]) for r in res.only_in_target.collect()] == [(tgt, "stray")]
+
+
+def test_inventory_parallel_equals_serial(spark):
+    dbs = [new_database(spark, f"p{i}") for i in range(5)]
+    for i, d in enumerate(dbs):
+        orders(spark).limit(3).write.saveAsTable(f"{d}.t{i}")
+    a = [tuple(r) for r in inventory(spark, dbs).collect()]
+    b = [tuple(r) for r in inventory(spark, dbs, parallelism=4).collect()]
+    assert a == b and len(a) == 5
