@@ -17,6 +17,7 @@ Conversion of ``db.t`` to ``location``:
 
 from __future__ import annotations
 
+import logging
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -32,6 +33,9 @@ from ..sources.catalog import object_type, partition_columns
 from ..sources.stats import table_stats
 
 
+log = logging.getLogger(__name__)
+
+
 def _q(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
@@ -68,6 +72,9 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
 
 
 def _outcome(row: dict, outcome: str, reason: str | None = None, **kw) -> dict:
+    level = logging.INFO if outcome in ("CONVERTED", "CONVERTED_DROPPED", "REGISTERED", "DRY_RUN") \
+        or outcome.startswith("SKIPPED_") else logging.WARNING
+    log.log(level, "%s.%s: %s%s", row.get("database"), row.get("name"), outcome, f" ({reason})" if reason else "")
     base = {f: None for f in schemas.CONVERSION.fieldNames()}
     base.update({k: row.get(k) for k in ("database", "name", "target_schema", "target_table", "location", "t_no")})
     base.update(outcome=outcome, reason=reason, **kw)
@@ -111,9 +118,11 @@ def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dic
         try:
             if copy_ops.path_has_files(spark, loc):
                 return _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {loc}")
+            log.info("copy started: %s.%s -> %s", db, t, loc)
             copy_ops.copy_table(spark, src, ext, loc, fmt=fmt)
         except Exception as e:  # noqa: BLE001
             return _outcome(row, "COPY_FAILED", str(e))
+        log.info("copy done: %s.%s in %.1f s", db, t, time.monotonic() - start)
         stage = "copied"
     # Only an external ``t_ext`` can be a copy made by this tool; anything else is left alone.
     elif resume and kind == "MANAGED" and old_kind is None and ext_kind == "EXTERNAL":

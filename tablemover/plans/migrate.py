@@ -3,6 +3,7 @@ reconcile -> report. It adds no operator of its own; every step is a function of
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,6 +18,8 @@ from ..operators.rewrite import mapping_from_manifest
 
 SCOPES = ("external-tables", "views", "all")
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class MigrationResult:
@@ -45,6 +48,7 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
     if not catalog:
         raise ValueError("a target catalog is needed")
     dbs = list_databases(spark, schemas, exclude_schemas)
+    log.info("migrating %s of %d schema(s) to %s (%s)", scope, len(dbs), catalog, "dry run" if dry_run else "apply")
     inv = inventory(spark, dbs, parallelism=parallelism)
     if target_schemas is None:
         # The schemas objects will land in: the manifest's target schemas (a short metadata list),

@@ -8,6 +8,8 @@ that depend on views not yet created are retried in rounds until no round makes
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -16,6 +18,9 @@ from ..operators.select import one_per_key
 from .convert import _target_name
 
 
+log = logging.getLogger(__name__)
+
+
 def view_plan(inv: DataFrame, target_catalog: str | None = None, view_manifest: DataFrame | None = None) -> DataFrame:
     """``source_schema, source_view, target_schema, target_view, view_text`` for every view of the
     inventory (or of the view manifest, which may rename) -- source and target in one row."""
@@ -86,6 +91,7 @@ def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: s
                     spark.sql(f"ALTER VIEW {view} SET TBLPROPERTIES "
                               f"('migration.owner' = '{owner}')")
                 out.append((r["src"], r["dst"], "VIEW_CREATED", None, r["statement"]))
+                log.info("view created: %s -> %s", r["src"], r["dst"])
                 progressed = True
             except Exception as e:  # noqa: BLE001 - retried, then reported
                 errors[r["src"]] = str(e).splitlines()[0] if str(e) else repr(e)
@@ -93,5 +99,7 @@ def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: s
         pending = still
         if not pending or not progressed:
             break
+    for r in pending:
+        log.warning("view failed: %s -> %s (%s)", r["src"], r["dst"], errors.get(r["src"]))
     out += [(r["src"], r["dst"], "VIEW_FAILED", errors.get(r["src"]), r["statement"]) for r in pending]
     return spark.createDataFrame(out, schemas.VIEW_OUTCOME)
