@@ -13,15 +13,16 @@ from .operators.reconcile import (count_rows, keyed_diff, not_upgraded, reconcil
 from .operators.rewrite import mapping_from_manifest, rewrite_catalog, rewrite_references
 from .operators.select import exclude_schemas, exclude_tables, include_tables, select_tables
 from .operators.sequence import with_sequence
-from .plans.convert import convert_to_external, register_external
+from .plans.convert import convert_one, convert_to_external, register_external, verify_copy, verify_many
 from .plans.migrate import migrate
 from .plans.migration import plan_migration
 from .plans.report import conversion_failures, conversion_summary, ineligible, outcome_counts
 from .plans.targets import plan_targets
 from .plans.validate import validate
 from .plans.views import migrate_views, view_plan
-from .sources.catalog import inventory, list_databases
-from .sources.manifest import build_manifest, load_manifest, load_view_manifest, manifest_problems
+from .sources.catalog import describe_table, inventory, list_databases
+from .sources.manifest import (build_manifest, load_manifest, load_view_manifest, manifest_from_csv,
+                               manifest_problems, write_manifest)
 from .session import build_session, scale_conf, work_root
 from .sources.stats import table_stats
 
