@@ -16,7 +16,8 @@ from .operators.sequence import with_sequence
 from .plans.convert import convert_one, convert_to_external, register_external, verify_copy, verify_many
 from .plans.migrate import migrate
 from .plans.migration import plan_migration
-from .plans.report import conversion_failures, conversion_summary, ineligible, outcome_counts
+from .plans.report import (conversion_failures, conversion_summary, ineligible, migration_summary,
+                           outcome_counts)
 from .plans.targets import plan_targets
 from .plans.validate import validate
 from .plans.views import migrate_views, view_plan

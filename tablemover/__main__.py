@@ -112,11 +112,13 @@ def main(argv: list[str] | None = None) -> int:
                "converted": conversion_summary(out)}, a.out, a.show)
     elif a.cmd == "migrate":
         from .plans.migrate import migrate
+        from .plans.report import migration_summary
         man = _manifest(spark, a.manifest, a.manifest_format) if a.manifest else None
         res = migrate(spark, a.scope, a.schemas, a.catalog, manifest=man, exclude_schemas=a.exclude_schemas,
                       owner=a.owner, dry_run=not a.apply, source_catalog=a.source_catalog, verify=a.verify,
                       parallelism=a.parallelism)
-        _emit({"plan": res.plan, "counts": res.counts, "tables": res.tables, "views": res.views,
+        _emit({"summary": migration_summary(res.plan, res.tables, res.views), "plan": res.plan,
+               "counts": res.counts, "tables": res.tables, "views": res.views,
                "only_in_source": res.only_in_source, "only_in_target": res.only_in_target}, a.out, a.show)
     elif a.cmd == "validate":
         from .plans.validate import validate

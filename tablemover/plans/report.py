@@ -35,3 +35,25 @@ def conversion_summary(conv: DataFrame) -> DataFrame:
     """``(target_schema, table_name, elapsed, size_mb, mb_per_s)`` of converted tables."""
     return conv.where(F.col("outcome").isin("CONVERTED", "CONVERTED_DROPPED")).select(
         "target_schema", F.col("name").alias("table_name"), "elapsed", "size_mb", "mb_per_s")
+
+
+def migration_summary(plan: DataFrame, tables: DataFrame | None = None, views: DataFrame | None = None,
+                      default_schema: str = "default") -> DataFrame:
+    """``(category, objects)``: the counts a person checks after a catalog migration -- objects not
+    eligible (managed tables outside the default schema listed apart from the rest), tables
+    migrated and failed, views migrated and failed. One job: a union of global counts."""
+    managed, other = ineligible(plan, default_schema)
+    parts = [("NOT_ELIGIBLE", plan.where(F.col("status_code").isin(*INELIGIBLE))),
+             ("MANAGED_OUTSIDE_DEFAULT", managed), ("OTHER_NOT_ELIGIBLE", other)]
+    if tables is not None:
+        parts += [("MIGRATED_TABLES", tables.where(F.col("outcome").isin("REGISTERED", "DRY_RUN"))),
+                  ("FAILED_TABLES", tables.where(~F.col("outcome").isin("REGISTERED", "DRY_RUN")))]
+    if views is not None:
+        parts += [("MIGRATED_VIEWS", views.where(F.col("outcome").isin("VIEW_CREATED", "DRY_RUN"))),
+                  ("FAILED_VIEWS", views.where(~F.col("outcome").isin("VIEW_CREATED", "DRY_RUN")))]
+    counts = [df.agg(F.count(F.lit(1)).alias("objects")).select(F.lit(name).alias("category"), "objects")
+              for name, df in parts]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionAll(c)
+    return out

@@ -385,3 +385,15 @@ def test_inventory_parallel_equals_serial(spark):
     a = [tuple(r) for r in inventory(spark, dbs).collect()]
     b = [tuple(r) for r in inventory(spark, dbs, parallelism=4).collect()]
     assert a == b and len(a) == 5
+
+
+def test_migration_summary_counts(spark):
+    from tablemover.plans.report import migration_summary
+    plan = spark.createDataFrame([("default", "a", "MANAGED_SOURCE"), ("s", "b", "MANAGED_SOURCE"), ("s", "c", "READY"),
+                                  ("s", "d", "TARGET_EXISTS"), ("s", "e", "SOURCE_MISSING"), ("s", "v", "VIEW")],
+                                 "source_schema string, source_name string, status_code string")
+    tables = spark.createDataFrame([("c", "REGISTERED"), ("x", "VERIFY_FAILED")], "name string, outcome string")
+    views = spark.createDataFrame([("v", "VIEW_CREATED")], "source_view string, outcome string")
+    got = {r["category"]: r["objects"] for r in migration_summary(plan, tables, views).collect()}
+    assert got == {"NOT_ELIGIBLE": 4, "MANAGED_OUTSIDE_DEFAULT": 1, "OTHER_NOT_ELIGIBLE": 2, "MIGRATED_TABLES": 1,
+                   "FAILED_TABLES": 1, "MIGRATED_VIEWS": 1, "FAILED_VIEWS": 0}
