@@ -5,6 +5,11 @@ Manifest -> inventory -> estimate -> plan -> convert / register -> rewrite views
 report. Every step is a DataFrame plan or a Spark job; the driver only issues catalog commands.
 """
 
+import logging as _logging
+
+# A library logs, the application decides where to: silent unless logging is configured.
+_logging.getLogger(__name__).addHandler(_logging.NullHandler())
+
 from .operators.copy import copy_table, split_by_flag, write_csv
 from .operators.estimate import estimate_manifest, estimate_transfer
 from .operators.reconcile import (count_rows, keyed_diff, not_upgraded, reconcile_counts,

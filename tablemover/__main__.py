@@ -89,6 +89,8 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--exclude-schemas", default="")
 
     a = p.parse_args(argv)
+    import logging
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = _session()
 
     if a.cmd == "manifest":

@@ -305,6 +305,13 @@ UNION ALL SELECT 'customer', 'CONVERTED_DROPPED', (SELECT count(*) FROM customer
 UNION ALL SELECT 'supplier', 'SKIPPED_EXTERNAL', NULL, NULL
 UNION ALL SELECT 'ghost', 'SOURCE_MISSING', NULL, NULL"""
     sql["convert_content"] = "SELECT * FROM orders"
+    sql["report_counts"] = """
+SELECT 'CONVERTED_DROPPED' AS outcome, CAST(2 AS BIGINT) AS objects FROM (SELECT count(*) FROM orders)
+UNION ALL SELECT 'SKIPPED_EXTERNAL', 1 UNION ALL SELECT 'SOURCE_MISSING', 1"""
+    sql["migrate_dry_run"] = """
+SELECT category, CAST(objects AS BIGINT) AS objects FROM (VALUES ('NOT_ELIGIBLE', 3), ('MANAGED_OUTSIDE_DEFAULT', 1), ('OTHER_NOT_ELIGIBLE', 2),
+                      ('MIGRATED_TABLES', 1), ('FAILED_TABLES', 0), ('MIGRATED_VIEWS', 1), ('FAILED_VIEWS', 0))
+  AS t(category, objects)"""
     sql["register_report"] = """
 SELECT 'orders' AS "name", 'orders' AS target_table, 'REGISTERED' AS outcome,
        (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM orders) AS target_rows

@@ -484,6 +484,31 @@ def q_convert_report(spark, sf):
     return out.select("name", "outcome", "source_rows", "target_rows")
 
 
+def q_report_counts(spark, sf):
+    """Outcome counts of a conversion run over managed, external and missing tables."""
+    db, targets = _convert_setup(spark, sf)
+    return outcome_counts(convert_to_external(spark, targets, drop_old=True, verify="count", parallelism=2),
+                          "outcome")
+
+
+def q_migrate_dry_run(spark, sf):
+    """A dry run of a whole-schema migration, summarised the way a person reads it."""
+    from .plans.report import migration_summary
+    src = new_database(spark, "drysrc")
+    tgt = new_database(spark, "drytgt")
+    _external(spark, sf, src, "orders")
+    _external(spark, sf, src, "customer")
+    _managed(spark, sf, src, "supplier")
+    _external(spark, sf, tgt, "customer")
+    spark.sql(f"CREATE VIEW `{src}`.`big_orders` AS SELECT * FROM `{src}`.orders WHERE o_totalprice > 100000")
+    man = spark.createDataFrame([(src, t, tgt, t, False, i) for i, t in
+                                 enumerate(["orders", "customer", "supplier", "big_orders", "ghost"])],
+                                "database string, name string, target_schema string, target_table string, "
+                                "is_pii boolean, t_no int")
+    res = migrate(spark, "all", [src], "spark_catalog", manifest=man, dry_run=True, source_catalog="spark_catalog")
+    return migration_summary(res.plan, res.tables, res.views)
+
+
 def q_convert_content(spark, sf):
     db, targets = _convert_setup(spark, sf)
     out = convert_to_external(spark, targets, drop_old=False, verify="count").collect()
