@@ -306,8 +306,8 @@ UNION ALL SELECT 'supplier', 'SKIPPED_EXTERNAL', NULL, NULL
 UNION ALL SELECT 'ghost', 'SOURCE_MISSING', NULL, NULL"""
     sql["convert_content"] = "SELECT * FROM orders"
     sql["report_counts"] = """
-SELECT 'CONVERTED_DROPPED' AS outcome, CAST(2 AS BIGINT) AS objects FROM (SELECT count(*) FROM orders)
-UNION ALL SELECT 'SKIPPED_EXTERNAL', 1 UNION ALL SELECT 'SOURCE_MISSING', 1"""
+SELECT outcome, CAST(objects AS BIGINT) AS objects
+FROM (VALUES ('CONVERTED_DROPPED', 2), ('SKIPPED_EXTERNAL', 1), ('SOURCE_MISSING', 1)) AS t(outcome, objects)"""
     sql["migrate_dry_run"] = """
 SELECT category, CAST(objects AS BIGINT) AS objects FROM (VALUES ('NOT_ELIGIBLE', 3), ('MANAGED_OUTSIDE_DEFAULT', 1), ('OTHER_NOT_ELIGIBLE', 2),
                       ('MIGRATED_TABLES', 1), ('FAILED_TABLES', 0), ('MIGRATED_VIEWS', 1), ('FAILED_VIEWS', 0))
