@@ -305,6 +305,9 @@ UNION ALL SELECT 'customer', 'CONVERTED_DROPPED', (SELECT count(*) FROM customer
 UNION ALL SELECT 'supplier', 'SKIPPED_EXTERNAL', NULL, NULL
 UNION ALL SELECT 'ghost', 'SOURCE_MISSING', NULL, NULL"""
     sql["convert_content"] = "SELECT * FROM orders"
+    sql["convert_all_tables"] = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"name\", 'CONVERTED_DROPPED' AS outcome, count(*) AS source_rows, count(*) AS target_rows "
+        f"FROM {t}" for t in TABLES)
     sql["report_counts"] = """
 SELECT outcome, CAST(objects AS BIGINT) AS objects
 FROM (VALUES ('CONVERTED_DROPPED', 2), ('SKIPPED_EXTERNAL', 1), ('SOURCE_MISSING', 1)) AS t(outcome, objects)"""

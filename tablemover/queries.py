@@ -484,6 +484,22 @@ def q_convert_report(spark, sf):
     return out.select("name", "outcome", "source_rows", "target_rows")
 
 
+def q_convert_all_tables(spark, sf):
+    """Every test table as a managed table, converted to external with checksum verification,
+    four at a time; one outcome row per table."""
+    db = new_database(spark, "convall")
+    for t in TABLES:
+        _managed(spark, sf, db, t)
+    root = new_work_dir(spark, "convall-target")
+    man = spark.createDataFrame([(db, t, "uc", t, t in ("customer", "documents", "conversations"), i)
+                                 for i, t in enumerate(TABLES)],
+                                "database string, name string, target_schema string, target_table string, "
+                                "is_pii boolean, t_no int")
+    out = convert_to_external(spark, plan_targets(man, CATALOG, root + "/pii", root + "/nonpii"), drop_old=True,
+                              verify="checksum", parallelism=4)
+    return out.select("name", "outcome", "source_rows", "target_rows")
+
+
 def q_report_counts(spark, sf):
     """Outcome counts of a conversion run over managed, external and missing tables."""
     db, targets = _convert_setup(spark, sf)
