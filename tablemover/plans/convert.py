@@ -44,8 +44,8 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
     """Compare two tables; returns ``source_rows, target_rows, bytes, ok, reason``."""
     stats = {r["table_name"]: r for r in table_stats({"s": spark.table(source), "t": spark.table(target)}).collect()}
     s, t = stats["s"], stats["t"]
-    res = {"source_rows": s["row_count"], "target_rows": t["row_count"], "bytes": s["bytes"], "ok": s["row_count"] == t["row_count"],
-           "reason": None}
+    res = {"source_rows": s["row_count"], "target_rows": t["row_count"], "bytes": s["bytes"],
+           "ok": s["row_count"] == t["row_count"], "reason": None, "source_fingerprint": s["fingerprint"]}
     if not res["ok"]:
         res["reason"] = f"row counts differ: {s['row_count']} vs {t['row_count']}"
         return res
@@ -101,40 +101,69 @@ class _Staged:
     managed_side: str     # the managed data, under its current name
     copy_side: str        # the external copy, under its current name
     copy_seconds: float
+    before: str | None = None   # source file fingerprint taken before a fresh copy
 
 
-def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dict | _Staged:
-    """Checks and copy of one table: an outcome row when it stops here, else the staged copy."""
-    db, t, loc = row["database"], row["name"], row["location"]
+def _check(spark: SparkSession, row: dict, resume: bool) -> dict | tuple[str, str | None]:
+    """State of one table: an outcome row when it stops here, else ``(stage, note)`` where stage
+    is ``fresh`` (copy it now) or the point an earlier run reached."""
+    db, t = row["database"], row["name"]
     src, ext, old = _q(db, t), _q(db, t + "_ext"), _q(db, t + "_old")
     try:
         kind, old_kind, ext_kind = object_type(spark, src), object_type(spark, old), object_type(spark, ext)
-        has_ext = ext_kind is not None
     except Exception as e:  # noqa: BLE001 - one outcome per table
         return _outcome(row, "CHECK_FAILED", str(e))
-    start = time.monotonic()
-    note = None
-    if kind == "MANAGED" and old_kind is None and not has_ext:
-        try:
-            if copy_ops.path_has_files(spark, loc):
-                return _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {loc}")
-            log.info("copy started: %s.%s -> %s", db, t, loc)
-            copy_ops.copy_table(spark, src, ext, loc, fmt=fmt)
-        except Exception as e:  # noqa: BLE001
-            return _outcome(row, "COPY_FAILED", str(e))
-        log.info("copy done: %s.%s in %.1f s", db, t, time.monotonic() - start)
-        stage = "copied"
+    if kind == "MANAGED" and old_kind is None and ext_kind is None:
+        return "fresh", None
     # Only an external ``t_ext`` can be a copy made by this tool; anything else is left alone.
-    elif resume and kind == "MANAGED" and old_kind is None and ext_kind == "EXTERNAL":
-        stage, note = "copied", f"resumed: {t}_ext from an earlier run"
-    elif resume and kind is None and old_kind == "MANAGED" and ext_kind == "EXTERNAL":
-        stage, note = "renamed_old", "resumed: finished an interrupted swap"
-    elif resume and kind == "EXTERNAL" and old_kind == "MANAGED" and not has_ext:
-        stage, note = "swapped", "resumed: swap was already done"
-    else:
-        return _skip(row, db, t, kind, has_ext, old_kind)
-    return _Staged(row, stage, note, src if stage == "copied" else old, src if stage == "swapped" else ext,
-                   time.monotonic() - start)
+    if resume and kind == "MANAGED" and old_kind is None and ext_kind == "EXTERNAL":
+        return "copied", f"resumed: {t}_ext from an earlier run"
+    if resume and kind is None and old_kind == "MANAGED" and ext_kind == "EXTERNAL":
+        return "renamed_old", "resumed: finished an interrupted swap"
+    if resume and kind == "EXTERNAL" and old_kind == "MANAGED" and ext_kind is None:
+        return "swapped", "resumed: swap was already done"
+    return _skip(row, db, t, kind, ext_kind is not None, old_kind)
+
+
+def _copy(spark: SparkSession, row: dict, fmt: str | None, before: str | None) -> dict | _Staged:
+    db, t, loc = row["database"], row["name"], row["location"]
+    src, ext = _q(db, t), _q(db, t + "_ext")
+    start = time.monotonic()
+    try:
+        if copy_ops.path_has_files(spark, loc):
+            return _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {loc}")
+        log.info("copy started: %s.%s -> %s", db, t, loc)
+        copy_ops.copy_table(spark, src, ext, loc, fmt=fmt)
+    except Exception as e:  # noqa: BLE001
+        return _outcome(row, "COPY_FAILED", str(e))
+    log.info("copy done: %s.%s in %.1f s", db, t, time.monotonic() - start)
+    return _Staged(row, "copied", None, src, ext, time.monotonic() - start, before)
+
+
+def _resumed(row: dict, stage: str, note: str | None) -> _Staged:
+    db, t = row["database"], row["name"]
+    src, ext, old = _q(db, t), _q(db, t + "_ext"), _q(db, t + "_old")
+    return _Staged(row, stage, note, src if stage == "copied" else old, src if stage == "swapped" else ext, 0.0)
+
+
+def _fingerprints(spark: SparkSession, names: list[str]) -> dict[str, str | None]:
+    """Source file fingerprints of many tables in one batched metadata job."""
+    if not names:
+        return {}
+    rows = table_stats({n: spark.table(n) for n in names}, errors="isolate").collect()
+    return {r["table_name"]: r["fingerprint"] for r in rows}
+
+
+def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dict | _Staged:
+    """Checks and copy of one table: an outcome row when it stops here, else the staged copy."""
+    state = _check(spark, row, resume)
+    if isinstance(state, dict):
+        return state
+    stage, note = state
+    if stage != "fresh":
+        return _resumed(row, stage, note)
+    src = _q(row["database"], row["name"])
+    return _copy(spark, row, fmt, _fingerprints(spark, [src]).get(src))
 
 
 def _finish(spark: SparkSession, st: _Staged, v: dict | Exception, drop_old: bool) -> dict:
@@ -147,6 +176,12 @@ def _finish(spark: SparkSession, st: _Staged, v: dict | Exception, drop_old: boo
     start = time.monotonic()
     counts = dict(source_rows=v["source_rows"], target_rows=v["target_rows"],
                   size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
+    after = v.get("source_fingerprint")
+    if st.before is not None and after is not None and after != st.before:
+        # Files of the source were added, removed or rewritten while it was being copied: the copy
+        # may be a mix of old and new data, whatever the counts say.
+        return _outcome(row, "SOURCE_CHANGED", f"source files changed during the copy; copy left at {db}.{t}_ext",
+                        **counts)
     if not v["ok"]:
         left = f"; copy left at {db}.{t}_ext" if stage != "swapped" else ""
         return _outcome(row, "VERIFY_FAILED", v["reason"] + left, **counts)
@@ -221,7 +256,8 @@ def verify_many(spark: SparkSession, pairs: list[tuple[str, str]], verify: str =
             continue
         ok = s["row_count"] == t["row_count"]
         res[i] = {"source_rows": s["row_count"], "target_rows": t["row_count"], "bytes": s["bytes"], "ok": ok,
-                  "reason": None if ok else f"row counts differ: {s['row_count']} vs {t['row_count']}"}
+                  "reason": None if ok else f"row counts differ: {s['row_count']} vs {t['row_count']}",
+                  "source_fingerprint": s["fingerprint"]}
     todo = [i for i, r in enumerate(res) if isinstance(r, dict) and r["ok"]]
     if verify == "checksum" and todo:
         sums: dict[str, str] = {}
@@ -279,7 +315,18 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     groups = [list(range(j, len(rows), n_groups)) for j in range(n_groups)]
 
     def run_group(idx: list[int]) -> list[tuple[int, dict]]:
-        staged = [_stage(spark, rows[i], fmt, resume) for i in idx]
+        states = [_check(spark, rows[i], resume) for i in idx]
+        fresh = [_q(rows[i]["database"], rows[i]["name"]) for i, st in zip(idx, states)
+                 if not isinstance(st, dict) and st[0] == "fresh"]
+        before = _fingerprints(spark, fresh)  # one metadata job for the whole group
+        staged = []
+        for i, st in zip(idx, states):
+            if isinstance(st, dict):
+                staged.append(st)
+            elif st[0] == "fresh":
+                staged.append(_copy(spark, rows[i], fmt, before.get(_q(rows[i]["database"], rows[i]["name"]))))
+            else:
+                staged.append(_resumed(rows[i], *st))
         todo = [x for x in staged if isinstance(x, _Staged)]
         verdicts = iter(verify_many(spark, [(x.managed_side, x.copy_side) for x in todo], verify))
         return [(i, x if isinstance(x, dict) else _finish(spark, x, next(verdicts), drop_old))

@@ -27,13 +27,14 @@ def parse_flag(c) -> F.Column:
 
 
 def _read_yaml(spark: SparkSession, path: str, leaf: str) -> DataFrame:
-    # A manifest file is configuration (one entry per table), read once on the driver.
+    # A manifest file is configuration (one entry per table): it is read through Spark's file
+    # system layer (local, HDFS, object stores alike) as one text and parsed on the driver.
     try:
         import yaml
     except ImportError as e:  # pragma: no cover
         raise RuntimeError("PyYAML is needed to read YAML manifests") from e
-    with open(path, encoding="utf-8") as fh:
-        cfg = yaml.safe_load(fh) or {}
+    docs = spark.read.text(path, wholetext=True).collect()
+    cfg = (yaml.safe_load(docs[0][0]) if docs else None) or {}
     entries = ((cfg.get("resources") or {}).get(leaf)) or {}
     schema = MANIFEST if leaf == "tables" else VIEW_MANIFEST
     rows = [tuple(None if v.get(f.name) is None else str(v.get(f.name)) for f in schema.fields)
@@ -73,7 +74,7 @@ def dedup_manifest(df: DataFrame) -> DataFrame:
 
 
 def manifest_problems(df: DataFrame) -> DataFrame:
-    """Rows a migration cannot use as they are: ``(database, name, rows, problem)``.
+    """Rows a migration cannot use as they are: ``(database, name, row_count, problem)``.
 
     ``DUPLICATE_KEY``: one ``(database, name)`` with different rows (after exact duplicates are
     dropped); ``NULL_KEY``: database or name missing.

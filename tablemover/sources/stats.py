@@ -19,21 +19,29 @@ def _one(df: DataFrame, label: str, with_bytes: bool) -> DataFrame:
     if not with_bytes:
         return df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(label).alias("table_name"), "row_count", F.lit(None).cast("long").alias("bytes"),
-            F.lit(None).cast("long").alias("files"))
-    per_file = (df.select(F.col("_metadata.file_path").alias("_p"), F.col("_metadata.file_size").alias("_s"))
-                .groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.max("_s").alias("_s")))
+            F.lit(None).cast("long").alias("files"), F.lit(None).cast("string").alias("fingerprint"))
+    per_file = (df.select(F.col("_metadata.file_path").alias("_p"), F.col("_metadata.file_size").alias("_s"),
+                          F.col("_metadata.file_modification_time").alias("_t"))
+                .groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.max("_s").alias("_s"), F.max("_t").alias("_t")))
+    # The file set as one text: count, bytes, newest modification time and an order-free hash of
+    # the paths -- any file added, removed or rewritten changes it.
+    fingerprint = F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.coalesce(F.sum("_s"), F.lit(0)).cast("string"),
+                              F.coalesce(F.max("_t").cast("long"), F.lit(0)).cast("string"),
+                              F.coalesce(F.sum(F.xxhash64("_p").cast("decimal(38,0)")),
+                                         F.lit(0).cast("decimal(38,0)")).cast("string"))
     return per_file.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"), F.sum("_s").alias("bytes"),
-                        F.count(F.lit(1)).alias("files")).select(
+                        F.count(F.lit(1)).alias("files"), fingerprint.alias("fingerprint")).select(
         F.lit(label).alias("table_name"), F.col("row_count").cast("long").alias("row_count"),
-        F.col("bytes").cast("long").alias("bytes"), F.col("files").cast("long").alias("files"))
+        F.col("bytes").cast("long").alias("bytes"), F.col("files").cast("long").alias("files"), "fingerprint")
 
 
-STATS_SCHEMA = "table_name string, row_count long, bytes long, files long, size_mb double, error string"
+STATS_SCHEMA = ("table_name string, row_count long, bytes long, files long, fingerprint string, size_mb double, "
+                "error string")
 
 
 def table_stats(tables: dict[str, DataFrame], chunk: int = 32, no_files: set[str] | list[str] = (),
                 errors: str = "raise") -> DataFrame:
-    """``(table_name, row_count, bytes, files, size_mb)`` per table, in few jobs. Names in
+    """``(table_name, row_count, bytes, files, fingerprint, size_mb)`` per table, in few jobs. Names in
     ``no_files`` (views, in-memory frames) get counts only.
 
     ``errors="isolate"`` runs the chunks eagerly (one small row per table comes back) and, when a
@@ -65,7 +73,7 @@ def table_stats(tables: dict[str, DataFrame], chunk: int = 32, no_files: set[str
                     rows += [tuple(r) + (None,) for r in stats([n]).collect()]
                 except Exception as e:  # noqa: BLE001
                     msg = str(e).strip().splitlines()[0] if str(e).strip() else repr(e)
-                    rows.append((n, None, None, None, None, msg[:500]))
+                    rows.append((n, None, None, None, None, None, msg[:500]))
     spark = tables[names[0]].sparkSession
     return spark.createDataFrame(rows, STATS_SCHEMA)
 
@@ -82,7 +90,7 @@ def catalog_table_stats(spark: SparkSession, names: list[str], chunk: int = 32,
         except Exception as e:  # noqa: BLE001
             if errors != "isolate":
                 raise
-            failed.append((n, None, None, None, None, (str(e).strip().splitlines() or [repr(e)])[0][:500]))
+            failed.append((n, None, None, None, None, None, (str(e).strip().splitlines() or [repr(e)])[0][:500]))
     out = table_stats(tables, chunk, views, errors) if tables else None
     if errors != "isolate":
         return out

@@ -397,3 +397,22 @@ def test_migration_summary_counts(spark):
     got = {r["category"]: r["objects"] for r in migration_summary(plan, tables, views).collect()}
     assert got == {"NOT_ELIGIBLE": 4, "MANAGED_OUTSIDE_DEFAULT": 1, "OTHER_NOT_ELIGIBLE": 2, "MIGRATED_TABLES": 1,
                    "FAILED_TABLES": 1, "MIGRATED_VIEWS": 1, "FAILED_VIEWS": 0}
+
+
+def test_convert_detects_source_written_during_copy(spark, db, monkeypatch):
+    orders(spark).write.saveAsTable(f"{db}.busy_src")
+    orders(spark).write.saveAsTable(f"{db}.calm")
+    real = conv.copy_ops.copy_table
+
+    def copy_then_rewrite_source(spark_, src, dst, loc, **k):
+        real(spark_, src, dst, loc, **k)
+        if "busy_src" in src:  # same rows, new files: counts and checksums still agree
+            spark_.sql(f"INSERT OVERWRITE TABLE {src} SELECT * FROM {dst}")
+
+    monkeypatch.setattr(conv.copy_ops, "copy_table", copy_then_rewrite_source)
+    out = {r["name"]: (r["outcome"], r["reason"]) for r in conv.convert_to_external(
+        spark, _targets(spark, db, ["busy_src", "calm"], new_work_dir(spark, "chg")), drop_old=True,
+        verify="checksum").collect()}
+    assert out["busy_src"][0] == "SOURCE_CHANGED" and "copy left" in out["busy_src"][1]
+    assert out["calm"][0] == "CONVERTED_DROPPED"
+    assert object_type(spark, f"{db}.busy_src") == "MANAGED"  # nothing swapped
