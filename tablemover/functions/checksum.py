@@ -12,10 +12,10 @@ Two kinds of row hash:
 Canonical text of a row: fields joined by ``,``; a null is ``N``; a string is ``<chars>:<text>``
 (length prefixed, so no escaping is needed and no two rows share a text); integers and booleans as
 plain text; floating values (floats widened to double, ``-0.0`` as ``0``) as sign, integer part,
-``.`` and the fraction rounded to 9 digits when below 2^53; as ``hi:lo`` (value = hi * 2^53 + lo)
-below 2^106; the same after an exact scaling by 2^106, prefixed ``X``, below 2^212; and ``Y`` above
-(lossy, no table holds such values); ``NaN``/``Inf``/``-Inf`` spelled out. Only exact IEEE steps
-are used, so engines that print doubles differently still agree;
+``.`` and ``floor(fraction * 1e9 + 0.5)`` when below 2^53; as ``hi:lo`` (value = hi * 2^53 + lo)
+below 2^106 (about 8e31); and ``Y`` above (lossy: such magnitudes all hash alike);
+``NaN``/``Inf``/``-Inf`` spelled out. Only IEEE steps that every engine performs identically are
+used, so engines that print doubles differently still agree;
 timestamps as ``yyyy-MM-dd HH:mm:ss.ffffff``; dates as ``yyyy-MM-dd``; arrays as ``[e,e,...]`` of
 canonical elements; structs as ``{f,f,...}``; maps with entries sorted by key. A checksum is the
 *sum* of the row values (as ``decimal(38,0)``, so it cannot overflow below 10^19 rows), which is
@@ -33,7 +33,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, Dat
 
 NULL_TOKEN = "N"
 SEP = ","
-TWO53, TWO106, TWO212 = 2.0 ** 53, 2.0 ** 106, 2.0 ** 212
+TWO53, TWO106 = 2.0 ** 53, 2.0 ** 106
 
 
 def _hi_lo(ax: Column) -> Column:
@@ -43,21 +43,17 @@ def _hi_lo(ax: Column) -> Column:
     return F.concat(hi.cast("string"), F.lit(":"), (ax - hi.cast("double") * F.lit(TWO53)).cast("long").cast("string"))
 
 
-def _small_or_hi_lo(ax: Column) -> Column:
-    """Below 2^53: integer part, ``.``, fraction rounded to 9 digits; below 2^106: ``hi:lo``."""
-    ip = F.floor(ax)
-    small = F.concat(ip.cast("string"), F.lit("."),
-                     F.round((ax - ip.cast("double")) * F.lit(1e9)).cast("long").cast("string"))
-    return F.when(ax < F.lit(TWO53), small).when(ax < F.lit(TWO106), _hi_lo(ax))
-
-
 def _double_text(d: Column) -> Column:
-    """Exact, engine-independent text of a finite double (see the module docstring)."""
+    """Exact, engine-independent text of a finite double (see the module docstring): below 2^53
+    ``int.frac9`` with ``frac9 = floor(fraction * 1e9 + 0.5)`` (plain IEEE steps, no BigDecimal per
+    value), below 2^106 ``hi:lo``, above that ``Y``. Kept small on purpose: several double columns
+    share one generated method."""
     ax = F.abs(d)
-    sign = F.when(d < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.when(d.isNotNull(), F.concat(sign, F.when(ax < F.lit(TWO106), _small_or_hi_lo(ax))
-                                          .when(ax < F.lit(TWO212), F.concat(F.lit("X"), _small_or_hi_lo(ax / F.lit(TWO106))))
-                                          .otherwise(F.lit("Y"))))
+    ip = F.floor(ax)
+    small = F.concat(ip.cast("string"), F.lit("."),
+                     F.floor((ax - ip) * F.lit(1e9) + F.lit(0.5)).cast("string"))
+    body = F.when(ax < F.lit(TWO53), small).when(ax < F.lit(TWO106), _hi_lo(ax)).otherwise(F.lit("Y"))
+    return F.when(d.isNotNull(), F.concat(F.when(d < 0, F.lit("-")).otherwise(F.lit("")), body))
 
 
 def _canon(c: Column, t: DataType) -> Column:

@@ -94,23 +94,15 @@ def _canon(expr: str, typ: str) -> str:
     elif typ in ("double", "float"):
         d = f"CAST({expr} AS DOUBLE)"
         ax = f"abs({d})"
-        t53, t106, t212 = (f"CAST({x!r} AS DOUBLE)" for x in (2.0 ** 53, 2.0 ** 106, 2.0 ** 212))
-
-        def hi_lo(a: str) -> str:
-            hi = f"floor({a} / {t53})"
-            return (f"CAST(CAST({hi} AS BIGINT) AS VARCHAR) || ':' || "
-                    f"CAST(CAST({a} - {hi} * {t53} AS BIGINT) AS VARCHAR)")
-
-        def small_or_hi_lo(a: str) -> str:
-            small = (f"CAST(CAST(floor({a}) AS BIGINT) AS VARCHAR) || '.' || "
-                     f"CAST(CAST(round(({a} - floor({a})) * CAST(1000000000 AS DOUBLE)) AS BIGINT) AS VARCHAR)")
-            return f"CASE WHEN {a} < {t53} THEN {small} ELSE {hi_lo(a)} END"
-
+        t53, t106 = (f"CAST({x!r} AS DOUBLE)" for x in (2.0 ** 53, 2.0 ** 106))
+        hi = f"floor({ax} / {t53})"
+        hi_lo = f"CAST(CAST({hi} AS BIGINT) AS VARCHAR) || ':' || CAST(CAST({ax} - {hi} * {t53} AS BIGINT) AS VARCHAR)"
+        small = (f"CAST(CAST(floor({ax}) AS BIGINT) AS VARCHAR) || '.' || CAST(CAST(floor(({ax} - floor({ax})) "
+                 f"* CAST(1000000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) AS VARCHAR)")
         v = (f"CASE WHEN {d} IS NULL THEN NULL WHEN isnan({d}) THEN 'NaN' WHEN {d} = CAST('inf' AS DOUBLE) THEN 'Inf' "
              f"WHEN {d} = CAST('-inf' AS DOUBLE) THEN '-Inf' "
-             f"ELSE (CASE WHEN {d} < 0 THEN '-' ELSE '' END) || (CASE WHEN {ax} < {t106} THEN {small_or_hi_lo(ax)} "
-             f"WHEN {ax} < {t212} THEN 'X' || ({small_or_hi_lo(f'({ax} / {t106})')}) "
-             f"ELSE 'Y' END) END")
+             f"ELSE (CASE WHEN {d} < 0 THEN '-' ELSE '' END) || "
+             f"(CASE WHEN {ax} < {t53} THEN {small} WHEN {ax} < {t106} THEN {hi_lo} ELSE 'Y' END) END")
     elif typ == "timestamp":
         v = f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
     elif typ.startswith("array<"):
