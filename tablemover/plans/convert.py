@@ -104,13 +104,20 @@ class _Staged:
     before: str | None = None   # source file fingerprint taken before a fresh copy
 
 
-def _check(spark: SparkSession, row: dict, resume: bool) -> dict | tuple[str, str | None]:
+def _check(spark: SparkSession, row: dict, resume: bool,
+           types: dict[tuple[str, str], str] | None = None) -> dict | tuple[str, str | None]:
     """State of one table: an outcome row when it stops here, else ``(stage, note)`` where stage
-    is ``fresh`` (copy it now) or the point an earlier run reached."""
+    is ``fresh`` (copy it now) or the point an earlier run reached. ``types`` -- object types by
+    lower-cased ``(database, name)`` from one listing per database -- saves three catalog lookups
+    per table; without it the catalog is asked."""
     db, t = row["database"], row["name"]
     src, ext, old = _q(db, t), _q(db, t + "_ext"), _q(db, t + "_old")
     try:
-        kind, old_kind, ext_kind = object_type(spark, src), object_type(spark, old), object_type(spark, ext)
+        if types is not None:
+            key = (db or "").lower()
+            kind, old_kind, ext_kind = (types.get((key, n.lower())) for n in (t, t + "_old", t + "_ext"))
+        else:
+            kind, old_kind, ext_kind = object_type(spark, src), object_type(spark, old), object_type(spark, ext)
     except Exception as e:  # noqa: BLE001 - one outcome per table
         return _outcome(row, "CHECK_FAILED", str(e))
     if kind == "MANAGED" and old_kind is None and ext_kind is None:
@@ -311,11 +318,18 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     cost a few verification jobs per group instead of two or three jobs each.
     """
     rows = _plan_rows(targets, sizes)
+    # Object types of every table involved, from one name-and-type listing per database (not three
+    # catalog lookups per table).
+    types: dict[tuple[str, str], str] = {}
+    for d in sorted({r["database"] for r in rows if r["database"]}):
+        if spark.catalog.databaseExists(d):
+            types.update({(d.lower(), t.name.lower()): t.tableType for t in spark.catalog.listTables(d)
+                          if not t.isTemporary})
     n_groups = max(parallelism, -(-len(rows) // max(batch, 1))) if rows else 0
     groups = [list(range(j, len(rows), n_groups)) for j in range(n_groups)]
 
     def run_group(idx: list[int]) -> list[tuple[int, dict]]:
-        states = [_check(spark, rows[i], resume) for i in idx]
+        states = [_check(spark, rows[i], resume, types) for i in idx]
         fresh = [_q(rows[i]["database"], rows[i]["name"]) for i, st in zip(idx, states)
                  if not isinstance(st, dict) and st[0] == "fresh"]
         before = _fingerprints(spark, fresh)  # one metadata job for the whole group
