@@ -24,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.checksum import checksum_aggs, row_hash, row_hash32
+from ..functions.checksum import checksum_aggs, row_digest, row_hash, row_hash32
 from .select import exclude_schemas as _exclude_schemas
 
 
@@ -104,18 +104,29 @@ def not_upgraded(src_inv: DataFrame, exclude_schemas: list[str] | str | None = N
 
 # ---------------------------------------------------------------- counts
 
-def count_rows(tables: dict[str, DataFrame], chunk: int = 64) -> DataFrame:
-    """``(table_name, rows)`` for many tables in few jobs: a union of global counts.
+def _labels(spark, labels: list[str]) -> DataFrame:
+    return F.broadcast(spark.createDataFrame([(n,) for n in labels], "table_name string"))
 
-    Each count is a partial aggregate per task plus one merge; the union runs the scans of a chunk
-    of tables in one job, so thousands of small tables do not mean thousands of jobs.
+
+def count_rows(tables: dict[str, DataFrame], chunk: int = 256) -> DataFrame:
+    """``(table_name, row_count)`` for many tables in few jobs.
+
+    Each table contributes one projection (its label); one grouped count over the union gives
+    all counts -- a partial count per task, one small shuffle -- and tables without rows are put
+    back from the list of labels. The driver builds one DataFrame per table, not four.
     """
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-             for name, df in tables.items()]
-    if not parts:
+    names = list(tables)
+    if not names:
         raise ValueError("no tables")
-    chunks = [reduce(DataFrame.unionAll, parts[i:i + chunk]) for i in range(0, len(parts), chunk)]
-    return reduce(DataFrame.unionAll, chunks)
+    spark = tables[names[0]].sparkSession
+    out = []
+    for i in range(0, len(names), chunk):
+        group = names[i:i + chunk]
+        u = reduce(DataFrame.unionAll, [tables[n].select(F.lit(n).alias("table_name")) for n in group])
+        counts = u.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+        out.append(_labels(spark, group).join(counts, "table_name", "left")
+                   .select("table_name", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")))
+    return reduce(DataFrame.unionAll, out)
 
 
 def reconcile_counts(source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:
@@ -133,11 +144,28 @@ def table_checksum(df: DataFrame, cols: list[str] | None = None, portable: bool
     return df.agg(*checksum_aggs(df, cols, portable))
 
 
-def table_checksums(tables: dict[str, DataFrame], portable: bool = False, chunk: int = 64) -> DataFrame:
-    parts = [table_checksum(df, portable=portable).select(F.lit(n).alias("table_name"), "row_count", "checksum")
-             for n, df in tables.items()]
-    chunks = [reduce(DataFrame.unionAll, parts[i:i + chunk]) for i in range(0, len(parts), chunk)]
-    return reduce(DataFrame.unionAll, chunks)
+def table_checksums(tables: dict[str, DataFrame], portable: bool = False, chunk: int = 256) -> DataFrame:
+    """``(table_name, row_count, checksum)`` for many tables: one projection per table (label and
+    row value), one grouped sum over the union, empty tables put back from the list of labels."""
+    names = list(tables)
+    if not names:
+        raise ValueError("no tables")
+    spark = tables[names[0]].sparkSession
+    zero = F.lit(0).cast("decimal(38,0)")
+    out = []
+    for i in range(0, len(names), chunk):
+        group = names[i:i + chunk]
+        parts = []
+        for n in group:
+            df = tables[n]
+            v = row_digest(df) if portable else row_hash(df).cast("decimal(20,0)")
+            parts.append(df.select(F.lit(n).alias("table_name"), v.cast("decimal(38,0)").alias("_v")))
+        agg = reduce(DataFrame.unionAll, parts).groupBy("table_name").agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("_v").alias("_sum"))
+        out.append(_labels(spark, group).join(agg, "table_name", "left").select(
+            "table_name", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+            F.coalesce("_sum", zero).cast("string").alias("checksum")))
+    return reduce(DataFrame.unionAll, out)
 
 
 def reconcile_partitions(src: DataFrame, dst: DataFrame, partition_cols: list[str],

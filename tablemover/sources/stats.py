@@ -15,31 +15,47 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.estimate import BYTES_PER_MB
 
 
-def _one(df: DataFrame, label: str, with_bytes: bool) -> DataFrame:
-    if not with_bytes:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(label).alias("table_name"), "row_count", F.lit(None).cast("long").alias("bytes"),
-            F.lit(None).cast("long").alias("files"), F.lit(None).cast("string").alias("fingerprint"))
-    per_file = (df.select(F.col("_metadata.file_path").alias("_p"), F.col("_metadata.file_size").alias("_s"),
-                          F.col("_metadata.file_modification_time").alias("_t"))
-                .groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.max("_s").alias("_s"), F.max("_t").alias("_t")))
+def _rows(df: DataFrame, label: str, with_files: bool) -> DataFrame:
+    """One projection per table: its label and the file each row came from (no data columns)."""
+    if not with_files:
+        return df.select(F.lit(label).alias("table_name"), F.lit(None).cast("string").alias("_p"),
+                         F.lit(None).cast("long").alias("_s"), F.lit(None).cast("timestamp").alias("_t"))
+    return df.select(F.lit(label).alias("table_name"), F.col("_metadata.file_path").alias("_p"),
+                     F.col("_metadata.file_size").alias("_s"),
+                     F.col("_metadata.file_modification_time").cast("timestamp").alias("_t"))
+
+
+def _stats_of(parts: list[DataFrame], labels: list[str]) -> DataFrame:
+    """Per-file, then per-table aggregates over the union of the tables' projections: two small
+    shuffles (one row per file and task, then per table) whatever the number of tables, and only
+    one DataFrame built per table on the driver."""
+    u = reduce(DataFrame.unionAll, parts)
+    per_file = u.groupBy("table_name", "_p").agg(F.count(F.lit(1)).alias("_n"), F.max("_s").alias("_s"),
+                                                   F.max("_t").alias("_t"))
     # The file set as one text: count, bytes, newest modification time and an order-free hash of
     # the paths -- any file added, removed or rewritten changes it.
-    fingerprint = F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.coalesce(F.sum("_s"), F.lit(0)).cast("string"),
+    fingerprint = F.concat_ws(":", F.count("_p").cast("string"), F.coalesce(F.sum("_s"), F.lit(0)).cast("string"),
                               F.coalesce(F.max("_t").cast("long"), F.lit(0)).cast("string"),
                               F.coalesce(F.sum(F.xxhash64("_p").cast("decimal(38,0)")),
                                          F.lit(0).cast("decimal(38,0)")).cast("string"))
-    return per_file.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"), F.sum("_s").alias("bytes"),
-                        F.count(F.lit(1)).alias("files"), fingerprint.alias("fingerprint")).select(
-        F.lit(label).alias("table_name"), F.col("row_count").cast("long").alias("row_count"),
-        F.col("bytes").cast("long").alias("bytes"), F.col("files").cast("long").alias("files"), "fingerprint")
+    with_paths = F.count("_p") > 0
+    agg = per_file.groupBy("table_name").agg(
+        F.sum("_n").cast("long").alias("row_count"), F.sum("_s").cast("long").alias("bytes"),
+        F.when(with_paths, F.count("_p")).cast("long").alias("files"),
+        F.when(with_paths, fingerprint).alias("fingerprint"))
+    # A table without rows has no row in the union: put it back from the (small) list of labels.
+    spark = parts[0].sparkSession
+    names = spark.createDataFrame([(n,) for n in labels], "table_name string")
+    return (F.broadcast(names).join(agg, "table_name", "left")
+            .select("table_name", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"), "bytes", "files",
+                    "fingerprint", (F.col("bytes").cast("double") / F.lit(BYTES_PER_MB)).alias("size_mb")))
 
 
 STATS_SCHEMA = ("table_name string, row_count long, bytes long, files long, fingerprint string, size_mb double, "
                 "error string")
 
 
-def table_stats(tables: dict[str, DataFrame], chunk: int = 32, no_files: set[str] | list[str] = (),
+def table_stats(tables: dict[str, DataFrame], chunk: int = 256, no_files: set[str] | list[str] = (),
                 errors: str = "raise") -> DataFrame:
     """``(table_name, row_count, bytes, files, fingerprint, size_mb)`` per table, in few jobs. Names in
     ``no_files`` (views, in-memory frames) get counts only.
@@ -53,12 +69,8 @@ def table_stats(tables: dict[str, DataFrame], chunk: int = 32, no_files: set[str
     if not names:
         raise ValueError("no tables")
 
-    def part(name: str) -> DataFrame:
-        return _one(tables[name], name, name not in nf)
-
     def stats(group: list[str]) -> DataFrame:
-        out = reduce(DataFrame.unionAll, [part(n) for n in group])
-        return out.withColumn("size_mb", F.col("bytes").cast("double") / F.lit(BYTES_PER_MB))
+        return _stats_of([_rows(tables[n], n, n not in nf) for n in group], group)
 
     groups = [names[i:i + chunk] for i in range(0, len(names), chunk)]
     if errors != "isolate":
