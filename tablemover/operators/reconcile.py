@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.checksum import checksum_aggs, row_digest, row_hash, row_hash32
+from ..session import work_root
 from .select import exclude_schemas as _exclude_schemas
 
 
@@ -237,6 +238,7 @@ def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact", bucket
         return src.exceptAll(dst), dst.exceptAll(src)
     if method != "narrow":
         raise ValueError(f"unknown method {method!r}")
+    work_root(src.sparkSession)  # a shared checkpoint folder must be registered before checkpoint()
     bad = mismatched_buckets(src, dst, buckets).checkpoint(eager=True)
     n_bad = bad.count()
     if n_bad == 0:
