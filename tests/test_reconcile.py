@@ -182,3 +182,29 @@ def test_narrow_paths_empty_sparse_dense(spark):
         e1, e2 = reconcile_rows(a, other, "exact")
         assert s.count() == expect == t.count()
         assert rows(s) == rows(e1) and rows(t) == rows(e2)
+
+
+def test_batched_counts_checksums_and_stats_keep_empty_tables(spark):
+    from tablemover.operators.reconcile import table_checksums
+    from tablemover.sources.stats import table_stats
+    full = spark.range(10).select(F.col("id"), (F.col("id") % 2).alias("p"))
+    empty = full.where(F.lit(False))
+    counts = {r["table_name"]: r["row_count"] for r in count_rows({"full": full, "empty": empty}).collect()}
+    assert counts == {"full": 10, "empty": 0}
+    sums = {r["table_name"]: (r["row_count"], r["checksum"]) for r in
+            table_checksums({"full": full, "empty": empty, "again": full}).collect()}
+    assert sums["empty"] == (0, "0") and sums["full"] == sums["again"] and sums["full"][0] == 10
+    st = {r["table_name"]: r["row_count"] for r in table_stats({"full": full, "empty": empty},
+                                                                no_files={"full", "empty"}).collect()}
+    assert st == {"full": 10, "empty": 0}
+
+
+def test_reconcile_partitions_with_null_partition(spark):
+    from tablemover.operators.reconcile import reconcile_partitions
+    s = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "v int, p string")
+    t = spark.createDataFrame([(1, "a"), (2, None), (4, "b"), (5, "c")], "v int, p string")
+    out = {r["p"]: (r["status"], r["source_rows"], r["target_rows"]) for r in
+           reconcile_partitions(s, t, ["p"]).collect()}
+    assert out == {"b": ("changed", 1, 1), "c": ("extra", 0, 1)}
+    t2 = spark.createDataFrame([(1, "a"), (3, "b")], "v int, p string")
+    assert {r["p"]: r["status"] for r in reconcile_partitions(s, t2, ["p"]).collect()} == {None: "missing"}
