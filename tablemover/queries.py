@@ -574,11 +574,9 @@ def q_migrate_views(spark, sf):
 
 def q_inventory(spark, sf):
     src, tgt, inv, man, plan = _register_setup(spark, sf)
-    listed = inv.select("name", "object_type").collect()
-    stats = table_stats({r["name"]: spark.table(f"`{src}`.`{r['name']}`") for r in listed},
-                        no_files={r["name"] for r in listed if r["object_type"] == "VIEW"})
-    return inv.join(stats.withColumnRenamed("table_name", "name"), "name").select(
-        "name", "object_type", "provider", (F.size("partition_columns") > 0).alias("is_partitioned"), "row_count")
+    full = inventory(spark, [src], with_stats=True)
+    return full.select("name", "object_type", "provider", (F.size("partition_columns") > 0).alias("is_partitioned"),
+                       "row_count")
 
 
 def q_migrate_all(spark, sf):

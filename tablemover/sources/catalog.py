@@ -44,14 +44,36 @@ def _listing(spark: SparkSession, db: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, databases: list[str] | None = None,
-              catalog_label: str | None = None, errors: str = "raise", parallelism: int = 1) -> DataFrame:
+              catalog_label: str | None = None, errors: str = "raise", parallelism: int = 1,
+              with_stats: bool = False) -> DataFrame:
     """``catalog, database, name, object_type, provider, location, partition_columns, view_text``.
 
     ``object_type`` is ``MANAGED``, ``EXTERNAL`` or ``VIEW``; temporary views are left out.
     ``partition_columns`` is an array of names (empty when unpartitioned). ``errors="skip"`` logs a
     database that cannot be listed and goes on without it. ``parallelism`` lists that many
-    databases at once (the calls wait on the metastore, not on executors).
+    databases at once (the calls wait on the metastore, not on executors). ``with_stats`` adds
+    ``row_count, bytes, files, size_mb, stats_error`` from ``table_stats`` (batched jobs; an
+    unreadable table gets an error text, views get counts only).
     """
+    inv = _inventory(spark, databases, catalog_label, errors, parallelism)
+    if not with_stats:
+        return inv
+    from .stats import catalog_table_stats
+    listed = inv.select("database", "name", "object_type").collect()  # metadata: one row per table
+    if not listed:
+        return inv.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("row_count", "long"), ("bytes", "long"), ("files", "long"), ("size_mb", "double"),
+            ("stats_error", "string"))])
+    full = {f"`{r['database']}`.`{r['name']}`": (r["database"], r["name"]) for r in listed}
+    st = catalog_table_stats(spark, list(full), errors="isolate")
+    keys = spark.createDataFrame([(k, d, n) for k, (d, n) in full.items()], "table_name string, database string, name string")
+    st = st.join(keys, "table_name").select("database", "name", "row_count", "bytes", "files", "size_mb",
+                                            F.col("error").alias("stats_error"))
+    return inv.join(st, ["database", "name"], "left")
+
+
+def _inventory(spark: SparkSession, databases: list[str] | None, catalog_label: str | None, errors: str,
+               parallelism: int) -> DataFrame:
     dbs = databases if databases is not None else list_databases(spark)
     label = catalog_label or spark.catalog.currentCatalog()
 
