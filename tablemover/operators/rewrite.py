@@ -17,9 +17,9 @@ Plan of the token rule (all built-in expressions):
 2. ``posexplode`` the tokens and keep the dotted identifiers only -- from here on the per-token
    work (split into parts, catalog test, key) is ordinary whole-stage-codegen expressions over
    rows instead of interpreted lambdas over arrays;
-3. join the candidates with the mapping on the key: a broadcast join when the mapping's row count
-   is under ``max_broadcast`` (counted first), otherwise a shuffle join that AQE can split when a
-   key is hot;
+3. join the candidates with the mapping on the key: Spark broadcasts the mapping when its
+   measured size is under the adaptive broadcast threshold (or, with ``max_broadcast``, when its
+   counted row count is), otherwise it keeps a shuffle join that AQE can split when a key is hot;
 4. gather the replacements of each text into a ``position -> new token`` map (bounded by the
    text's own length), join it back to the texts on ``key_cols`` and swap the tokens by position.
 
@@ -95,19 +95,22 @@ def _mapping_frame(df: DataFrame, mapping) -> DataFrame:
 
 def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict, catalog_from: str | None = None,
                        catalog_to: str | None = None, out_col: str | None = None,
-                       key_cols: list[str] | None = None, max_broadcast: int = 1_000_000) -> DataFrame:
+                       key_cols: list[str] | None = None, max_broadcast: int | None = None) -> DataFrame:
     """Add ``out_col`` (default: replace ``text_col``) with references rewritten by the token rule.
 
     ``mapping`` is a dict or a ``(key, value)`` frame (see ``mapping_from_manifest``); keys are
     lower-cased ``schema.table``. ``key_cols`` must identify the rows of ``df`` uniquely and be
-    non-null (a row with a null key keeps its text unchanged).
+    non-null (a row with a null key keeps its text unchanged). ``max_broadcast=None`` leaves the
+    join strategy to Spark (adaptive execution broadcasts the mapping when its measured size is
+    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else keeps the shuffle join); a
+    number counts the mapping first and hints a broadcast when it has at most that many rows.
     """
     out_col = out_col or text_col
     if not key_cols:
         raise ValueError("key_cols (a unique key of the texts) are required")
     m = _mapping_frame(df, mapping)
     # Size check before broadcasting: at most ``max_broadcast`` rows are shipped to every executor.
-    if m.limit(max_broadcast + 1).count() <= max_broadcast:
+    if max_broadcast is not None and max_broadcast > 0 and m.limit(max_broadcast + 1).count() <= max_broadcast:
         m = F.broadcast(m)
     cat_swap = F.lit(bool(catalog_to) and bool(catalog_from))
     # One shuffle of the texts by their key; the candidate branch, the per-text aggregation of the

@@ -42,7 +42,7 @@ def view_mapping(plan: DataFrame) -> DataFrame:
 
 
 def view_statements(plan: DataFrame, mapping, catalog_from: str | None = None, catalog_to: str | None = None,
-                    max_broadcast: int = 1_000_000, target_catalog: str | None = None) -> DataFrame:
+                    max_broadcast: int | None = None, target_catalog: str | None = None) -> DataFrame:
     rw = rewrite_references(plan, "view_text", mapping, catalog_from, catalog_to, out_col="new_text",
                             key_cols=["source_schema", "source_view"], max_broadcast=max_broadcast)
     parts = ["target_schema", "target_view"]

@@ -404,7 +404,8 @@ def _reference_texts(spark, sf) -> DataFrame:
 def q_rewrite_references(spark, sf):
     m = mapping_from_manifest(man_df(spark, sf))
     return rewrite_references(_reference_texts(spark, sf), "text", m, SOURCE_CATALOG, CATALOG,
-                              out_col="new_text", key_cols=["o_orderkey"]).select("o_orderkey", "new_text")
+                              out_col="new_text", key_cols=["o_orderkey"], max_broadcast=1_000_000
+                              ).select("o_orderkey", "new_text")
 
 
 def q_rewrite_references_join(spark, sf):

@@ -62,5 +62,5 @@ def test_inventory_filters_reach_the_scan(spark):
 
 def test_rewrite_broadcasts_a_counted_small_mapping(spark):
     texts = spark.createDataFrame([(1, "select * from db.a")], "id int, text string")
-    p = plan(rewrite_references(texts, "text", {"db.a": "x.y"}, key_cols=["id"]))
+    p = plan(rewrite_references(texts, "text", {"db.a": "x.y"}, key_cols=["id"], max_broadcast=100))
     assert "BroadcastHashJoin" in p
