@@ -159,6 +159,7 @@ def _plan(spark, sf) -> DataFrame:
 # ------------------------------------------------------------------ queries (Spark side)
 
 def q_manifest_number(spark, sf):
+    """B2: listing rows -> typed manifest, ``t_no`` 1..n by customer key without a one-partition window."""
     k = F.col("c_custkey")
     rows = _t(spark, sf, "customer").select(
         "c_custkey", F.concat(F.lit("cust_"), k.cast("string")).alias("name"), _db_expr(False).alias("database"),
@@ -182,6 +183,7 @@ def q_manifest_from_csv(spark, sf):
 
 
 def q_manifest_dedup(spark, sf):
+    """B1: a manifest listing some tables twice, exact duplicates dropped."""
     m = man_df(spark, sf)
     again = m.join(_t(spark, sf, "customer").where(F.col("c_nationkey") == 1).select(
         F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("name")), "name").select(*m.columns)
@@ -189,6 +191,7 @@ def q_manifest_dedup(spark, sf):
 
 
 def q_manifest_dup_keys(spark, sf):
+    """B1: duplicate ``(database, name)`` keys with different rows, and rows with a null key."""
     m = man_df(spark, sf)
     c = _t(spark, sf, "customer").select(
         F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("name"), "c_nationkey")
@@ -199,20 +202,24 @@ def q_manifest_dup_keys(spark, sf):
 
 
 def q_include_tables(spark, sf):
+    """Inventory rows named in the manifest (left semi join)."""
     inc = man_df(spark, sf).join(_t(spark, sf, "customer").where(F.col("c_nationkey") < 10).select(
         F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("name")), "name")
     return include_tables(inv_df(spark, sf), inc)
 
 
 def q_exclude_tables(spark, sf):
+    """Inventory rows not in the exclusion list (left anti join)."""
     return exclude_tables(inv_df(spark, sf), excl_df(spark, sf))
 
 
 def q_exclude_schemas(spark, sf):
+    """Inventory rows outside the excluded schemas (SQL ``NOT IN`` semantics)."""
     return exclude_schemas(inv_df(spark, sf), EXCLUDED_SCHEMAS)
 
 
 def q_plan_targets(spark, sf):
+    """Source and target names, quoted names and flag-driven locations."""
     return plan_targets(man_df(spark, sf), CATALOG, PII_ROOT, NONPII_ROOT, SOURCE_CATALOG)
 
 
@@ -224,6 +231,7 @@ def q_flag_location(spark, sf):
 
 
 def q_estimate_tables(spark, sf):
+    """Per-table transfer estimate from document sizes, both rate readings."""
     sizes = (_t(spark, sf, "documents").groupBy(F.concat(F.lit("docs_"), F.col("lang")).alias("target_schema"),
                                                  F.col("source").alias("table_name"))
              .agg(F.sum("n_chars").alias("bytes")))
@@ -235,6 +243,7 @@ def q_estimate_tables(spark, sf):
 
 
 def q_estimate_totals(spark, sf):
+    """Estimate totals in seconds, minutes and hours, both rate readings."""
     sizes = (_t(spark, sf, "documents").groupBy(F.col("lang").alias("target_schema"), F.col("source").alias("table_name"))
              .agg(F.sum("n_chars").alias("bytes")))
     parts = []
@@ -263,14 +272,17 @@ def q_estimate_manifest(spark, sf):
 
 
 def q_table_counts(spark, sf):
+    """Row counts of all 14 test tables in one grouped aggregation."""
     return count_rows({t: _t(spark, sf, t) for t in TABLES})
 
 
 def q_table_stats(spark, sf):
+    """Rows, bytes and files of all test tables from file metadata (no SQL twin)."""
     return table_stats({t: _t(spark, sf, t) for t in TABLES})
 
 
 def q_table_checksum(spark, sf):
+    """Portable (md5) order-free checksums of all 14 test tables."""
     return table_checksums({t: _t(spark, sf, t) for t in TABLES}, portable=True)
 
 
@@ -280,57 +292,70 @@ def q_table_checksum_fast(spark, sf):
 
 
 def q_only_in_source(spark, sf):
+    """External tables in the source inventory but not in the target (bag difference)."""
     return reconcile_inventory(inv_df(spark, sf), tinv_df(spark, sf), "EXTERNAL", EXCLUDED_SCHEMAS)[0]
 
 
 def q_only_in_target(spark, sf):
+    """External tables in the target inventory but not in the source."""
     return reconcile_inventory(inv_df(spark, sf), tinv_df(spark, sf), "EXTERNAL", EXCLUDED_SCHEMAS)[1]
 
 
 def q_views_only_in_source(spark, sf):
+    """Views in the source inventory but not in the target."""
     return reconcile_inventory(inv_df(spark, sf), tinv_df(spark, sf), "VIEW", EXCLUDED_SCHEMAS)[0]
 
 
 def q_views_only_in_target(spark, sf):
+    """Views in the target inventory but not in the source."""
     return reconcile_inventory(inv_df(spark, sf), tinv_df(spark, sf), "VIEW", EXCLUDED_SCHEMAS)[1]
 
 
 def q_only_in_source_mapped(spark, sf):
+    """Source objects missing in the target under their mapped (renamed) names."""
     return reconcile_inventory(inv_df(spark, sf), tinv_mapped_df(spark, sf), "EXTERNAL", None, man_df(spark, sf))[0]
 
 
 def q_only_in_target_mapped(spark, sf):
+    """Target objects with no source under the mapped names."""
     return reconcile_inventory(inv_df(spark, sf), tinv_mapped_df(spark, sf), "EXTERNAL", None, man_df(spark, sf))[1]
 
 
 def q_validation_summary(spark, sf):
+    """Counts of every post-migration check in one job."""
     from .plans.validate import validate
     return validate(inv_df(spark, sf), tinv_df(spark, sf), EXCLUDED_SCHEMAS).summary()
 
 
 def q_not_upgraded(spark, sf):
+    """External tables no migration has claimed."""
     return not_upgraded(inv_df(spark, sf), EXCLUDED_SCHEMAS)
 
 
 def q_count_match(spark, sf):
+    """Row counts of tables and their copies, joined per table."""
     src = count_rows({"orders": _t(spark, sf, "orders"), "lineitem": _t(spark, sf, "lineitem")})
     dst = count_rows({"orders": orders_v2_df(spark, sf), "lineitem": _t(spark, sf, "lineitem")})
     return reconcile_counts(src, dst)
 
 
 def q_rows_only_in_source(spark, sf):
+    """Rows of ``orders`` missing from its perturbed copy (exact bag difference)."""
     return reconcile_rows(_t(spark, sf, "orders"), orders_v2_df(spark, sf), "exact")[0]
 
 
 def q_rows_only_in_target(spark, sf):
+    """Rows of the perturbed copy not in ``orders`` (exact bag difference)."""
     return reconcile_rows(_t(spark, sf, "orders"), orders_v2_df(spark, sf), "exact")[1]
 
 
 def q_rows_only_in_source_narrow(spark, sf):
+    """As ``rows_only_in_source``, narrowed by bucket signatures first."""
     return reconcile_rows(_t(spark, sf, "orders"), orders_v2_df(spark, sf), "narrow")[0]
 
 
 def q_rows_only_in_target_narrow(spark, sf):
+    """As ``rows_only_in_target``, narrowed by bucket signatures first."""
     return reconcile_rows(_t(spark, sf, "orders"), orders_v2_df(spark, sf), "narrow")[1]
 
 
@@ -357,28 +382,34 @@ def q_partition_diff(spark, sf):
 
 
 def q_keyed_diff(spark, sf):
+    """Per-key missing / extra / changed status of ``orders`` against its copy."""
     return keyed_diff(_t(spark, sf, "orders"), orders_v2_df(spark, sf, doubled=False), ["o_orderkey"])
 
 
 def q_plan_status(spark, sf):
+    """One status row per manifest object (the dry-run plan)."""
     return _plan(spark, sf)
 
 
 def q_plan_status_counts(spark, sf):
+    """Objects per status."""
     return outcome_counts(_plan(spark, sf))
 
 
 def q_report_ineligible(spark, sf):
+    """Managed tables outside the default schema."""
     managed, _ = ineligible(_plan(spark, sf))
     return managed.select("source_schema", "source_name", "status_code", "description")
 
 
 def q_report_other_ineligible(spark, sf):
+    """Other objects that cannot be migrated as they are."""
     _, other = ineligible(_plan(spark, sf))
     return other.select("source_schema", "source_name", "status_code", "description")
 
 
 def q_rewrite_catalog(spark, sf):
+    """The literal catalog rule over SQL texts built from ``orders``."""
     o = _t(spark, sf, "orders")
     text = F.concat(F.lit("select * from `hive_metastore`.seg.orders_"), F.col("o_orderkey").cast("string"),
                     F.lit(" join hive_metastore.ref.t on my_hive_metastore_z = '"), F.col("o_orderstatus"), F.lit("'"))
@@ -402,6 +433,7 @@ def _reference_texts(spark, sf) -> DataFrame:
 
 
 def q_rewrite_references(spark, sf):
+    """The one-pass token rule, mapping counted and broadcast."""
     m = mapping_from_manifest(man_df(spark, sf))
     return rewrite_references(_reference_texts(spark, sf), "text", m, SOURCE_CATALOG, CATALOG,
                               out_col="new_text", key_cols=["o_orderkey"], max_broadcast=1_000_000
@@ -409,6 +441,7 @@ def q_rewrite_references(spark, sf):
 
 
 def q_rewrite_references_join(spark, sf):
+    """The one-pass token rule through a shuffle join with the mapping."""
     m = mapping_from_manifest(man_df(spark, sf))
     return rewrite_references(_reference_texts(spark, sf), "text", m, SOURCE_CATALOG, CATALOG,
                               out_col="new_text", key_cols=["o_orderkey"], max_broadcast=0).select("o_orderkey", "new_text")
@@ -430,6 +463,7 @@ def _external(spark, sf, db: str, table: str, partition_by: list[str] | None = N
 
 
 def q_copy_orders(spark, sf):
+    """A managed table copied to an external location and read back."""
     db = new_database(spark, "copy")
     _managed(spark, sf, db, "orders")
     loc = new_work_dir(spark, "copy-orders") + "/data"
@@ -438,6 +472,7 @@ def q_copy_orders(spark, sf):
 
 
 def q_copy_lineitem_partitioned(spark, sf):
+    """A partitioned managed table copied with its partition columns kept."""
     db = new_database(spark, "copyp")
     _managed(spark, sf, db, "lineitem", ["l_returnflag", "l_linestatus"])
     loc = new_work_dir(spark, "copy-lineitem") + "/data"
@@ -447,6 +482,7 @@ def q_copy_lineitem_partitioned(spark, sf):
 
 
 def q_copy_verify(spark, sf):
+    """Copy proven by row counts and portable checksums of both sides (the flagship)."""
     db = new_database(spark, "verify")
     _managed(spark, sf, db, "orders")
     loc = new_work_dir(spark, "verify-orders") + "/data"
@@ -480,6 +516,7 @@ def _convert_setup(spark, sf):
 
 
 def q_convert_report(spark, sf):
+    """Conversion of managed, external and missing tables, one outcome each."""
     db, targets = _convert_setup(spark, sf)
     out = convert_to_external(spark, targets, drop_old=True, verify="checksum", parallelism=2)
     return out.select("name", "outcome", "source_rows", "target_rows")
@@ -527,6 +564,7 @@ def q_migrate_dry_run(spark, sf):
 
 
 def q_convert_content(spark, sf):
+    """A converted table read back under its original name."""
     db, targets = _convert_setup(spark, sf)
     out = convert_to_external(spark, targets, drop_old=False, verify="count").collect()
     assert {r["name"]: r["outcome"] for r in out}["orders"] == "CONVERTED", out
@@ -553,18 +591,21 @@ def _register_setup(spark, sf):
 
 
 def q_register_report(spark, sf):
+    """External tables registered in a target schema, verified against their sources."""
     src, tgt, inv, man, plan = _register_setup(spark, sf)
     return register_external(spark, plan, inv, dry_run=False, verify="checksum").select(
         "name", "target_table", "outcome", "source_rows", "target_rows")
 
 
 def q_register_content(spark, sf):
+    """A registered (renamed, partitioned) table read back."""
     src, tgt, inv, man, plan = _register_setup(spark, sf)
     register_external(spark, plan, inv, dry_run=False).collect()
     return copy_ops.read_back(spark, f"`{tgt}`.`lineitem_v2`", _t(spark, sf, "lineitem").columns)
 
 
 def q_migrate_views(spark, sf):
+    """A view recreated in the target with its references rewritten, then queried."""
     src, tgt, inv, man, plan = _register_setup(spark, sf)
     register_external(spark, plan, inv, dry_run=False).collect()
     vp = view_plan(inv).withColumn("target_schema", F.lit(tgt))
@@ -574,6 +615,7 @@ def q_migrate_views(spark, sf):
 
 
 def q_inventory(spark, sf):
+    """Inventory of a schema with object types, providers, partitioning and row counts."""
     src, tgt, inv, man, plan = _register_setup(spark, sf)
     full = inventory(spark, [src], with_stats=True)
     return full.select("name", "object_type", "provider", (F.size("partition_columns") > 0).alias("is_partitioned"),
@@ -581,6 +623,7 @@ def q_inventory(spark, sf):
 
 
 def q_migrate_all(spark, sf):
+    """End-to-end migration of tables and a view, outcomes with verified counts."""
     src = new_database(spark, "migsrc")
     tgt = new_database(spark, "migtgt")
     _external(spark, sf, src, "orders")
@@ -600,6 +643,7 @@ def q_migrate_all(spark, sf):
 
 
 def q_split_by_flag(spark, sf):
+    """Documents routed to PII / non-PII storage by their label, read back."""
     d = _t(spark, sf, "documents")
     lab = _t(spark, sf, "labels").select("doc_id", "toxic")
     flagged = d.join(lab, "doc_id", "left").withColumn("flag", F.col("toxic") == 1).drop("toxic")
@@ -609,6 +653,7 @@ def q_split_by_flag(spark, sf):
 
 
 def q_checkpoint_csv(spark, sf):
+    """A table written as CSV with a header and read back typed."""
     c = _t(spark, sf, "customer")
     path = new_work_dir(spark, "csv") + "/data"
     copy_ops.write_csv(c, path)
