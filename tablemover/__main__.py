@@ -109,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
         targets = plan_targets(_manifest(spark, a.manifest, a.manifest_format), "spark_catalog", a.pii_root,
                                a.nonpii_root)
         out = convert_to_external(spark, targets, a.drop_old, a.verify, parallelism=a.parallelism,
-                                  resume=not a.no_resume)
+                                  resume=not a.no_resume, sizes="auto")
         _emit({"conversions": out, "counts": outcome_counts(out, "outcome"), "failures": conversion_failures(out),
                "converted": conversion_summary(out)}, a.out, a.show)
     elif a.cmd == "migrate":

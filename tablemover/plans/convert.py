@@ -291,6 +291,19 @@ def verify_many(spark: SparkSession, pairs: list[tuple[str, str]], verify: str =
     return res  # type: ignore[return-value]
 
 
+def _auto_sizes(spark: SparkSession, targets: DataFrame) -> DataFrame:
+    """``database, name, bytes`` of the existing source tables: one batched metadata job."""
+    names = {}
+    for r in targets.select("database", "name").distinct().collect():  # metadata: one row per table
+        if r["database"] and r["name"] and spark.catalog.tableExists(_q(r["database"], r["name"])):
+            names[_q(r["database"], r["name"])] = (r["database"], r["name"])
+    schema = "database string, name string, bytes long"
+    if not names:
+        return spark.createDataFrame([], schema)
+    st = table_stats({k: spark.table(k) for k in names}, errors="isolate").collect()
+    return spark.createDataFrame([(*names[r["table_name"]], r["bytes"]) for r in st], schema)
+
+
 def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]:
     """The plan is metadata: one row per table to convert, in ``t_no`` order -- or largest first
     when ``sizes`` (``database, name, bytes``) is given, so the longest copies start first and a
@@ -307,16 +320,19 @@ def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]
 
 def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool = False,
                         verify: str = "count", fmt: str | None = None, parallelism: int = 1,
-                        resume: bool = True, sizes: DataFrame | None = None, batch: int = 16) -> DataFrame:
+                        resume: bool = True, sizes: DataFrame | str | None = None, batch: int = 16) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
 
     Tables are dealt round-robin into groups of at most ``batch`` (so the largest tables, first
-    when ``sizes`` is given, spread over the groups) and ``parallelism`` groups run at once from a
+    when ``sizes`` is given -- a frame of ``database, name, bytes``, or ``"auto"`` to measure the
+    sources in one metadata job -- spread over the groups) and ``parallelism`` groups run at once from a
     driver thread pool. A group copies its tables (each copy is its own Spark job), verifies all
     of them in a few batched jobs (``verify_many``) and then swaps them (catalog calls). Groups
     overlap, so one group's verification runs while another copies, and thousands of small tables
     cost a few verification jobs per group instead of two or three jobs each.
     """
+    if isinstance(sizes, str) and sizes == "auto":
+        sizes = _auto_sizes(spark, targets)
     rows = _plan_rows(targets, sizes)
     # Object types of every table involved, from one name-and-type listing per database (not three
     # catalog lookups per table).

@@ -416,3 +416,14 @@ def test_convert_detects_source_written_during_copy(spark, db, monkeypatch):
     assert out["busy_src"][0] == "SOURCE_CHANGED" and "copy left" in out["busy_src"][1]
     assert out["calm"][0] == "CONVERTED_DROPPED"
     assert object_type(spark, f"{db}.busy_src") == "MANAGED"  # nothing swapped
+
+
+def test_convert_auto_sizes_orders_largest_first(spark, db):
+    o = orders(spark)
+    o.limit(5).write.saveAsTable(f"{db}.small")
+    o.write.saveAsTable(f"{db}.big")
+    man = spark.createDataFrame([(db, "small", "tgt", "small", False, 1), (db, "big", "tgt", "big", False, 2),
+                                 (db, "gone", "tgt", "gone", False, 3)], MAN)
+    targets = plan_targets(man, "cat", "/p", "/n")
+    sizes = conv._auto_sizes(spark, targets)
+    assert [r["name"] for r in conv._plan_rows(targets, sizes)] == ["big", "small", "gone"]
