@@ -51,13 +51,15 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--show", type=int, default=50, help="rows of each report to print")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    m = sub.add_parser("manifest")
+    m = sub.add_parser("manifest", help="CSV listing -> typed manifest (t_no = line order)")
     m.add_argument("csv")
     m.add_argument("dest")
     m.add_argument("--format", default="json", choices=["json", "parquet", "csv"])
 
+    helps = {"estimate": "transfer-time estimate of the manifest's managed tables",
+             "convert": "copy managed tables to external locations, verify, swap (resumable)"}
     for name in ("estimate", "convert"):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=helps[name])
         s.add_argument("manifest")
         s.add_argument("--manifest-format", default="json", choices=["json", "csv", "parquet", "yaml"])
     sub.choices["estimate"].add_argument("--rate", type=float, required=True)
@@ -70,7 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--parallelism", type=int, default=4)
     c.add_argument("--no-resume", action="store_true")
 
-    g = sub.add_parser("migrate")
+    g = sub.add_parser("migrate", help="plan, register tables and recreate views in a target catalog")
     g.add_argument("scope", choices=["external-tables", "views", "all"])
     g.add_argument("--schemas", default="all")
     g.add_argument("--exclude-schemas", default="")
@@ -83,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--verify", default="count", choices=["count", "checksum", "rows"])
     g.add_argument("--parallelism", type=int, default=4)
 
-    v = sub.add_parser("validate")
+    v = sub.add_parser("validate", help="post-migration checks of source and target inventories")
     v.add_argument("source_inventory", help="table with database, name, object_type, upgraded_to")
     v.add_argument("target_inventory", help="table with table_catalog, table_schema, table_name, table_type")
     v.add_argument("--exclude-schemas", default="")
