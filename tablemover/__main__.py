@@ -6,6 +6,7 @@ report frame under that folder as Parquet (one sub-folder per frame).
   estimate   manifest -> transfer-time estimate of its managed tables
   convert    manifest -> managed tables copied to external locations, verified, swapped
   migrate    schemas (+ manifest) -> plan, registered tables, recreated views
+  inventory  schemas -> objects with type, provider, location, migration mark (+ stats)
   validate   source and target inventories (tables) -> every post-migration list + summary
 """
 
@@ -85,6 +86,12 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--verify", default="count", choices=["count", "checksum", "rows"])
     g.add_argument("--parallelism", type=int, default=4)
 
+    i = sub.add_parser("inventory", help="objects of schemas with type, location and migration mark")
+    i.add_argument("--schemas", default="all")
+    i.add_argument("--exclude-schemas", default="")
+    i.add_argument("--with-stats", action="store_true", help="add rows, bytes and files (reads file metadata)")
+    i.add_argument("--parallelism", type=int, default=4)
+
     v = sub.add_parser("validate", help="post-migration checks of source and target inventories")
     v.add_argument("source_inventory", help="table with database, name, object_type, upgraded_to")
     v.add_argument("target_inventory", help="table with table_catalog, table_schema, table_name, table_type")
@@ -124,6 +131,11 @@ def main(argv: list[str] | None = None) -> int:
         _emit({"summary": migration_summary(res.plan, res.tables, res.views), "plan": res.plan,
                "counts": res.counts, "tables": res.tables, "views": res.views,
                "only_in_source": res.only_in_source, "only_in_target": res.only_in_target}, a.out, a.show)
+    elif a.cmd == "inventory":
+        from .sources.catalog import inventory, list_databases
+        inv = inventory(spark, list_databases(spark, a.schemas, a.exclude_schemas), parallelism=a.parallelism,
+                        with_stats=a.with_stats)
+        _emit({"inventory": inv.drop("view_text")}, a.out, a.show)
     elif a.cmd == "validate":
         from .plans.validate import validate
         val = validate(spark.table(a.source_inventory), spark.table(a.target_inventory), a.exclude_schemas)

@@ -29,7 +29,7 @@ from ..functions.timefmt import mm_ss
 from ..operators.estimate import BYTES_PER_MB
 from ..operators import copy as copy_ops
 from ..operators.reconcile import reconcile_partitions, reconcile_rows, table_checksums
-from ..sources.catalog import object_type, partition_columns
+from ..sources.catalog import UPGRADED_TO, object_type, partition_columns
 from ..sources.stats import table_stats
 
 
@@ -406,12 +406,20 @@ def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None)
     return base, None, dst
 
 
-def _registered(base: dict, v: dict | Exception) -> dict:
+def _registered(spark: SparkSession, row: dict, base: dict, v: dict | Exception) -> dict:
     if isinstance(v, Exception):
         return _outcome(base, "VERIFY_FAILED", str(v))
     if not v["ok"]:
         return _outcome(base, "VERIFY_FAILED", v["reason"], source_rows=v["source_rows"], target_rows=v["target_rows"])
-    return _outcome(base, "REGISTERED", None, source_rows=v["source_rows"], target_rows=v["target_rows"],
+    # Mark the source as migrated, naming its target, so an inventory taken later knows it.
+    target = ".".join(x for x in (row.get("target_catalog"), row["target_schema"], row["target_name"]) if x)
+    try:
+        spark.sql(f"ALTER TABLE {_q(row['source_schema'], row['source_name'])} SET TBLPROPERTIES "
+                  f"('{UPGRADED_TO}' = '{target.replace(chr(39), chr(39) * 2)}')")
+        reason = None
+    except Exception as e:  # noqa: BLE001 - the registration itself stands
+        reason = f"registered, but the source could not be marked: {str(e).splitlines()[0] if str(e) else e}"
+    return _outcome(base, "REGISTERED", reason, source_rows=v["source_rows"], target_rows=v["target_rows"],
                     size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
 
 
@@ -425,7 +433,7 @@ def register_one(spark: SparkSession, row: dict, dry_run: bool = True, verify: s
         v = verify_copy(spark, _q(row["source_schema"], row["source_name"]), dst, verify)
     except Exception as e:  # noqa: BLE001
         v = e
-    return _registered(base, v)
+    return _registered(spark, row, base, v)
 
 
 def register_external(spark: SparkSession, plan: DataFrame, inv: DataFrame, dry_run: bool = True,
@@ -449,6 +457,6 @@ def register_external(spark: SparkSession, plan: DataFrame, inv: DataFrame, dry_
     todo = [k for k, (_, failed, _) in enumerate(made) if failed is None]
     verdicts = dict(zip(todo, verify_many(
         spark, [(_q(rows[k]["source_schema"], rows[k]["source_name"]), made[k][2]) for k in todo], verify)))
-    out = [m[1] if m[1] is not None else _registered(m[0], verdicts[k]) for k, m in enumerate(made)]
+    out = [m[1] if m[1] is not None else _registered(spark, rows[k], m[0], verdicts[k]) for k, m in enumerate(made)]
     df = spark.createDataFrame(out, schemas.CONVERSION)
     return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))

@@ -19,7 +19,10 @@ from ..operators.select import parse_name_list
 log = logging.getLogger(__name__)
 
 INVENTORY_COLUMNS = ["catalog", "database", "name", "object_type", "provider", "location",
-                     "partition_columns", "view_text"]
+                     "partition_columns", "view_text", "upgraded_to"]
+
+# Fixed value: the table property that marks a source table as migrated, and names its target.
+UPGRADED_TO = "upgraded_to"
 
 
 def list_databases(spark: SparkSession, schemas: str | list[str] | None = "all",
@@ -46,7 +49,8 @@ def _listing(spark: SparkSession, db: str) -> DataFrame:
 def inventory(spark: SparkSession, databases: list[str] | None = None,
               catalog_label: str | None = None, errors: str = "raise", parallelism: int = 1,
               with_stats: bool = False) -> DataFrame:
-    """``catalog, database, name, object_type, provider, location, partition_columns, view_text``.
+    """``catalog, database, name, object_type, provider, location, partition_columns, view_text,
+    upgraded_to`` (the target a migration recorded on the source table, else null).
 
     ``object_type`` is ``MANAGED``, ``EXTERNAL`` or ``VIEW``; temporary views are left out.
     ``partition_columns`` is an array of names (empty when unpartitioned). ``errors="skip"`` logs a
@@ -102,12 +106,14 @@ def _inventory(spark: SparkSession, databases: list[str] | None, catalog_label:
     part_arr = F.when(parts == F.lit(""), F.array().cast("array<string>")).otherwise(
         F.transform(F.split(parts, ", "), lambda p: F.regexp_replace(p, r"^`|`$", "")))
     view_text = F.regexp_extract(info, r"(?s)\nView Text: (.*?)\nView Original Text: ", 1)
+    upgraded = F.regexp_extract(info, rf"(?m)^Table Properties: \[(?:.*, )?{UPGRADED_TO}=([^,\]]*)", 1)
     return (raw.where(~F.col("isTemporary"))
             .select(F.lit(label).alias("catalog"), F.col("namespace").alias("database"),
                     F.col("tableName").alias("name"), F.upper(_field(info, "Type")).alias("object_type"),
                     F.lower(_field(info, "Provider")).alias("provider"), _field(info, "Location").alias("location"),
                     part_arr.alias("partition_columns"),
-                    F.when(view_text != F.lit(""), view_text).alias("view_text")))
+                    F.when(view_text != F.lit(""), view_text).alias("view_text"),
+                    F.when(upgraded != F.lit(""), upgraded).alias("upgraded_to")))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

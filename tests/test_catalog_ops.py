@@ -427,3 +427,18 @@ def test_convert_auto_sizes_orders_largest_first(spark, db):
     targets = plan_targets(man, "cat", "/p", "/n")
     sizes = conv._auto_sizes(spark, targets)
     assert [r["name"] for r in conv._plan_rows(targets, sizes)] == ["big", "small", "gone"]
+
+
+def test_registration_marks_source_and_inventory_reads_it(spark):
+    from tablemover.operators.reconcile import not_upgraded
+    from tablemover.plans.migrate import migrate
+    src, tgt = new_database(spark, "ms"), new_database(spark, "mt")
+    o = orders(spark).limit(10)
+    for t in ("a", "b"):
+        o.write.option("path", new_work_dir(spark, t) + "/d").saveAsTable(f"{src}.{t}")
+    man = spark.createDataFrame([(src, "a", tgt, "a", False, 1)], MAN)
+    assert [r["upgraded_to"] for r in inventory(spark, [src]).collect()] == [None, None]
+    migrate(spark, "external-tables", [src], "spark_catalog", manifest=man, dry_run=False)
+    marks = {r["name"]: r["upgraded_to"] for r in inventory(spark, [src]).collect()}
+    assert marks == {"a": f"spark_catalog.{tgt}.a", "b": None}
+    assert [r["name"] for r in not_upgraded(inventory(spark, [src])).collect()] == ["b"]

@@ -24,3 +24,11 @@ def test_cli_manifest_estimate_convert(spark, db, tmp_path, capsys):
     assert conv == {"orders": "CONVERTED_DROPPED", "small": "CONVERTED_DROPPED"}
     loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.small").collect() if r[0] == "Location"][0][1]
     assert loc.endswith("/p/uc/small")  # is_pii "yes" -> PII root
+
+
+def test_cli_inventory(spark, db, capsys):
+    spark.read.parquet(f"{SF}/region.parquet").write.saveAsTable(f"{db}.r")
+    out = new_work_dir(spark, "cli-inv") + "/reports"
+    assert main(["--out", out, "inventory", "--schemas", db, "--with-stats"]) == 0
+    rows = spark.read.parquet(out + "/inventory").collect()
+    assert [(r["name"], r["object_type"], r["row_count"]) for r in rows] == [("r", "MANAGED", 5)]
