@@ -93,8 +93,9 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--parallelism", type=int, default=4)
 
     v = sub.add_parser("validate", help="post-migration checks of source and target inventories")
-    v.add_argument("source_inventory", help="table with database, name, object_type, upgraded_to")
-    v.add_argument("target_inventory", help="table with table_catalog, table_schema, table_name, table_type")
+    v.add_argument("source_inventory", help="table or Parquet folder: database, name, object_type, upgraded_to")
+    v.add_argument("target_inventory", help="table or Parquet folder: information_schema.tables shape or an "
+                                            "inventory of the target")
     v.add_argument("--exclude-schemas", default="")
 
     a = p.parse_args(argv)
@@ -138,7 +139,9 @@ def main(argv: list[str] | None = None) -> int:
         _emit({"inventory": inv.drop("view_text")}, a.out, a.show)
     elif a.cmd == "validate":
         from .plans.validate import validate
-        val = validate(spark.table(a.source_inventory), spark.table(a.target_inventory), a.exclude_schemas)
+        def load(x: str) -> DataFrame:  # a table name, or a folder written by ``inventory --out``
+            return spark.read.parquet(x) if "/" in x else spark.table(x)
+        val = validate(load(a.source_inventory), load(a.target_inventory), a.exclude_schemas)
         frames = {name: getattr(val, name) for name in val.__dataclass_fields__}
         _emit({"summary": val.summary(), **frames}, a.out, a.show)
     return 0

@@ -36,7 +36,15 @@ class Validation:
 def validate(src_inv: DataFrame, dst_inv: DataFrame, exclude_schemas: list[str] | str | None = None,
              mapping: DataFrame | None = None) -> Validation:
     """``src_inv``: ``database, name, object_type, upgraded_to``; ``dst_inv``: the columns of
-    ``information_schema.tables``; ``mapping``: a manifest to compare under target names."""
+    ``information_schema.tables``, or an ``inventory()`` of the target (converted here);
+    ``mapping``: a manifest to compare under target names."""
+    if "table_schema" not in dst_inv.columns and {"database", "name", "object_type"} <= set(dst_inv.columns):
+        dst_inv = dst_inv.select(F.coalesce(F.col("catalog"), F.lit(None).cast("string")).alias("table_catalog")
+                                 if "catalog" in dst_inv.columns else F.lit(None).cast("string").alias("table_catalog"),
+                                 F.col("database").alias("table_schema"), F.col("name").alias("table_name"),
+                                 F.col("object_type").alias("table_type"))
+    if "upgraded_to" not in src_inv.columns:
+        src_inv = src_inv.withColumn("upgraded_to", F.lit(None).cast("string"))
     ext = _exclude(src_inv.where(F.col("object_type") == F.lit("EXTERNAL")), exclude_schemas, "database")
     tgt = dst_inv.where((F.col("table_schema") != F.lit("information_schema"))
                         & (F.col("table_type") == F.lit("EXTERNAL")))
