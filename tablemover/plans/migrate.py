@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.reconcile import reconcile_inventory
-from ..sources.catalog import inventory, list_databases
+from ..sources.catalog import database_exists, inventory, list_databases
 from .convert import register_external
 from .migration import plan_migration
 from .report import outcome_counts
@@ -55,8 +55,9 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
         # else the source schema names.
         target_schemas = (sorted({r[0] for r in manifest.select("target_schema").distinct().collect() if r[0]})
                           if manifest is not None else dbs)
-    tgt_dbs = [d for d in target_schemas if spark.catalog.databaseExists(d)]
-    tinv = target_inventory(inventory(spark, tgt_dbs, parallelism=parallelism), catalog) if tgt_dbs else spark.createDataFrame(
+    tgt_dbs = [d for d in target_schemas if database_exists(spark, d, catalog)]
+    tinv = target_inventory(inventory(spark, tgt_dbs, parallelism=parallelism, catalog=catalog), catalog) \
+        if tgt_dbs else spark.createDataFrame(
         [], "table_catalog string, table_schema string, table_name string, table_type string")
     plan = plan_migration(inv, tinv, catalog, manifest, exclude, exclude_schemas, source_catalog)
     tables = views = None
@@ -88,7 +89,7 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
             "upgraded_to", F.lit(None).cast("string"))
         accounted = plan.where(F.col("status_code") != F.lit("READY")).select(
             F.lower("target_schema").alias("_s"), F.lower("target_name").alias("_n")).distinct()
-        after = target_inventory(inventory(spark, tgt_dbs), catalog)
+        after = target_inventory(inventory(spark, tgt_dbs, catalog=catalog), catalog)
         after = after.join(accounted, (F.lower("table_schema") == F.col("_s")) & (F.lower("table_name") == F.col("_n")),
                            "left_anti")
         mapping = plan.select(F.col("source_schema").alias("database"), F.col("source_name").alias("name"),

@@ -42,13 +42,26 @@ def _field(info, key: str) -> F.Column:
     return F.when(v != F.lit(""), v)
 
 
-def _listing(spark: SparkSession, db: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLE EXTENDED IN `{db.replace('`', '``')}` LIKE '*'")
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _in_session_catalog(spark: SparkSession, catalog: str | None) -> bool:
+    return catalog in (None, "", "spark_catalog", spark.catalog.currentCatalog())
+
+
+def _listing(spark: SparkSession, db: str, catalog: str | None = None) -> DataFrame:
+    where = _q(db) if _in_session_catalog(spark, catalog) else f"{_q(catalog)}.{_q(db)}"
+    return spark.sql(f"SHOW TABLE EXTENDED IN {where} LIKE '*'")
+
+
+def database_exists(spark: SparkSession, db: str, catalog: str | None = None) -> bool:
+    return spark.catalog.databaseExists(db if _in_session_catalog(spark, catalog) else f"{catalog}.{db}")
 
 
 def inventory(spark: SparkSession, databases: list[str] | None = None,
               catalog_label: str | None = None, errors: str = "raise", parallelism: int = 1,
-              with_stats: bool = False) -> DataFrame:
+              with_stats: bool = False, catalog: str | None = None) -> DataFrame:
     """``catalog, database, name, object_type, provider, location, partition_columns, view_text,
     upgraded_to`` (the target a migration recorded on the source table, else null).
 
@@ -57,9 +70,10 @@ def inventory(spark: SparkSession, databases: list[str] | None = None,
     database that cannot be listed and goes on without it. ``parallelism`` lists that many
     databases at once (the calls wait on the metastore, not on executors). ``with_stats`` adds
     ``row_count, bytes, files, size_mb, stats_error`` from ``table_stats`` (batched jobs; an
-    unreadable table gets an error text, views get counts only).
+    unreadable table gets an error text, views get counts only). ``catalog`` lists the schemas of
+    another configured catalog instead of the session catalog.
     """
-    inv = _inventory(spark, databases, catalog_label, errors, parallelism)
+    inv = _inventory(spark, databases, catalog_label or catalog, errors, parallelism, catalog)
     if not with_stats:
         return inv
     from .stats import catalog_table_stats
@@ -68,7 +82,8 @@ def inventory(spark: SparkSession, databases: list[str] | None = None,
         return inv.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
             ("row_count", "long"), ("bytes", "long"), ("files", "long"), ("size_mb", "double"),
             ("stats_error", "string"))])
-    full = {f"`{r['database']}`.`{r['name']}`": (r["database"], r["name"]) for r in listed}
+    prefix = "" if _in_session_catalog(spark, catalog) else f"{_q(catalog)}."
+    full = {f"{prefix}{_q(r['database'])}.{_q(r['name'])}": (r["database"], r["name"]) for r in listed}
     st = catalog_table_stats(spark, list(full), errors="isolate")
     keys = spark.createDataFrame([(k, d, n) for k, (d, n) in full.items()], "table_name string, database string, name string")
     st = st.join(keys, "table_name").select("database", "name", "row_count", "bytes", "files", "size_mb",
@@ -77,13 +92,13 @@ def inventory(spark: SparkSession, databases: list[str] | None = None,
 
 
 def _inventory(spark: SparkSession, databases: list[str] | None, catalog_label: str | None, errors: str,
-               parallelism: int) -> DataFrame:
+               parallelism: int, catalog: str | None = None) -> DataFrame:
     dbs = databases if databases is not None else list_databases(spark)
     label = catalog_label or spark.catalog.currentCatalog()
 
     def listing(d: str):
         try:
-            return _listing(spark, d)
+            return _listing(spark, d, catalog)
         except Exception as e:  # noqa: BLE001
             if errors != "skip":
                 raise
