@@ -442,3 +442,16 @@ def test_registration_marks_source_and_inventory_reads_it(spark):
     marks = {r["name"]: r["upgraded_to"] for r in inventory(spark, [src]).collect()}
     assert marks == {"a": f"spark_catalog.{tgt}.a", "b": None}
     assert [r["name"] for r in not_upgraded(inventory(spark, [src])).collect()] == ["b"]
+
+
+def test_convert_empty_and_type_column_tables(spark, db):
+    o = orders(spark)
+    o.where(F.lit(False)).write.partitionBy("o_orderstatus").saveAsTable(f"{db}.empty_p")
+    o.where(F.lit(False)).write.saveAsTable(f"{db}.empty")
+    o.limit(20).select(F.col("o_orderkey").alias("Type"), "o_totalprice").write.saveAsTable(f"{db}.typed")
+    out = {r["name"]: (r["outcome"], r["source_rows"], r["target_rows"]) for r in conv.convert_to_external(
+        spark, _targets(spark, db, ["empty_p", "empty", "typed"], new_work_dir(spark, "emp")), drop_old=True,
+        verify="checksum").collect()}
+    assert out == {"empty_p": ("CONVERTED_DROPPED", 0, 0), "empty": ("CONVERTED_DROPPED", 0, 0),
+                   "typed": ("CONVERTED_DROPPED", 20, 20)}
+    assert spark.table(f"{db}.empty_p").count() == 0 and object_type(spark, f"{db}.empty_p") == "EXTERNAL"
