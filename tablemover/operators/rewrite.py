@@ -86,11 +86,13 @@ def mapping_from_manifest(manifest: DataFrame) -> DataFrame:
 
 
 def _mapping_frame(df: DataFrame, mapping) -> DataFrame:
+    """The mapping as ``(_tm_key, _tm_value)`` -- internal names that cannot clash with the texts'
+    own columns."""
     if isinstance(mapping, dict):
         rows = sorted((k.lower(), v) for k, v in mapping.items())
-        return df.sparkSession.createDataFrame(rows, "key string, value string")
+        return df.sparkSession.createDataFrame(rows, "_tm_key string, _tm_value string")
     # One value per key; a key listed with two values takes the smallest, never an arbitrary one.
-    return mapping.groupBy(F.lower("key").alias("key")).agg(F.min("value").alias("value"))
+    return mapping.groupBy(F.lower("key").alias("_tm_key")).agg(F.min("value").alias("_tm_value"))
 
 
 def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict, catalog_from: str | None = None,
@@ -120,9 +122,9 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
             .where((F.instr("_tok", ".") > 0) & F.col("_tok").rlike(r"(?U)^[\w`]") & F.col("_tok").rlike(IDENT_TOKEN))
             .withColumn("_parts", F.regexp_extract_all("_tok", F.lit(NAME_PART), 1))
             .withColumn("_cat", _has_cat(F.col("_parts"), catalog_from))
-            .withColumn("key", _key(F.col("_parts"), F.col("_cat"))))
-    hits = cand.join(m, "key", "left").where(F.col("value").isNotNull() | (F.col("_cat") & cat_swap))
-    parts, cat, new = F.col("_parts"), F.col("_cat"), F.col("value")
+            .withColumn("_tm_key", _key(F.col("_parts"), F.col("_cat"))))
+    hits = cand.join(m, "_tm_key", "left").where(F.col("_tm_value").isNotNull() | (F.col("_cat") & cat_swap))
+    parts, cat, new = F.col("_parts"), F.col("_cat"), F.col("_tm_value")
     i = F.when(cat, F.lit(2)).otherwise(F.lit(1))
     head = F.when(cat, F.lit(catalog_to or catalog_from or ""))
     name = F.when(new.isNotNull(), _render(new)).otherwise(F.array_join(F.slice(parts, i, 2), "."))

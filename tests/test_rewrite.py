@@ -59,3 +59,9 @@ def test_tokens_join_back_to_input(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
     toks = df.select(tokens("t").alias("k")).collect()[0]["k"]
     assert "".join(toks) == text
+
+
+def test_texts_with_columns_named_like_internals(spark):
+    df = spark.createDataFrame([(1, "select * from db.a", "k", "v")], "key int, text string, value string, _pos string")
+    out = rewrite_references(df, "text", {"db.a": "x.y"}, key_cols=["key"], out_col="new").collect()[0]
+    assert (out["new"], out["value"], out["_pos"]) == ("select * from x.y", "k", "v")
