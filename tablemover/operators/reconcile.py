@@ -200,10 +200,10 @@ def reconcile_partitions(src: DataFrame, dst: DataFrame, partition_cols: list[st
 def _bucket_signature(df: DataFrame, buckets: int) -> DataFrame:
     h = row_hash(df)
     h2 = row_hash32(df)
-    return (df.select(F.pmod(h, F.lit(buckets)).alias("_b"),
+    return (df.select(F.pmod(h, F.lit(buckets)).alias("_tm_b"),
                       h.cast("decimal(38,0)").alias("_h"), h2.cast("decimal(38,0)").alias("_h2"))
-            .groupBy("_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_h").alias("_sh"),
-                               F.sum("_h2").alias("_sh2")))
+            .groupBy("_tm_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_h").alias("_sh"),
+                                  F.sum("_h2").alias("_sh2")))
 
 
 def mismatched_buckets(src: DataFrame, dst: DataFrame, buckets: int = 65536) -> DataFrame:
@@ -212,13 +212,14 @@ def mismatched_buckets(src: DataFrame, dst: DataFrame, buckets: int = 65536) ->
     t = _bucket_signature(dst, buckets).alias("t")
     same = (F.col("s._n").eqNullSafe(F.col("t._n")) & F.col("s._sh").eqNullSafe(F.col("t._sh"))
             & F.col("s._sh2").eqNullSafe(F.col("t._sh2")))
-    return s.join(t, "_b", "full_outer").where(~same).select("_b")
+    return s.join(t, "_tm_b", "full_outer").where(~same).select("_tm_b")
 
 
 def _in_buckets(df: DataFrame, bad: DataFrame, buckets: int) -> DataFrame:
-    b = F.pmod(row_hash(df), F.lit(buckets))
+    cols = df.columns
+    keyed = df.withColumn("_tm_b", F.pmod(row_hash(df), F.lit(buckets)))
     # ``bad`` holds at most ``buckets`` integers: a broadcast of proven size.
-    return df.join(F.broadcast(bad), b == F.col("_b"), "left_semi")
+    return keyed.join(F.broadcast(bad), "_tm_b", "left_semi").select(*[F.col(f"`{c}`") for c in cols])
 
 
 def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact", buckets: int = 65536,

@@ -25,12 +25,12 @@ def with_sequence(df: DataFrame, order_cols: list[str], name: str = "t_no", star
     tie = [f.name for f in df.schema.fields if f.name not in order_cols and not isinstance(f.dataType, MapType)]
     order = [F.col(f"`{c}`").asc_nulls_first() for c in order_cols + tie]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    ranged = df.repartitionByRange(n, *order).withColumn("_tm_pid", F.spark_partition_id())
+    local = ranged.withColumn("_tm_rn", F.row_number().over(Window.partitionBy("_tm_pid").orderBy(*order)))
     local = local.checkpoint(eager=True)
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + F.col("_rn") + F.lit(start - 1)).cast("int"))
-            .drop("_pid", "_rn", "_off"))
+    counts = local.groupBy("_tm_pid").agg(F.count(F.lit(1)).alias("_tm_n"))
+    before = Window.orderBy("_tm_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_tm_pid", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)).alias("_tm_off"))
+    return (local.join(F.broadcast(offsets), "_tm_pid")
+            .withColumn(name, (F.col("_tm_off") + F.col("_tm_rn") + F.lit(start - 1)).cast("int"))
+            .drop("_tm_pid", "_tm_rn", "_tm_off"))

@@ -208,3 +208,12 @@ def test_reconcile_partitions_with_null_partition(spark):
     assert out == {"b": ("changed", 1, 1), "c": ("extra", 0, 1)}
     t2 = spark.createDataFrame([(1, "a"), (3, "b")], "v int, p string")
     assert {r["p"]: r["status"] for r in reconcile_partitions(s, t2, ["p"]).collect()} == {None: "missing"}
+
+
+def test_internal_names_do_not_clash(spark):
+    from tablemover.operators.sequence import with_sequence
+    df = spark.createDataFrame([(1, 2, 3, 4), (5, 6, 7, 8), (1, 2, 3, 4)], "_b long, _pid long, _rn long, _off long")
+    other = df.limit(1)
+    s, t = reconcile_rows(df, other, "narrow", buckets=8)
+    assert s.count() == 2 and t.count() == 0
+    assert sorted(r["n"] for r in with_sequence(df, ["_b"], "n").collect()) == [1, 2, 3]
