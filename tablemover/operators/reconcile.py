@@ -23,6 +23,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import MapType
 
 from ..functions.checksum import checksum_aggs, row_digest, row_hash, row_hash32
 from ..session import work_root
@@ -222,6 +223,23 @@ def _in_buckets(df: DataFrame, bad: DataFrame, buckets: int) -> DataFrame:
     return keyed.join(F.broadcast(bad), "_tm_b", "left_semi").select(*[F.col(f"`{c}`") for c in cols])
 
 
+def _maps_as_arrays(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Set operations cannot compare maps: top-level map columns become their entries sorted by
+    key (equal maps give equal arrays); returns the frame and the names of the converted columns."""
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
+    if not maps:
+        return df, []
+    return df.select(*[F.array_sort(F.map_entries(F.col(f"`{c}`"))).alias(c) if c in maps else F.col(f"`{c}`")
+                       for c in df.columns]), maps
+
+
+def _arrays_as_maps(df: DataFrame, maps: list[str]) -> DataFrame:
+    if not maps:
+        return df
+    return df.select(*[F.map_from_entries(F.col(f"`{c}`")).alias(c) if c in maps else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
 def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact", buckets: int = 65536,
                    dense_fraction: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """Bag difference of whole rows both ways: (rows only in source, rows only in target).
@@ -235,10 +253,18 @@ def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact", bucket
     that residual risk is not acceptable.
     """
     dst = align_columns(src, dst)
+    if method not in ("exact", "narrow"):
+        raise ValueError(f"unknown method {method!r}")
+    src, maps = _maps_as_arrays(src)
+    dst, _ = _maps_as_arrays(dst)
+    only_s, only_t = _row_difference(src, dst, method, buckets, dense_fraction)
+    return _arrays_as_maps(only_s, maps), _arrays_as_maps(only_t, maps)
+
+
+def _row_difference(src: DataFrame, dst: DataFrame, method: str, buckets: int,
+                    dense_fraction: float) -> tuple[DataFrame, DataFrame]:
     if method == "exact":
         return src.exceptAll(dst), dst.exceptAll(src)
-    if method != "narrow":
-        raise ValueError(f"unknown method {method!r}")
     work_root(src.sparkSession)  # a shared checkpoint folder must be registered before checkpoint()
     bad = mismatched_buckets(src, dst, buckets).checkpoint(eager=True)
     n_bad = bad.count()

@@ -217,3 +217,13 @@ def test_internal_names_do_not_clash(spark):
     s, t = reconcile_rows(df, other, "narrow", buckets=8)
     assert s.count() == 2 and t.count() == 0
     assert sorted(r["n"] for r in with_sequence(df, ["_b"], "n").collect()) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("method", ["exact", "narrow"])
+def test_row_difference_with_map_columns(spark, method):
+    s = spark.createDataFrame([(1, {"a": 1, "b": 2}), (2, {"x": 9}), (3, None)], "k int, m map<string,int>")
+    t = spark.createDataFrame([(1, {"b": 2, "a": 1}), (2, {"x": 8}), (3, None)], "k int, m map<string,int>")
+    only_s, only_t = reconcile_rows(s, t, method, buckets=4)
+    assert [(r["k"], r["m"]) for r in only_s.collect()] == [(2, {"x": 9})]
+    assert [(r["k"], r["m"]) for r in only_t.collect()] == [(2, {"x": 8})]
+    assert dict(only_s.dtypes)["m"] == "map<string,int>"
