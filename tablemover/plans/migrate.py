@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.reconcile import reconcile_inventory
+from ..operators.select import parse_name_list
 from ..sources.catalog import database_exists, inventory, list_databases
 from .convert import register_external
 from .migration import plan_migration
@@ -72,6 +73,13 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
                 F.min("target_schema").alias("_ts"))
             vp = (vp.join(per_db, "source_schema", "left")
                   .withColumn("target_schema", F.coalesce("_ts", "target_schema")).drop("_ts"))
+        # Excluded objects and schemas are left alone, views included.
+        xs = parse_name_list(exclude_schemas)
+        if xs:
+            vp = vp.where(~F.col("source_schema").isin(*xs))
+        if exclude is not None:
+            ex = exclude.select(F.col("database").alias("source_schema"), F.col("name").alias("source_view")).distinct()
+            vp = vp.join(ex, ["source_schema", "source_view"], "left_anti")
         # Old -> new names of the tables of the manifest and of the views themselves, so views over
         # tables and views over views both point at the migrated objects.
         mapping = view_mapping(vp)

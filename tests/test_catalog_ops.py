@@ -455,3 +455,15 @@ def test_convert_empty_and_type_column_tables(spark, db):
     assert out == {"empty_p": ("CONVERTED_DROPPED", 0, 0), "empty": ("CONVERTED_DROPPED", 0, 0),
                    "typed": ("CONVERTED_DROPPED", 20, 20)}
     assert spark.table(f"{db}.empty_p").count() == 0 and object_type(spark, f"{db}.empty_p") == "EXTERNAL"
+
+
+def test_migrate_leaves_excluded_views_alone(spark):
+    from tablemover.plans.migrate import migrate
+    src, tgt = new_database(spark, "xv"), new_database(spark, "xt")
+    orders(spark).limit(5).write.option("path", new_work_dir(spark, "o") + "/d").saveAsTable(f"{src}.o")
+    spark.sql(f"CREATE VIEW {src}.keep AS SELECT * FROM {src}.o")
+    spark.sql(f"CREATE VIEW {src}.skip AS SELECT * FROM {src}.o")
+    man = spark.createDataFrame([(src, "o", tgt, "o", False, 1)], MAN)
+    ex = spark.createDataFrame([(src, "skip")], "database string, name string")
+    res = migrate(spark, "all", [src], "spark_catalog", manifest=man, exclude=ex, dry_run=True)
+    assert [r["source_view"].split(".")[-1] for r in res.views.collect()] == ["keep"]
