@@ -1,16 +1,18 @@
 """Managed -> external conversion (B9) and registration of external tables.
 
-Per table the driver issues catalog commands; the data work is Spark jobs (the copy, the
-verification scans). Tables are independent, so a bounded thread pool submits several tables'
-jobs at once (Spark schedules jobs from different threads concurrently), largest first when sizes
-are known. Each table ends in exactly one outcome row, whatever failed; nothing is dropped unless
-this run verified the copy.
+Per table the driver issues catalog commands; the data work is Spark jobs (the copies and the
+verification scans). Tables are dealt into groups that a bounded thread pool runs side by side
+(Spark schedules jobs from different threads concurrently), largest first when sizes are known;
+each group verifies its copies together in a few batched jobs. Each table ends in exactly one
+outcome row, whatever failed; nothing is dropped unless this run verified the copy.
 
 Conversion of ``db.t`` to ``location``:
-  1. skip unless ``db.t`` is MANAGED; skip when ``db.t_ext`` or ``db.t_old`` already exists;
-     ``TARGET_NOT_EMPTY`` when the location holds files;
-  2. copy ``db.t`` -> external ``db.t_ext`` at the location (partition columns kept);
+  1. skip unless ``db.t`` is MANAGED; skip when ``db.t_ext`` or ``db.t_old`` already exists
+     (unless an earlier run can be resumed); ``TARGET_NOT_EMPTY`` when the location holds files;
+  2. fingerprint the source's files, copy ``db.t`` -> external ``db.t_ext`` at the location
+     (format, partitioning, bucketing and properties kept);
   3. verify: row counts (default), or counts + order-free checksums, or the exact row difference;
+     ``SOURCE_CHANGED`` when the source's files changed meanwhile;
   4. rename ``db.t`` -> ``db.t_old``, then ``db.t_ext`` -> ``db.t`` (undo the first on failure);
   5. drop ``db.t_old`` only if asked and verified.
 """
@@ -382,7 +384,7 @@ def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: st
     return _q(*parts) if _in_session_catalog(spark, catalog) else _q(catalog, *parts)
 
 
-def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None) -> tuple[dict, str | None, str]:
+def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None) -> tuple[dict, dict | None, str]:
     """Create the target table over the source's files: (base row, failure outcome or None, name)."""
     dst = _target_name(spark, row.get("target_catalog"), row["target_schema"], row["target_name"])
     loc, provider = row.get("location"), (row.get("provider") or "parquet")
