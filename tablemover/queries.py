@@ -617,7 +617,7 @@ def q_migrate_views(spark, sf):
 def q_inventory(spark, sf):
     """Inventory of a schema with object types, providers, partitioning and row counts."""
     src, tgt, inv, man, plan = _register_setup(spark, sf)
-    full = inventory(spark, [src], with_stats=True)
+    full = inventory(spark, [src], with_stats=True, count_views=True)
     return full.select("name", "object_type", "provider", (F.size("partition_columns") > 0).alias("is_partitioned"),
                        "row_count")
 

@@ -61,7 +61,7 @@ def database_exists(spark: SparkSession, db: str, catalog: str | None = None) ->
 
 def inventory(spark: SparkSession, databases: list[str] | None = None,
               catalog_label: str | None = None, errors: str = "raise", parallelism: int = 1,
-              with_stats: bool = False, catalog: str | None = None) -> DataFrame:
+              with_stats: bool = False, catalog: str | None = None, count_views: bool = False) -> DataFrame:
     """``catalog, database, name, object_type, provider, location, partition_columns, view_text,
     upgraded_to`` (the target a migration recorded on the source table, else null).
 
@@ -70,7 +70,8 @@ def inventory(spark: SparkSession, databases: list[str] | None = None,
     database that cannot be listed and goes on without it. ``parallelism`` lists that many
     databases at once (the calls wait on the metastore, not on executors). ``with_stats`` adds
     ``row_count, bytes, files, size_mb, stats_error`` from ``table_stats`` (batched jobs; an
-    unreadable table gets an error text, views get counts only). ``catalog`` lists the schemas of
+    unreadable table gets an error text). Views are not run unless ``count_views``: a view can be
+    an arbitrarily expensive query and is never copied, so by default it gets no counts. ``catalog`` lists the schemas of
     another configured catalog instead of the session catalog.
     """
     inv = _inventory(spark, databases, catalog_label or catalog, errors, parallelism, catalog)
@@ -78,6 +79,8 @@ def inventory(spark: SparkSession, databases: list[str] | None = None,
         return inv
     from .stats import catalog_table_stats
     listed = inv.select("database", "name", "object_type").collect()  # metadata: one row per table
+    if not count_views:
+        listed = [r for r in listed if r["object_type"] != "VIEW"]
     if not listed:
         return inv.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
             ("row_count", "long"), ("bytes", "long"), ("files", "long"), ("size_mb", "double"),

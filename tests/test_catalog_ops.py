@@ -467,3 +467,12 @@ def test_migrate_leaves_excluded_views_alone(spark):
     ex = spark.createDataFrame([(src, "skip")], "database string, name string")
     res = migrate(spark, "all", [src], "spark_catalog", manifest=man, exclude=ex, dry_run=True)
     assert [r["source_view"].split(".")[-1] for r in res.views.collect()] == ["keep"]
+
+
+def test_inventory_stats_skip_views_unless_asked(spark, db):
+    orders(spark).limit(7).write.saveAsTable(f"{db}.t")
+    spark.sql(f"CREATE VIEW {db}.v AS SELECT * FROM {db}.t")
+    plain = {r["name"]: r["row_count"] for r in inventory(spark, [db], with_stats=True).collect()}
+    assert plain == {"t": 7, "v": None}
+    counted = {r["name"]: r["row_count"] for r in inventory(spark, [db], with_stats=True, count_views=True).collect()}
+    assert counted == {"t": 7, "v": 7}
