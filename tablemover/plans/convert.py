@@ -31,7 +31,7 @@ from ..functions.timefmt import mm_ss
 from ..operators.estimate import BYTES_PER_MB
 from ..operators import copy as copy_ops
 from ..operators.reconcile import reconcile_partitions, reconcile_rows, table_checksums
-from ..sources.catalog import UPGRADED_TO, object_type, partition_columns
+from ..sources.catalog import UPGRADED_TO, _in_session_catalog, object_type, partition_columns
 from ..sources.stats import table_stats
 
 
@@ -374,10 +374,6 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))
 
 
-def _in_session_catalog(spark: SparkSession, catalog: str | None) -> bool:
-    return catalog in (None, "", spark.catalog.currentCatalog(), "spark_catalog")
-
-
 def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: str | None = None) -> str:
     """Quoted ``schema[.name]``, prefixed by the catalog when it is not the session catalog."""
     parts = [schema] + ([name] if name is not None else [])
