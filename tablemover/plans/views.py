@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..operators.rewrite import rewrite_references
 from ..operators.select import one_per_key
+from ..sources.catalog import _in_session_catalog
 from .convert import _target_name
 
 
@@ -47,7 +48,7 @@ def view_statements(plan: DataFrame, mapping, catalog_from: str | None = None, c
                             key_cols=["source_schema", "source_view"], max_broadcast=max_broadcast)
     parts = ["target_schema", "target_view"]
     spark = plan.sparkSession
-    if target_catalog and target_catalog not in ("spark_catalog", spark.catalog.currentCatalog()):
+    if not _in_session_catalog(spark, target_catalog):
         parts = [F.lit(target_catalog)] + parts
     target = F.concat_ws(".", *[F.concat(F.lit("`"), F.replace(F.col(c) if isinstance(c, str) else c, F.lit("`"),
                                                                F.lit("``")), F.lit("`")) for c in parts])
