@@ -227,3 +227,21 @@ def test_row_difference_with_map_columns(spark, method):
     assert [(r["k"], r["m"]) for r in only_s.collect()] == [(2, {"x": 9})]
     assert [(r["k"], r["m"]) for r in only_t.collect()] == [(2, {"x": 8})]
     assert dict(only_s.dtypes)["m"] == "map<string,int>"
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)),
+                          st.one_of(st.none(), st.sampled_from(["", "a", "a,b", "1:a"])),
+                          st.one_of(st.none(), st.floats(allow_infinity=True, allow_nan=True, width=64))),
+                min_size=1, max_size=10), st.randoms(use_true_random=False))
+def test_checksums_are_order_free_and_see_every_row(spark, rows, rnd):
+    schema = "i int, s string, d double"
+    a = spark.createDataFrame(rows, schema)
+    shuffled = list(rows)
+    rnd.shuffle(shuffled)
+    b = spark.createDataFrame(shuffled, schema)
+    c = spark.createDataFrame(rows + [rows[0]], schema)
+    for portable in (False, True):
+        ca, cb, cc = [table_checksum(x, portable=portable).collect()[0] for x in (a, b, c)]
+        assert (ca["row_count"], ca["checksum"]) == (cb["row_count"], cb["checksum"])
+        assert cc["checksum"] != ca["checksum"] and cc["row_count"] == ca["row_count"] + 1
