@@ -72,6 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--verify", default="count", choices=["count", "checksum", "rows"])
     c.add_argument("--parallelism", type=int, default=4)
     c.add_argument("--no-resume", action="store_true")
+    c.add_argument("--dry-run", action="store_true", help="report what would be done, write nothing")
 
     g = sub.add_parser("migrate", help="plan, register tables and recreate views in a target catalog")
     g.add_argument("scope", choices=["external-tables", "views", "all"])
@@ -119,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
         targets = plan_targets(_manifest(spark, a.manifest, a.manifest_format), "spark_catalog", a.pii_root,
                                a.nonpii_root)
         out = convert_to_external(spark, targets, a.drop_old, a.verify, parallelism=a.parallelism,
-                                  resume=not a.no_resume, sizes="auto")
+                                  resume=not a.no_resume, sizes="auto", dry_run=a.dry_run)
         _emit({"conversions": out, "counts": outcome_counts(out, "outcome"), "failures": conversion_failures(out),
                "converted": conversion_summary(out)}, a.out, a.show)
     elif a.cmd == "migrate":

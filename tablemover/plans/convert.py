@@ -74,7 +74,7 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
 
 
 def _outcome(row: dict, outcome: str, reason: str | None = None, **kw) -> dict:
-    level = logging.INFO if outcome in ("CONVERTED", "CONVERTED_DROPPED", "REGISTERED", "DRY_RUN") \
+    level = logging.INFO if outcome in ("CONVERTED", "CONVERTED_DROPPED", "REGISTERED", "DRY_RUN", "PLANNED") \
         or outcome.startswith("SKIPPED_") else logging.WARNING
     log.log(level, "%s.%s: %s%s", row.get("database"), row.get("name"), outcome, f" ({reason})" if reason else "")
     base = {f: None for f in schemas.CONVERSION.fieldNames()}
@@ -322,7 +322,8 @@ def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]
 
 def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool = False,
                         verify: str = "count", fmt: str | None = None, parallelism: int = 1,
-                        resume: bool = True, sizes: DataFrame | str | None = None, batch: int = 16) -> DataFrame:
+                        resume: bool = True, sizes: DataFrame | str | None = None, batch: int = 16,
+                        dry_run: bool = False) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
 
     Tables are dealt round-robin into groups of at most ``batch`` (so the largest tables, first
@@ -332,6 +333,9 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     of them in a few batched jobs (``verify_many``) and then swaps them (catalog calls). Groups
     overlap, so one group's verification runs while another copies, and thousands of small tables
     cost a few verification jobs per group instead of two or three jobs each.
+
+    ``dry_run`` runs the checks only (state of each table and of its target location) and reports
+    ``PLANNED`` with the action a real run would take; nothing is written.
     """
     if isinstance(sizes, str) and sizes == "auto":
         sizes = _auto_sizes(spark, targets)
@@ -346,6 +350,21 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     n_groups = max(parallelism, -(-len(rows) // max(batch, 1))) if rows else 0
     groups = [list(range(j, len(rows), n_groups)) for j in range(n_groups)]
 
+    def plan_group(idx: list[int]) -> list[tuple[int, dict]]:
+        out = []
+        for i in idx:
+            st, row = _check(spark, rows[i], resume, types), rows[i]
+            if isinstance(st, dict):
+                out.append((i, st))
+            elif st[0] == "fresh":
+                busy = copy_ops.path_has_files(spark, row["location"])
+                out.append((i, _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {row['location']}") if busy
+                            else _outcome(row, "PLANNED", f"copy to {row['location']}, verify {verify}, swap"
+                                                          + (", drop the managed copy" if drop_old else ""))))
+            else:
+                out.append((i, _outcome(row, "PLANNED", st[1])))
+        return out
+
     def run_group(idx: list[int]) -> list[tuple[int, dict]]:
         states = [_check(spark, rows[i], resume, types) for i in idx]
         fresh = [_q(rows[i]["database"], rows[i]["name"]) for i, st in zip(idx, states)
@@ -364,11 +383,12 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
         return [(i, x if isinstance(x, dict) else _finish(spark, x, next(verdicts), drop_old))
                 for i, x in zip(idx, staged)]
 
+    work = plan_group if dry_run else run_group
     if parallelism <= 1:
-        done = [r for g in groups for r in run_group(g)]
+        done = [r for g in groups for r in work(g)]
     else:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            done = [r for part in pool.map(run_group, groups) for r in part]
+            done = [r for part in pool.map(work, groups) for r in part]
     out = [o for _, o in sorted(done, key=lambda x: x[0])]
     df = spark.createDataFrame(out, schemas.CONVERSION)
     return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))

@@ -26,7 +26,7 @@ def ineligible(plan: DataFrame, default_schema: str = "default") -> tuple[DataFr
 
 def conversion_failures(conv: DataFrame) -> DataFrame:
     """``(full_name, t_no, reason)`` for conversions that did not end converted or skipped."""
-    bad = ~F.col("outcome").isin("CONVERTED", "CONVERTED_DROPPED") & ~F.col("outcome").startswith("SKIPPED_")
+    bad = ~F.col("outcome").isin("CONVERTED", "CONVERTED_DROPPED", "PLANNED") & ~F.col("outcome").startswith("SKIPPED_")
     return conv.where(bad).select(F.concat_ws(".", "database", "name").alias("full_name"), "t_no",
                                   F.concat_ws(": ", "outcome", "reason").alias("reason"))
 

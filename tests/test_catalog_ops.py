@@ -476,3 +476,17 @@ def test_inventory_stats_skip_views_unless_asked(spark, db):
     assert plain == {"t": 7, "v": None}
     counted = {r["name"]: r["row_count"] for r in inventory(spark, [db], with_stats=True, count_views=True).collect()}
     assert counted == {"t": 7, "v": 7}
+
+
+def test_convert_dry_run_writes_nothing(spark, db):
+    o = orders(spark).limit(10)
+    o.write.saveAsTable(f"{db}.a")
+    o.write.saveAsTable(f"{db}.busy")
+    o.write.option("path", new_work_dir(spark, "e") + "/d").saveAsTable(f"{db}.e")
+    root = new_work_dir(spark, "dry")
+    o.write.parquet(root + "/nonpii/tgt/busy")
+    out = {r["name"]: (r["outcome"], r["reason"]) for r in conv.convert_to_external(
+        spark, _targets(spark, db, ["a", "busy", "e"], root), drop_old=True, dry_run=True).collect()}
+    assert out["a"][0] == "PLANNED" and "copy to" in out["a"][1] and "drop" in out["a"][1]
+    assert out["busy"][0] == "TARGET_NOT_EMPTY" and out["e"][0] == "SKIPPED_EXTERNAL"
+    assert object_type(spark, f"{db}.a") == "MANAGED" and not spark.catalog.tableExists(f"{db}.a_ext")
