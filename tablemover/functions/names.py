@@ -24,7 +24,11 @@ def quoted_full_name(*parts) -> Column:
 
 
 def location_for(is_pii, pii_root: str, nonpii_root: str, *parts) -> Column:
-    """``root/part/part``; the PII root when the flag is true *or unknown* (the safe side)."""
+    """``root/part/part``; the PII root when the flag is true *or unknown* (the safe side). Null
+    when a part is missing, so two tables can never be given one location by a skipped part."""
     root = F.when(_c(is_pii) == F.lit(False), F.lit(nonpii_root.rstrip("/"))).otherwise(
         F.lit(pii_root.rstrip("/")))
-    return F.concat_ws("/", root, *[_c(p) for p in parts])
+    pieces = [root]
+    for p in parts:
+        pieces += [F.lit("/"), _c(p)]
+    return F.concat(*pieces)

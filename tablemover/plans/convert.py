@@ -123,6 +123,8 @@ def _check(spark: SparkSession, row: dict, resume: bool,
     except Exception as e:  # noqa: BLE001 - one outcome per table
         return _outcome(row, "CHECK_FAILED", str(e))
     if kind == "MANAGED" and old_kind is None and ext_kind is None:
+        if not row.get("location"):
+            return _outcome(row, "NO_LOCATION", "no target location (is the target schema missing?)")
         return "fresh", None
     # Only an external ``t_ext`` can be a copy made by this tool; anything else is left alone.
     if resume and kind == "MANAGED" and old_kind is None and ext_kind == "EXTERNAL":

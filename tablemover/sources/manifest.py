@@ -77,7 +77,8 @@ def manifest_problems(df: DataFrame) -> DataFrame:
     """Rows a migration cannot use as they are: ``(database, name, row_count, problem)``.
 
     ``DUPLICATE_KEY``: one ``(database, name)`` with different rows (after exact duplicates are
-    dropped); ``NULL_KEY``: database or name missing.
+    dropped); ``NULL_KEY``: database or name missing; ``NULL_TARGET``: no target schema (no target
+    name or location can be built).
     """
     d = df.dropDuplicates()
     dup = (d.where(F.col("database").isNotNull() & F.col("name").isNotNull())
@@ -85,7 +86,9 @@ def manifest_problems(df: DataFrame) -> DataFrame:
            .where(F.col("row_count") > 1).withColumn("problem", F.lit("DUPLICATE_KEY")))
     nul = (d.where(F.col("database").isNull() | F.col("name").isNull())
            .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("row_count")).withColumn("problem", F.lit("NULL_KEY")))
-    return dup.unionByName(nul)
+    tgt = (d.where(F.col("database").isNotNull() & F.col("name").isNotNull() & F.col("target_schema").isNull())
+           .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("row_count")).withColumn("problem", F.lit("NULL_TARGET")))
+    return dup.unionByName(nul).unionByName(tgt)
 
 
 def load_manifest(spark: SparkSession, path: str, fmt: str = "json") -> tuple[DataFrame, DataFrame]:

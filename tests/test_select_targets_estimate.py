@@ -99,3 +99,14 @@ def test_one_per_key_is_deterministic(spark):
                                "database string, name string, ts string, n int")
     out = {(r["database"], r["name"]): (r["ts"], r["n"]) for r in one_per_key(df.repartition(3), ["database", "name"]).collect()}
     assert out == {("d", "t"): ("a", 9), ("d", "u"): (None, 1)}
+
+
+def test_missing_target_schema_gives_no_location_and_a_problem(spark):
+    from tablemover.sources.manifest import manifest_problems
+    man = spark.createDataFrame([("d", "t", None, None, False, 1), ("d", "u", "s", None, True, 2)],
+                                "database string, name string, target_schema string, target_table string, "
+                                "is_pii boolean, t_no int")
+    loc = {r["name"]: r["location"] for r in plan_targets(man, "c", "/p", "/n").collect()}
+    assert loc == {"t": None, "u": "/p/s/u"}
+    probs = [(r["name"], r["problem"]) for r in manifest_problems(man).collect()]
+    assert probs == [("t", "NULL_TARGET")]
