@@ -15,6 +15,9 @@ from ..schemas import MANIFEST, MANIFEST_CSV, VIEW_MANIFEST
 
 KEYS = ["database", "name"]
 
+# The nested YAML manifest layout -- the top key, then the table and view sections.
+YAML_ROOT, YAML_TABLES, YAML_VIEWS = "resources", "tables", "views"
+
 # Texts read as true / false in the is_pii column (compared lower-cased, trimmed).
 TRUE_TEXTS = ["true", "t", "yes", "y", "1"]
 FALSE_TEXTS = ["false", "f", "no", "n", "0"]
@@ -35,19 +38,19 @@ def _read_yaml(spark: SparkSession, path: str, leaf: str) -> DataFrame:
         raise RuntimeError("PyYAML is needed to read YAML manifests") from e
     docs = spark.read.text(path, wholetext=True).collect()
     cfg = (yaml.safe_load(docs[0][0]) if docs else None) or {}
-    entries = ((cfg.get("resources") or {}).get(leaf)) or {}
-    schema = MANIFEST if leaf == "tables" else VIEW_MANIFEST
+    entries = ((cfg.get(YAML_ROOT) or {}).get(leaf)) or {}
+    schema = MANIFEST if leaf == YAML_TABLES else VIEW_MANIFEST
     rows = [tuple(None if v.get(f.name) is None else str(v.get(f.name)) for f in schema.fields)
             for v in entries.values()]
     text_schema = ", ".join(f"{f.name} string" for f in schema.fields)
     return spark.createDataFrame(rows, text_schema)
 
 
-def read_manifest(spark: SparkSession, path: str, fmt: str = "json", leaf: str = "tables") -> DataFrame:
+def read_manifest(spark: SparkSession, path: str, fmt: str = "json", leaf: str = YAML_TABLES) -> DataFrame:
     """Raw manifest rows with text columns; see ``load_manifest`` for the typed form."""
     if fmt == "yaml":
         return _read_yaml(spark, path, leaf)
-    schema = MANIFEST if leaf == "tables" else VIEW_MANIFEST
+    schema = MANIFEST if leaf == YAML_TABLES else VIEW_MANIFEST
     text_schema = ", ".join(f"{f.name} string" for f in schema.fields)
     if fmt == "csv":
         return spark.read.option("header", True).schema(text_schema).csv(path)
@@ -98,7 +101,7 @@ def load_manifest(spark: SparkSession, path: str, fmt: str = "json") -> tuple[Da
 
 
 def load_view_manifest(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    raw = read_manifest(spark, path, fmt, leaf="views")
+    raw = read_manifest(spark, path, fmt, leaf=YAML_VIEWS)
     return raw.select(*[F.col(f.name).cast("string") for f in VIEW_MANIFEST.fields]).dropDuplicates()
 
 
