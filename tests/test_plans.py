@@ -64,3 +64,12 @@ def test_rewrite_broadcasts_a_counted_small_mapping(spark):
     texts = spark.createDataFrame([(1, "select * from db.a")], "id int, text string")
     p = plan(rewrite_references(texts, "text", {"db.a": "x.y"}, key_cols=["id"], max_broadcast=100))
     assert "BroadcastHashJoin" in p
+
+
+def test_narrowed_diff_of_equal_tables_reads_nothing_again(spark):
+    from tablemover.operators.reconcile import reconcile_rows
+    o = orders(spark)
+    only_s, only_t = reconcile_rows(o, o.select(*o.columns), "narrow")
+    for df in (only_s, only_t):
+        p = plan(df)
+        assert "Scan parquet" not in p and "LocalTableScan" in p
