@@ -72,4 +72,4 @@ def test_narrowed_diff_of_equal_tables_reads_nothing_again(spark):
     only_s, only_t = reconcile_rows(o, o.select(*o.columns), "narrow")
     for df in (only_s, only_t):
         p = plan(df)
-        assert "Scan parquet" not in p and "LocalTableScan" in p
+        assert "Scan parquet" not in p and "Exchange" not in p
