@@ -5,8 +5,11 @@ it read. Partition columns are kept (``partitionBy``), and because the source is
 same columns, a split normally holds one partition value, so each task writes one file per
 partition it touches. With ``spark.sql.maxConcurrentOutputFileWriters`` set (see
 ``session.RECOMMENDED_CONF``) the writer keeps those few files open instead of sorting the task's
-rows. Failed tasks are retried by Spark and the commit protocol publishes only complete task
-output, so a lost executor does not leave partial files in the target.
+rows. Bucketed tables keep their bucketing: every source file belongs to one bucket, so a task
+reading a split of it writes into that one bucket only -- output files follow input splits, not
+tasks x buckets, and no shuffle is needed. Failed tasks are retried by Spark and the commit
+protocol publishes only complete task output, so a lost executor does not leave partial files in
+the target.
 """
 
 from __future__ import annotations
