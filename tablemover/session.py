@@ -24,7 +24,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.maxConcurrentOutputFileWriters": "8",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
