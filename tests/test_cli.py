@@ -51,3 +51,22 @@ def test_cli_inventory_then_validate(spark, capsys):
     summary = {r["check"]: r["objects"] for r in spark.read.parquet(out + "/v/summary").collect()}
     # n was migrated (but its schema name differs, so it is listed on both sides); r was not.
     assert summary["not_upgraded"] == 1 and summary["external_tables"] == 2
+
+
+def test_cli_migrate_dry_run(spark):
+    import json as _json
+    from tablemover.session import new_database
+    src, tgt = new_database(spark, "cms"), new_database(spark, "cmt")
+    spark.read.parquet(f"{SF}/nation.parquet").write.option("path", new_work_dir(spark, "n") + "/d").saveAsTable(f"{src}.n")
+    spark.sql(f"CREATE VIEW {src}.v AS SELECT n_name FROM {src}.n")
+    man_path = new_work_dir(spark, "cm") + "/man.json"
+    with open(man_path.replace("file:", ""), "w") as fh:
+        for i, t in enumerate(["n", "v"]):
+            fh.write(_json.dumps({"database": src, "name": t, "target_schema": tgt, "target_table": t,
+                                  "is_pii": False, "t_no": i}) + "\n")
+    out = new_work_dir(spark, "cm-out")
+    assert main(["--out", out, "migrate", "all", "--schemas", src, "--catalog", "spark_catalog",
+                 "--source-catalog", "spark_catalog", "--manifest", man_path]) == 0
+    summary = {r["category"]: r["objects"] for r in spark.read.parquet(out + "/summary").collect()}
+    assert summary["MIGRATED_TABLES"] == 1 and summary["MIGRATED_VIEWS"] == 1
+    assert spark.catalog.listTables(tgt) == []  # a dry run writes nothing
