@@ -101,3 +101,15 @@ def test_sequence_with_map_column_and_ties(spark):
     df = spark.createDataFrame([(1, "b", {"k": 1}), (1, "a", {"k": 2}), (0, "z", None)], "k int, s string, m map<string,int>")
     out = [(r["k"], r["s"], r["n"]) for r in with_sequence(df, ["k"], "n").orderBy("n").collect()]
     assert out == [(0, "z", 1), (1, "a", 2), (1, "b", 3)]
+
+
+def test_view_manifest_from_yaml(spark, tmp_path):
+    import yaml
+    from tablemover.sources.manifest import load_view_manifest
+    views = {"v1": dict(source_schema="s", source_view="v1", target_schema="t", target_view="w1"),
+             "v1b": dict(source_schema="s", source_view="v1", target_schema="t", target_view="w1"),
+             "v2": dict(source_schema="s", source_view="v2", target_schema="t", target_view="w2")}
+    p = tmp_path / "views.yaml"
+    p.write_text(yaml.safe_dump({"resources": {"views": views}}))
+    rows = sorted(tuple(r) for r in load_view_manifest(spark, str(p), "yaml").collect())
+    assert rows == [("s", "v1", "t", "w1"), ("s", "v2", "t", "w2")]
