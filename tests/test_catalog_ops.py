@@ -490,3 +490,17 @@ def test_convert_dry_run_writes_nothing(spark, db):
     assert out["a"][0] == "PLANNED" and "copy to" in out["a"][1] and "drop" in out["a"][1]
     assert out["busy"][0] == "TARGET_NOT_EMPTY" and out["e"][0] == "SKIPPED_EXTERNAL"
     assert object_type(spark, f"{db}.a") == "MANAGED" and not spark.catalog.tableExists(f"{db}.a_ext")
+
+
+def test_copy_frame_and_single_file_csv(spark):
+    import os
+    o = orders(spark)
+    path = new_work_dir(spark, "cf") + "/d"
+    copy_ops.copy_frame(o, path, partition_by=["o_orderstatus"])
+    back = spark.read.parquet(path).select(*o.columns)
+    s, t = reconcile_rows(o, back)
+    assert s.count() == 0 and t.count() == 0
+    csv = new_work_dir(spark, "one") + "/d"
+    copy_ops.write_csv(o.repartition(4), csv, single_file=True)
+    parts = [f for f in os.listdir(csv.replace("file:", "")) if f.startswith("part-")]
+    assert len(parts) == 1
