@@ -8,7 +8,6 @@ missing (a laptop, a unit test) do we make a local folder and register it.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,10 +67,7 @@ def work_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, uniquely named folder under the shared scratch folder."""
     root = work_root(spark)
-    path = f"{root}/tablemover/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root}/tablemover/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 def new_database(spark: SparkSession, purpose: str) -> str:
