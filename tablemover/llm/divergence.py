@@ -144,8 +144,8 @@ def language_references(base: DataFrame, top: int = 24, min_share: float = 0.001
     words = words.join(F.broadcast(sums.select("lang", "n")), "lang")
     rank = Window.partitionBy("lang").orderBy(F.col("c").desc(), "word")
     common = (words.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= top)
-              .select("lang", "word", "place", (F.col("c") / F.col("n")).alias("share")))
-    classes = sums.select("lang", *[(F.col(f"k_{k}") / F.col("all")).alias(f"r_{k}") for k in kinds])
+              .select("lang", "word", "place", F.try_divide("c", "n").alias("share")))
+    classes = sums.select("lang", *[F.try_divide(f"k_{k}", "all").alias(f"r_{k}") for k in kinds])
     return written(common, "divergence-words"), written(classes, "divergence-classes")
 
 
@@ -176,8 +176,8 @@ def quality_rules(docs: DataFrame, keep: list[str], text_col: str = "text", lang
         *[F.max(c).alias(c) for c in numbers],
         *[F.sum(F.when(F.col("place") == k + 1, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))).alias(f"h{k}")
           for k in range(top)])
-    d = d.select(*cs, "lang", *numbers, F.array(*[F.col(f"h{k}") / F.col("n_words") for k in range(top)]).alias("words"),
-                 F.array(*[F.col(f"k_{k}") / F.col("n_all") for k in kinds]).alias("classes"))
+    d = d.select(*cs, "lang", *numbers, F.array(*[F.try_divide(F.col(f"h{k}"), F.col("n_words")) for k in range(top)]).alias("words"),
+                 F.array(*[F.try_divide(F.col(f"k_{k}"), F.col("n_all")) for k in kinds]).alias("classes"))
     shares = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "share"))).alias("ps"))
     shares = shares.select("lang", F.transform(F.sequence(F.lit(0), F.lit(top - 1)),
                                                lambda i: F.coalesce(F.get("ps", i)["share"], F.lit(0.0))).alias("ref_words"))
