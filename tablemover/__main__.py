@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--pii-root", required=True)
     c.add_argument("--nonpii-root", required=True)
     c.add_argument("--drop-old", action="store_true")
-    c.add_argument("--verify", default="count", choices=["count", "checksum", "rows"])
+    c.add_argument("--verify", default="checksum", choices=["count", "checksum", "rows"])
     c.add_argument("--parallelism", type=int, default=4)
     c.add_argument("--no-resume", action="store_true")
     c.add_argument("--dry-run", action="store_true", help="report what would be done, write nothing")
@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--manifest-format", default="json", choices=["json", "csv", "parquet", "yaml"])
     g.add_argument("--owner")
     g.add_argument("--apply", action="store_true", help="without it the run is a dry run")
-    g.add_argument("--verify", default="count", choices=["count", "checksum", "rows"])
+    g.add_argument("--verify", default="checksum", choices=["count", "checksum", "rows"])
     g.add_argument("--parallelism", type=int, default=4)
 
     i = sub.add_parser("inventory", help="objects of schemas with type, location and migration mark")

@@ -76,7 +76,7 @@ def _canon(c: Column, t: DataType) -> Column:
         v = F.concat(F.lit("["), F.array_join(inner, SEP), F.lit("]"))
     elif isinstance(t, StructType):
         parts = [_canon(c.getField(f.name), f.dataType) for f in t.fields]
-        v = F.concat(F.lit("{"), F.concat_ws(SEP, *parts), F.lit("}"))
+        v = F.when(c.isNotNull(), F.concat(F.lit("{"), F.concat_ws(SEP, *parts), F.lit("}")))
     elif isinstance(t, MapType):
         entries = F.array_sort(F.map_entries(c))
         inner = F.transform(entries, lambda e: F.concat(_canon(e.getField("key"), t.keyType), F.lit("="),
@@ -102,10 +102,24 @@ def row_digest(df: DataFrame, cols: list[str] | None = None) -> Column:
     return F.conv(F.substring(h, 1, 16), 16, 10).cast("decimal(20,0)")
 
 
+def _marked(c: Column, t: DataType) -> Column:
+    """A value inside another: whether it is null, and the value."""
+    return F.struct(c.isNull().alias("n"), _hashable(c, t).alias("v"))
+
+
 def _hashable(c: Column, t: DataType) -> Column:
-    # xxhash64 rejects maps; hash their sorted entries instead.
+    """A form of ``c`` that hashes apart whatever differs. Spark's hashes skip nulls at every level, don't
+    mark where an array ends, and reject maps: so arrays become (size, elements each with its null mark),
+    structs (fields each with its null mark), and maps their entries in key order, at any depth."""
+    if isinstance(t, ArrayType):
+        return F.struct(F.size(c).alias("size"), F.transform(c, lambda e: _marked(e, t.elementType)).alias("e"))
+    if isinstance(t, StructType):
+        return F.struct(c.isNull().alias("n"), *[_marked(c.getField(f.name), f.dataType).alias(f"f{i}")
+                                                 for i, f in enumerate(t.fields)])
     if isinstance(t, MapType):
-        return F.array_sort(F.map_entries(c))
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(
+            _hashable(e.getField("key"), t.keyType).alias("k"), _marked(e.getField("value"), t.valueType).alias("v")))
+        return F.struct(F.size(c).alias("size"), F.array_sort(entries).alias("e"))
     return c
 
 
@@ -123,18 +137,21 @@ def null_masks(cols: list[str]) -> list[Column]:
     return out
 
 
-def row_hash(df: DataFrame, cols: list[str] | None = None) -> Column:
-    """Fast 64-bit row hash over typed columns and their null pattern (Spark only)."""
+def hash_inputs(df: DataFrame, cols: list[str] | None = None) -> list[Column]:
+    """What a row hash covers: each column in its hashable form, then the null pattern."""
     cols = cols or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    return F.xxhash64(*[_hashable(F.col(f"`{c}`"), types[c]) for c in cols], *null_masks(cols))
+    return [*[_hashable(F.col(f"`{c}`"), types[c]) for c in cols], *null_masks(cols)]
+
+
+def row_hash(df: DataFrame, cols: list[str] | None = None) -> Column:
+    """Fast 64-bit row hash over typed columns and their null pattern (Spark only)."""
+    return F.xxhash64(*hash_inputs(df, cols))
 
 
 def row_hash32(df: DataFrame, cols: list[str] | None = None) -> Column:
     """A second, independent 32-bit row hash (murmur3), also null-position aware."""
-    cols = cols or df.columns
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return F.hash(*[_hashable(F.col(f"`{c}`"), types[c]) for c in cols], *null_masks(cols))
+    return F.hash(*hash_inputs(df, cols))
 
 
 def checksum_aggs(df: DataFrame, cols: list[str] | None = None, portable: bool = False) -> list[Column]:

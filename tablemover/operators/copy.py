@@ -97,15 +97,24 @@ def read_back(spark: SparkSession, target: str, column_order: list[str]) -> Data
     return spark.table(target).select(*[F.col(f"`{c}`") for c in column_order])
 
 
+#: Every text is quoted and quotes are doubled; a null is an unquoted empty field.
+CSV_OPTIONS = {"header": True, "quoteAll": True, "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": "",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
     """CSV with a header. Parallel part files by default; ``single_file`` funnels the rows through
-    one task and is meant for small reports only."""
+    one task and is meant for small reports only. ``read_csv`` gives the same values back: line breaks,
+    blanks around a text, quotes, backslashes, empty texts and nulls all survive."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """What ``write_csv`` wrote. Files are read whole by one task each, since a quoted text may span lines;
+    the writer's part files keep them to a task's size."""
+    return spark.read.options(**CSV_OPTIONS, multiLine=True).schema(schema).csv(path)
 
 
 ROUTE_PII, ROUTE_NONPII = "pii", "nonpii"

@@ -5,14 +5,15 @@ the narrowed row comparison.
 
 Scale notes
 -----------
-* ``exceptAll`` is planned by Spark as union(+1/-1) -> aggregate per distinct row -> replicate.
-  The aggregate is partial map-side, so a row repeated a billion times ships one count per task,
-  not a billion rows: a hot duplicate does not make a hot shuffle partition.
+* The row difference is one union of both sides (+1 / -1) and one aggregate per distinct row: above 0
+  is only in the source, below 0 only in the target. Two scans and one exchange give both answers. The
+  aggregate is partial map-side, so a row repeated a billion times ships one count per task, not a
+  billion rows: a hot duplicate does not make a hot shuffle partition.
 * Count and checksum are global aggregates: partial per task, one tiny final merge. No shuffle
   of rows at all, which is why they are the default verification of a copy.
 * ``reconcile_rows(method="narrow")`` first compares per-bucket signatures (count and two
-  independent 64/32-bit hash sums per hash bucket of whole rows), then runs the exact
-  ``exceptAll`` only over rows in buckets whose signatures differ. On a correct copy that is two
+  independent 64/32-bit hash sums per hash bucket of whole rows), then runs the same
+  difference only over rows in buckets whose signatures differ. On a correct copy that is two
   scans and a shuffle of ``buckets`` rows instead of a shuffle of both tables.
 * The keyed diff aggregates each side to one row per key *before* joining, so duplicate or hot
   keys never produce pairs.
@@ -23,9 +24,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from ..functions.checksum import checksum_aggs, row_digest, row_hash, row_hash32
+from ..functions.checksum import checksum_aggs, hash_inputs, row_digest, row_hash, row_hash32
 from ..session import work_root
 from .select import exclude_schemas as _exclude_schemas
 
@@ -223,58 +224,94 @@ def _in_buckets(df: DataFrame, bad: DataFrame, buckets: int) -> DataFrame:
     return keyed.join(F.broadcast(bad), "_tm_b", "left_semi").select(*[F.col(f"`{c}`") for c in cols])
 
 
-def _maps_as_arrays(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Set operations cannot compare maps: top-level map columns become their entries sorted by
-    key (equal maps give equal arrays); returns the frame and the names of the converted columns."""
-    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
-    if not maps:
-        return df, []
-    return df.select(*[F.array_sort(F.map_entries(F.col(f"`{c}`"))).alias(c) if c in maps else F.col(f"`{c}`")
-                       for c in df.columns]), maps
+def _has_map(t: DataType) -> bool:
+    if isinstance(t, MapType):
+        return True
+    if isinstance(t, ArrayType):
+        return _has_map(t.elementType)
+    return isinstance(t, StructType) and any(_has_map(f.dataType) for f in t.fields)
+
+
+def _without_maps(c: F.Column, t: DataType) -> F.Column:
+    """Rows with maps cannot be grouped: maps at any depth become their entries sorted by key (equal maps
+    give equal arrays)."""
+    if not _has_map(t):
+        return c
+    if isinstance(t, MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(
+            _without_maps(e.getField("key"), t.keyType).alias("key"),
+            _without_maps(e.getField("value"), t.valueType).alias("value"))))
+    if isinstance(t, ArrayType):
+        return F.transform(c, lambda e: _without_maps(e, t.elementType))
+    return F.when(c.isNotNull(), F.struct(*[_without_maps(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields]))
+
+
+def _with_maps(c: F.Column, t: DataType) -> F.Column:
+    """``_without_maps`` undone; ``t`` is the type with maps."""
+    if not _has_map(t):
+        return c
+    if isinstance(t, MapType):
+        return F.map_from_entries(F.transform(c, lambda e: F.struct(
+            _with_maps(e.getField("key"), t.keyType), _with_maps(e.getField("value"), t.valueType))))
+    if isinstance(t, ArrayType):
+        return F.transform(c, lambda e: _with_maps(e, t.elementType))
+    return F.when(c.isNotNull(), F.struct(*[_with_maps(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields]))
+
+
+def _each(df: DataFrame, schema: StructType, convert) -> DataFrame:
+    if not _has_map(schema):
+        return df
+    return df.select(*[convert(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _arrays_as_maps(df: DataFrame, maps: list[str]) -> DataFrame:
-    if not maps:
-        return df
-    return df.select(*[F.map_from_entries(F.col(f"`{c}`")).alias(c) if c in maps else F.col(f"`{c}`")
-                       for c in df.columns])
+SIDE, TIMES = "_tm_side", "_tm_times"
+
+
+def row_differences(src: DataFrame, dst: DataFrame) -> DataFrame:
+    """The rows that differ, with ``_tm_side`` (`source` or `target`: where the row is too often) and
+    ``_tm_times`` (how many times too often). One scan of each side and one exchange of distinct rows."""
+    schema = src.schema
+    dst = align_columns(src, dst)
+    one = _each(src, schema, _without_maps).withColumn(TIMES, F.lit(1).cast("long"))
+    other = _each(dst, schema, _without_maps).withColumn(TIMES, F.lit(-1).cast("long"))
+    diff = (one.unionAll(other).groupBy(*[F.col(f"`{c}`") for c in src.columns]).agg(F.sum(TIMES).alias(TIMES))
+            .where(F.col(TIMES) != 0))
+    out = diff.select(*[_with_maps(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields],
+                      F.when(F.col(TIMES) > 0, F.lit("source")).otherwise(F.lit("target")).alias(SIDE),
+                      F.abs(TIMES).alias(TIMES))
+    return out
 
 
-def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact", buckets: int = 65536,
-                   dense_fraction: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def _rows_of(diff: DataFrame, side: str, columns: list[str]) -> DataFrame:
+    return (diff.where(F.col(SIDE) == side).withColumn(TIMES, F.explode(F.sequence(F.lit(1).cast("long"), F.col(TIMES))))
+            .select(*[F.col(f"`{c}`") for c in columns]))
+
+
+def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact",
+                   buckets: int = 65536) -> tuple[DataFrame, DataFrame]:
     """Bag difference of whole rows both ways: (rows only in source, rows only in target).
 
-    ``method="exact"``: ``exceptAll`` over both tables. ``method="narrow"``: per-bucket signatures
-    first (checkpointed, so that pass runs once); no mismatched bucket -> two empty frames without
-    reading the tables again; more than ``dense_fraction`` of the buckets mismatched -> the exact
-    path (narrowing would only add a pass); otherwise ``exceptAll`` over the rows of the mismatched
-    buckets only. A differing row always changes its bucket's count or hash sums unless another
-    change in the same bucket cancels both its 64-bit and 32-bit sums at once; use ``exact`` when
-    that residual risk is not acceptable.
+    ``method="exact"``: ``row_differences`` over both tables; to use both answers from one pass, call
+    that. ``method="narrow"``: per-bucket signatures first (checkpointed, so that pass runs once), then
+    the difference over the rows of mismatched buckets only; without any, two empty frames and no second
+    read. Choose it for copies that should be equal: when most buckets differ it costs one pass more.
+    Take at least a few buckets per expected change. A differing row always changes its bucket's count
+    or hash sums unless another change in the same bucket cancels both its 64-bit and 32-bit sums at
+    once; use ``exact`` when that residual risk is not acceptable.
     """
-    dst = align_columns(src, dst)
     if method not in ("exact", "narrow"):
         raise ValueError(f"unknown method {method!r}")
-    src, maps = _maps_as_arrays(src)
-    dst, _ = _maps_as_arrays(dst)
-    only_s, only_t = _row_difference(src, dst, method, buckets, dense_fraction)
-    return _arrays_as_maps(only_s, maps), _arrays_as_maps(only_t, maps)
-
-
-def _row_difference(src: DataFrame, dst: DataFrame, method: str, buckets: int,
-                    dense_fraction: float) -> tuple[DataFrame, DataFrame]:
-    if method == "exact":
-        return src.exceptAll(dst), dst.exceptAll(src)
-    work_root(src.sparkSession)  # a shared checkpoint folder must be registered before checkpoint()
-    bad = mismatched_buckets(src, dst, buckets).checkpoint(eager=True)
-    n_bad = bad.count()
-    if n_bad == 0:
-        empty = src.sparkSession.createDataFrame([], src.schema)
-        return empty, empty
-    if n_bad > dense_fraction * buckets:
-        return src.exceptAll(dst), dst.exceptAll(src)
-    s, t = _in_buckets(src, bad, buckets), _in_buckets(dst, bad, buckets)
-    return s.exceptAll(t), t.exceptAll(s)
+    dst = align_columns(src, dst)
+    columns = src.columns
+    if method == "narrow":
+        work_root(src.sparkSession)  # a shared checkpoint folder must be registered before checkpoint()
+        bad = mismatched_buckets(src, dst, buckets).checkpoint(eager=True)
+        if bad.isEmpty():
+            empty = src.sparkSession.createDataFrame([], src.schema)
+            return empty, empty
+        src, dst = _in_buckets(src, bad, buckets), _in_buckets(dst, bad, buckets)
+    diff = row_differences(src, dst)
+    return _rows_of(diff, "source", columns), _rows_of(diff, "target", columns)
 
 
 def _zero(t) -> F.Column | None:
@@ -318,7 +355,7 @@ def keyed_diff(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFrame:
                + [F.col(f"`{k}`").isNull().alias(f"_n{i}") for i, k in enumerate(keys)])
         if vals:
             h1, h3 = row_hash(df, vals), row_hash32(df, vals)
-            h2 = F.xxhash64(F.lit("tablemover"), h1, *[F.col(f"`{c}`") for c in vals])
+            h2 = F.xxhash64(F.lit("tablemover"), h1, *hash_inputs(df, vals))
         else:
             h1 = h2 = h3 = F.lit(0)
         return (df.select(*grp, h1.cast("decimal(38,0)").alias("_h1"), h2.cast("decimal(38,0)").alias("_h2"),

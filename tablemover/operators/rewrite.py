@@ -17,14 +17,15 @@ Plan of the token rule (all built-in expressions):
 2. ``posexplode`` the tokens and keep the dotted identifiers only -- from here on the per-token
    work (split into parts, catalog test, key) is ordinary whole-stage-codegen expressions over
    rows instead of interpreted lambdas over arrays;
-3. join the candidates with the mapping on the key: Spark broadcasts the mapping when its
-   measured size is under the adaptive broadcast threshold (or, with ``max_broadcast``, when its
-   counted row count is), otherwise it keeps a shuffle join that AQE can split when a key is hot;
+3. join the candidates with the mapping on the key: adaptive execution broadcasts the mapping when
+   its measured size is under the adaptive broadcast threshold, otherwise the shuffle join stays,
+   which AQE can split when a key is hot;
 4. gather the replacements of each text into a ``position -> new token`` map (bounded by the
-   text's own length), join it back to the texts on ``key_cols`` and swap the tokens by position.
+   text's own length), join it back to the texts on an internal id and swap the tokens by position.
 
 Texts without any candidate never reach the join; a text's tokens are never shuffled, only its
-candidate identifiers.
+candidate identifiers. The ids are fixed by writing the texts to the checkpoint folder once, so rows
+with null or repeated keys of their own are rewritten like all others.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tokens import IDENT_TOKEN, NAME_PART, SQL_TOKEN
+from ..session import work_root
 
 
 # Fixed values of the literal catalog rule: an optional back-tick, the catalog name, an optional
@@ -97,28 +99,23 @@ def _mapping_frame(df: DataFrame, mapping) -> DataFrame:
 
 def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict, catalog_from: str | None = None,
                        catalog_to: str | None = None, out_col: str | None = None,
-                       key_cols: list[str] | None = None, max_broadcast: int | None = None) -> DataFrame:
+                       join_hint: str | None = None) -> DataFrame:
     """Add ``out_col`` (default: replace ``text_col``) with references rewritten by the token rule.
 
     ``mapping`` is a dict or a ``(key, value)`` frame (see ``mapping_from_manifest``); keys are
-    lower-cased ``schema.table``. ``key_cols`` must identify the rows of ``df`` uniquely and be
-    non-null (a row with a null key keeps its text unchanged). ``max_broadcast=None`` leaves the
-    join strategy to Spark (adaptive execution broadcasts the mapping when its measured size is
-    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else keeps the shuffle join); a
-    number counts the mapping first and hints a broadcast when it has at most that many rows.
+    lower-cased ``schema.table``. Every row of ``df`` comes back once, rewritten; null texts stay null.
+    Spark picks the join with the mapping by its measured size; ``join_hint`` (for instance "merge")
+    asks for another.
     """
     out_col = out_col or text_col
-    if not key_cols:
-        raise ValueError("key_cols (a unique key of the texts) are required")
     m = _mapping_frame(df, mapping)
-    # Size check before broadcasting: at most ``max_broadcast`` rows are shipped to every executor.
-    if max_broadcast is not None and max_broadcast > 0 and m.limit(max_broadcast + 1).count() <= max_broadcast:
-        m = F.broadcast(m)
+    if join_hint:
+        m = m.hint(join_hint)
     cat_swap = F.lit(bool(catalog_to) and bool(catalog_from))
-    # One shuffle of the texts by their key; the candidate branch, the per-text aggregation of the
-    # hits and the join back all reuse this partitioning, so no further exchange of texts or hits.
-    df = df.repartition(*key_cols)
-    cand = (df.select(*key_cols, F.posexplode(tokens(text_col)).alias("_pos", "_tok"))
+    work_root(df.sparkSession)  # a shared checkpoint folder must be registered before checkpoint()
+    rid = "_tm_row"
+    df = df.withColumn(rid, F.monotonically_increasing_id()).checkpoint(eager=True)
+    cand = (df.select(rid, F.posexplode(tokens(text_col)).alias("_pos", "_tok"))
             .where((F.instr("_tok", ".") > 0) & F.col("_tok").rlike(r"(?U)^[\w`]") & F.col("_tok").rlike(IDENT_TOKEN))
             .withColumn("_parts", F.regexp_extract_all("_tok", F.lit(NAME_PART), 1))
             .withColumn("_cat", _has_cat(F.col("_parts"), catalog_from))
@@ -128,10 +125,10 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
     i = F.when(cat, F.lit(2)).otherwise(F.lit(1))
     head = F.when(cat, F.lit(catalog_to or catalog_from or ""))
     name = F.when(new.isNotNull(), _render(new)).otherwise(F.array_join(F.slice(parts, i, 2), "."))
-    rest = F.when(F.size(parts) >= i + 2, F.array_join(F.slice(parts, i + 2, 1 << 20), "."))
-    per_text = (hits.select(*key_cols, "_pos", F.concat_ws(".", head, name, rest).alias("_new"))
-                .groupBy(*key_cols).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_hits")))
-    j = df.join(per_text, key_cols, "left")
+    rest = F.when(F.size(parts) >= i + 2, F.array_join(F.slice(parts, i + 2, F.size(parts)), "."))
+    per_text = (hits.select(rid, "_pos", F.concat_ws(".", head, name, rest).alias("_new"))
+                .groupBy(rid).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_hits")))
+    j = df.join(per_text, rid, "left")
     swapped = F.transform(tokens(text_col), lambda t, p: F.coalesce(F.try_element_at(F.col("_hits"), p), t))
     text = F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(F.array_join(swapped, ""))
-    return j.withColumn(out_col, text).drop("_hits")
+    return j.withColumn(out_col, text).drop("_hits", rid)

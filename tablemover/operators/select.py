@@ -26,22 +26,32 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def parse_name_list(text: str | list[str] | None) -> list[str]:
-    """``"a, b ,c"`` -> ``["a", "b", "c"]``; blanks removed; empty text means no list."""
+    """``"a, b ,c"`` -> ``["a", "b", "c"]``; blanks removed; empty text means no list. The names of a list
+    are taken as they are, but for blanks around them: a name may hold a space."""
     if text is None:
         return []
     if isinstance(text, (list, tuple)):
-        return [t for t in (s.replace(" ", "") for s in text) if t]
+        return [t for t in (s.strip() for s in text) if t]
     return [t for t in text.replace(" ", "").split(",") if t]
 
 
+def _folded(df: DataFrame, other: DataFrame, keys: list[str]):
+    """``other``'s distinct keys in lower case under internal names, and the join condition: metastore
+    names don't differ by case."""
+    names = [f"_tm_key{i}" for i in range(len(keys))]
+    o = other.select(*[F.lower(F.col(f"`{k}`")).alias(n) for k, n in zip(keys, names)]).distinct()
+    return o, [F.lower(df[f"`{k}`"]) == o[n] for k, n in zip(keys, names)]
+
+
 def include_tables(inv: DataFrame, manifest: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Inventory rows named in the manifest (EXISTS)."""
-    return inv.join(manifest.select(*keys).dropDuplicates(), keys, "left_semi")
+    """Inventory rows named in the manifest (EXISTS), whatever the case of the names."""
+    return inv.join(*_folded(inv, manifest, keys), "left_semi")
 
 
 def exclude_tables(inv: DataFrame, exclusion: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Inventory rows not named in the exclusion list (NOT EXISTS); an empty list keeps all."""
-    return inv.join(exclusion.select(*keys).dropDuplicates(), keys, "left_anti")
+    """Inventory rows not named in the exclusion list (NOT EXISTS), whatever the case of the names; an
+    empty list keeps all."""
+    return inv.join(*_folded(inv, exclusion, keys), "left_anti")
 
 
 def exclude_schemas(inv: DataFrame, schemas: list[str] | str | None, col: str = "database") -> DataFrame:
@@ -50,7 +60,8 @@ def exclude_schemas(inv: DataFrame, schemas: list[str] | str | None, col: str =
     xs = parse_name_list(schemas)
     if not xs:
         return inv
-    return inv.where(~F.col(col).isin(*xs))
+    # The exact names are pushed to the scan; the folded ones catch other spellings.
+    return inv.where(~F.col(col).isin(*xs) & ~F.lower(F.col(col)).isin(*[x.lower() for x in xs]))
 
 
 def select_tables(inv: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None,

@@ -30,8 +30,8 @@ from .. import schemas
 from ..functions.timefmt import mm_ss
 from ..operators.estimate import BYTES_PER_MB
 from ..operators import copy as copy_ops
-from ..operators.reconcile import reconcile_partitions, reconcile_rows, table_checksums
-from ..sources.catalog import UPGRADED_TO, _in_session_catalog, object_type, partition_columns
+from ..operators.reconcile import SIDE, TIMES, reconcile_partitions, row_differences, table_checksums
+from ..sources.catalog import UPGRADED_TO, _in_session_catalog, describe_table, object_type, partition_columns
 from ..sources.stats import table_stats
 
 
@@ -42,6 +42,13 @@ def _q(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
+def _may_drop(drop_old: bool, verify: str) -> None:
+    if verify not in ("count", "checksum", "rows"):
+        raise ValueError(f"unknown verification {verify!r}")
+    if drop_old and verify == "count":
+        raise ValueError("equal row counts don't prove a copy: drop_old needs verify='checksum' or 'rows'")
+
+
 def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "count") -> dict:
     """Compare two tables; returns ``source_rows, target_rows, bytes, ok, reason``."""
     stats = {r["table_name"]: r for r in table_stats({"s": spark.table(source), "t": spark.table(target)}).collect()}
@@ -60,14 +67,13 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
             parts = partition_columns(spark, source)
             if parts:
                 # Name the partitions to copy again: their count, and a few of them for the message.
-                diff = reconcile_partitions(src, dst, parts)
-                n = diff.count()
-                first = ", ".join("/".join(f"{c}={r[c]}" for c in parts) for r in diff.limit(5).collect())
-                reason += f" in {n} partition(s): {first}" + (", ..." if n > 5 else "")
+                # One row per partition value, metadata like the partition listing itself.
+                diff = [dict(zip(parts, r)) for r in reconcile_partitions(src, dst, parts).select(*parts).orderBy(*parts).collect()]
+                reason += f" in {len(diff)} partition(s): " + ", ".join("/".join(f"{c}={r[c]}" for c in parts) for r in diff)
             res.update(ok=False, reason=reason)
     elif verify == "rows":
-        only_s, only_t = reconcile_rows(src, dst, method="narrow")
-        n_s, n_t = only_s.count(), only_t.count()
+        n = {r[SIDE]: r["n"] for r in row_differences(src, dst).groupBy(SIDE).agg(F.sum(TIMES).alias("n")).collect()}
+        n_s, n_t = n.get("source", 0), n.get("target", 0)
         if n_s or n_t:
             res.update(ok=False, reason=f"{n_s} rows only in source, {n_t} rows only in target")
     return res
@@ -158,11 +164,17 @@ def _resumed(row: dict, stage: str, note: str | None) -> _Staged:
 
 
 def _fingerprints(spark: SparkSession, names: list[str]) -> dict[str, str | None]:
-    """Source file fingerprints of many tables in one batched metadata job."""
-    if not names:
+    """Source file fingerprints of many tables in one batched metadata job; None for a table that can't
+    be read (its copy will say why)."""
+    frames = {}
+    for n in names:
+        try:
+            frames[n] = spark.table(n)
+        except Exception as e:  # noqa: BLE001 - one bad table doesn't stop the others
+            log.warning("no fingerprint of %s: %s", n, e)
+    if not frames:
         return {}
-    rows = table_stats({n: spark.table(n) for n in names}, errors="isolate").collect()
-    return {r["table_name"]: r["fingerprint"] for r in rows}
+    return {r["table_name"]: r["fingerprint"] for r in table_stats(frames, errors="isolate").collect()}
 
 
 def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dict | _Staged:
@@ -232,6 +244,7 @@ def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify:
     and swapped in, a swap interrupted between its two renames is finished, and a finished swap is
     verified again before ``t_old`` may be dropped. Without it those states are skipped.
     """
+    _may_drop(drop_old, verify)
     st = _stage(spark, row, fmt, resume)
     if isinstance(st, dict):
         return st
@@ -339,6 +352,7 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     ``dry_run`` runs the checks only (state of each table and of its target location) and reports
     ``PLANNED`` with the action a real run would take; nothing is written.
     """
+    _may_drop(drop_old, verify)
     if isinstance(sizes, str) and sizes == "auto":
         sizes = _auto_sizes(spark, targets)
     rows = _plan_rows(targets, sizes)
@@ -359,7 +373,11 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
             if isinstance(st, dict):
                 out.append((i, st))
             elif st[0] == "fresh":
-                busy = copy_ops.path_has_files(spark, row["location"])
+                try:
+                    busy = copy_ops.path_has_files(spark, row["location"])
+                except Exception as e:  # noqa: BLE001 - the same outcome as in a real run
+                    out.append((i, _outcome(row, "COPY_FAILED", str(e))))
+                    continue
                 out.append((i, _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {row['location']}") if busy
                             else _outcome(row, "PLANNED", f"copy to {row['location']}, verify {verify}, swap"
                                                           + (", drop the managed copy" if drop_old else ""))))
@@ -402,6 +420,11 @@ def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: st
     return _q(*parts) if _in_session_catalog(spark, catalog) else _q(catalog, *parts)
 
 
+def _text(v) -> str:
+    """A SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None) -> tuple[dict, dict | None, str]:
     """Create the target table over the source's files: (base row, failure outcome or None, name)."""
     dst = _target_name(spark, row.get("target_catalog"), row["target_schema"], row["target_name"])
@@ -409,11 +432,21 @@ def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None)
     props = {"migration.source": f"{row['source_schema']}.{row['source_name']}"}
     if owner:
         props["migration.owner"] = owner
-    tp = ", ".join(f"'{k}' = '{v.replace(chr(39), chr(39) * 2)}'" for k, v in props.items())
-    # Schema and partition columns are inferred from the files at the location.
-    stmt = f"CREATE TABLE {dst} USING {provider} LOCATION '{loc}' TBLPROPERTIES ({tp})"
+    tp = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in props.items())
+    src = _q(row["source_schema"], row["source_name"])
     base = {"database": row["source_schema"], "name": row["source_name"], "target_schema": row["target_schema"],
             "target_table": row["target_name"], "location": loc, "t_no": None}
+    try:
+        # Columns with their types, partition columns and storage options are the source's: inferring
+        # them from the files would turn a text partition '01' into a number, or lose a CSV's header.
+        info = describe_table(spark, src)
+        columns = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in spark.table(src).schema.fields)
+        options = ", ".join(f"{_text(k)} {_text(v)}" for k, v in info.get("options", {}).items() if k.lower() != "path")
+        parts = ", ".join(_q(c) for c in partition_columns(spark, src))
+        stmt = (f"CREATE TABLE {dst} ({columns}) USING {provider}" + (f" OPTIONS ({options})" if options else "")
+                + (f" PARTITIONED BY ({parts})" if parts else "") + f" LOCATION {_text(loc)} TBLPROPERTIES ({tp})")
+    except Exception as e:  # noqa: BLE001 - one outcome per table
+        return base, _outcome(base, "REGISTER_FAILED", str(e)), dst
     if dry_run:
         return base, _outcome(base, "DRY_RUN", stmt), dst
     try:
@@ -427,10 +460,23 @@ def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None)
 
 
 def _registered(spark: SparkSession, row: dict, base: dict, v: dict | Exception) -> dict:
-    if isinstance(v, Exception):
-        return _outcome(base, "VERIFY_FAILED", str(v))
-    if not v["ok"]:
-        return _outcome(base, "VERIFY_FAILED", v["reason"], source_rows=v["source_rows"], target_rows=v["target_rows"])
+    src = _q(row["source_schema"], row["source_name"])
+    dst = _target_name(spark, row.get("target_catalog"), row["target_schema"], row["target_name"])
+    if not isinstance(v, Exception) and v["ok"]:
+        kinds = [[(f.name, f.dataType.simpleString()) for f in spark.table(t).schema.fields] for t in (src, dst)]
+        if kinds[0] != kinds[1]:
+            v = {**v, "ok": False, "reason": f"schemas differ: {kinds[0]} vs {kinds[1]}"}
+    if isinstance(v, Exception) or not v["ok"]:
+        # The target is an entry over the source's own files: dropping it removes no data, and a later
+        # run finds the name free.
+        left = ""
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {dst}")
+        except Exception as e:  # noqa: BLE001
+            left = f"; the target could not be removed: {e}"
+        if isinstance(v, Exception):
+            return _outcome(base, "VERIFY_FAILED", str(v) + left)
+        return _outcome(base, "VERIFY_FAILED", v["reason"] + left, source_rows=v["source_rows"], target_rows=v["target_rows"])
     # Mark the source as migrated, naming its target, so an inventory taken later knows it.
     target = ".".join(x for x in (row.get("target_catalog"), row["target_schema"], row["target_name"]) if x)
     try:
@@ -443,7 +489,7 @@ def _registered(spark: SparkSession, row: dict, base: dict, v: dict | Exception)
                     size_mb=(v["bytes"] or 0) / BYTES_PER_MB)
 
 
-def register_one(spark: SparkSession, row: dict, dry_run: bool = True, verify: str = "count",
+def register_one(spark: SparkSession, row: dict, dry_run: bool = True, verify: str = "checksum",
                  owner: str | None = None) -> dict:
     """Register ``source`` as external table ``target`` over the same files, then verify."""
     base, failed, dst = _register(spark, row, dry_run, owner)
@@ -457,16 +503,16 @@ def register_one(spark: SparkSession, row: dict, dry_run: bool = True, verify: s
 
 
 def register_external(spark: SparkSession, plan: DataFrame, inv: DataFrame, dry_run: bool = True,
-                      verify: str = "count", owner: str | None = None, parallelism: int = 1) -> DataFrame:
+                      verify: str = "checksum", owner: str | None = None, parallelism: int = 1) -> DataFrame:
     """Register every ``READY`` row of a migration plan under its final target name.
 
     The tables are created first (catalog calls, ``parallelism`` at a time), then all of them are
     verified against their sources in a few batched jobs (``verify_many``).
     """
     ready = plan.where(F.col("status_code") == F.lit("READY"))
-    j = ready.join(inv.select(F.col("database").alias("source_schema"), F.col("name").alias("source_name"),
-                              "location", "provider"),
-                   ["source_schema", "source_name"], "left")
+    listed = inv.select(F.lower("database").alias("_db"), F.lower("name").alias("_nm"), "location", "provider")
+    j = ready.join(listed, (F.lower("source_schema") == F.col("_db")) & (F.lower("source_name") == F.col("_nm")),
+                   "left").drop("_db", "_nm")
     rows = [r.asDict() for r in j.orderBy("source_schema", "source_name").collect()]
     make = lambda r: _register(spark, r, dry_run, owner)
     if parallelism <= 1:

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.reconcile import reconcile_inventory
-from ..operators.select import parse_name_list
+from ..operators.select import one_per_key, parse_name_list
 from ..sources.catalog import database_exists, inventory, list_databases
 from .convert import register_external
 from .migration import plan_migration
@@ -19,6 +19,8 @@ from ..operators.rewrite import mapping_from_manifest
 
 SCOPES = ("external-tables", "views", "all")
 
+TARGET_LISTING = "table_catalog string, table_schema string, table_name string, table_type string"
+
 log = logging.getLogger(__name__)
 
 
@@ -42,7 +44,7 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
             target_schemas: list[str] | None = None, manifest: DataFrame | None = None,
             exclude: DataFrame | None = None, exclude_schemas: str | list[str] | None = None,
             owner: str | None = None, dry_run: bool = True, source_catalog: str = "hive_metastore",
-            verify: str = "count", parallelism: int = 1,
+            verify: str = "checksum", parallelism: int = 1,
             view_manifest: DataFrame | None = None) -> MigrationResult:
     if scope not in SCOPES:
         raise ValueError(f"scope {scope!r} not recognised; choose one of {', '.join(SCOPES)}")
@@ -58,8 +60,7 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
                           if manifest is not None else dbs)
     tgt_dbs = [d for d in target_schemas if database_exists(spark, d, catalog)]
     tinv = target_inventory(inventory(spark, tgt_dbs, parallelism=parallelism, catalog=catalog), catalog) \
-        if tgt_dbs else spark.createDataFrame(
-        [], "table_catalog string, table_schema string, table_name string, table_type string")
+        if tgt_dbs else spark.createDataFrame([], TARGET_LISTING)
     plan = plan_migration(inv, tinv, catalog, manifest, exclude, exclude_schemas, source_catalog)
     tables = views = None
     if scope in ("external-tables", "all"):
@@ -69,17 +70,24 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
         if view_manifest is None and manifest is not None:
             # Views follow their schema's tables: one target schema per source schema (the
             # smallest name when a manifest splits a schema), so no view row is duplicated.
-            per_db = manifest.groupBy(F.col("database").alias("source_schema")).agg(
-                F.min("target_schema").alias("_ts"))
-            vp = (vp.join(per_db, "source_schema", "left")
-                  .withColumn("target_schema", F.coalesce("_ts", "target_schema")).drop("_ts"))
+            per_db = manifest.groupBy(F.lower("database").alias("_db")).agg(F.min("target_schema").alias("_ts"))
+            # A view that the manifest names goes where its own row says, under its own new name.
+            named = one_per_key(manifest.select(F.lower("database").alias("_vd"), F.lower("name").alias("_vn"),
+                                                F.col("target_schema").alias("_vs"),
+                                                F.coalesce("target_table", "name").alias("_vt"))
+                                .where(F.col("_vd").isNotNull() & F.col("_vn").isNotNull()), ["_vd", "_vn"])
+            vp = (vp.join(per_db, F.lower("source_schema") == F.col("_db"), "left")
+                  .join(named, (F.lower("source_schema") == F.col("_vd")) & (F.lower("source_view") == F.col("_vn")), "left")
+                  .withColumn("target_schema", F.coalesce("_vs", "_ts", "target_schema"))
+                  .withColumn("target_view", F.coalesce("_vt", "target_view"))
+                  .drop("_db", "_ts", "_vd", "_vn", "_vs", "_vt"))
         # Excluded objects and schemas are left alone, views included.
         xs = parse_name_list(exclude_schemas)
         if xs:
-            vp = vp.where(~F.col("source_schema").isin(*xs))
+            vp = vp.where(~F.lower("source_schema").isin(*[x.lower() for x in xs]))
         if exclude is not None:
-            ex = exclude.select(F.col("database").alias("source_schema"), F.col("name").alias("source_view")).distinct()
-            vp = vp.join(ex, ["source_schema", "source_view"], "left_anti")
+            ex = exclude.select(F.lower("database").alias("_xd"), F.lower("name").alias("_xn")).distinct()
+            vp = vp.join(ex, (F.lower("source_schema") == F.col("_xd")) & (F.lower("source_view") == F.col("_xn")), "left_anti")
         # Old -> new names of the tables of the manifest and of the views themselves, so views over
         # tables and views over views both point at the migrated objects.
         mapping = view_mapping(vp)
@@ -88,16 +96,19 @@ def migrate(spark: SparkSession, scope: str, schemas: str | list[str] = "all", c
         views = migrate_views(spark, vp, mapping, source_catalog, catalog, dry_run, owner, target_catalog=catalog)
     counts = outcome_counts(plan)
     res = MigrationResult(plan, tables, views, counts)
-    if not dry_run and tgt_dbs and tables is not None:
+    if not dry_run and (tables is not None or views is not None):
         # Everything planned READY must now exist under its target name; anything else in the
-        # target schemas that the plan did not account for shows up as only in the target.
+        # target schemas that the plan did not account for shows up as only in the target. The
+        # schemas are looked up again: this run may have made them.
+        tgt_dbs = [d for d in target_schemas if database_exists(spark, d, catalog)]
         ready = plan.where(F.col("status_code") == F.lit("READY")).select(
             F.col("source_schema").alias("database"), F.col("source_name").alias("name"))
         planned = inv.join(ready, ["database", "name"], "left_semi").withColumn(
             "upgraded_to", F.lit(None).cast("string"))
         accounted = plan.where(F.col("status_code") != F.lit("READY")).select(
             F.lower("target_schema").alias("_s"), F.lower("target_name").alias("_n")).distinct()
-        after = target_inventory(inventory(spark, tgt_dbs, catalog=catalog), catalog)
+        after = (target_inventory(inventory(spark, tgt_dbs, catalog=catalog), catalog) if tgt_dbs
+                 else spark.createDataFrame([], TARGET_LISTING))
         after = after.join(accounted, (F.lower("table_schema") == F.col("_s")) & (F.lower("table_name") == F.col("_n")),
                            "left_anti")
         mapping = plan.select(F.col("source_schema").alias("database"), F.col("source_name").alias("name"),

@@ -41,7 +41,9 @@ def plan_migration(inv: DataFrame, target_inv: DataFrame, catalog: str,
         man = one_per_key(manifest.select("database", "name", "target_schema",
                                           F.coalesce("target_table", "name").alias("target_table"))
                           .where(F.col("name").isNotNull()), ["database", "name"])
-        base = man.join(inv_k, ["database", "name"], "left")
+        listed = inv_k.select(F.lower("database").alias("_db"), F.lower("name").alias("_nm"), "object_type")
+        base = man.join(one_per_key(listed, ["_db", "_nm"]), (F.lower(man["database"]) == F.col("_db"))
+                        & (F.lower(man["name"]) == F.col("_nm")), "left").drop("_db", "_nm")
     else:
         base = inv_k.select("database", "name", F.col("database").alias("target_schema"),
                             F.col("name").alias("target_table"), "object_type")
@@ -52,12 +54,13 @@ def plan_migration(inv: DataFrame, target_inv: DataFrame, catalog: str,
                      & (F.lower(base["target_table"]) == tgt["_tn"]), "left").drop("_ts", "_tn")
     excluded = F.lit(False)
     if exclude is not None:
-        ex = exclude.select("database", "name").distinct().withColumn("_excluded", F.lit(True))
-        base = base.join(ex, ["database", "name"], "left")
+        ex = exclude.select(F.lower("database").alias("_xd"), F.lower("name").alias("_xn")).distinct()
+        ex = ex.withColumn("_excluded", F.lit(True))
+        base = base.join(ex, (F.lower(base["database"]) == ex["_xd"]) & (F.lower(base["name"]) == ex["_xn"]), "left")
         excluded = F.coalesce(F.col("_excluded"), F.lit(False))
     xs = parse_name_list(exclude_schemas)
     if xs:
-        excluded = excluded | F.coalesce(F.col("database").isin(*xs), F.lit(False))
+        excluded = excluded | F.coalesce(F.lower("database").isin(*[x.lower() for x in xs]), F.lit(False))
     status = (F.when(F.col("object_type").isNull(), F.lit("SOURCE_MISSING"))
               .when(excluded, F.lit("EXCLUDED"))
               .when(F.col("object_type") == F.lit("VIEW"), F.lit("VIEW"))
@@ -75,7 +78,3 @@ def plan_migration(inv: DataFrame, target_inv: DataFrame, catalog: str,
                     F.lit(catalog).alias("target_catalog"), "target_schema",
                     F.col("target_table").alias("target_name"), "status_code",
                     desc.alias("description"), stmt.alias("statement")))
-
-
-def empty_status(spark) -> DataFrame:
-    return spark.createDataFrame([], schemas.STATUS)

@@ -43,9 +43,8 @@ def view_mapping(plan: DataFrame) -> DataFrame:
 
 
 def view_statements(plan: DataFrame, mapping, catalog_from: str | None = None, catalog_to: str | None = None,
-                    max_broadcast: int | None = None, target_catalog: str | None = None) -> DataFrame:
-    rw = rewrite_references(plan, "view_text", mapping, catalog_from, catalog_to, out_col="new_text",
-                            key_cols=["source_schema", "source_view"], max_broadcast=max_broadcast)
+                    target_catalog: str | None = None) -> DataFrame:
+    rw = rewrite_references(plan, "view_text", mapping, catalog_from, catalog_to, out_col="new_text")
     parts = ["target_schema", "target_view"]
     spark = plan.sparkSession
     if not _in_session_catalog(spark, target_catalog):
@@ -58,7 +57,7 @@ def view_statements(plan: DataFrame, mapping, catalog_from: str | None = None, c
 
 def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: str | None = None,
                   catalog_to: str | None = None, dry_run: bool = True, owner: str | None = None,
-                  max_rounds: int = 10, target_catalog: str | None = None) -> DataFrame:
+                  target_catalog: str | None = None) -> DataFrame:
     """Create the target views; one outcome row per view (``schemas.VIEW_OUTCOME``).
 
     ``target_catalog`` names a configured catalog other than the session catalog; views and
@@ -81,7 +80,8 @@ def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: s
     out += [(r["src"], r["dst"], "SOURCE_MISSING", "view not found in the inventory", None) for r in missing]
     pending = [r for r in todo if r["statement"]]
     errors: dict[str, str] = {}
-    for _ in range(max_rounds):
+    progressed = True
+    while pending and progressed:
         progressed, still = False, []
         for r in pending:
             try:
@@ -95,11 +95,9 @@ def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: s
                 log.info("view created: %s -> %s", r["src"], r["dst"])
                 progressed = True
             except Exception as e:  # noqa: BLE001 - retried, then reported
-                errors[r["src"]] = str(e).splitlines()[0] if str(e) else repr(e)
+                errors[r["src"]] = str(e) or repr(e)
                 still.append(r)
         pending = still
-        if not pending or not progressed:
-            break
     for r in pending:
         log.warning("view failed: %s -> %s (%s)", r["src"], r["dst"], errors.get(r["src"]))
     out += [(r["src"], r["dst"], "VIEW_FAILED", errors.get(r["src"]), r["statement"]) for r in pending]

@@ -433,18 +433,17 @@ def _reference_texts(spark, sf) -> DataFrame:
 
 
 def q_rewrite_references(spark, sf):
-    """The one-pass token rule, mapping counted and broadcast."""
+    """The one-pass token rule; Spark picks the join with the mapping by measured size."""
     m = mapping_from_manifest(man_df(spark, sf))
     return rewrite_references(_reference_texts(spark, sf), "text", m, SOURCE_CATALOG, CATALOG,
-                              out_col="new_text", key_cols=["o_orderkey"], max_broadcast=1_000_000
-                              ).select("o_orderkey", "new_text")
+                              out_col="new_text").select("o_orderkey", "new_text")
 
 
 def q_rewrite_references_join(spark, sf):
     """The one-pass token rule through a shuffle join with the mapping."""
     m = mapping_from_manifest(man_df(spark, sf))
     return rewrite_references(_reference_texts(spark, sf), "text", m, SOURCE_CATALOG, CATALOG,
-                              out_col="new_text", key_cols=["o_orderkey"], max_broadcast=0).select("o_orderkey", "new_text")
+                              out_col="new_text", join_hint="merge").select("o_orderkey", "new_text")
 
 
 def _managed(spark, sf, db: str, table: str, partition_by: list[str] | None = None, name: str | None = None):
@@ -541,7 +540,7 @@ def q_convert_all_tables(spark, sf):
 def q_report_counts(spark, sf):
     """Outcome counts of a conversion run over managed, external and missing tables."""
     db, targets = _convert_setup(spark, sf)
-    return outcome_counts(convert_to_external(spark, targets, drop_old=True, verify="count", parallelism=2),
+    return outcome_counts(convert_to_external(spark, targets, drop_old=True, verify="checksum", parallelism=2),
                           "outcome")
 
 

@@ -19,10 +19,8 @@ MANIFEST_CSV = _s(("name", S), ("database", S), ("target_schema", S), ("is_pii",
 
 VIEW_MANIFEST = _s(("source_schema", S), ("source_view", S), ("target_schema", S), ("target_view", S))
 
-EXCLUSION = _s(("database", S), ("name", S))
 
 # Source inventory, the columns an assessment of the old metastore produces.
-SOURCE_INVENTORY = _s(("database", S), ("name", S), ("object_type", S), ("upgraded_to", S))
 
 # Target inventory, the shape of information_schema.tables.
 TARGET_INVENTORY = _s(("table_catalog", S), ("table_schema", S), ("table_name", S), ("table_type", S))

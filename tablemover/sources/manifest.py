@@ -36,9 +36,15 @@ def _read_yaml(spark: SparkSession, path: str, leaf: str) -> DataFrame:
         import yaml
     except ImportError as e:  # pragma: no cover
         raise RuntimeError("PyYAML is needed to read YAML manifests") from e
-    docs = spark.read.text(path, wholetext=True).collect()
-    cfg = (yaml.safe_load(docs[0][0]) if docs else None) or {}
-    entries = ((cfg.get(YAML_ROOT) or {}).get(leaf)) or {}
+    files = (spark.read.text(path, wholetext=True)
+             .select("value", F.col("_metadata.file_path").alias("file")).orderBy("file").collect())
+    entries, origin = {}, {}
+    for doc in files:
+        cfg = yaml.safe_load(doc["value"]) or {}
+        for key, entry in (((cfg.get(YAML_ROOT) or {}).get(leaf)) or {}).items():
+            if key in entries and entries[key] != entry:
+                raise ValueError(f"entry {key!r} differs between {origin[key]} and {doc['file']}")
+            entries[key], origin[key] = entry, doc["file"]
     schema = MANIFEST if leaf == YAML_TABLES else VIEW_MANIFEST
     rows = [tuple(None if v.get(f.name) is None else str(v.get(f.name)) for f in schema.fields)
             for v in entries.values()]

@@ -32,11 +32,11 @@ def _stats_of(parts: list[DataFrame], labels: list[str]) -> DataFrame:
     u = reduce(DataFrame.unionAll, parts)
     per_file = u.groupBy("table_name", "_p").agg(F.count(F.lit(1)).alias("_n"), F.max("_s").alias("_s"),
                                                    F.max("_t").alias("_t"))
-    # The file set as one text: count, bytes, newest modification time and an order-free hash of
-    # the paths -- any file added, removed or rewritten changes it.
+    # The file set as one text: count, bytes, newest modification time (in microseconds) and an
+    # order-free hash of each file's path, size and time -- any file added, removed or rewritten changes it.
     fingerprint = F.concat_ws(":", F.count("_p").cast("string"), F.coalesce(F.sum("_s"), F.lit(0)).cast("string"),
-                              F.coalesce(F.max("_t").cast("long"), F.lit(0)).cast("string"),
-                              F.coalesce(F.sum(F.xxhash64("_p").cast("decimal(38,0)")),
+                              F.coalesce(F.unix_micros(F.max("_t")), F.lit(0)).cast("string"),
+                              F.coalesce(F.sum(F.xxhash64("_p", "_s", F.unix_micros("_t")).cast("decimal(38,0)")),
                                          F.lit(0).cast("decimal(38,0)")).cast("string"))
     with_paths = F.count("_p") > 0
     agg = per_file.groupBy("table_name").agg(
@@ -84,8 +84,7 @@ def table_stats(tables: dict[str, DataFrame], chunk: int = 256, no_files: set[st
                 try:
                     rows += [tuple(r) + (None,) for r in stats([n]).collect()]
                 except Exception as e:  # noqa: BLE001
-                    msg = str(e).strip().splitlines()[0] if str(e).strip() else repr(e)
-                    rows.append((n, None, None, None, None, None, msg[:500]))
+                    rows.append((n, None, None, None, None, None, str(e).strip() or repr(e)))
     spark = tables[names[0]].sparkSession
     return spark.createDataFrame(rows, STATS_SCHEMA)
 
@@ -102,13 +101,10 @@ def catalog_table_stats(spark: SparkSession, names: list[str], chunk: int = 32,
         except Exception as e:  # noqa: BLE001
             if errors != "isolate":
                 raise
-            failed.append((n, None, None, None, None, None, (str(e).strip().splitlines() or [repr(e)])[0][:500]))
+            failed.append((n, None, None, None, None, None, str(e).strip() or repr(e)))
     out = table_stats(tables, chunk, views, errors) if tables else None
     if errors != "isolate":
         return out
     bad = spark.createDataFrame(failed, STATS_SCHEMA)
     return bad if out is None else out.unionByName(bad)
 
-
-def file_table_stats(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> DataFrame:
-    return table_stats({n: spark.read.format(fmt).load(p) for n, p in paths.items()})

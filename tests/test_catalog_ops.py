@@ -84,7 +84,7 @@ def test_convert_copy_failure_leaves_source(spark, db, monkeypatch):
         raise RuntimeError("disk on fire")
 
     monkeypatch.setattr(conv.copy_ops, "copy_table", boom)
-    r = conv.convert_to_external(spark, _targets(spark, db, ["t"], new_work_dir(spark, "f")), drop_old=True).collect()[0]
+    r = conv.convert_to_external(spark, _targets(spark, db, ["t"], new_work_dir(spark, "f")), drop_old=True, verify="checksum").collect()[0]
     assert r["outcome"] == "COPY_FAILED" and "disk on fire" in r["reason"]
     assert object_type(spark, f"{db}.t") == "MANAGED"
 
@@ -98,7 +98,7 @@ def test_convert_verify_failure_does_not_swap_or_drop(spark, db, monkeypatch):
         spark_.sql(f"INSERT INTO {dst} SELECT * FROM {src} LIMIT 1")
 
     monkeypatch.setattr(conv.copy_ops, "copy_table", lossy)
-    r = conv.convert_to_external(spark, _targets(spark, db, ["t"], new_work_dir(spark, "v")), drop_old=True).collect()[0]
+    r = conv.convert_to_external(spark, _targets(spark, db, ["t"], new_work_dir(spark, "v")), drop_old=True, verify="checksum").collect()[0]
     assert r["outcome"] == "VERIFY_FAILED" and r["target_rows"] == r["source_rows"] + 1
     assert object_type(spark, f"{db}.t") == "MANAGED" and object_type(spark, f"{db}.t_old") is None
 
@@ -117,7 +117,7 @@ def test_convert_second_rename_failure_is_undone(spark, db, monkeypatch):
             return real_sql(text, *a, **k)
 
     r = conv.convert_one(Proxy(), _targets(spark, db, ["t"], new_work_dir(spark, "r")).collect()[0].asDict(),
-                         drop_old=True)
+                         drop_old=True, verify="checksum")
     assert r["outcome"] == "RENAME_FAILED" and "undone" in r["reason"]
     assert object_type(spark, f"{db}.t") == "MANAGED" and object_type(spark, f"{db}.t_old") is None
 
@@ -486,7 +486,7 @@ def test_convert_dry_run_writes_nothing(spark, db):
     root = new_work_dir(spark, "dry")
     o.write.parquet(root + "/nonpii/tgt/busy")
     out = {r["name"]: (r["outcome"], r["reason"]) for r in conv.convert_to_external(
-        spark, _targets(spark, db, ["a", "busy", "e"], root), drop_old=True, dry_run=True).collect()}
+        spark, _targets(spark, db, ["a", "busy", "e"], root), drop_old=True, verify="checksum", dry_run=True).collect()}
     assert out["a"][0] == "PLANNED" and "copy to" in out["a"][1] and "drop" in out["a"][1]
     assert out["busy"][0] == "TARGET_NOT_EMPTY" and out["e"][0] == "SKIPPED_EXTERNAL"
     assert object_type(spark, f"{db}.a") == "MANAGED" and not spark.catalog.tableExists(f"{db}.a_ext")

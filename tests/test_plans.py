@@ -60,10 +60,10 @@ def test_inventory_filters_reach_the_scan(spark):
     assert "Not(In(database" in pushed or "Not(EqualTo(database" in pushed
 
 
-def test_rewrite_broadcasts_a_counted_small_mapping(spark):
+def test_rewrite_broadcasts_a_small_mapping_but_not_against_a_hint(spark):
     texts = spark.createDataFrame([(1, "select * from db.a")], "id int, text string")
-    p = plan(rewrite_references(texts, "text", {"db.a": "x.y"}, key_cols=["id"], max_broadcast=100))
-    assert "BroadcastHashJoin" in p
+    p = plan(rewrite_references(texts, "text", {"db.a": "x.y"}, join_hint="merge"))
+    assert "SortMergeJoin" in p
 
 
 def test_narrowed_diff_of_equal_tables_reads_nothing_again(spark):

@@ -27,8 +27,8 @@ CASES = [
 def test_token_rule_cases(spark, broadcast):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)] + [(len(CASES), None)], "id int, text string")
     mapping = MAP if broadcast else spark.createDataFrame(list(MAP.items()), "key string, value string")
-    out = rewrite_references(df, "text", mapping, "hive_metastore", "main", out_col="new", key_cols=["id"],
-                             max_broadcast=1000 if broadcast else 0)
+    out = rewrite_references(df, "text", mapping, "hive_metastore", "main", out_col="new",
+                             join_hint=None if broadcast else "merge")
     got = {r["id"]: r["new"] for r in out.collect()}
     for i, (_, expected) in enumerate(CASES):
         assert got[i] == expected, CASES[i][0]
@@ -43,7 +43,7 @@ def test_literal_catalog_rule_matches_reference_behaviour(spark):
 
 def test_empty_mapping_is_identity(spark):
     df = spark.createDataFrame([(1, "select * from db.a where x = 'q'")], "id int, text string")
-    out = rewrite_references(df, "text", {}, None, None, key_cols=["id"]).collect()[0]["text"]
+    out = rewrite_references(df, "text", {}, None, None).collect()[0]["text"]
     assert out == "select * from db.a where x = 'q'"
 
 
@@ -63,5 +63,5 @@ def test_tokens_join_back_to_input(spark, text):
 
 def test_texts_with_columns_named_like_internals(spark):
     df = spark.createDataFrame([(1, "select * from db.a", "k", "v")], "key int, text string, value string, _pos string")
-    out = rewrite_references(df, "text", {"db.a": "x.y"}, key_cols=["key"], out_col="new").collect()[0]
+    out = rewrite_references(df, "text", {"db.a": "x.y"}, out_col="new").collect()[0]
     assert (out["new"], out["value"], out["_pos"]) == ("select * from x.y", "k", "v")
