@@ -139,7 +139,7 @@ def language_references(base: DataFrame, top: int = 24, min_share: float = 0.001
     sums = written(sums, "divergence-langs")
     whole = sums.agg(F.sum("n")).first()[0] or 0
     sums = sums.where(F.col("lang").isNotNull() & (F.col("n") >= F.lit(float(min_share * whole))) & (F.col("n") > 0) & (F.col("all") > 0))
-    words = (base.where("n_words > 0").select("lang", F.explode("words").alias("word"))
+    words = (base.select("lang", F.explode("words").alias("word"))
              .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c")))
     words = words.join(F.broadcast(sums.select("lang", "n")), "lang")
     rank = Window.partitionBy("lang").orderBy(F.col("c").desc(), "word")
