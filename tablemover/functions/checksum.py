@@ -11,13 +11,12 @@ Two kinds of row hash:
 
 Canonical text of a row: fields joined by ``,``; a null is ``N``; a string is ``<chars>:<text>``
 (length prefixed, so no escaping is needed and no two rows share a text); integers and booleans as
-plain text; floating values (floats widened to double, ``-0.0`` as ``0``) as sign, integer part,
-``.`` and ``floor(fraction * 1e9 + 0.5)`` when below 2^53; as ``hi:lo`` (value = hi * 2^53 + lo)
-below 2^106 (about 8e31); and ``Y`` above (lossy: such magnitudes all hash alike);
-``NaN``/``Inf``/``-Inf`` spelled out. Only IEEE steps that every engine performs identically are
-used, so engines that print doubles differently still agree;
+plain text; floating values (floats widened to double, ``-0.0`` as ``0``) exactly, as sign and
+``hi.loEk`` with value = (hi + lo / 2^53) * 2^(53 k), 1 <= hi < 2^53 (``Ek`` left out when 0);
+``NaN``/``Inf``/``-Inf`` spelled out. Scaling by powers of two and cutting off the fraction are exact
+in IEEE arithmetic, so engines that print doubles differently still agree and no two doubles share a text;
 timestamps as ``yyyy-MM-dd HH:mm:ss.ffffff``; dates as ``yyyy-MM-dd``; arrays as ``[e,e,...]`` of
-canonical elements; structs as ``{f,f,...}``; maps with entries sorted by key. A checksum is the
+canonical elements; structs as ``{f,f,...}``; maps as their entries' texts, sorted. A checksum is the
 *sum* of the row values (as ``decimal(38,0)``, so it cannot overflow below 10^19 rows), which is
 order-free and keeps duplicate rows (a bag checksum, unlike xor).
 """
@@ -33,26 +32,34 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, Dat
 
 NULL_TOKEN = "N"
 SEP = ","
-TWO53, TWO106 = 2.0 ** 53, 2.0 ** 106
+TWO53 = 2.0 ** 53
 
 
-def _hi_lo(ax: Column) -> Column:
-    """``hi:lo`` with ``ax = hi * 2^53 + lo`` for an integer-valued ``2^53 <= ax < 2^106``; every
-    step is exact in IEEE arithmetic, so any engine gets the same digits."""
-    hi = F.floor(ax / F.lit(TWO53))
-    return F.concat(hi.cast("string"), F.lit(":"), (ax - hi.cast("double") * F.lit(TWO53)).cast("long").cast("string"))
+def _hi_lo(m: Column) -> Column:
+    """``hi.lo`` of 1 <= m < 2^53: both parts are whole numbers below 2^53."""
+    hi = F.floor(m)
+    return F.concat(hi.cast("string"), F.lit("."), ((m - hi.cast("double")) * F.lit(TWO53)).cast("long").cast("string"))
+
+
+def _any_scale(ax: Column) -> Column:
+    """``hi.loEk`` of any positive finite value. The logarithm only guesses k; the scaled value, which is
+    exact (in two factors, as one alone may leave the range), corrects it by one."""
+    guess = F.floor(F.log2(ax) / F.lit(53.0))
+    half = F.floor(guess * F.lit(-53.0) / F.lit(2.0))
+    m = ax * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), guess * F.lit(-53.0) - half)
+    k = F.when(m < 1.0, guess - 1).when(m >= F.lit(TWO53), guess + 1).otherwise(guess)
+    scaled = F.when(m < 1.0, m * F.lit(TWO53)).when(m >= F.lit(TWO53), m / F.lit(TWO53)).otherwise(m)
+    return F.concat(_hi_lo(scaled), F.lit("E"), k.cast("long").cast("string"))
 
 
 def _double_text(d: Column) -> Column:
-    """Exact, engine-independent text of a finite double (see the module docstring): below 2^53
-    ``int.frac9`` with ``frac9 = floor(fraction * 1e9 + 0.5)`` (plain IEEE steps, no BigDecimal per
-    value), below 2^106 ``hi:lo``, above that ``Y``. Kept small on purpose: several double columns
-    share one generated method."""
+    """Exact, engine-independent text of a finite double (see the module docstring); the common ranges,
+    1 to 2^53 and 2^-53 to 1, need no logarithm."""
     ax = F.abs(d)
-    ip = F.floor(ax)
-    small = F.concat(ip.cast("string"), F.lit("."),
-                     F.floor((ax - ip) * F.lit(1e9) + F.lit(0.5)).cast("string"))
-    body = F.when(ax < F.lit(TWO53), small).when(ax < F.lit(TWO106), _hi_lo(ax)).otherwise(F.lit("Y"))
+    body = (F.when(ax == 0, F.lit("0"))
+            .when((ax >= 1.0) & (ax < F.lit(TWO53)), _hi_lo(ax))
+            .when((ax >= F.lit(1 / TWO53)) & (ax < 1.0), F.concat(_hi_lo(ax * F.lit(TWO53)), F.lit("E-1")))
+            .otherwise(_any_scale(ax)))
     return F.when(d.isNotNull(), F.concat(F.when(d < 0, F.lit("-")).otherwise(F.lit("")), body))
 
 
@@ -78,9 +85,8 @@ def _canon(c: Column, t: DataType) -> Column:
         parts = [_canon(c.getField(f.name), f.dataType) for f in t.fields]
         v = F.when(c.isNotNull(), F.concat(F.lit("{"), F.concat_ws(SEP, *parts), F.lit("}")))
     elif isinstance(t, MapType):
-        entries = F.array_sort(F.map_entries(c))
-        inner = F.transform(entries, lambda e: F.concat(_canon(e.getField("key"), t.keyType), F.lit("="),
-                                                        _canon(e.getField("value"), t.valueType)))
+        inner = F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(
+            _canon(e.getField("key"), t.keyType), F.lit("="), _canon(e.getField("value"), t.valueType))))
         v = F.concat(F.lit("<"), F.array_join(inner, SEP), F.lit(">"))
     elif isinstance(t, (BooleanType, DecimalType)):
         v = c.cast("string")

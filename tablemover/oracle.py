@@ -94,15 +94,22 @@ def _canon(expr: str, typ: str) -> str:
     elif typ in ("double", "float"):
         d = f"CAST({expr} AS DOUBLE)"
         ax = f"abs({d})"
-        t53, t106 = (f"CAST({x!r} AS DOUBLE)" for x in (2.0 ** 53, 2.0 ** 106))
-        hi = f"floor({ax} / {t53})"
-        hi_lo = f"CAST(CAST({hi} AS BIGINT) AS VARCHAR) || ':' || CAST(CAST({ax} - {hi} * {t53} AS BIGINT) AS VARCHAR)"
-        small = (f"CAST(CAST(floor({ax}) AS BIGINT) AS VARCHAR) || '.' || CAST(CAST(floor(({ax} - floor({ax})) "
-                 f"* CAST(1000000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) AS VARCHAR)")
+        t53 = f"CAST({2.0 ** 53!r} AS DOUBLE)"
+        whole = lambda x: f"CAST(CAST({x} AS BIGINT) AS VARCHAR)"
+        hi_lo = lambda m: f"{whole(f'floor({m})')} || '.' || {whole(f'(({m}) - floor({m})) * {t53}')}"
+        guess = f"floor(log2({ax}) / 53.0::DOUBLE)"
+        half = f"floor({guess} * -53.0::DOUBLE / 2.0::DOUBLE)"
+        m = f"({ax} * pow(2.0::DOUBLE, {half}) * pow(2.0::DOUBLE, {guess} * -53.0::DOUBLE - {half}))"
+        any_scale = (f"CASE WHEN {m} < 1 THEN {hi_lo(f'{m} * {t53}')} || 'E' || {whole(f'{guess} - 1')} "
+                     f"WHEN {m} >= {t53} THEN {hi_lo(f'{m} / {t53}')} || 'E' || {whole(f'{guess} + 1')} "
+                     f"ELSE {hi_lo(m)} || 'E' || {whole(guess)} END")
+        small = f"CAST({2.0 ** -53!r} AS DOUBLE)"
+        body = (f"CASE WHEN {ax} = 0 THEN '0' WHEN {ax} >= 1 AND {ax} < {t53} THEN {hi_lo(ax)} "
+                f"WHEN {ax} >= {small} AND {ax} < 1 THEN {hi_lo(f'{ax} * {t53}')} || 'E-1' ELSE {any_scale} END")
         v = (f"CASE WHEN {d} IS NULL THEN NULL WHEN isnan({d}) THEN 'NaN' WHEN {d} = CAST('inf' AS DOUBLE) THEN 'Inf' "
              f"WHEN {d} = CAST('-inf' AS DOUBLE) THEN '-Inf' "
              f"ELSE (CASE WHEN {d} < 0 THEN '-' ELSE '' END) || "
-             f"(CASE WHEN {ax} < {t53} THEN {small} WHEN {ax} < {t106} THEN {hi_lo} ELSE 'Y' END) END")
+             f"({body}) END")
     elif typ == "timestamp":
         v = f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
     elif typ.startswith("array<"):
@@ -300,9 +307,11 @@ UNION ALL SELECT 'ghost', 'SOURCE_MISSING', NULL, NULL"""
     sql["convert_all_tables"] = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS \"name\", 'CONVERTED_DROPPED' AS outcome, count(*) AS source_rows, count(*) AS target_rows "
         f"FROM {t}" for t in TABLES)
+    # One outcome per table that has rows to convert; a copy is only proven when rows exist to compare.
     sql["report_counts"] = """
-SELECT outcome, CAST(objects AS BIGINT) AS objects
-FROM (VALUES ('CONVERTED_DROPPED', 2), ('SKIPPED_EXTERNAL', 1), ('SOURCE_MISSING', 1)) AS t(outcome, objects)"""
+WITH made AS (SELECT 'CONVERTED_DROPPED' AS outcome, count(*) AS n FROM orders UNION ALL SELECT 'CONVERTED_DROPPED', count(*) FROM customer
+              UNION ALL SELECT 'SKIPPED_EXTERNAL', count(*) FROM supplier UNION ALL SELECT 'SOURCE_MISSING', 1)
+SELECT outcome, count(*) AS objects FROM made WHERE n > 0 GROUP BY outcome"""
     sql["migrate_dry_run"] = """
 SELECT category, CAST(objects AS BIGINT) AS objects FROM (VALUES ('NOT_ELIGIBLE', 3), ('MANAGED_OUTSIDE_DEFAULT', 1), ('OTHER_NOT_ELIGIBLE', 2),
                       ('MIGRATED_TABLES', 1), ('FAILED_TABLES', 0), ('MIGRATED_VIEWS', 1), ('FAILED_VIEWS', 0))
@@ -328,5 +337,53 @@ UNION ALL SELECT 'part_sizes', 'VIEW_CREATED', NULL, NULL"""
 SELECT d.doc_id, d."text", d.lang, d."source", d.n_chars,
        CASE WHEN l.toxic = 0 THEN 'nonpii' ELSE 'pii' END AS route
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+    sql["checkpoint_csv_documents"] = "SELECT * FROM documents"
+    sql["table_stats"] = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(1 AS BIGINT) AS files, true AS size_known FROM {t}" for t in TABLES)
+    sql["table_checksum_fast"] = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, true AS \"match\" FROM {t}" for t in TABLES)
+    sql["estimate_manifest"] = "\nUNION ALL\n".join(
+        [f"SELECT '{t}' AS table_name, count(*) > 0 AS size_known, CAST(NULL AS VARCHAR) AS reason FROM {t}"
+         for t in ("orders", "lineitem", "customer", "documents")]
+        + ["SELECT 'part', false, 'NOT_MANAGED_EXTERNAL'", "SELECT 'ghost', false, 'SOURCE_MISSING'"])
+    threads = """%s AS (
+  SELECT conv_id, list({'turn': turn, 'a': %s, 'b': %s} ORDER BY turn) AS turns, max(turn) AS last
+  FROM (SELECT conv_id, turn, role, CASE WHEN NOT (%s) THEN "text" END AS kept FROM conversations) GROUP BY conv_id)"""
+    swap = "conv_id % 7 = 0 AND turn % 2 = 1"
+    one = threads % ("one", "role", "kept", "turn % 3 = 0")
+    two = threads % ("two", f"CASE WHEN {swap} THEN kept ELSE role END", f"CASE WHEN {swap} THEN role ELSE kept END",
+                     "CASE WHEN conv_id % 4 = 0 THEN turn % 3 = 1 ELSE turn % 3 = 0 END")
+    sides = """d AS (SELECT *, 'source' AS side FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM two)
+UNION ALL SELECT *, 'target' AS side FROM (SELECT * FROM two EXCEPT ALL SELECT * FROM one))"""
+    sql["nested_rows_diff"] = _with(one, two, sides) + """
+SELECT conv_id, array_to_string(list_transform(turns, lambda t: CAST(t.turn AS VARCHAR) || ':' || coalesce(md5(t.a), '-') || ':'
+       || coalesce(md5(t.b), '-')), ',') AS turns, CAST(len(turns) AS BIGINT) AS n_turns, side, count(*) AS times
+FROM d GROUP BY ALL"""
+    sql["nested_rows_diff_narrow"] = _with(one, two, sides) + "SELECT conv_id, side FROM d"
+    sql["nested_keyed_diff"] = _with(one, two) + """
+SELECT one.conv_id, 'changed' AS status, CAST(1 AS BIGINT) AS source_rows, CAST(1 AS BIGINT) AS target_rows
+FROM one JOIN two ON one.conv_id = two.conv_id WHERE one.turns IS DISTINCT FROM two.turns"""
+    sql["view_chain"] = """
+SELECT 'VIEW_CREATED' AS outcome, CAST(30 AS BIGINT) AS n
+UNION ALL SELECT o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus"""
+    sql["register_text_partition"] = "SELECT *, lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS line FROM lineitem"
+    sql["register_csv"] = "SELECT * FROM customer"
+    sql["rewrite_long_literals"] = """
+WITH q AS (SELECT doc_id, 'SELECT ' || chr(39) || 'db.a ' || replace(replace(coalesce("text", ''), chr(92), chr(92) || chr(92)),
+           chr(39), chr(39) || chr(39)) || ' db.a' || chr(39) || ' AS t FROM x.y' AS t FROM documents)
+SELECT doc_id, md5(t) AS new_md5, length(t) AS n_chars FROM q"""
+    sql["manifest_files"] = _with(MAN) + """
+SELECT "database", "name", target_schema, target_table, is_pii, t_no, format
+FROM man, (VALUES ('json'), ('csv'), ('yaml')) f(format)"""
+    sql["view_manifest"] = _with(MAN) + """
+SELECT "database" AS source_schema, "name" AS source_view, target_schema, target_table AS target_view FROM man"""
+    sql["inventory_two_schemas"] = """
+SELECT 'a' AS "schema", 'nation' AS "name", 'MANAGED' AS object_type, count(*) AS row_count FROM nation
+UNION ALL SELECT 'b', 'region', 'EXTERNAL', count(*) FROM region
+UNION ALL SELECT 'b', 'big', 'VIEW', NULL"""
+    sql["migrate_new_schema"] = """
+SELECT 'only_in_source' AS item, CAST(0 AS BIGINT) AS n
+UNION ALL SELECT 'a_renamed', count(*) FROM orders
+UNION ALL SELECT o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus"""
     sql["checkpoint_csv"] = "SELECT * FROM customer"
     return sql

@@ -3,12 +3,14 @@
 View texts come from the inventory listing (one catalog call per database). The rewrite is a
 Spark job over all view texts at once (``rewrite_references``); only the finished statements --
 one short text per view -- come back to the driver, because DDL is issued from the driver. Views
-that depend on views not yet created are retried in rounds until no round makes progress.
+are created after the views they read; what fails is retried in rounds until no round makes progress.
 """
 
 from __future__ import annotations
 
 import logging
+import re
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -55,6 +57,26 @@ def view_statements(plan: DataFrame, mapping, catalog_from: str | None = None, c
         F.lit("CREATE OR REPLACE VIEW "), target, F.lit(" AS "), F.col("new_text"))))
 
 
+#: A dotted name in a statement: parts in back-ticks or of word characters.
+_DOTTED = re.compile(r"(?:`[^`]+`|\w+)(?:\.(?:`[^`]+`|\w+))+")
+
+
+def _by_dependency(views: list[dict]) -> list[dict]:
+    """Views after the views that their statements name, so one round creates a chain of any length.
+    Names inside literals or comments only add a harmless edge; a cycle leaves the given order."""
+    place = {r["dst"].lower(): i for i, r in enumerate(views)}
+    graph: dict[int, set[int]] = {}
+    for i, r in enumerate(views):
+        body = r["statement"].partition(" AS ")[2].lower()
+        names = [m.group().replace("`", "").split(".") for m in _DOTTED.finditer(body)]
+        graph[i] = {place[n] for parts in names for n in (".".join(x) for x in zip(parts, parts[1:]))
+                    if n in place and place[n] != i}
+    try:
+        return [views[i] for i in TopologicalSorter(graph).static_order()]
+    except CycleError:
+        return views
+
+
 def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: str | None = None,
                   catalog_to: str | None = None, dry_run: bool = True, owner: str | None = None,
                   target_catalog: str | None = None) -> DataFrame:
@@ -78,7 +100,7 @@ def migrate_views(spark: SparkSession, plan: DataFrame, mapping, catalog_from: s
     todo = [r for r in todo if r not in same]
     missing = [r for r in todo if not r["statement"]]
     out += [(r["src"], r["dst"], "SOURCE_MISSING", "view not found in the inventory", None) for r in missing]
-    pending = [r for r in todo if r["statement"]]
+    pending = _by_dependency([r for r in todo if r["statement"]])
     errors: dict[str, str] = {}
     progressed = True
     while pending and progressed:

@@ -153,7 +153,7 @@ def orders_v2_df(spark, sf, doubled: bool = True) -> DataFrame:
 
 def _plan(spark, sf) -> DataFrame:
     return plan_migration(inv_df(spark, sf), plan_tinv_df(spark, sf), CATALOG, man_df(spark, sf),
-                          excl_df(spark, sf), None, SOURCE_CATALOG)
+                          excl_df(spark, sf).withColumn("name", F.upper("name")), None, SOURCE_CATALOG)
 
 
 # ------------------------------------------------------------------ queries (Spark side)
@@ -205,12 +205,14 @@ def q_include_tables(spark, sf):
     """Inventory rows named in the manifest (left semi join)."""
     inc = man_df(spark, sf).join(_t(spark, sf, "customer").where(F.col("c_nationkey") < 10).select(
         F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("name")), "name")
-    return include_tables(inv_df(spark, sf), inc)
+    odd = F.col("t_no") % 2 == 1  # metastore names don't differ by case
+    return include_tables(inv_df(spark, sf), inc.withColumn("name", F.when(odd, F.upper("name")).otherwise(F.col("name"))))
 
 
 def q_exclude_tables(spark, sf):
     """Inventory rows not in the exclusion list (left anti join)."""
-    return exclude_tables(inv_df(spark, sf), excl_df(spark, sf))
+    excl = excl_df(spark, sf)
+    return exclude_tables(inv_df(spark, sf), excl.withColumn("database", F.initcap("database")))
 
 
 def q_exclude_schemas(spark, sf):
@@ -254,8 +256,8 @@ def q_estimate_totals(spark, sf):
 
 
 def q_estimate_manifest(spark, sf):
-    """The estimate workflow over real tables: managed copies of the test tables are sized from
-    their files and estimated; file sizes have no SQL twin, so this one is checked by rows."""
+    """The estimate workflow over real tables: managed copies of the test tables are sized from their
+    files and estimated; the others are listed with a reason. Of the sizes, whether they are known."""
     from .operators.estimate import estimate_manifest
     db = new_database(spark, "est")
     for t in ("orders", "lineitem", "customer", "documents"):
@@ -265,10 +267,9 @@ def q_estimate_manifest(spark, sf):
                                                               "part", "ghost")],
                                 "database string, name string, target_schema string")
     per, _, skipped = estimate_manifest(spark, man, RATE, "seconds_per_mb")
-    return per.select("table_name", "size_mb", "elapsed", "seconds", F.lit(None).cast("string").alias("reason")) \
-        .unionByName(skipped.select(F.col("name").alias("table_name"), F.lit(None).cast("double").alias("size_mb"),
-                                    F.lit(None).cast("string").alias("elapsed"), F.lit(None).cast("double").alias("seconds"),
-                                    "reason"))
+    known = (F.col("size_mb") > 0) & (F.col("seconds") > 0) & F.col("elapsed").isNotNull()
+    return per.select("table_name", known.alias("size_known"), F.lit(None).cast("string").alias("reason")).unionByName(
+        skipped.select(F.col("name").alias("table_name"), F.lit(False).alias("size_known"), "reason"))
 
 
 def q_table_counts(spark, sf):
@@ -277,8 +278,9 @@ def q_table_counts(spark, sf):
 
 
 def q_table_stats(spark, sf):
-    """Rows, bytes and files of all test tables from file metadata (no SQL twin)."""
-    return table_stats({t: _t(spark, sf, t) for t in TABLES})
+    """Rows and files of all test tables from file metadata, and whether their sizes are known."""
+    st = table_stats({t: _t(spark, sf, t) for t in TABLES})
+    return st.select("table_name", "row_count", "files", (F.col("bytes") > 0).alias("size_known"))
 
 
 def q_table_checksum(spark, sf):
@@ -287,8 +289,18 @@ def q_table_checksum(spark, sf):
 
 
 def q_table_checksum_fast(spark, sf):
-    """The default (Spark-only) checksum: xxhash64 over typed columns; no SQL twin."""
-    return table_checksums({t: _t(spark, sf, t) for t in TABLES})
+    """The default (Spark-only) checksum of every test table against that of a written, reordered copy."""
+    root = new_work_dir(spark, "fast")
+    both = {}
+    for t in TABLES:
+        df = _t(spark, sf, t)
+        df.orderBy(F.xxhash64(df.columns[0]), df.columns[0]).write.parquet(f"{root}/{t}")
+        both[t], both["copy of " + t] = df, spark.read.parquet(f"{root}/{t}")
+    c = table_checksums(both)
+    copies = c.where(F.col("table_name").startswith("copy of ")).select(
+        F.expr("substring(table_name, 9)").alias("table_name"), F.col("checksum").alias("copied"), F.col("row_count").alias("n"))
+    return c.join(copies, "table_name").select("table_name", "row_count", (
+        (F.col("checksum") == F.col("copied")) & (F.col("row_count") == F.col("n"))).alias("match"))
 
 
 def q_only_in_source(spark, sf):
@@ -659,4 +671,160 @@ def q_checkpoint_csv(spark, sf):
     return copy_ops.read_csv(spark, path, c.schema)
 
 
+def _threads(spark, sf, shifted: bool) -> DataFrame:
+    """Conversations as one row each: an array of (turn, role, text) with nulls inside, and a map of roles.
+    ``shifted`` moves the nulls of every fourth conversation to another turn, and swaps role and text of
+    the null-role turns of every seventh: values move between places, none appears or goes."""
+    c = _t(spark, sf, "conversations")
+    move = (F.col("conv_id") % 4 == 0) if shifted else F.lit(False)
+    swap = ((F.col("conv_id") % 7 == 0) & (F.col("turn") % 2 == 1)) if shifted else F.lit(False)
+    gone = F.when(move, F.col("turn") % 3 == 1).otherwise(F.col("turn") % 3 == 0)
+    text = F.when(~gone, F.col("text"))
+    one = F.struct("turn", F.when(swap, text).otherwise(F.col("role")).alias("a"),
+                   F.when(swap, F.col("role")).otherwise(text).alias("b"))
+    out = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("turns"), F.max("turn").alias("last"))
+    return out.withColumn("sizes", F.create_map(F.lit("turns"), F.array(F.size("turns"), F.lit(None).cast("int"))))
+
+
+def q_nested_rows_diff(spark, sf):
+    """Row difference of nested rows (arrays of structs with moved nulls, maps of arrays), both sides
+    from one pass."""
+    from .operators.reconcile import SIDE, TIMES, row_differences
+    d = row_differences(_threads(spark, sf, False), _threads(spark, sf, True))
+    shown = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["turn"].cast("string"), F.lit(":"), F.coalesce(F.md5(t["a"]), F.lit("-")), F.lit(":"),
+        F.coalesce(F.md5(t["b"]), F.lit("-")))), ",")
+    return d.select("conv_id", shown.alias("turns"), F.col("sizes")["turns"][0].cast("long").alias("n_turns"),
+                    F.col(SIDE).alias("side"), F.col(TIMES).alias("times"))
+
+
+def q_nested_rows_diff_narrow(spark, sf):
+    """The same difference narrowed by bucket signatures, ids of the rows only in the source."""
+    s, t = reconcile_rows(_threads(spark, sf, False), _threads(spark, sf, True), "narrow")
+    return (s.select("conv_id", F.lit("source").alias("side")).unionByName(t.select("conv_id", F.lit("target").alias("side"))))
+
+
+def q_nested_keyed_diff(spark, sf):
+    """Per-key status of nested rows whose nulls moved."""
+    return keyed_diff(_threads(spark, sf, False), _threads(spark, sf, True), ["conv_id"])
+
+
+def q_view_chain(spark, sf):
+    """Thirty views, each over the next, named so that name order is reverse dependency order; the
+    last one to be created is queried."""
+    src, tgt = new_database(spark, "chain"), new_database(spark, "chaint")
+    _external(spark, sf, src, "orders")
+    for i in range(29, -1, -1):
+        below = "orders" if i == 29 else f"v{i + 1:02d}"
+        spark.sql(f"CREATE VIEW `{src}`.v{i:02d} AS SELECT * FROM `{src}`.{below}")
+    vp = view_plan(inventory(spark, [src])).withColumn("target_schema", F.lit(tgt))
+    from .plans.views import view_mapping
+    out = migrate_views(spark, vp, view_mapping(vp), dry_run=False)
+    made = outcome_counts(out, "outcome").withColumnRenamed("objects", "n")
+    return made.unionByName(spark.table(f"`{tgt}`.v00").groupBy(F.col("o_orderstatus").alias("outcome"))
+                            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _registered(spark, sf, table: str, write) -> DataFrame:
+    """An external table made by ``write(location)`` under another name, registered and read back."""
+    src, tgt = new_database(spark, "regs"), new_database(spark, "regt")
+    write(f"`{src}`.`{table}`", new_work_dir(spark, "reg it's") + "/data")
+    inv = inventory(spark, [src])
+    man = spark.createDataFrame([(src, table, tgt, table + "_new", False, 1)], "database string, name string, "
+                                "target_schema string, target_table string, is_pii boolean, t_no int")
+    none = spark.createDataFrame([], "table_catalog string, table_schema string, table_name string, table_type string")
+    out = register_external(spark, plan_migration(inv, none, "spark_catalog", man), inv, dry_run=False).collect()
+    assert [r["outcome"] for r in out] == ["REGISTERED"], out
+    return spark.table(f"`{tgt}`.`{table}_new`")
+
+
+def q_register_text_partition(spark, sf):
+    """A table partitioned by numbers written as text ('01', '02') registered; the column stays text."""
+    li = _t(spark, sf, "lineitem").withColumn("line", F.lpad(F.col("l_linenumber").cast("string"), 2, "0"))
+    return _registered(spark, sf, "lineitem", lambda name, loc: li.write.partitionBy("line").option("path", loc)
+                       .saveAsTable(name)).select(*li.columns)
+
+
+def q_register_csv(spark, sf):
+    """A CSV table with a header and quoted texts registered with its options."""
+    c = _t(spark, sf, "customer")
+    return _registered(spark, sf, "customer", lambda name, loc: c.write.format("csv").option("header", True)
+                       .option("path", loc).saveAsTable(name))
+
+
+def q_rewrite_long_literals(spark, sf):
+    """SQL texts that hold whole documents as escaped string literals, table references around them
+    rewritten; documents may look like references themselves."""
+    d = _t(spark, sf, "documents")
+    body = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''"))
+    q = d.select("doc_id", F.concat(F.lit("SELECT 'db.a "), body, F.lit(" db.a' AS t FROM db.a")).alias("text"))
+    out = rewrite_references(q, "text", {"db.a": "x.y"}, out_col="new_text")
+    return out.select("doc_id", F.md5("new_text").alias("new_md5"), F.length("new_text").cast("long").alias("n_chars"))
+
+
+def q_manifest_files(spark, sf):
+    """B1: one manifest written as JSON, CSV and two YAML files, each read back and typed."""
+    from .sources.manifest import load_manifest, write_manifest
+    man, root = man_df(spark, sf), new_work_dir(spark, "manfiles")
+    write_manifest(man, root + "/json", "json")
+    write_manifest(man, root + "/csv", "csv")
+    entry = F.concat(F.lit("    "), F.col("name"), F.lit(":\n"), *[
+        F.concat(F.lit(f"      {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit("\n")) for c in man.columns])
+    halves = (man.groupBy((F.col("t_no") % 2).alias("half")).agg(F.concat_ws("", F.collect_list(entry)).alias("body"))
+              .select(F.concat(F.lit("resources:\n  tables:\n"), F.col("body")).alias("value")))
+    halves.repartition(2, F.xxhash64("value")).write.text(root + "/yaml")
+    parts = [load_manifest(spark, f"{root}/{fmt}", fmt)[0].withColumn("format", F.lit(fmt)) for fmt in ("json", "csv", "yaml")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_view_manifest(spark, sf):
+    """A view manifest written as JSON and read back, one row per view."""
+    from .sources.manifest import load_view_manifest
+    m = man_df(spark, sf).select(F.col("database").alias("source_schema"), F.col("name").alias("source_view"),
+                                 "target_schema", F.col("target_table").alias("target_view"))
+    path = new_work_dir(spark, "vman") + "/data"
+    m.unionAll(m).write.json(path)
+    return load_view_manifest(spark, path)
+
+
+def q_inventory_two_schemas(spark, sf):
+    """Schemas listed but for an excluded one (in another case), inventories united."""
+    from .sources.catalog import list_databases
+    a, b, c = (new_database(spark, x) for x in ("inva", "invb", "invc"))
+    _managed(spark, sf, a, "nation")
+    _external(spark, sf, b, "region")
+    _managed(spark, sf, c, "supplier")
+    spark.sql(f"CREATE VIEW `{b}`.big AS SELECT * FROM `{b}`.region")
+    dbs = [d for d in list_databases(spark, [a, b, c], [c]) if d != c]
+    inv = inventory(spark, dbs, with_stats=True)
+    place = F.when(F.col("database") == a, "a").when(F.col("database") == b, "b").otherwise("c")
+    return inv.select(place.alias("schema"), "name", "object_type", "row_count")
+
+
+def q_checkpoint_csv_documents(spark, sf):
+    """Whole documents (line breaks, quotes, blanks, empty texts) through a CSV checkpoint."""
+    d = _t(spark, sf, "documents")
+    path = new_work_dir(spark, "csvd") + "/data"
+    copy_ops.write_csv(d, path)
+    return copy_ops.read_csv(spark, path, d.schema)
+
+
+def q_migrate_new_schema(spark, sf):
+    """Migration into a schema that does not exist yet, with a renamed view and a view over it; what
+    reconciliation still misses in the source is listed (nothing), next to the rows of the second view."""
+    src = new_database(spark, "mns")
+    tgt = src + "_target"
+    _external(spark, sf, src, "orders")
+    spark.sql(f"CREATE VIEW `{src}`.v1 AS SELECT o_orderstatus, o_totalprice FROM `{src}`.orders")
+    spark.sql(f"CREATE VIEW `{src}`.v2 AS SELECT o_orderstatus, count(*) AS n FROM `{src}`.v1 GROUP BY o_orderstatus")
+    man = spark.createDataFrame([(src, "orders", tgt, "orders", False, 1), (src.upper(), "V1", tgt, "a_renamed", False, 2),
+                                 (src, "v2", tgt, "v2", False, 3)], "database string, name string, target_schema string, "
+                                "target_table string, is_pii boolean, t_no int")
+    res = migrate(spark, "all", [src], "spark_catalog", manifest=man, dry_run=False, source_catalog="spark_catalog")
+    assert {r["outcome"] for r in res.views.collect()} == {"VIEW_CREATED"}, res.views.collect()
+    missing = res.only_in_source.agg(F.count(F.lit(1)).alias("n")).select(F.lit("only_in_source").alias("item"), "n")
+    return (missing.unionByName(spark.table(f"`{tgt}`.v2").select(F.col("o_orderstatus").alias("item"), "n"))
+            .unionByName(spark.table(f"`{tgt}`.a_renamed").agg(F.count(F.lit(1)).alias("n")).select(F.lit("a_renamed").alias("item"), "n")))
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}
