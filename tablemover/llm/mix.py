@@ -4,8 +4,8 @@ A document of a source that should yield ``target`` words out of ``source_size``
 source_size copies: the whole part always, the fraction by rounding. Rounding is dependent: two open
 fractions of a source are paired and words move from one document's copies to the other's, up or down
 at random with the odds that keep both expectations, until one fraction is 0 or 1. Words move one for
-one, so a pair's total never changes, and a source ends with one open document: its taken words miss
-the target by less than that document's size.
+one, so a pair's total never changes, and a source ends with one open document, a small one: its taken
+words miss the target by less than that document's size.
 
 The pairs form a reduction tree. Documents are dealt by hash to blocks of about ``block`` rows within
 their source, so a source with a third of all rows is many blocks; each block rounds its own documents
@@ -71,12 +71,22 @@ def _uniform(h: np.ndarray, level: int, rnd: int, seed: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(33))) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
 
 
+#: From so many open documents on, the largest is paired with all others at once.
+POOL = 160
+
+
 def pair_round(size: np.ndarray, frac: np.ndarray, h: np.ndarray, level: int, seed: int) -> np.ndarray:
-    """Round fractions in (0, 1) of positive sizes by pairs: returns fractions, all but one 0 or 1."""
+    """Round fractions in (0, 1) of positive sizes by pairs: returns fractions, all but one 0 or 1.
+
+    Open documents are paired with their neighbours by size until ``POOL`` are left. Then the largest is
+    paired with the pool of all others, which give or take words in proportion to size * p * (1 - p): that
+    keeps every expectation too, and the document that stays open in the end is the smallest.
+    """
     p = frac.astype(np.float64).copy()
-    live = np.flatnonzero((p > 0) & (p < 1))
+    order = np.lexsort((h, -size))
+    live = order[(p[order] > 0) & (p[order] < 1)]
     rnd = 0
-    while len(live) > 1:
+    while len(live) > POOL:
         a, b = live[0:len(live) - 1:2], live[1::2]
         sa, sb = size[a], size[b]
         up = np.minimum(sa * (1 - p[a]), sb * p[b])      # words moved from b to a
@@ -86,11 +96,33 @@ def pair_round(size: np.ndarray, frac: np.ndarray, h: np.ndarray, level: int, se
         move = np.where(rise, up, -down)
         pa_, pb_ = p[a] + move / sa, p[b] - move / sb
         # The side that ran out lands exactly on 0 or 1; the other stays in range.
-        pa_ = np.where(a_end, rise.astype(float), np.clip(pa_, 0, 1))
-        pb_ = np.where(~a_end, (~rise).astype(float), np.clip(pb_, 0, 1))
-        p[a], p[b] = pa_, pb_
+        p[a] = np.where(a_end, rise.astype(float), np.clip(pa_, 0, 1))
+        p[b] = np.where(~a_end, (~rise).astype(float), np.clip(pb_, 0, 1))
         rnd += 1
         live = live[(p[live] > 0) & (p[live] < 1)]
+    coins = _uniform(h[live], level, 1000, seed)
+    turn = 0
+    while len(live) > 1:
+        a, rest = live[0], live[1:]
+        q = p[rest]
+        weight = size[rest] * q * (1 - q)
+        total = weight.sum()
+        room_up, room_down = size[a] * (1 - p[a]), size[a] * p[a]
+        up, down = min(room_up, total / (1 - q).max()), min(room_down, total / q.max())
+        rise = coins[turn % len(coins)] * (up + down) < down
+        turn += 1
+        move = up if rise else -down
+        q = q - move * q * (1 - q) / total
+        if (room_up if rise else room_down) <= abs(move):
+            p[a] = 1.0 if rise else 0.0
+        else:  # a document of the pool ran out first
+            p[a] += move / size[a]
+            k = int(np.argmin(q) if rise else np.argmax(q))
+            q[k] = 0.0 if rise else 1.0
+        p[rest] = np.where(q < 1e-12, 0.0, np.where(q > 1 - 1e-12, 1.0, q))
+        live = live[(p[live] > 0) & (p[live] < 1)]
+        if turn % len(coins) == 0:
+            coins = _uniform(h[live], level, 1000 + turn, seed) if len(live) else coins
     return p
 
 
@@ -135,9 +167,9 @@ def mix_decisions(sizes: DataFrame, weights: DataFrame, limit: float = 3.0, bloc
         most = -(-most // block)
         if most <= 1:
             break
-    # A source's last open document: kept or not by its own fraction.
-    last = opened.withColumn("copies", F.col("copies") + (
-        F.shiftrightunsigned(F.xxhash64("h", F.lit(seed)), 11) / F.lit(float(1 << 53)) < F.col("frac")).cast("long"))
+    # A source's last open document goes to the nearer side: a bias of one document in exchange for half
+    # the distance to the target.
+    last = opened.withColumn("copies", F.col("copies") + (F.col("frac") >= 0.5).cast("long"))
     final = last
     for s in settled:
         final = final.unionByName(s)

@@ -28,6 +28,15 @@ def test_pair_round_keeps_words_and_leaves_one_open():
         assert abs((size * p).sum() - (size * frac).sum()) < 1e-6 * size.sum()
 
 
+def test_a_huge_document_is_decided_by_the_pool():
+    rng = np.random.default_rng(4)
+    size, frac = np.concatenate([[5000.0], rng.integers(50, 500, 60)]), np.full(61, 0.3)
+    got = [mix.pair_round(size, frac, rng.integers(-2 ** 62, 2 ** 62, 61), 0, s) for s in range(400)]
+    assert all(p[0] in (0.0, 1.0) for p in got) and abs(np.mean([p[0] for p in got]) - 0.3) < 0.08
+    assert all(abs((size * p).sum() - (size * frac).sum()) < 1e-6 * size.sum() for p in got)
+    assert np.abs(np.mean(got, axis=0) - 0.3).max() < 0.1
+
+
 def test_pair_round_keeps_expectations():
     size, frac = np.array([10.0, 40.0, 7.0, 100.0]), np.array([0.2, 0.7, 0.5, 0.9])
     rng = np.random.default_rng(2)
