@@ -1,9 +1,9 @@
 """Managed -> external conversion (B9) and registration of external tables.
 
 Per table the driver issues catalog commands; the data work is Spark jobs (the copies and the
-verification scans). Tables are dealt into groups that a bounded thread pool runs side by side
-(Spark schedules jobs from different threads concurrently), largest first when sizes are known;
-each group verifies its copies together in a few batched jobs. Each table ends in exactly one
+verification scans). A bounded thread pool copies tables side by side (Spark schedules jobs
+from different threads concurrently), largest first when sizes are known; finished copies are verified
+together in a few batched jobs. Each table ends in exactly one
 outcome row, whatever failed; nothing is dropped unless this run verified the copy.
 
 Conversion of ``db.t`` to ``location``:
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import logging
 import time
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -174,7 +174,7 @@ def _fingerprints(spark: SparkSession, names: list[str]) -> dict[str, str | None
             log.warning("no fingerprint of %s: %s", n, e)
     if not frames:
         return {}
-    return {r["table_name"]: r["fingerprint"] for r in table_stats(frames, errors="isolate").collect()}
+    return {r["table_name"]: r["fingerprint"] for r in table_stats(frames, errors="isolate", rows=False).collect()}
 
 
 def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dict | _Staged:
@@ -317,7 +317,7 @@ def _auto_sizes(spark: SparkSession, targets: DataFrame) -> DataFrame:
     schema = "database string, name string, bytes long"
     if not names:
         return spark.createDataFrame([], schema)
-    st = table_stats({k: spark.table(k) for k in names}, errors="isolate").collect()
+    st = table_stats({k: spark.table(k) for k in names}, errors="isolate", rows=False).collect()
     return spark.createDataFrame([(*names[r["table_name"]], r["bytes"]) for r in st], schema)
 
 
@@ -341,13 +341,11 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
                         dry_run: bool = False) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
 
-    Tables are dealt round-robin into groups of at most ``batch`` (so the largest tables, first
-    when ``sizes`` is given -- a frame of ``database, name, bytes``, or ``"auto"`` to measure the
-    sources in one metadata job -- spread over the groups) and ``parallelism`` groups run at once from a
-    driver thread pool. A group copies its tables (each copy is its own Spark job), verifies all
-    of them in a few batched jobs (``verify_many``) and then swaps them (catalog calls). Groups
-    overlap, so one group's verification runs while another copies, and thousands of small tables
-    cost a few verification jobs per group instead of two or three jobs each.
+    A pool of ``parallelism`` driver threads copies the tables one by one (each copy is its own Spark
+    job), largest first when ``sizes`` is given -- a frame of ``database, name, bytes``, or ``"auto"`` to
+    measure the sources from one file listing. Copies that are done are verified in batches of ``batch``
+    (a few jobs each, ``verify_many``) and swapped (catalog calls) while others still copy, so thousands
+    of small tables cost a few verification jobs per batch, and a huge one holds back nobody.
 
     ``dry_run`` runs the checks only (state of each table and of its target location) and reports
     ``PLANNED`` with the action a real run would take; nothing is written.
@@ -363,9 +361,6 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
         if spark.catalog.databaseExists(d):
             types.update({(d.lower(), t.name.lower()): t.tableType for t in spark.catalog.listTables(d)
                           if not t.isTemporary})
-    n_groups = max(parallelism, -(-len(rows) // max(batch, 1))) if rows else 0
-    groups = [list(range(j, len(rows), n_groups)) for j in range(n_groups)]
-
     def plan_group(idx: list[int]) -> list[tuple[int, dict]]:
         out = []
         for i in idx:
@@ -385,30 +380,41 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
                 out.append((i, _outcome(row, "PLANNED", st[1])))
         return out
 
-    def run_group(idx: list[int]) -> list[tuple[int, dict]]:
-        states = [_check(spark, rows[i], resume, types) for i in idx]
-        fresh = [_q(rows[i]["database"], rows[i]["name"]) for i, st in zip(idx, states)
-                 if not isinstance(st, dict) and st[0] == "fresh"]
-        before = _fingerprints(spark, fresh)  # one metadata job for the whole group
-        staged = []
-        for i, st in zip(idx, states):
-            if isinstance(st, dict):
-                staged.append(st)
-            elif st[0] == "fresh":
-                staged.append(_copy(spark, rows[i], fmt, before.get(_q(rows[i]["database"], rows[i]["name"]))))
-            else:
-                staged.append(_resumed(rows[i], *st))
-        todo = [x for x in staged if isinstance(x, _Staged)]
-        verdicts = iter(verify_many(spark, [(x.managed_side, x.copy_side) for x in todo], verify))
-        return [(i, x if isinstance(x, dict) else _finish(spark, x, next(verdicts), drop_old))
-                for i, x in zip(idx, staged)]
+    def copy_one(i: int) -> dict | _Staged:
+        st = _check(spark, rows[i], resume, types)
+        if isinstance(st, dict):
+            return st
+        if st[0] != "fresh":
+            return _resumed(rows[i], *st)
+        src = _q(rows[i]["database"], rows[i]["name"])
+        return _copy(spark, rows[i], fmt, _fingerprints(spark, [src]).get(src))
 
-    work = plan_group if dry_run else run_group
-    if parallelism <= 1:
-        done = [r for g in groups for r in work(g)]
-    else:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            done = [r for part in pool.map(work, groups) for r in part]
+    def finish(staged: list[tuple[int, _Staged]]) -> list[tuple[int, dict]]:
+        verdicts = verify_many(spark, [(x.managed_side, x.copy_side) for _, x in staged], verify)
+        return [(i, _finish(spark, x, v, drop_old)) for (i, x), v in zip(staged, verdicts)]
+
+    done: list[tuple[int, dict]] = []
+    if dry_run:
+        done = plan_group(list(range(len(rows))))
+    elif rows:
+        # Copies run table by table from the pool, so a long one holds back nothing but itself; what is
+        # copied meanwhile is verified and swapped in batches.
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            copies = {pool.submit(copy_one, i): i for i in range(len(rows))}
+            checks, ready = [], []
+            for f in as_completed(copies):
+                x = f.result()
+                if isinstance(x, dict):
+                    done.append((copies[f], x))
+                    continue
+                ready.append((copies[f], x))
+                if len(ready) >= max(1, batch):
+                    checks.append(pool.submit(finish, ready))
+                    ready = []
+            if ready:
+                checks.append(pool.submit(finish, ready))
+            for c in checks:
+                done += c.result()
     out = [o for _, o in sorted(done, key=lambda x: x[0])]
     df = spark.createDataFrame(out, schemas.CONVERSION)
     return df.withColumn("elapsed", F.when(F.col("seconds").isNotNull(), mm_ss("seconds")))

@@ -1,54 +1,55 @@
 """Row counts and storage sizes of tables.
 
-Bytes are summed over the distinct files a scan reads (``_metadata.file_path`` /
-``_metadata.file_size``): a file-source table's size without a vendor ``DESCRIBE DETAIL``. The scan
-reads no data columns; the distinct over file paths is a partial aggregate (one row per file per
-task). Views have no files: their bytes and files are null, not zero.
+Bytes, files and modification times come from a listing of the table's files, without opening them; rows
+from one plain count over a scan that reads no data columns, only when asked for. Views have no files:
+their bytes and files are null, not zero.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.estimate import BYTES_PER_MB
 
 
-def _rows(df: DataFrame, label: str, with_files: bool) -> DataFrame:
-    """One projection per table: its label and the file each row came from (no data columns)."""
-    if not with_files:
-        return df.select(F.lit(label).alias("table_name"), F.lit(None).cast("string").alias("_p"),
-                         F.lit(None).cast("long").alias("_s"), F.lit(None).cast("timestamp").alias("_t"))
-    return df.select(F.lit(label).alias("table_name"), F.col("_metadata.file_path").alias("_p"),
-                     F.col("_metadata.file_size").alias("_s"),
-                     F.col("_metadata.file_modification_time").cast("timestamp").alias("_t"))
-
-
-def _stats_of(parts: list[DataFrame], labels: list[str]) -> DataFrame:
-    """Per-file, then per-table aggregates over the union of the tables' projections: two small
-    shuffles (one row per file and task, then per table) whatever the number of tables, and only
-    one DataFrame built per table on the driver."""
-    u = reduce(DataFrame.unionAll, parts)
-    per_file = u.groupBy("table_name", "_p").agg(F.count(F.lit(1)).alias("_n"), F.max("_s").alias("_s"),
-                                                   F.max("_t").alias("_t"))
+def _files(df: DataFrame, label: str) -> DataFrame | None:
+    """(table_name, path, size, time) of the files a scan of ``df`` reads; None without files."""
+    names = [unquote(f) for f in df.inputFiles()]
+    if not names:
+        return None
+    # A listing: the content column isn't asked for, so no file is opened.
+    listed = df.sparkSession.read.format("binaryFile").load(names)
+    return listed.select(F.lit(label).alias("table_name"), F.col("path").alias("_p"), F.col("length").alias("_s"),
+                         F.unix_micros("modificationTime").alias("_t"))
+
+
+def _stats_of(tables: dict[str, DataFrame], no_files: set[str], rows: bool) -> DataFrame:
+    """Statistics of several tables: one grouped count over all of them, one aggregate over their file
+    lists (a row per file), put together by label; the labels are the broadcast side."""
+    spark = next(iter(tables.values())).sparkSession
+    out = F.broadcast(spark.createDataFrame([(n,) for n in tables], "table_name string"))
+    if rows:
+        counts = reduce(DataFrame.unionAll, [df.select(F.lit(n).alias("table_name")) for n, df in tables.items()])
+        out = out.join(counts.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count")), "table_name", "left")
+        out = out.withColumn("row_count", F.coalesce("row_count", F.lit(0)).cast("long"))
+    else:
+        out = out.withColumn("row_count", F.lit(None).cast("long"))
+    lists = [x for x in (_files(df, n) for n, df in tables.items() if n not in no_files) if x is not None]
+    if not lists:
+        return out.select("table_name", "row_count", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("bytes", "long"), ("files", "long"), ("fingerprint", "string"), ("size_mb", "double"))])
     # The file set as one text: count, bytes, newest modification time (in microseconds) and an
     # order-free hash of each file's path, size and time -- any file added, removed or rewritten changes it.
-    fingerprint = F.concat_ws(":", F.count("_p").cast("string"), F.coalesce(F.sum("_s"), F.lit(0)).cast("string"),
-                              F.coalesce(F.unix_micros(F.max("_t")), F.lit(0)).cast("string"),
-                              F.coalesce(F.sum(F.xxhash64("_p", "_s", F.unix_micros("_t")).cast("decimal(38,0)")),
-                                         F.lit(0).cast("decimal(38,0)")).cast("string"))
-    with_paths = F.count("_p") > 0
-    agg = per_file.groupBy("table_name").agg(
-        F.sum("_n").cast("long").alias("row_count"), F.sum("_s").cast("long").alias("bytes"),
-        F.when(with_paths, F.count("_p")).cast("long").alias("files"),
-        F.when(with_paths, fingerprint).alias("fingerprint"))
-    # A table without rows has no row in the union: put it back from the (small) list of labels.
-    spark = parts[0].sparkSession
-    names = spark.createDataFrame([(n,) for n in labels], "table_name string")
-    return (F.broadcast(names).join(agg, "table_name", "left")
-            .select("table_name", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"), "bytes", "files",
-                    "fingerprint", (F.col("bytes").cast("double") / F.lit(BYTES_PER_MB)).alias("size_mb")))
+    fingerprint = F.concat_ws(":", F.count("_p").cast("string"), F.sum("_s").cast("string"), F.max("_t").cast("string"),
+                              F.sum(F.xxhash64("_p", "_s", "_t").cast("decimal(38,0)")).cast("string"))
+    agg = reduce(DataFrame.unionAll, lists).groupBy("table_name").agg(
+        F.sum("_s").cast("long").alias("bytes"), F.count("_p").cast("long").alias("files"), fingerprint.alias("fingerprint"))
+    return out.join(agg, "table_name", "left").select(
+        "table_name", "row_count", "bytes", "files", "fingerprint",
+        (F.col("bytes").cast("double") / F.lit(BYTES_PER_MB)).alias("size_mb"))
 
 
 STATS_SCHEMA = ("table_name string, row_count long, bytes long, files long, fingerprint string, size_mb double, "
@@ -56,9 +57,9 @@ STATS_SCHEMA = ("table_name string, row_count long, bytes long, files long, fing
 
 
 def table_stats(tables: dict[str, DataFrame], chunk: int = 256, no_files: set[str] | list[str] = (),
-                errors: str = "raise") -> DataFrame:
+                errors: str = "raise", rows: bool = True) -> DataFrame:
     """``(table_name, row_count, bytes, files, fingerprint, size_mb)`` per table, in few jobs. Names in
-    ``no_files`` (views, in-memory frames) get counts only.
+    ``no_files`` (views) get counts only; ``rows=False`` leaves the counts out (null) and reads no table.
 
     ``errors="isolate"`` runs the chunks eagerly (one small row per table comes back) and, when a
     chunk fails, runs its tables one by one, so an unreadable table yields an ``error`` text
@@ -70,23 +71,23 @@ def table_stats(tables: dict[str, DataFrame], chunk: int = 256, no_files: set[st
         raise ValueError("no tables")
 
     def stats(group: list[str]) -> DataFrame:
-        return _stats_of([_rows(tables[n], n, n not in nf) for n in group], group)
+        return _stats_of({n: tables[n] for n in group}, nf, rows)
 
     groups = [names[i:i + chunk] for i in range(0, len(names), chunk)]
     if errors != "isolate":
         return reduce(DataFrame.unionAll, [stats(g) for g in groups])
-    rows = []
+    got = []
     for g in groups:
         try:
-            rows += [tuple(r) + (None,) for r in stats(g).collect()]
+            got += [tuple(r) + (None,) for r in stats(g).collect()]
         except Exception:  # noqa: BLE001 - find the broken table(s) of this chunk
             for n in g:
                 try:
-                    rows += [tuple(r) + (None,) for r in stats([n]).collect()]
+                    got += [tuple(r) + (None,) for r in stats([n]).collect()]
                 except Exception as e:  # noqa: BLE001
-                    rows.append((n, None, None, None, None, None, str(e).strip() or repr(e)))
+                    got.append((n, None, None, None, None, None, str(e).strip() or repr(e)))
     spark = tables[names[0]].sparkSession
-    return spark.createDataFrame(rows, STATS_SCHEMA)
+    return spark.createDataFrame(got, STATS_SCHEMA)
 
 
 def catalog_table_stats(spark: SparkSession, names: list[str], chunk: int = 32, errors: str = "raise") -> DataFrame:
