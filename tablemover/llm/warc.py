@@ -51,6 +51,9 @@ def choose_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, m
     twice = (rows.where(F.octet_length("payload") >= min_revisit).groupBy("digest")
              .agg(F.max("id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1")
              .select(F.col("digest").alias("same"), "keeper"))
+    # Written first, so its size is known before any payload moves: few copies are broadcast, and the
+    # payloads are shuffled only when there are many.
+    twice = written(twice, "warc-copies")
     out = rows.join(twice, (F.col("digest") == F.col("same")) & (F.octet_length("payload") >= min_revisit), "left")
     revisit = F.col("same").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper"))
     return out.select("id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest",
