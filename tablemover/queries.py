@@ -13,6 +13,7 @@ perturbs, never how much data a query reads.
 
 from __future__ import annotations
 
+import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,7 +29,7 @@ from .plans.migration import plan_migration
 from .plans.report import ineligible, outcome_counts
 from .plans.targets import plan_targets
 from .plans.views import migrate_views, view_plan
-from .session import new_database, new_work_dir
+from .session import new_database, new_work_dir, scratch
 from .sources.catalog import inventory
 from .sources.manifest import build_manifest, dedup_manifest, manifest_problems, type_manifest
 from .sources.stats import table_stats
@@ -158,6 +159,17 @@ def _plan(spark, sf) -> DataFrame:
 
 # ------------------------------------------------------------------ queries (Spark side)
 
+def _report(query):
+    """For queries that return a report (a row per table or outcome) and not the tables they made: the
+    report is kept, the scratch databases and folders go."""
+    @functools.wraps(query)
+    def run(spark, sf):
+        with scratch(spark):
+            out = query(spark, sf)
+            return spark.createDataFrame(out.collect(), out.schema)
+    return run
+
+
 def q_manifest_number(spark, sf):
     """B2: listing rows -> typed manifest, ``t_no`` 1..n by customer key without a one-partition window."""
     k = F.col("c_custkey")
@@ -255,6 +267,7 @@ def q_estimate_totals(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@_report
 def q_estimate_manifest(spark, sf):
     """The estimate workflow over real tables: managed copies of the test tables are sized from their
     files and estimated; the others are listed with a reason. Of the sizes, whether they are known."""
@@ -492,6 +505,7 @@ def q_copy_lineitem_partitioned(spark, sf):
     return copy_ops.read_back(spark, f"`{db}`.`lineitem_ext`", _t(spark, sf, "lineitem").columns)
 
 
+@_report
 def q_copy_verify(spark, sf):
     """Copy proven by row counts and portable checksums of both sides (the flagship)."""
     db = new_database(spark, "verify")
@@ -526,6 +540,7 @@ def _convert_setup(spark, sf):
     return db, targets
 
 
+@_report
 def q_convert_report(spark, sf):
     """Conversion of managed, external and missing tables, one outcome each."""
     db, targets = _convert_setup(spark, sf)
@@ -533,6 +548,7 @@ def q_convert_report(spark, sf):
     return out.select("name", "outcome", "source_rows", "target_rows")
 
 
+@_report
 def q_convert_all_tables(spark, sf):
     """Every test table as a managed table, converted to external with checksum verification,
     four at a time; one outcome row per table."""
@@ -549,6 +565,7 @@ def q_convert_all_tables(spark, sf):
     return out.select("name", "outcome", "source_rows", "target_rows")
 
 
+@_report
 def q_report_counts(spark, sf):
     """Outcome counts of a conversion run over managed, external and missing tables."""
     db, targets = _convert_setup(spark, sf)
@@ -556,6 +573,7 @@ def q_report_counts(spark, sf):
                           "outcome")
 
 
+@_report
 def q_migrate_dry_run(spark, sf):
     """A dry run of a whole-schema migration, summarised the way a person reads it."""
     from .plans.report import migration_summary
@@ -601,6 +619,7 @@ def _register_setup(spark, sf):
     return src, tgt, inv, man, plan
 
 
+@_report
 def q_register_report(spark, sf):
     """External tables registered in a target schema, verified against their sources."""
     src, tgt, inv, man, plan = _register_setup(spark, sf)
@@ -625,6 +644,7 @@ def q_migrate_views(spark, sf):
     return spark.table(f"`{tgt}`.`orders_by_status`")
 
 
+@_report
 def q_inventory(spark, sf):
     """Inventory of a schema with object types, providers, partitioning and row counts."""
     src, tgt, inv, man, plan = _register_setup(spark, sf)
@@ -633,6 +653,7 @@ def q_inventory(spark, sf):
                        "row_count")
 
 
+@_report
 def q_migrate_all(spark, sf):
     """End-to-end migration of tables and a view, outcomes with verified counts."""
     src = new_database(spark, "migsrc")
@@ -709,6 +730,7 @@ def q_nested_keyed_diff(spark, sf):
     return keyed_diff(_threads(spark, sf, False), _threads(spark, sf, True), ["conv_id"])
 
 
+@_report
 def q_view_chain(spark, sf):
     """Thirty views, each over the next, named so that name order is reverse dependency order; the
     last one to be created is queried."""
@@ -787,6 +809,7 @@ def q_view_manifest(spark, sf):
     return load_view_manifest(spark, path)
 
 
+@_report
 def q_inventory_two_schemas(spark, sf):
     """Schemas listed but for an excluded one (in another case), inventories united."""
     from .sources.catalog import list_databases
@@ -809,6 +832,7 @@ def q_checkpoint_csv_documents(spark, sf):
     return copy_ops.read_csv(spark, path, d.schema)
 
 
+@_report
 def q_migrate_new_schema(spark, sf):
     """Migration into a schema that does not exist yet, with a renamed view and a view over it; what
     reconciliation still misses in the source is listed (nothing), next to the rows of the second view."""

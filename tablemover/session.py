@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -67,7 +69,9 @@ def work_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, uniquely named folder under the shared scratch folder."""
     root = work_root(spark)
-    return f"{root}/tablemover/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tablemover/{purpose}-{uuid.uuid4().hex[:12]}"
+    _note("folder", path)
+    return path
 
 
 def new_database(spark: SparkSession, purpose: str) -> str:
@@ -75,9 +79,39 @@ def new_database(spark: SparkSession, purpose: str) -> str:
     name = f"tm_{purpose}_{uuid.uuid4().hex[:10]}"
     loc = new_work_dir(spark, f"db-{purpose}")
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{loc}'")
+    _note("database", name)
     return name
 
 
+_noted: ContextVar[list | None] = ContextVar("scratch", default=None)
+
+
+def _note(kind: str, name: str) -> None:
+    if (made := _noted.get()) is not None:
+        made.append((kind, name))
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Drops the databases and deletes the folders that ``new_database`` and ``new_work_dir`` gave out
+    inside the block. Only for work whose results don't read them any more."""
+    token = _noted.set([])
+    try:
+        yield
+    finally:
+        made = _noted.get()
+        _noted.reset(token)
+        for kind, name in made:
+            if kind == "database":
+                spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for kind, name in made:
+            if kind == "folder":
+                path = jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(conf).delete(path, True)
+
+
 def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a job that shuffles about ``shuffle_bytes`` on ``total_cores`` cores.
 

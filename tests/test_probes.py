@@ -112,3 +112,15 @@ def test_failed_registration_leaves_no_target(spark, db, tmp_path, monkeypatch):
     assert not spark.catalog.tableExists(f"{db}.e2")
     monkeypatch.undo()
     assert conv.register_one(spark, row, dry_run=False)["outcome"] == "REGISTERED"
+
+
+def test_scratch_is_dropped(spark):
+    from tablemover.session import new_database, scratch
+    with scratch(spark):
+        db = new_database(spark, "tmp")
+        path = new_work_dir(spark, "tmp")
+        spark.range(3).write.saveAsTable(f"{db}.t")
+        spark.range(3).write.parquet(path + "/x")
+    assert not spark.catalog.databaseExists(db)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path + "/x")
