@@ -3,8 +3,9 @@
 Each document has two histograms: its characters by class, and its words by the commonest words of its
 language (all other words in one class). Both are compared with the language's own histograms by the
 Jensen-Shannon distance (base 2, so 0 to 1). The references are statistics of the whole corpus: one
-pass sums the class counts and counts every word per language; languages that hold less than
-``min_share`` of the corpus's words get no reference. A document too short for stable histograms, or in
+pass counts every short word per language, a second matches the words of each document and counts its
+characters, and the language totals are sums over all documents. Languages that hold less than
+``min_share`` of the corpus's short words get no reference. A document too short for stable histograms, or in
 a language without reference, is not judged by the distances.
 
 Layout: words become rows only inside their own task, where they are matched with the broadcast list of
@@ -130,28 +131,35 @@ def _base(docs: DataFrame, text_col: str, lang_col: str, keep: list[str]) -> Dat
         F.regexp_extract_all(F.lower("t"), F.lit(SHORT_WORD), 0).alias("words"))
 
 
-def language_references(base: DataFrame, top: int = 24, min_share: float = 0.001) -> tuple[DataFrame, DataFrame]:
-    """From `_base` rows: (lang, word, place, share) of the commonest words and (lang, r_<class>...) shares
-    of the character classes, over the whole corpus. At most 1 / min_share languages, ``top`` words each."""
-    kinds = KINDS
-    sums = base.groupBy("lang").agg(F.sum("n_words").alias("n"), F.sum("n_all").alias("all"),
-                                    *[F.sum(f"k_{k}").alias(f"k_{k}") for k in kinds])
-    sums = written(sums, "divergence-langs")
-    whole = sums.agg(F.sum("n")).first()[0] or 0
-    sums = sums.where(F.col("lang").isNotNull() & (F.col("n") >= F.lit(float(min_share * whole))) & (F.col("n") > 0) & (F.col("all") > 0))
-    words = (base.select("lang", F.explode("words").alias("word"))
-             .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c")))
-    words = words.join(F.broadcast(sums.select("lang", "n")), "lang")
+def common_words(base: DataFrame, top: int = 24, min_share: float = 0.001) -> DataFrame:
+    """(lang, word, place, c): the ``top`` commonest short words of each language over the whole corpus,
+    their places and counts. Languages with less than ``min_share`` of all short words are left out, so
+    there are at most top / min_share rows."""
+    words = written(base.select("lang", F.explode("words").alias("word")).groupBy("lang", "word")
+                    .agg(F.count(F.lit(1)).alias("c")), "divergence-counts")
+    langs = words.groupBy("lang").agg(F.sum("c").alias("n"))
+    whole = words.agg(F.sum("c")).first()[0] or 0
+    langs = langs.where(F.col("lang").isNotNull() & (F.col("n") >= F.lit(float(min_share * whole)))).select("lang")
     rank = Window.partitionBy("lang").orderBy(F.col("c").desc(), "word")
-    common = (words.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= top)
-              .select("lang", "word", "place", F.try_divide("c", "n").alias("share")))
-    classes = sums.select("lang", *[F.try_divide(f"k_{k}", "all").alias(f"r_{k}") for k in kinds])
-    return written(common, "divergence-words"), written(classes, "divergence-classes")
+    # The languages left are at most 1 / min_share: a proven bound.
+    ranked = words.join(F.broadcast(langs), "lang").withColumn("place", F.row_number().over(rank))
+    return written(ranked.where(F.col("place") <= top).select("lang", "word", "place", "c"), "divergence-words")
+
+
+def language_references(common: DataFrame, rows: DataFrame, top: int) -> DataFrame:
+    """(lang, ref_words, ref_classes): shares of the common words and of the character classes, the totals
+    being sums over all documents (``rows``)."""
+    sums = rows.groupBy("lang").agg(F.sum("n_words").alias("n"), F.sum("n_all").alias("all"),
+                                    *[F.sum(f"k_{k}").alias(f"k_{k}") for k in KINDS])
+    listed = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "c"))).alias("ps"))
+    shares = F.transform(F.sequence(F.lit(0), F.lit(top - 1)),
+                         lambda i: F.coalesce(F.try_divide(F.get("ps", i)["c"], F.col("n")), F.lit(0.0)))
+    return listed.join(sums, "lang").where((F.col("n") > 0) & (F.col("all") > 0)).select(
+        "lang", shares.alias("ref_words"), F.array(*[F.try_divide(f"k_{k}", "all") for k in KINDS]).alias("ref_classes"))
 
 
 def quality_rules(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: str = "lang", top: int = 24,
-                  min_share: float = 0.001, min_words: int = 100, max_class: float = 0.25, max_words: float = 0.28,
-                  references: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                  min_share: float = 0.001, min_words: int = 100, max_class: float = 0.25, max_words: float = 0.28) -> DataFrame:
     """Columns ``keep`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance, word_distance and kept, one row per row of ``docs``.
 
@@ -162,13 +170,12 @@ def quality_rules(docs: DataFrame, keep: list[str], text_col: str = "text", lang
     counts as empty (base_failed); repeated rows and null ids each give their row; an empty table gives
     no rows. Kept columns whose names clash with the results get a trailing underscore.
     """
-    kinds = KINDS
     base = _base(docs, text_col, lang_col, keep)
-    common, classes = references or language_references(base, top, min_share)
+    common = common_words(base, top, min_share)
     # The tokens of a document are matched and summed in the task that read it; what is shuffled is
     # one row of numbers per document.
     cs = [f"c{i}" for i in range(len(keep))]
-    numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_all", *[f"k_{k}" for k in kinds]]
+    numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_all", *[f"k_{k}" for k in KINDS]]
     tokens = base.withColumn("rid", F.monotonically_increasing_id()).select(
         "rid", *cs, "lang", *numbers, F.explode_outer("words").alias("word"))
     found = tokens.join(F.broadcast(common.select("lang", "word", "place")), ["lang", "word"], "left")
@@ -176,12 +183,11 @@ def quality_rules(docs: DataFrame, keep: list[str], text_col: str = "text", lang
         *[F.max(c).alias(c) for c in numbers],
         *[F.sum(F.when(F.col("place") == k + 1, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))).alias(f"h{k}")
           for k in range(top)])
+    # One narrow row per document: the references' totals and the verdicts both come from it.
+    d = written(d, "divergence-rows")
+    refs = language_references(common, d, top)
     d = d.select(*cs, "lang", *numbers, F.array(*[F.try_divide(F.col(f"h{k}"), F.col("n_words")) for k in range(top)]).alias("words"),
-                 F.array(*[F.try_divide(F.col(f"k_{k}"), F.col("n_all")) for k in kinds]).alias("classes"))
-    shares = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "share"))).alias("ps"))
-    shares = shares.select("lang", F.transform(F.sequence(F.lit(0), F.lit(top - 1)),
-                                               lambda i: F.coalesce(F.get("ps", i)["share"], F.lit(0.0))).alias("ref_words"))
-    refs = classes.join(shares, "lang").select("lang", "ref_words", F.array(*[F.col(f"r_{k}") for k in kinds]).alias("ref_classes"))
+                 F.array(*[F.try_divide(F.col(f"k_{k}"), F.col("n_all")) for k in KINDS]).alias("classes"))
     d = d.join(F.broadcast(refs), "lang", "left")
     judged = F.col("ref_words").isNotNull() & (F.col("n_words") >= min_words)
     d = d.withColumns({
