@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import written
 
 
-def _same(a: DataFrame, b_fingerprint) -> tuple[bool, tuple]:
-    r = a.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-    now = (r["n"], r["s"])
-    return now == b_fingerprint, now
+def _stars(e: DataFrame) -> bool:
+    """Whether all links point straight at roots: every u once, and no v is a u itself."""
+    twice = e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+    inner = e.join(e.select(F.col("v").alias("root")).distinct(), F.col("u") == F.col("root"), "left_semi").select("u")
+    return twice.unionAll(inner).count() == 0
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return (both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u != v").distinct())
+            .where("u != v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -36,17 +37,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     """(u, v): each linked node ``u`` and the smallest node ``v`` it can reach, itself included.
 
     ``links`` has two long columns ``a`` and ``b``, in either order, repeats and self-links allowed; no
-    links give no rows. The number of rounds grows with the logarithm of the longest chain, and a
-    round's output is written to the shared folder, so a lost executor repeats one round at most.
+    links give no rows. Rounds end when every link points straight at a root; their number grows with the
+    logarithm of the longest chain. A round's output is written to the shared folder, so a lost executor
+    repeats one round at most.
     """
     e = (links.where("a != b and a is not null and b is not null")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = written(e, "links")
-    done, state = False, _same(e, None)[1]
-    if not state[0]:
-        return e
-    while not done:
+    while not _stars(e):
         e = written(_small_star(_large_star(e)), "links")
-        done, state = _same(e, state)
     roots = e.select(F.col("v").alias("u"), "v").distinct()
     return e.union(roots)
