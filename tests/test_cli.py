@@ -1,4 +1,6 @@
 
+import os
+
 from tablemover.__main__ import main
 from tablemover.session import new_work_dir
 from tablemover.sources.catalog import object_type
@@ -60,7 +62,8 @@ def test_cli_migrate_dry_run(spark):
     spark.read.parquet(f"{SF}/nation.parquet").write.option("path", new_work_dir(spark, "n") + "/d").saveAsTable(f"{src}.n")
     spark.sql(f"CREATE VIEW {src}.v AS SELECT n_name FROM {src}.n")
     man_path = new_work_dir(spark, "cm") + "/man.json"
-    with open(man_path.replace("file:", ""), "w") as fh:
+    os.makedirs(os.path.dirname(man_path), exist_ok=True)
+    with open(man_path, "w") as fh:
         for i, t in enumerate(["n", "v"]):
             fh.write(_json.dumps({"database": src, "name": t, "target_schema": tgt, "target_table": t,
                                   "is_pii": False, "t_no": i}) + "\n")
