@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_work_dir
@@ -40,11 +41,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_id(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """A materialised copy of ``df`` with a unique long id per row, and that column's name. Rows that
-    repeat, or have a null id of their own, stay apart; the written copy keeps the ids fixed."""
-    rid = fresh(df.columns, "row_id")
-    return written(df.withColumn(rid, F.monotonically_increasing_id()), purpose), rid
+def with_row_id(df: DataFrame, purpose: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that name each row, and their names: the hash of its file and its place in it if
+    ``df`` reads files, without a copy; otherwise ids fixed by a written copy. Rows that repeat, or have a
+    null id of their own, stay apart, and retried tasks see the same ids."""
+    file, row = fresh(df.columns, "row_file"), fresh(df.columns, "row_place")
+    try:
+        out = df.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+        return out, [file, row]
+    except AnalysisException:  # not a plain scan of files that count their rows
+        return (written(df.withColumn(file, F.lit(0).cast("long")).withColumn(row, F.monotonically_increasing_id()), purpose),
+                [file, row])
 
 
 # -- vectorised tokenising -------------------------------------------------------------------------

@@ -188,13 +188,15 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, text_col: str
     last. Null or empty texts have no words and whole copies only; a null source is a source like any
     other; repeated rows are rounded each for itself; an empty table stays empty.
     """
-    stored, rid = with_row_id(docs, "mix-docs")
-    sizes = written(stored.select(col(rid).alias("doc"), col(source_col).cast("string").alias("source"),
-                                  word_count(col(text_col)).alias("size")), "mix-sizes")
+    named, row = with_row_id(docs, "mix-docs")
+    names = written(named.select(*[col(c).alias(f"r{i}") for i, c in enumerate(row)], col(source_col).cast("string").alias("source"),
+                                 word_count(col(text_col)).alias("size"), F.monotonically_increasing_id().alias("doc")), "mix-sizes")
+    sizes = names.select("doc", "source", "size")
     if weights is None:
         weights = cycle_weights(sizes.select("source"))
-    d = mix_decisions(sizes, weights, limit, block, seed).where("copies > 0")
-    n, k = fresh(stored.columns, "copies"), fresh(stored.columns, "copy")
-    d = d.select(F.col("doc").alias(rid), F.col("copies").cast("int").alias(n))
-    return (stored.join(d, rid).withColumn(k, F.explode(F.sequence(F.lit(1), col(n))))
+    d = mix_decisions(sizes, weights, limit, block, seed).where("copies > 0").select("doc", F.col("copies").cast("int").alias("n"))
+    n, k = fresh(named.columns, "copies"), fresh(named.columns, "copy")
+    d = written(names.select("doc", "r0", "r1").join(d, "doc")
+                .select(*[F.col(f"r{i}").alias(c) for i, c in enumerate(row)], F.col("n").alias(n)), "mix-copies")
+    return (named.join(d, row).withColumn(k, F.explode(F.sequence(F.lit(1), col(n))))
             .select(*[col(c) for c in docs.columns]))

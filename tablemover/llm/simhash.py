@@ -126,6 +126,23 @@ def near_pairs(fps: DataFrame, radius: int = 2, slices: int = 8) -> DataFrame:
             .select("a", "b"))
 
 
+def _grouped(docs: DataFrame, keep: list[str], text_col: str, shingle: int, radius: int, slices: int) -> DataFrame:
+    """Columns ``keep`` as c0.., ``fp``, the fingerprint ``root`` that stands for the component, and
+    ``component_id``, the least c0 in it."""
+    ids = [f"c{i}" for i in range(len(keep))]
+    src = docs.select(*[col(c).alias(a) for c, a in zip(keep, ids)], col(text_col).alias("t"))
+    prints = written(with_fingerprints(src, "t", ids, "fp", shingle), "simhash")
+    nodes = written(prints.groupBy("fp").agg(F.min(ids[0]).alias("least")), "simhash-nodes")
+    links = written(near_pairs(nodes.select("fp"), radius, slices), "simhash-links")
+    comps = connected_components(links)
+    rooted = nodes.join(comps, nodes["fp"] == comps["u"], "left").select(
+        "fp", "least", F.coalesce("v", "fp").alias("root"))
+    rooted = written(rooted, "simhash-roots")
+    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    label = rooted.join(best, "root").select(F.col("fp").alias("nfp"), "root", "component_id")
+    return prints.join(label, prints["fp"] == label["nfp"], "left").drop("nfp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 2, slices: int = 8, extra: list[str] | None = None) -> DataFrame:
     """One row per document: id (and ``extra`` columns), ``fingerprint`` (16 hex digits) and
@@ -137,23 +154,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names win over equally named extra columns, which are renamed with a trailing underscore.
     """
     keep = [id_col, *(extra or [])]
-    ids = [f"c{i}" for i in range(len(keep))]
-    src = docs.select(*[col(c).alias(a) for c, a in zip(keep, ids)], col(text_col).alias("t"))
-    prints = written(with_fingerprints(src, "t", ids, "fp", shingle), "simhash")
-    nodes = written(prints.groupBy("fp").agg(F.min(ids[0]).alias("least")), "simhash-nodes")
-    links = written(near_pairs(nodes.select("fp"), radius, slices), "simhash-links")
-    comps = connected_components(links)
-    # Component of each fingerprint, then the smallest document id in it.
-    rooted = nodes.join(comps, nodes["fp"] == comps["u"], "left").select(
-        "fp", "least", F.coalesce("v", "fp").alias("root"))
-    rooted = written(rooted, "simhash-roots")
-    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = rooted.join(best, "root").select(F.col("fp").alias("nfp"), "component_id")
-    out = prints.join(label, prints["fp"] == label["nfp"], "left")
+    out = _grouped(docs, keep, text_col, shingle, radius, slices)
     names = []
     for c in keep:
         names.append(c if c == id_col else fresh([id_col, "fingerprint", "component_id", *names], c))
-    return out.select(*[F.col(a).alias(n) for a, n in zip(ids, names)],
+    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
                       F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -161,9 +166,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          radius: int = 2, slices: int = 8) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest id (among
     equal or null ids, the first stored row). Columns and their order stay as they are."""
-    stored, rid = with_row_id(docs, "simhash-docs")
-    groups = near_duplicates(stored, rid, text_col, shingle, radius, slices, extra=[id_col])
-    id_name = groups.columns[1]
-    ranked = F.struct(F.col(f"`{id_name}`").isNull().alias("n"), F.col(f"`{id_name}`").alias("i"), col(rid).alias("r"))
-    kept = groups.groupBy("component_id").agg(F.min(ranked).alias("k")).select(F.col("k.r").alias(rid))
-    return stored.join(kept, rid, "left_semi").select(*[col(c) for c in docs.columns])
+    named, row = with_row_id(docs, "simhash-docs")
+    groups = _grouped(named, [id_col, *row], text_col, shingle, radius, slices)
+    ranked = F.struct(F.col("c0").isNull().alias("n"), "c0", "c1", "c2")
+    kept = groups.groupBy("root").agg(F.min(ranked).alias("k")).select(*[F.col(f"k.c{i + 1}").alias(r) for i, r in enumerate(row)])
+    kept = written(kept, "simhash-kept")
+    return named.join(kept, row, "left_semi").select(*[col(c) for c in docs.columns])
