@@ -44,7 +44,8 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 def with_row_id(df: DataFrame, purpose: str) -> tuple[DataFrame, list[str]]:
     """``df`` with columns that name each row, and their names: the hash of its file and its place in it if
     ``df`` reads files, without a copy; otherwise ids fixed by a written copy. Rows that repeat, or have a
-    null id of their own, stay apart, and retried tasks see the same ids."""
+    null id of their own, stay apart, and retried tasks see the same ids. A frame whose rows change from
+    read to read (a limit, a random sample) must be written by the caller first."""
     file, row = fresh(df.columns, "row_file"), fresh(df.columns, "row_place")
     try:
         out = df.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
