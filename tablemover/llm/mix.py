@@ -198,5 +198,6 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, text_col: str
     n, k = fresh(named.columns, "copies"), fresh(named.columns, "copy")
     d = written(names.select("doc", "r0", "r1").join(d, "doc")
                 .select(*[F.col(f"r{i}").alias(c) for i, c in enumerate(row)], F.col("n").alias(n)), "mix-copies")
-    return (named.join(d, row).withColumn(k, F.explode(F.sequence(F.lit(1), col(n))))
+    # A merge join at every size: the list of copies grows with the documents.
+    return (named.join(d.hint("merge"), row).withColumn(k, F.explode(F.sequence(F.lit(1), col(n))))
             .select(*[col(c) for c in docs.columns]))

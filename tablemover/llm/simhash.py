@@ -171,4 +171,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ranked = F.struct(F.col("c0").isNull().alias("n"), "c0", "c1", "c2")
     kept = groups.groupBy("root").agg(F.min(ranked).alias("k")).select(*[F.col(f"k.c{i + 1}").alias(r) for i, r in enumerate(row)])
     kept = written(kept, "simhash-kept")
-    return named.join(kept, row, "left_semi").select(*[col(c) for c in docs.columns])
+    # A merge join at every size: the list of kept rows grows with the documents.
+    return named.join(kept.hint("merge"), row, "left_semi").select(*[col(c) for c in docs.columns])
