@@ -1,11 +1,13 @@
 r"""Chat formatting in budgeted windows.
 
-A conversation's turns are packed into windows by the prefix sums of their tokens: a window takes the
-turns that start within its share of the conversation's tokens, so windows are turn-aligned and no turn
-is cut (a turn longer than the budget makes its window longer). Each window opens with the system turn, if
-the conversation begins with one, then repeats the last turns of the window before, up to ``history``
-tokens, then adds its new turns. Only new assistant turns are under the loss mask: what is repeated was a
-target before and is masked now, so each assistant turn is a target exactly once.
+A conversation's turns are packed into windows by the running sum of their tokens: a window closes before
+the turn that would take it past the budget, so windows are turn-aligned and no turn is cut. Each window
+opens with the system turn, if the conversation begins with one, then repeats the last turns of the window
+before, up to ``history`` tokens and as far as they leave room for the first new turn, then adds its new
+turns. System turn, history and new turns together hold the budget (tokens of the texts); only a turn that
+does not fit beside the system turn passes it, as the one new turn of a window without history. Only new
+assistant turns are under the loss mask: what is repeated was a target before and is masked now, so each
+assistant turn is a target exactly once.
 
 Template: `<turn role>`, line feed, text, `</turn>`, line feed. A text's own `<turn` and `</turn` get a
 backslash after the `<` (and those that have some get one more), which :func:`unescape` undoes. Roles are
@@ -71,29 +73,34 @@ class _Writer:
 
     def __init__(self, conv, budget: int, history: int, count):
         self.conv, self.count = conv, count
-        self.history, self.room = history, max(1, budget - history)
+        self.history, self.budget = history, budget
         self.system, self.tail, self.new = None, [], []
-        self.window = self.done = self.seen = 0
+        self.window = self.used = self.seen = 0
 
     def add(self, role: str, text: str):
         """Takes a turn; returns the window that it closes, if any."""
         n = self.count(text)
         out = None
-        place = self.done // self.room
-        if self.new and place != self.place:
+        if self.new and self.used + n > self.budget:
             out = self.close()
         if not self.new:
-            self.place = place
+            self.used = sum(t[2] for t in self.lead())
+            while self.tail and self.used + n > self.budget:
+                self.used -= self.tail.pop(0)[2]
         self.new.append((role, text, n))
-        self.done += n
+        self.used += n
         if self.seen == 0 and role == "system":
             self.system = self.new[0]
         self.seen += 1
         return out
 
+    def lead(self) -> list:
+        """Turns that the window repeats before its new ones."""
+        return ([] if self.window == 0 or self.system is None else [self.system]) + self.tail
+
     def close(self):
         first = self.window == 0
-        lead = ([] if first or self.system is None else [self.system]) + ([] if first else self.tail)
+        lead = self.lead()
         parts, loss, at = [], [], 0
         for k, (role, text, _) in enumerate(lead + self.new):
             s, a, b = format_turn(role, text)

@@ -62,3 +62,22 @@ def test_windows(spark):
 
 def test_tokenizer_is_a_parameter():
     assert chat.token_counter(None)("Hello, big world!") == 5
+
+
+def test_windows_hold_the_budget(spark):
+    rows = [(1, 0, "user", "a " * 380), (1, 1, "assistant", "b " * 380), (2, 0, "system", "s " * 40)]
+    rows += [(2, k, ["assistant", "user"][k % 2], f"w{k} " * (k * 37 % 300 + 1)) for k in range(1, 80)]
+    rows += [(3, 0, "system", "s " * 200), (3, 1, "user", "u " * 100), (3, 2, "assistant", "t " * 400), (3, 3, "user", "v " * 600),
+             (3, 4, "assistant", "w " * 300), (3, 5, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    ws = chat.format_chats(turns).collect()
+    over = []
+    for r in ws:
+        parsed = chat.parse_turns(r["formatted"])
+        assert r["n_tokens"] == sum(len(t.split()) for _, t in parsed)
+        if r["n_tokens"] > 512:
+            over.append((r["conv_id"], r["repeated"], [t[0] for _, t in parsed]))
+    # Only turns that do not fit beside the system turn, alone with it.
+    assert sorted(over) == [(3, 1, ["s", "t"]), (3, 1, ["s", "v"])]
+    assert sum(r["conv_id"] == 1 for r in ws) == 2
+    assert any(r["repeated"] > 1 for r in ws)  # history is still repeated where it fits
