@@ -3,9 +3,11 @@
 Every text gives candidate spans: three patterned kinds (assignments, access keys, hex strings), which
 are always reported, and `token`: long strings of mixed character classes and high entropy that no
 patterned span covers. The candidates' values are hashed and counted over the whole corpus by distinct
-repositories and distinct owners. A value that many owners hold is a widely copied example; one that a
-single owner holds, in however many files, looks like a live credential. `token` spans are reported only
-when they are owner-specific; patterned spans carry the same verdict in the counts.
+repositories and distinct owners. A value that many owners or many repositories hold is a widely copied
+example, also if all the repositories are one owner's; one that few of both hold (two owners and three
+repositories at most, by default), in however many files, looks like a live credential. `token` spans are
+reported only when they are owner-specific; patterned spans carry the same verdict in the counts, and every
+reported span carries both numbers.
 
 The scan is one pass over the texts; what is kept is the spans, without text. Frequencies aggregate
 (hash, owner, repository) first, so a value in a third of all documents is a handful of rows before it is
@@ -105,13 +107,14 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, keep: list[str], owner: str = "source", repository: list[str] | None = None,
-                 text_col: str = "text", max_owners: int = 1) -> DataFrame:
-    """Columns ``keep`` plus n_assign, n_access, n_hex, base_sha256, spans, n_tokens, n_owner_specific and
-    n_copied, one row per document row.
+                 text_col: str = "text", max_owners: int = 2, max_repositories: int = 3) -> DataFrame:
+    """Columns ``keep`` plus n_assign, n_access, n_hex, base_sha256, spans, span_owners, span_repositories,
+    n_tokens, n_owner_specific and n_copied, one row per document row.
 
     ``owner`` names the owner column, ``repository`` the columns that name a repository within an owner
-    (the owner alone if none). A candidate is owner-specific if at most ``max_owners`` owners hold its
-    value; the others are copied. Null texts count as empty; a null owner is an owner like any other;
+    (the owner alone if none). A candidate is owner-specific if at most ``max_owners`` owners and at most
+    ``max_repositories`` repositories hold its value; the others are copied. span_owners and
+    span_repositories list both numbers for each of the spans, in their order. Null texts count as empty; a null owner is an owner like any other;
     repeated rows each give their row and add no owner; an empty table gives no rows. Kept columns whose
     names clash with the results get a trailing underscore.
     """
@@ -124,20 +127,22 @@ def scan_secrets(docs: DataFrame, keep: list[str], owner: str = "source", reposi
         F.concat_ws("\x1f", *[F.coalesce(F.col(f"c{n + 1 + i}").cast("string"), F.lit("\x00")) for i in range(len(repository))],
                     F.lit("")).alias("repository"), F.inline("found"))
     freq = written(ownership(one.select("hash", "owner", "repository")), "secrets-owners")
-    judged = one.select("rid", "start", "kind", "end", "hash").join(freq, "hash").withColumn("own", F.col("n_owners") <= max_owners)
+    judged = one.select("rid", "start", "kind", "end", "hash").join(freq, "hash").withColumn(
+        "own", (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories))
     # All spans of one text: bounded by the text.
     per_doc = judged.groupBy("rid").agg(
-        F.sort_array(F.collect_list(F.when((F.col("kind") < 3) | F.col("own"), F.struct("start", "kind", "end")))).alias("all"),
+        F.sort_array(F.collect_list(F.when((F.col("kind") < 3) | F.col("own"), F.struct("start", "kind", "end", "n_owners", "n_repositories")))).alias("all"),
         F.sum(((F.col("kind") == 3) & F.col("own")).cast("long")).alias("n_tokens"),
         F.sum(F.col("own").cast("long")).alias("n_owner_specific"), F.sum((~F.col("own")).cast("long")).alias("n_copied"))
     names = F.array(*[F.lit(k) for k in KINDS])
     text = F.array_join(F.transform("all", lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"),
                                                                  s["end"].cast("string"))), ",")
-    made = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_tokens", "n_owner_specific", "n_copied"]
+    held = {f"span_{c}": F.array_join(F.transform("all", lambda s: s[f"n_{c}"].cast("string")), ",") for c in ("owners", "repositories")}
+    made = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", *held, "n_tokens", "n_owner_specific", "n_copied"]
     outs = []
     for c in keep:
         outs.append(fresh([*made, *outs], c))
     d = scanned.select("rid", *[F.col(f"c{i}").alias(x) for i, x in enumerate(outs)], *made[:4])
-    return (d.join(per_doc.withColumn("spans", text), "rid", "left")
-            .select(*[col(x) for x in outs], *made[:4], F.coalesce("spans", F.lit("")).alias("spans"),
-                    *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in made[5:]]))
+    return (d.join(per_doc.withColumns({"spans": text, **held}), "rid", "left")
+            .select(*[col(x) for x in outs], *made[:4], *[F.coalesce(c, F.lit("")).alias(c) for c in made[4:7]],
+                    *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in made[7:]]))

@@ -49,3 +49,17 @@ def test_ownership(spark, docs_of):
 
 def test_empty(spark, docs_of):
     assert X.scan_secrets(docs_of([(1, "x")]).limit(0), ["doc_id"]).count() == 0
+
+
+def test_verdict_uses_owners_and_repositories(spark, docs_of):
+    example, live = "Hh1" + KEY, "Ll2" + KEY
+    rows = [(i, f"see {example}", f"repo{i % 8}", "hot") for i in range(40)]  # all repositories of one owner
+    rows += [(100, live, "en", "o1"), (101, live, "en", "o1"), (102, live, "en", "o2")]  # one copy elsewhere
+    got = {r["doc_id"]: r for r in X.scan_secrets(docs_of(rows), ["doc_id"], repository=["lang"]).collect()}
+    for i in range(40):
+        assert got[i]["spans"] == "" and got[i]["n_copied"] == 1 and got[i]["n_tokens"] == 0
+    for i in (100, 101, 102):
+        assert got[i]["spans"] == f"token:0:{len(live)}" and got[i]["n_owner_specific"] == 1 and got[i]["n_copied"] == 0
+        assert (got[i]["span_owners"], got[i]["span_repositories"]) == ("2", "2")
+    strict = X.scan_secrets(docs_of(rows), ["doc_id"], repository=["lang"], max_owners=1).where("doc_id >= 100")
+    assert all(r["n_copied"] == 1 for r in strict.collect())
