@@ -16,11 +16,16 @@ edited copy holds two windows without a common word at least, so R repetitions m
 probability (1 - p^m)^(2R) at most; R is the least that reaches ``recall`` at p = ``agreement`` (windows
 that overlap add to it; unedited copies always meet).
 
-**Verification.** A key that meets names an item and the place where its copy should start. Places with
-less than ``min_shared`` of the item's words are chance meetings (a copy at the design agreement shares
-0.92 of them) and go. The exact
-edit distance between the item's words and the best-fitting stretch of that place (Sellers' recurrence, run
-on bit vectors) must be at most ``max_edits`` of the item's length in characters.
+**Character windows.** A typo costs a walk a whole word, but the verification one character. So every
+character of an item and of the texts (lower-cased words joined by spaces) also starts a window of q
+characters, and equal windows meet. q is the largest (16 at most) for which a copy with ``max_edits`` edits
+at random places keeps q characters in a row unedited with probability ``recall`` (:func:`window_chars`):
+longer items have longer windows, milder edits are found more surely, and unedited copies always meet.
+
+**Verification.** Whatever meets names an item and the place where its copy should start, and every such
+place is verified: the exact edit distance between the item and the best-fitting stretch of that place
+(Sellers' recurrence on bit vectors, many places at a time) must be at most ``max_edits`` of the item's
+length in characters. Nothing is dropped before that.
 
 **Scale.** Texts stay in their partition: there is no shuffle of texts at all. The items' keys travel to
 the tasks in blocks of at most ``block_words`` benchmark words (about 16 bytes x R each), so a benchmark
@@ -101,95 +106,200 @@ def edit_distance(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def window_chars(n: int, edits: int, recall: float) -> int:
+    """Longest window (16 at most, 1 at least) of which a text of ``n`` characters with ``edits`` edits at
+    random places keeps an unedited one with probability ``recall``."""
+    clean = 1 - edits / n
+    for q in range(min(16, n), 1, -1):
+        none = [1.0] * q + [1 - clean ** q]  # none[j]: no such window in the first j characters
+        for j in range(q + 1, n + 1):
+            none.append(none[-1] - none[j - q - 1] * (1 - clean) * clean ** q)
+        if 1 - none[n] >= recall:
+            return q
+    return 1
+
+
+def grams(chars: np.ndarray, q: int) -> np.ndarray:
+    """Hash of the ``q`` characters from every character that has so many."""
+    base, part, size = 0x9E3779B97F4A7C15, chars.astype(np.uint64) + np.uint64(1), 1
+    out, done = None, 0
+    while True:  # windows of 1, 2, 4, .. characters, joined by the bits of q
+        if q & size:
+            if out is None:
+                out = part
+            else:
+                n = max(0, min(len(out), len(part) - done))
+                out = out[:n] + part[done:done + n] * np.uint64(pow(base, done, 1 << 64))
+            done += size
+        size *= 2
+        if size > q:
+            return mix(out[:max(0, len(chars) - q + 1)])
+        n = max(0, len(part) - size // 2)
+        part = part[:n] + part[size // 2:size // 2 + n] * np.uint64(pow(base, size // 2, 1 << 64))
+
+
+def plain_chars(low: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of the words, a space after each; where each word starts, and the end)."""
+    size = stops - starts
+    begin = np.concatenate([[0], np.cumsum(size + 1)])
+    out = np.full(begin[-1], 32, np.uint8)
+    of = np.repeat(np.arange(len(size)), size)
+    inner = np.arange(len(of)) + of
+    out[inner] = low[inner + (starts - begin[:-1])[of]]
+    if not len(out) or out.max() < 0x80:
+        return out.astype(np.uint32), begin
+    place = np.concatenate([[0], np.cumsum((out & 0xC0) != 0x80)])
+    return np.frombuffer(out.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), place[begin]
+
+
+def least_edits(patterns: list, which: np.ndarray, chars: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """:func:`edit_distance` of ``patterns[which]`` to ``chars[begins:ends]``, for all places at a time."""
+    out = np.zeros(len(which), np.int64)
+    sizes = np.array([len(x) for x in patterns])
+    order = np.lexsort((which, ends - begins, (sizes[which] + 63) // 64))
+    one, a = np.uint64(1), 0
+    while a < len(order):
+        blocks = (int(sizes[which[order[a]]]) + 63) // 64
+        part = order[a:a + 1024]
+        part = part[(sizes[which[part]] + 63) // 64 == blocks]
+        a += len(part)
+        items, row = np.unique(which[part], return_inverse=True)
+        alphabet = np.unique(np.concatenate([patterns[i] for i in items]))
+        masks = np.zeros((blocks, len(items), len(alphabet) + 1), np.uint64)  # the last column matches nothing
+        for r, i in enumerate(items):
+            at = np.arange(len(patterns[i]))
+            np.bitwise_or.at(masks, (at >> 6, r, np.searchsorted(alphabet, patterns[i])), one << (at & 63).astype(np.uint64))
+        masks = masks.reshape(blocks, -1)
+        width = int((ends - begins)[part].max())
+        at = begins[part] + np.arange(width)[:, None]
+        inside = at < ends[part]
+        c = chars[np.where(inside, at, 0)]
+        code = np.minimum(np.searchsorted(alphabet, c), len(alphabet) - 1)
+        code = np.where(inside & (alphabet[code] == c), code, len(alphabet)) + row * (len(alphabet) + 1)
+        n, top = len(part), ((sizes[which[part]] - 1) & 63).astype(np.uint64)
+        vp, vn = [np.full(n, 2 ** 64 - 1, np.uint64) for _ in range(blocks)], [np.zeros(n, np.uint64) for _ in range(blocks)]
+        score = sizes[which[part]].copy()
+        best = score.copy()
+        for j in range(width):
+            up = down = np.zeros(n, np.uint64)
+            for k in range(blocks):
+                eq = masks[k][code[j]]
+                xv = eq | vn[k]
+                eq |= down
+                xh = (((eq & vp[k]) + vp[k]) ^ vp[k]) | eq
+                hp, hn = vn[k] | ~(xh | vp[k]), vp[k] & xh
+                if k == blocks - 1:
+                    score += ((hp >> top) & one).astype(np.int64) - ((hn >> top) & one).astype(np.int64)
+                up2, down2 = hp >> np.uint64(63), hn >> np.uint64(63)
+                hp, hn = (hp << one) | up, (hn << one) | down
+                vp[k], vn[k] = hn | ~(xv | hp), hp & xv
+                up, down = up2, down2
+            np.minimum(best, score, out=best)
+        out[part] = best
+    return out
+
+
 class Index:
     """Keys of a block of items, ready for lookups in a task."""
 
-    def __init__(self, ids: list, texts: list, recall: float, agreement: float):
+    def __init__(self, ids: list, texts: list, recall: float, agreement: float, max_edits: float = 0.2):
         arr = pa.array(texts, pa.large_string())
         h, off, starts, stops = word_hashes(arr)
         low, _ = utf8_parts(pc.utf8_lower(clean_strings(arr)))
-        self.ids, self.words, self.plain, self.vocabulary = ids, np.diff(off), [], []
-        for i in range(len(ids)):
-            self.vocabulary.append(np.unique(h[off[i]:off[i + 1]]))
-            self.plain.append(" ".join(low[a:b].tobytes().decode("utf-8") for a, b in
-                                       zip(starts[off[i]:off[i + 1]], stops[off[i]:off[i + 1]])))
-        self.tables = []
+        chars, begin = plain_chars(low, starts, stops)
+        self.ids, self.words, self.max_edits = ids, np.diff(off), max_edits
+        self.begin = [begin[off[i]:off[i + 1]] - begin[off[i]] for i in range(len(ids))]
+        self.plain = [chars[begin[off[i]]:max(begin[off[i]], begin[off[i + 1]] - 1)] for i in range(len(ids))]
+        self.allowed = np.array([math.floor(max_edits * len(x)) for x in self.plain])
+        self.tables, self.grams = [], []
         for steps in STEPS:
             mine = [i for i in range(len(ids)) if self.words[i] >= steps
                     and (steps == STEPS[0] or self.words[i] < STEPS[STEPS.index(steps) - 1])]
-            if not mine:
-                continue
-            for rep in range(repetitions(steps, recall, agreement)):
-                keys, item, place = [], [], []
+            for rep in range(repetitions(steps, recall, agreement) if mine else 0):
+                found = []
                 for i in mine:
                     k, last = walk_keys(h[off[i]:off[i + 1]], steps, rep)
                     ok = np.flatnonzero(last <= self.words[i])
-                    keys.append(k[ok])
-                    item.append(np.full(len(ok), i))
-                    place.append(ok)
-                k, item, place = np.concatenate(keys), np.concatenate(item), np.concatenate(place)
-                order = np.argsort(k, kind="stable")
-                k, item, place = k[order], item[order], place[order]
-                seen = np.zeros(1 << _FILTER_BITS, bool)
-                seen[(k >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-                self.tables.append((steps, rep, k, item, place, seen))
-
-    def candidates(self, h: np.ndarray):
-        """(word place, item, item word) triples of keys that meet."""
-        for steps, rep, keys, item, place, seen in self.tables:
-            k, _ = walk_keys(h, steps, rep)
-            maybe = np.flatnonzero(seen[(k >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-            if not len(maybe):
-                continue
-            lo, hi = np.searchsorted(keys, k[maybe], "left"), np.searchsorted(keys, k[maybe], "right")
-            for w, a, b in zip(maybe[hi > lo], lo[hi > lo], hi[hi > lo]):
-                for x in range(a, b):
-                    yield int(w), int(item[x]), int(place[x])
-
-
-def shares_words(found: np.ndarray, vocabulary: np.ndarray, least: float) -> bool:
-    """Whether ``found`` holds at least that share of the sorted ``vocabulary``."""
-    at = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
-    return len(np.unique(at[vocabulary[at] == found])) >= least * len(vocabulary)
-
-
-def find_items(texts: pa.Array, index: Index, max_edits: float, min_shared: float = 0.4):
+                    found.append((k[ok], i, self.begin[i][ok]))
+                self.tables.append((steps, rep, *self._table(found)))
+        classes: dict = {}
+        for i, x in enumerate(self.plain):
+            if self.allowed[i]:
+                classes.setdefault(window_chars(len(x), int(self.allowed[i]), recall), []).append(i)
+        for q, mine in sorted(classes.items()):
+            self.grams.append((q, *self._table([(g := grams(self.plain[i], q), i, np.arange(len(g))) for i in mine])))
+
+    @staticmethod
+    def _table(found: list) -> tuple:
+        """(keys in order, items, characters before the key's place, filter)."""
+        k = np.concatenate([x[0] for x in found])
+        item = np.concatenate([np.full(len(x[0]), x[1]) for x in found])
+        place = np.concatenate([x[2] for x in found])
+        order = np.argsort(k, kind="stable")
+        seen = np.zeros(1 << _FILTER_BITS, bool)
+        seen[(k >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        return k[order], item[order], place[order], seen
+
+    @staticmethod
+    def _meet(k: np.ndarray, at: np.ndarray | None, keys, item, place, seen):
+        """(character where the copy should start, item) of keys that meet; ``at`` are the keys' characters."""
+        maybe = np.flatnonzero(seen[(k >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+        lo, hi = np.searchsorted(keys, k[maybe], "left"), np.searchsorted(keys, k[maybe], "right")
+        n = hi - lo
+        x = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        w = np.repeat(maybe, n)
+        here = w if at is None else at[w]
+        return here, here - place[x], item[x]
+
+    def candidates(self, h: np.ndarray, begin: np.ndarray, chars: np.ndarray):
+        """(a character of the copy, character where it should start, item) of all that meet."""
+        for steps, rep, *table in self.tables:
+            yield self._meet(walk_keys(h, steps, rep)[0], begin, *table)
+        for q, *table in self.grams:
+            yield self._meet(grams(chars, q), None, *table)
+
+
+def find_items(texts: pa.Array, index: Index):
     """(text number, item number, edits) for each text and item whose copy it holds, least edits."""
+    sizes = np.array([len(x) for x in index.plain], np.int64)
     for a, b in text_slices(texts, 1 << 20):
         part = clean_strings(texts.slice(a, b - a))
         h, off, starts, stops = word_hashes(part)
         if not len(h):
             continue
-        hits: dict = {}
-        for w, i, place in index.candidates(h):
-            t = int(np.searchsorted(off, w, "right")) - 1
-            hits.setdefault((t, i), set()).add(w - place)
-        if not hits:
-            continue
         low, _ = utf8_parts(pc.utf8_lower(part))
-        for (t, i), begins in sorted(hits.items()):
-            n, pattern = int(index.words[i]), index.plain[i]
-            allowed = math.floor(max_edits * len(pattern))
-            slack = max(1, math.ceil(max_edits * n)) if allowed else 0
-            best, done = None, -1
-            for begin in sorted(begins):
-                lo, hi = max(begin - slack, int(off[t])), min(begin + n + slack, int(off[t + 1]))
-                if best == 0 or hi <= done or not shares_words(h[lo:hi], index.vocabulary[i], min_shared):
-                    continue
-                words = [low[x:y].tobytes().decode("utf-8") for x, y in zip(starts[lo:hi], stops[lo:hi])]
-                if allowed:
-                    edits, _ = edit_distance(pattern, " ".join(words))
-                else:  # too short for any edit: whole words must be equal
-                    joined = " " + " ".join(words) + " "
-                    edits = 0 if f" {pattern} " in joined else len(pattern)
-                if edits <= allowed and (best is None or edits < best):
-                    best = edits
-                done = hi
-            if best is not None:
-                yield a + t, i, best
-
-
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int, recall: float, agreement: float):
+        chars, begin = plain_chars(low, starts, stops)
+        first = begin[off]  # of each text, and the end
+        met = []
+        for here, start, item in index.candidates(h, begin, chars):
+            t = np.searchsorted(first, here, "right") - 1
+            # Starts that lie within the allowed edits of each other are one place.
+            met.append(np.unique(np.stack([t, item, (start + (1 << 40)) // np.maximum(index.allowed[item], 1)]), axis=1)
+                       if len(t) else np.zeros((3, 0), np.int64))
+        t, item, spot = np.unique(np.concatenate(met, axis=1), axis=1).astype(np.int64) if met else np.zeros((3, 0), np.int64)
+        if not len(t):
+            continue
+        allowed = index.allowed[item]
+        start = spot * np.maximum(allowed, 1) - (1 << 40)
+        lo = np.maximum(start - allowed, first[t])
+        hi = np.minimum(start + 2 * allowed + sizes[item], first[t + 1] - 1)
+        edits = np.full(len(t), 1 << 40)
+        fuzzy = np.flatnonzero((allowed > 0) & (hi > lo))
+        edits[fuzzy] = least_edits(index.plain, item[fuzzy], chars, lo[fuzzy], hi[fuzzy])
+        for x in np.flatnonzero((allowed == 0) & (hi - lo == sizes[item])):  # too short for any edit: whole words must be equal
+            if (np.array_equal(chars[lo[x]:hi[x]], index.plain[item[x]]) and chars[hi[x]] == 32
+                    and (lo[x] == 0 or chars[lo[x] - 1] == 32)):
+                edits[x] = 0
+        best: dict = {}
+        for x in np.flatnonzero(edits <= allowed):
+            key = (int(t[x]), int(item[x]))
+            best[key] = min(best.get(key, 1 << 40), int(edits[x]))
+        for (x, i), e in sorted(best.items()):
+            yield a + x, i, e
+
+
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int, recall: float, agreement: float,
+                max_edits: float):
     """Indexes over blocks of items of at most about ``block_words`` words, one in memory at a time."""
     ids, texts, size = [], [], 0
     items = benchmark.select(col(id_col).alias("i"), col(text_col).alias("t")).where("t is not null").orderBy("i", "t")
@@ -198,10 +308,10 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: i
         texts.append(r["t"])
         size += r["t"].count(" ") + 1
         if size >= block_words:
-            yield Index(ids, texts, recall, agreement)
+            yield Index(ids, texts, recall, agreement, max_edits)
             ids, texts, size = [], [], 0
     if ids:
-        yield Index(ids, texts, recall, agreement)
+        yield Index(ids, texts, recall, agreement, max_edits)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -220,11 +330,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     src = docs.select(col(id_col), col(text_col).alias(fresh([id_col], "text")))
     item_type = None
     out = None
-    for index in item_blocks(benchmark, item_col, item_text, block_words, recall, agreement):
+    for index in item_blocks(benchmark, item_col, item_text, block_words, recall, agreement, max_edits):
         def run(batches, index=index):
             for batch in batches:
                 t, i, e = [], [], []
-                for a, b, c in find_items(batch.column(1), index, max_edits):
+                for a, b, c in find_items(batch.column(1), index):
                     t.append(a)
                     i.append(b)
                     e.append(c)
@@ -242,11 +352,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                       block_words: int = 500_000) -> DataFrame:
     """The documents that hold no benchmark item, columns unchanged."""
     at = docs.columns.index(text_col)
-    for index in item_blocks(benchmark, item_col, item_text, block_words, recall, agreement):
+    for index in item_blocks(benchmark, item_col, item_text, block_words, recall, agreement, max_edits):
         def run(batches, index=index):
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for t, _, _ in find_items(batch.column(at), index, max_edits):
+                for t, _, _ in find_items(batch.column(at), index):
                     keep[t] = False
                 yield batch.filter(pa.array(keep))
 

@@ -92,3 +92,37 @@ def test_blocks_agree_and_empty(spark, docs_of):
     assert one == many and len(one) == 60
     assert D.contaminated(d.limit(0), b).count() == 0 and D.contaminated(d, b.limit(0)).count() == 0
     assert D.drop_contaminated(d, b.limit(0)).count() == 60
+
+
+def test_recall_up_to_max_edits():
+    """Copies with up to 20% of their characters edited anywhere, against brute-force edit distance."""
+    import pyarrow as pa
+
+    rng, some = _texts(7)
+    items = [some(n) for n in (8, 15, 25, 40, 60) for _ in range(6)]
+    index = D.Index(list(range(len(items))), items, 0.9, 0.92)
+    texts, want = [], []
+    for k in range(300):
+        i = rng.randrange(len(items))
+        copy = list(items[i])
+        for _ in range(int(len(copy) * 0.2 * rng.random())):
+            at = rng.randrange(len(copy))
+            copy[at:at + 1] = rng.choice([[], [copy[at], "x"], ["x"]])
+        texts.append(f"{some(10)} {''.join(copy)} {some(10)}")
+        if brute_edit(items[i], texts[-1]) <= 0.2 * len(items[i]):
+            want.append((k, i))
+    got = {(t, i): e for t, i, e in D.find_items(pa.array(texts), index)}
+    assert len(want) > 250 and sum(x in got for x in want) >= 0.9 * len(want)
+    assert all(brute_edit(items[i], texts[t]) <= e <= 0.2 * len(items[i]) for (t, i), e in got.items())
+
+
+def test_many_places_agree_with_one():
+    rng = random.Random(8)
+    code = lambda s: np.array([ord(c) for c in s], np.uint32)
+    pats = ["".join(rng.choice("abé ") for _ in range(n)) for n in (1, 63, 64, 65, 129, 300)]
+    text = "".join(rng.choice("abéz ") for _ in range(500))
+    which = np.array([rng.randrange(6) for _ in range(60)])
+    a = np.array([rng.randrange(400) for _ in which])
+    b = a + np.array([rng.randint(1, 100) for _ in which])
+    got = D.least_edits([code(p) for p in pats], which, code(text), a, b)
+    assert got.tolist() == [D.edit_distance(pats[w], text[x:y])[0] for w, x, y in zip(which, a, b)]
