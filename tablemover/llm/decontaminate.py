@@ -45,6 +45,7 @@ from .common import clean_strings, col, fresh, mix, text_slices, utf8_parts, wor
 
 STEPS = (16, 8, 4, 2, 1)
 _FILTER_BITS = 21
+_PLACES = 1024
 
 
 def samples(steps: int) -> int:
@@ -119,23 +120,33 @@ def window_chars(n: int, edits: int, recall: float) -> int:
     return 1
 
 
+class Grams:
+    """Hashes of runs of characters, joined from runs of 1, 2, 4, .. by the bits of their length."""
+
+    _BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, chars: np.ndarray):
+        self.n, self.parts = len(chars), {1: chars.astype(np.uint64) + np.uint64(1)}
+
+    def part(self, size: int) -> np.ndarray:
+        if size not in self.parts:
+            half, n = self.part(size // 2), max(0, self.n - size + 1)
+            self.parts[size] = half[:n] + half[size // 2:size // 2 + n] * np.uint64(pow(self._BASE, size // 2, 1 << 64))
+        return self.parts[size]
+
+    def keys(self, q: int, at: np.ndarray | None = None) -> np.ndarray:
+        """Hash of the ``q`` characters from every character that has so many, or from those ``at``."""
+        n, out, done = max(0, self.n - q + 1), None, 0
+        for size in (1 << k for k in range(q.bit_length()) if q >> k & 1):
+            x = self.part(size)[done:done + n] if at is None else self.part(size)[at + done]
+            out = x if out is None else out + x * np.uint64(pow(self._BASE, done, 1 << 64))
+            done += size
+        return mix(out)
+
+
 def grams(chars: np.ndarray, q: int) -> np.ndarray:
     """Hash of the ``q`` characters from every character that has so many."""
-    base, part, size = 0x9E3779B97F4A7C15, chars.astype(np.uint64) + np.uint64(1), 1
-    out, done = None, 0
-    while True:  # windows of 1, 2, 4, .. characters, joined by the bits of q
-        if q & size:
-            if out is None:
-                out = part
-            else:
-                n = max(0, min(len(out), len(part) - done))
-                out = out[:n] + part[done:done + n] * np.uint64(pow(base, done, 1 << 64))
-            done += size
-        size *= 2
-        if size > q:
-            return mix(out[:max(0, len(chars) - q + 1)])
-        n = max(0, len(part) - size // 2)
-        part = part[:n] + part[size // 2:size // 2 + n] * np.uint64(pow(base, size // 2, 1 << 64))
+    return Grams(chars).keys(q)
 
 
 def plain_chars(low: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +171,7 @@ def least_edits(patterns: list, which: np.ndarray, chars: np.ndarray, begins: np
     one, a = np.uint64(1), 0
     while a < len(order):
         blocks = (int(sizes[which[order[a]]]) + 63) // 64
-        part = order[a:a + 1024]
+        part = order[a:a + _PLACES]
         part = part[(sizes[which[part]] + 63) // 64 == blocks]
         a += len(part)
         items, row = np.unique(which[part], return_inverse=True)
@@ -226,6 +237,10 @@ class Index:
         for i, x in enumerate(self.plain):
             if self.allowed[i]:
                 classes.setdefault(window_chars(len(x), int(self.allowed[i]), recall), []).append(i)
+        # Windows begin with the shortest class's characters: most places of a text end at this filter.
+        self.least, self.first = min(classes, default=0), np.zeros(1 << _FILTER_BITS, bool)
+        for i in np.flatnonzero(self.allowed):
+            self.first[(grams(self.plain[i], self.least) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         for q, mine in sorted(classes.items()):
             self.grams.append((q, *self._table([(g := grams(self.plain[i], q), i, np.arange(len(g))) for i in mine])))
 
@@ -241,22 +256,26 @@ class Index:
         return k[order], item[order], place[order], seen
 
     @staticmethod
-    def _meet(k: np.ndarray, at: np.ndarray | None, keys, item, place, seen):
+    def _meet(k: np.ndarray, at: np.ndarray, keys, item, place, seen):
         """(character where the copy should start, item) of keys that meet; ``at`` are the keys' characters."""
         maybe = np.flatnonzero(seen[(k >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         lo, hi = np.searchsorted(keys, k[maybe], "left"), np.searchsorted(keys, k[maybe], "right")
         n = hi - lo
         x = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         w = np.repeat(maybe, n)
-        here = w if at is None else at[w]
+        here = at[w]
         return here, here - place[x], item[x]
 
     def candidates(self, h: np.ndarray, begin: np.ndarray, chars: np.ndarray):
         """(a character of the copy, character where it should start, item) of all that meet."""
         for steps, rep, *table in self.tables:
             yield self._meet(walk_keys(h, steps, rep)[0], begin, *table)
-        for q, *table in self.grams:
-            yield self._meet(grams(chars, q), None, *table)
+        if self.grams:
+            g = Grams(chars)
+            some = np.flatnonzero(self.first[(g.keys(self.least) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+            for q, *table in self.grams:
+                at = some[some <= len(chars) - q]
+                yield self._meet(g.keys(q, at), at, *table)
 
 
 def find_items(texts: pa.Array, index: Index):
@@ -284,7 +303,8 @@ def find_items(texts: pa.Array, index: Index):
         lo = np.maximum(start - allowed, first[t])
         hi = np.minimum(start + 2 * allowed + sizes[item], first[t + 1] - 1)
         edits = np.full(len(t), 1 << 40)
-        fuzzy = np.flatnonzero((allowed > 0) & (hi > lo))
+        # A stretch shorter than the item by more than the allowed edits cannot hold a copy.
+        fuzzy = np.flatnonzero((allowed > 0) & (hi - lo >= sizes[item] - allowed))
         edits[fuzzy] = least_edits(index.plain, item[fuzzy], chars, lo[fuzzy], hi[fuzzy])
         for x in np.flatnonzero((allowed == 0) & (hi - lo == sizes[item])):  # too short for any edit: whole words must be equal
             if (np.array_equal(chars[lo[x]:hi[x]], index.plain[item[x]]) and chars[hi[x]] == 32

@@ -126,3 +126,17 @@ def test_many_places_agree_with_one():
     b = a + np.array([rng.randint(1, 100) for _ in which])
     got = D.least_edits([code(p) for p in pats], which, code(text), a, b)
     assert got.tolist() == [D.edit_distance(pats[w], text[x:y])[0] for w, x, y in zip(which, a, b)]
+
+
+def test_typos_in_most_words_are_verified():
+    """A copy that shares few whole words with its item, but lies well within the allowed edits."""
+    import pyarrow as pa
+
+    rng, some = _texts(9)
+    index = D.Index([0], [item := some(50)], 0.9, 0.92)
+    words = item.split()
+    for at in rng.sample(range(50), 32):
+        words[at] = words[at][:2] + "q" + words[at][3:]
+    copy = " ".join(words)
+    assert len(set(words) & set(item.split())) < 0.4 * len(set(item.split()))
+    assert [(t, i, e) for t, i, e in D.find_items(pa.array([some(30) + " " + copy + " " + some(30), some(200)]), index)] == [(0, 0, 32)]
