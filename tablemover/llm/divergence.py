@@ -3,14 +3,14 @@
 Each document has two histograms: its characters by class, and its words by the commonest words of its
 language (all other words in one class). Both are compared with the language's own histograms by the
 Jensen-Shannon distance (base 2, so 0 to 1). The references are statistics of the whole corpus: one
-pass counts every short word per language, a second matches the words of each document and counts its
-characters, and the language totals are sums over all documents. Languages that hold less than
-``min_share`` of the corpus's short words get no reference. A document too short for stable histograms, or in
+pass counts every word per language, a second matches the words of each document and counts its
+characters, and the language totals are sums over all documents. Every language that holds ``min_ref_words``
+words gets a reference, whatever its share of the corpus. A document too short for stable histograms, or in
 a language without reference, is not judged by the distances.
 
-Layout: words become rows only inside their own task, where they are matched with the broadcast list of
-common words (at most 1 / min_share languages of ``top`` words each) and summed per document before the
-one shuffle, of one narrow row per document.
+Layout: words become rows only inside their own task, where they are matched with the list of common words
+and summed per document before the one shuffle, of one narrow row per document. The list (``top`` words a
+language) and the references are broadcast up to ``_BROADCAST`` languages, and joined without that hint beyond.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from .common import SPACES, col, fresh, written
 #: (mostly lower-case letters) is a class of its own.
 CLASSES = {"upper": r"\p{Lu}", "digit": r"\p{Nd}", "sentence": r"[.,;:?!'\"()\-]"}
 KINDS = ["space", "symbol", *CLASSES]
-#: Common words are sought among words of up to four characters: function words.
-SHORT_WORD = r"(?<!\S)\S{1,4}(?!\S)"
+#: Words longer than this are counted by their hash, so that text without spaces is not shuffled.
+LONG_WORD = 32
+_BROADCAST = 1000
 SYMBOLS = r"[#*$%&|<>]"
 LENGTH_GUARD = 50
 
@@ -112,7 +113,7 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def _base(docs: DataFrame, text_col: str, lang_col: str, keep: list[str]) -> DataFrame:
-    """Per document: kept columns as c0.., `lang`, `words` (its short words, lower case), base counts, class counts."""
+    """Per document: kept columns as c0.., `lang`, `words` (its words, lower case), base counts, class counts."""
     d = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(keep)], col(lang_col).cast("string").alias("lang"),
                     F.coalesce(col(text_col), F.lit("")).alias("t"))
     d = d.withColumn("w", words_of(F.col("t")))
@@ -128,22 +129,24 @@ def _base(docs: DataFrame, text_col: str, lang_col: str, keep: list[str]) -> Dat
         duplicate_lines(F.col("t")).alias("n_dup_lines"), "n_repeat_words", "n_all",
         (F.col("n_all") - F.col("word_chars")).alias("k_space"), F.col("n_symbols").alias("k_symbol"),
         *[count_chars(F.col("t"), p).cast("long").alias(f"k_{k}") for k, p in CLASSES.items()],
-        F.regexp_extract_all(F.lower("t"), F.lit(SHORT_WORD), 0).alias("words"))
+        F.transform("w", lambda x: F.when(F.length(x) > LONG_WORD, F.md5(F.lower(x).cast("binary"))).otherwise(F.lower(x))).alias("words"))
 
 
-def common_words(base: DataFrame, top: int = 24, min_share: float = 0.001) -> DataFrame:
-    """(lang, word, place, c): the ``top`` commonest short words of each language over the whole corpus,
-    their places and counts. Languages with less than ``min_share`` of all short words are left out, so
-    there are at most top / min_share rows."""
+def _small(df: DataFrame, languages: int) -> DataFrame:
+    return F.broadcast(df) if languages <= _BROADCAST else df
+
+
+def common_words(base: DataFrame, top: int = 24, min_share: float = 0.0, min_ref_words: int = 1000) -> DataFrame:
+    """(lang, word, place, c): the ``top`` commonest words of each language over the whole corpus, their
+    places and counts. Languages with less than ``min_ref_words`` words, or ``min_share`` of all, are left out."""
     words = written(base.select("lang", F.explode("words").alias("word")).groupBy("lang", "word")
                     .agg(F.count(F.lit(1)).alias("c")), "divergence-counts")
     langs = words.groupBy("lang").agg(F.sum("c").alias("n"))
     whole = words.agg(F.sum("c")).first()[0] or 0
-    langs = langs.where(F.col("lang").isNotNull() & (F.col("n") >= F.lit(float(min_share * whole)))).select("lang")
+    langs = langs.where(F.col("lang").isNotNull() & (F.col("n") >= F.lit(max(float(min_share * whole), float(min_ref_words)))))
     rank = Window.partitionBy("lang").orderBy(F.col("c").desc(), "word")
-    # The languages left are at most 1 / min_share: a proven bound.
-    ranked = words.join(F.broadcast(langs), "lang").withColumn("place", F.row_number().over(rank))
-    return written(ranked.where(F.col("place") <= top).select("lang", "word", "place", "c"), "divergence-words")
+    ranked = words.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= top)
+    return written(ranked.join(langs.select("lang"), "lang").select("lang", "word", "place", "c"), "divergence-words")
 
 
 def language_references(common: DataFrame, rows: DataFrame, top: int) -> DataFrame:
@@ -159,7 +162,8 @@ def language_references(common: DataFrame, rows: DataFrame, top: int) -> DataFra
 
 
 def quality_rules(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: str = "lang", top: int = 24,
-                  min_share: float = 0.001, min_words: int = 100, max_class: float = 0.25, max_words: float = 0.28) -> DataFrame:
+                  min_share: float = 0.0, min_words: int = 100, max_class: float = 0.25, max_words: float = 0.28,
+                  min_ref_words: int = 1000) -> DataFrame:
     """Columns ``keep`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance, word_distance and kept, one row per row of ``docs``.
 
@@ -171,14 +175,15 @@ def quality_rules(docs: DataFrame, keep: list[str], text_col: str = "text", lang
     no rows. Kept columns whose names clash with the results get a trailing underscore.
     """
     base = _base(docs, text_col, lang_col, keep)
-    common = common_words(base, top, min_share)
+    common = common_words(base, top, min_share, min_ref_words)
+    languages = common.where("place = 1").count()
     # The tokens of a document are matched and summed in the task that read it; what is shuffled is
     # one row of numbers per document.
     cs = [f"c{i}" for i in range(len(keep))]
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_all", *[f"k_{k}" for k in KINDS]]
     tokens = base.withColumn("rid", F.monotonically_increasing_id()).select(
         "rid", *cs, "lang", *numbers, F.explode_outer("words").alias("word"))
-    found = tokens.join(F.broadcast(common.select("lang", "word", "place")), ["lang", "word"], "left")
+    found = tokens.join(_small(common.select("lang", "word", "place"), languages), ["lang", "word"], "left")
     d = found.groupBy("rid", *cs, "lang").agg(
         *[F.max(c).alias(c) for c in numbers],
         *[F.sum(F.when(F.col("place") == k + 1, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))).alias(f"h{k}")
@@ -188,7 +193,7 @@ def quality_rules(docs: DataFrame, keep: list[str], text_col: str = "text", lang
     refs = language_references(common, d, top)
     d = d.select(*cs, "lang", *numbers, F.array(*[F.try_divide(F.col(f"h{k}"), F.col("n_words")) for k in range(top)]).alias("words"),
                  F.array(*[F.try_divide(F.col(f"k_{k}"), F.col("n_all")) for k in KINDS]).alias("classes"))
-    d = d.join(F.broadcast(refs), "lang", "left")
+    d = d.join(_small(refs, languages), "lang", "left")
     judged = F.col("ref_words").isNotNull() & (F.col("n_words") >= min_words)
     d = d.withColumns({
         "class_distance": F.when(judged, distance(F.col("classes"), F.col("ref_classes"))),

@@ -87,3 +87,23 @@ def test_empty_and_clashing_columns(spark, docs_of):
 def test_no_python_in_the_plan(spark, docs_of):
     plan = D.quality_rules(docs_of([(1, "a b c")]), ["doc_id"])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_every_language_with_text_is_judged(spark, docs_of):
+    import random
+    rng = random.Random(6)
+    vocab = [a + b + c for a in "bcdfg" for b in "aeiou" for c in ("ringe", "talum", "mesto")]  # no word of four characters or less
+    text = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    rows = [(i, text(300), "yy", "s") for i in range(30)] + [(100, "##".join(text(300).upper().split(" ")).replace("##", "## "), "yy", "s")]
+    rows += [(200 + i, " ".join("日本語文章" for _ in range(120)), "zz", "s") for i in range(20)]
+    rows += [(300, " ".join("123456" for _ in range(60)) + " " + " ".join(str(10 ** 6 + k) for k in range(200)), "zz", "s")]
+    got = {r["doc_id"]: r for r in D.quality_rules(docs_of(rows), ["doc_id"]).collect()}
+    assert all(got[i]["kept"] and got[i]["class_distance"] is not None for i in range(30))
+    assert got[100]["class_distance"] is not None and not got[100]["kept"]
+    assert got[300]["class_distance"] > 0.25 and not got[300]["kept"]
+
+
+def test_small_share_has_a_reference(spark):
+    base = spark.createDataFrame([("a", "the", 2_000_000), ("b", "und", 1500), ("c", "et", 900)], "lang string, w string, n int")
+    base = base.select("lang", F.expr("array_repeat(w, n)").alias("words"))
+    assert {r["lang"] for r in D.common_words(base).collect()} == {"a", "b"}
