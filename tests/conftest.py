@@ -27,6 +27,3 @@ def db(spark):
     from tablemover.session import new_database
 
     return new_database(spark, "test")
-
-
-SF = "/root/testdata/sf0.001"

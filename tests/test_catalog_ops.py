@@ -11,7 +11,7 @@ from tablemover.plans.views import migrate_views, view_plan
 from tablemover.session import new_database, new_work_dir
 from tablemover.sources.catalog import inventory, object_type, partition_columns
 
-from conftest import SF
+from smallest import SF
 
 MAN = "database string, name string, target_schema string, target_table string, is_pii boolean, t_no int"
 

@@ -5,7 +5,7 @@ from tablemover.__main__ import main
 from tablemover.session import new_work_dir
 from tablemover.sources.catalog import object_type
 
-from conftest import SF
+from smallest import SF
 
 
 def test_cli_manifest_estimate_convert(spark, db, tmp_path, capsys):

@@ -13,6 +13,6 @@ def test_every_query_has_an_oracle():
 
 
 def test_queries_run_at_smallest_scale(spark):
-    from conftest import SF
+    from smallest import SF
     for name in ("plan_status", "rewrite_references", "keyed_diff", "estimate_tables", "table_stats"):
         assert E.queries()[name](spark, SF).count() > 0, name

@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as E
 from tablemover.queries import TABLES
 
-from conftest import SF
+from smallest import SF
 
 
 def _norm(v):

@@ -11,7 +11,7 @@ from tablemover.operators.rewrite import rewrite_references
 from tablemover.session import new_work_dir
 from tablemover.sources.stats import table_stats
 
-from conftest import SF
+from smallest import SF
 
 
 def plan(df) -> str:

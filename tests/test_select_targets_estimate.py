@@ -80,7 +80,7 @@ def test_estimate_modes_and_totals(spark):
 def test_estimate_manifest_sizes_managed_and_lists_the_rest(spark, db):
     from tablemover.operators.estimate import estimate_manifest
     from tablemover.session import new_work_dir
-    from conftest import SF
+    from smallest import SF
     o = spark.read.parquet(f"{SF}/orders.parquet")
     o.write.saveAsTable(f"{db}.m")
     o.write.option("path", new_work_dir(spark, "x") + "/d").saveAsTable(f"{db}.e")
