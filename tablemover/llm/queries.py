@@ -1,4 +1,4 @@
-"""The ten operators over the whole test tables, with production parameters, and their DuckDB SQL."""
+"""The operators over the whole test tables, with production parameters, and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, divergence, mix, quality, secrets, sharding, simhash, toxicity, warc
+from . import chat, decontaminate, divergence, mix, quality, secrets, sharding, simhash, toxicity, warc, whitening
 from .common import read_table, written
 
 SHARDS = 32
@@ -76,6 +76,15 @@ def op10_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 32 leading whitened components."""
+    w = whitening.whiten(read_table(spark, sf_dir, "embeddings"), ["vec_id"])
+    return (w.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error",
+                     F.posexplode(F.arrays_zip("whitened", "explained")).alias("pos", "c"))
+            .select("vec_id", (F.col("pos") + 1).alias("component"), "n", "deviation", F.col("c.whitened").alias("whitened"),
+                    F.col("c.explained").alias("explained"), "identity_error"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over documents."""
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
@@ -83,7 +92,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pivotal_mix, op2_distribution_divergence, op3_ftrl_toxicity, op4_ownership_secrets, op5_warc_chunks,
-    op6_simhash_vptree, op7_fm_quality, op8_chat_windows, op9_lookup_shards, op10_cgk_decontamination, pipeline)}
+    op6_simhash_vptree, op7_fm_quality, op8_chat_windows, op9_lookup_shards, op10_cgk_decontamination,
+    op13_embedding_whitening, pipeline)}
 
 _OP5 = """
 WITH p AS (
