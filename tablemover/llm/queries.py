@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, divergence, mix, quality, secrets, sharding, simhash, toxicity, warc, whitening
+from . import chat, decontaminate, divergence, mix, negatives, quality, secrets, sharding, simhash, toxicity, warc, whitening
 from .common import read_table, written
 
 SHARDS = 32
@@ -76,6 +76,14 @@ def op10_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding and its five best positives."""
+    e = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(e.select("vec_id", label.alias("label"), "embedding", (F.col("vec_id") % 100 == 0).alias("anchor")),
+                                    "vec_id", "label", "embedding", "anchor")
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the 32 leading whitened components."""
     w = whitening.whiten(read_table(spark, sf_dir, "embeddings"), ["vec_id"])
@@ -93,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pivotal_mix, op2_distribution_divergence, op3_ftrl_toxicity, op4_ownership_secrets, op5_warc_chunks,
     op6_simhash_vptree, op7_fm_quality, op8_chat_windows, op9_lookup_shards, op10_cgk_decontamination,
-    op13_embedding_whitening, pipeline)}
+    op11_hard_negatives, op13_embedding_whitening, pipeline)}
 
 _OP5 = """
 WITH p AS (
