@@ -6,10 +6,11 @@ import importlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, divergence, mix, negatives, quality, secrets, sharding, simhash, toxicity, warc, whitening
+from . import chat, decontaminate, divergence, mix, negatives, packing, quality, secrets, sharding, simhash, toxicity, warc, whitening
 from .common import read_table, written
 
 SHARDS = 32
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +85,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "vec_id", "label", "embedding", "anchor")
 
 
+def op12_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    pieces = packing.token_pieces(read_table(spark, sf_dir, "documents"), ["doc_id"], "text", public_tokenizers.path(TOKENIZER))
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(written(pieces, "op12"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the 32 leading whitened components."""
     w = whitening.whiten(read_table(spark, sf_dir, "embeddings"), ["vec_id"])
@@ -101,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pivotal_mix, op2_distribution_divergence, op3_ftrl_toxicity, op4_ownership_secrets, op5_warc_chunks,
     op6_simhash_vptree, op7_fm_quality, op8_chat_windows, op9_lookup_shards, op10_cgk_decontamination,
-    op11_hard_negatives, op13_embedding_whitening, pipeline)}
+    op11_hard_negatives, op12_config_packing, op13_embedding_whitening, pipeline)}
 
 _OP5 = """
 WITH p AS (
