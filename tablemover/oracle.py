@@ -372,6 +372,15 @@ UNION ALL SELECT o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus"""
 WITH q AS (SELECT doc_id, 'SELECT ' || chr(39) || 'db.a ' || replace(replace(coalesce("text", ''), chr(92), chr(92) || chr(92)),
            chr(39), chr(39) || chr(39)) || ' db.a' || chr(39) || ' AS t FROM x.y' AS t FROM documents)
 SELECT doc_id, md5(t) AS new_md5, length(t) AS n_chars FROM q"""
+    sql["manifest_yaml_documents"] = _with(MAN) + """
+SELECT name AS "key", target_schema AS what, CAST(1 AS BIGINT) AS n FROM man
+UNION ALL SELECT name, target_schema || '_2', 1 FROM man WHERE t_no % 5 = 0
+UNION ALL SELECT name, 'DUPLICATE_YAML_KEY', 1 FROM man WHERE t_no % 5 = 0
+UNION ALL SELECT 'name', 'DUPLICATE_YAML_KEY', sum(CASE WHEN t_no % 5 = 0 THEN 2 ELSE 1 END) FROM man WHERE t_no % 13 = 0"""
+    sql["manifest_order"] = _with(MAN) + """
+SELECT "database", name, CASE WHEN t_no % 17 <> 0 THEN t_no END AS t_no,
+       row_number() OVER (ORDER BY CASE WHEN t_no % 17 <> 0 THEN t_no END NULLS LAST, "database", name) AS place
+FROM man"""
     sql["manifest_files"] = _with(MAN) + """
 SELECT "database", "name", target_schema, target_table, is_pii, t_no, format
 FROM man, (VALUES ('json'), ('csv'), ('yaml')) f(format)"""

@@ -793,12 +793,48 @@ def q_manifest_files(spark, sf):
     entry = F.concat(F.lit("    "), F.col("name"), F.lit(":\n"), *[
         F.concat(F.lit(f"      {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit("\n")) for c in man.columns])
     halves = (man.groupBy((F.col("t_no") % 2).alias("half")).agg(F.concat_ws("", F.collect_list(entry)).alias("body"))
-              .select(F.concat(F.lit("resources:\n  tables:\n"), F.col("body")).alias("value")))
-    halves.repartition(2, F.xxhash64("value")).write.text(root + "/yaml")
+              .select("half", F.concat(F.lit("resources:\n  tables:\n"), F.col("body")).alias("value")))
+    # One file per half: the half's number is the partition's.
+    halves.repartitionByRange(2, "half").select("value").write.text(root + "/yaml")
     parts = [load_manifest(spark, f"{root}/{fmt}", fmt)[0].withColumn("format", F.lit(fmt)) for fmt in ("json", "csv", "yaml")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def q_manifest_yaml_documents(spark, sf):
+    """The manifest in YAML files of several documents each, some entries twice (told differently the second
+    time) and some with a field twice: every entry that was written, with how often its key stands there."""
+    from .sources.manifest import YAML_ROOT, YAML_TABLES, yaml_problems
+    from .sources.yaml_entries import read_entries
+    man, root = man_df(spark, sf), new_work_dir(spark, "mandocs") + "/yaml"
+
+    def entry(target):
+        fields = F.concat(F.lit("      name: "), F.col("name"), F.lit("\n      target_schema: "), target, F.lit("\n"))
+        again = F.when(F.col("t_no") % 13 == 0, F.concat(F.lit("      name: "), F.col("name"), F.lit("\n"))).otherwise(F.lit(""))
+        return F.concat(F.lit("    "), F.col("name"), F.lit(":\n"), fields, again)
+
+    twice = F.when(F.col("t_no") % 5 == 0, entry(F.concat("target_schema", F.lit("_2")))).otherwise(F.lit(""))
+    lines = man.select("t_no", F.concat(entry(F.col("target_schema")), twice).alias("e"))
+    docs = lines.groupBy((F.col("t_no") % 8).alias("k")).agg(F.array_join(F.sort_array(F.collect_list("e")), "").alias("body"))
+    docs = docs.select("k", F.concat(F.lit("---\nresources:\n  tables:\n"), F.col("body")).alias("value"))
+    docs.repartitionByRange(3, "k").select("value").write.text(root)
+    found = read_entries(spark, root, YAML_ROOT, YAML_TABLES).where("problem is null").select(
+        "entry", F.col("fields")["target_schema"].alias("target_schema"))
+    problems = yaml_problems(spark, root).groupBy(F.col("entry").alias("key"), "problem").agg(F.count(F.lit(1)).alias("n"))
+    rows = found.groupBy("entry", "target_schema").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("entry").alias("key"), F.col("target_schema").alias("what"), "n")
+    return rows.unionByName(problems.select("key", F.col("problem").alias("what"), "n"))
+
+
+def q_manifest_order(spark, sf):
+    """O1: the place of each table in a loaded manifest (its migration order) beside its ``t_no``."""
+    from .operators.sequence import with_sequence
+    from .sources.manifest import load_manifest, write_manifest
+    path = new_work_dir(spark, "manorder") + "/json"
+    write_manifest(man_df(spark, sf).withColumn("t_no", F.when(F.col("t_no") % 17 != 0, F.col("t_no"))).repartition(5, "name"), path, "json")
+    loaded = load_manifest(spark, path, "json")[0].withColumn("_at", F.monotonically_increasing_id())
+    return with_sequence(loaded, ["_at"], "place").select("database", "name", "t_no", "place")
+
+
 def q_view_manifest(spark, sf):
     """A view manifest written as JSON and read back, one row per view."""
     from .sources.manifest import load_view_manifest

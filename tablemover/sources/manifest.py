@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.sequence import with_sequence
 from ..schemas import MANIFEST, MANIFEST_CSV, VIEW_MANIFEST
+from .yaml_entries import read_entries
 
 KEYS = ["database", "name"]
 
@@ -30,26 +31,23 @@ def parse_flag(c) -> F.Column:
 
 
 def _read_yaml(spark: SparkSession, path: str, leaf: str) -> DataFrame:
-    # A manifest file is configuration (one entry per table): it is read through Spark's file
-    # system layer (local, HDFS, object stores alike) as one text and parsed on the driver.
-    try:
-        import yaml
-    except ImportError as e:  # pragma: no cover
-        raise RuntimeError("PyYAML is needed to read YAML manifests") from e
-    files = (spark.read.text(path, wholetext=True)
-             .select("value", F.col("_metadata.file_path").alias("file")).orderBy("file").collect())
-    entries, origin = {}, {}
-    for doc in files:
-        cfg = yaml.safe_load(doc["value"]) or {}
-        for key, entry in (((cfg.get(YAML_ROOT) or {}).get(leaf)) or {}).items():
-            if key in entries and entries[key] != entry:
-                raise ValueError(f"entry {key!r} differs between {origin[key]} and {doc['file']}")
-            entries[key], origin[key] = entry, doc["file"]
+    """All entries as text columns. One entry told differently by two files is an error; what is wrong within a
+    file is in :func:`yaml_problems`."""
+    entries = read_entries(spark, path, YAML_ROOT, leaf).where("problem is null")
+    text = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("fields"))))
+    differs = (entries.groupBy("entry").agg(F.count_distinct("file").alias("files"), F.count_distinct(text).alias("texts"),
+                                            F.min("file").alias("a"), F.max("file").alias("b"))
+               .where((F.col("files") > 1) & (F.col("texts") > 1)).orderBy("entry").first())
+    if differs:
+        raise ValueError(f"entry {differs['entry']!r} differs between {differs['a']} and {differs['b']}")
     schema = MANIFEST if leaf == YAML_TABLES else VIEW_MANIFEST
-    rows = [tuple(None if v.get(f.name) is None else str(v.get(f.name)) for f in schema.fields)
-            for v in entries.values()]
-    text_schema = ", ".join(f"{f.name} string" for f in schema.fields)
-    return spark.createDataFrame(rows, text_schema)
+    return entries.select(*[F.col("fields")[f.name].alias(f.name) for f in schema.fields])
+
+
+def yaml_problems(spark: SparkSession, path: str, leaf: str = YAML_TABLES) -> DataFrame:
+    """(file, document, line, entry, problem, detail): what is wrong inside the YAML files of a manifest --
+    keys that stand twice at any level, entries without fields, texts that don't parse, files without entries."""
+    return read_entries(spark, path, YAML_ROOT, leaf).where("problem is not null").drop("fields")
 
 
 def read_manifest(spark: SparkSession, path: str, fmt: str = "json", leaf: str = YAML_TABLES) -> DataFrame:
@@ -101,9 +99,15 @@ def manifest_problems(df: DataFrame) -> DataFrame:
 
 
 def load_manifest(spark: SparkSession, path: str, fmt: str = "json") -> tuple[DataFrame, DataFrame]:
-    """Typed, deduplicated manifest ordered by ``t_no``, and its problem rows."""
+    """Typed, deduplicated manifest ordered by ``t_no``, and its problem rows: those of ``manifest_problems``, and
+    for YAML those of ``yaml_problems`` with their file and line (``name`` is the entry, ``row_count`` null)."""
     typed = dedup_manifest(type_manifest(read_manifest(spark, path, fmt)))
-    return typed.orderBy(F.col("t_no").asc_nulls_last(), *KEYS), manifest_problems(typed)
+    problems = manifest_problems(typed)
+    if fmt == "yaml":
+        problems = problems.unionByName(yaml_problems(spark, path).select(
+            F.lit(None).cast("string").alias("database"), F.col("entry").alias("name"),
+            F.lit(None).cast("long").alias("row_count"), "problem", "file", "line", "detail"), allowMissingColumns=True)
+    return typed.orderBy(F.col("t_no").asc_nulls_last(), *KEYS), problems
 
 
 def load_view_manifest(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

@@ -113,3 +113,56 @@ def test_view_manifest_from_yaml(spark, tmp_path):
     p.write_text(yaml.safe_dump({"resources": {"views": views}}))
     rows = sorted(tuple(r) for r in load_view_manifest(spark, str(p), "yaml").collect())
     assert rows == [("s", "v1", "t", "w1"), ("s", "v2", "t", "w2")]
+
+
+def test_yaml_duplicates_at_every_level_are_rows_with_file_and_line(spark, tmp_path):
+    (tmp_path / "m.yaml").write_text("""resources:
+  tables:
+    a: {database: d, name: a, target_schema: s}
+    a: {database: d, name: a2, target_schema: s}
+    b:
+      database: d
+      name: b
+      name: b2
+      target_schema: 007
+  tables:
+    c: {database: d, name: c, target_schema: ~}
+    lone: 5
+---
+resources:
+  tables:
+    e: {database: d, name: e, target_schema: s}
+resources:
+  tables:
+    f: {database: d, name: f, target_schema: s}
+---
+other: 1
+""")
+    (tmp_path / "broken.yaml").write_text("resources:\n  tables:\n    g: {database: d, name: g, target_schema: s}\n---\nx: [1\n")
+    (tmp_path / "empty.yaml").write_text("# nothing\n")
+    from tablemover.sources.manifest import yaml_problems
+    man, problems = load_manifest(spark, str(tmp_path), "yaml")
+    rows = {r["name"]: r["target_schema"] for r in man.collect()}
+    assert rows == {"a": "s", "a2": "s", "b2": "007", "c": None, "e": "s", "f": "s", "g": "s"}
+    got = {(r["file"].rsplit("/", 1)[1], r["document"], r["line"], r["entry"], r["problem"])
+           for r in yaml_problems(spark, str(tmp_path)).collect()}
+    assert got == {("m.yaml", 0, 4, "a", "DUPLICATE_YAML_KEY"), ("m.yaml", 0, 8, "name", "DUPLICATE_YAML_KEY"),
+                   ("m.yaml", 0, 10, "tables", "DUPLICATE_YAML_KEY"), ("m.yaml", 0, 12, "lone", "NOT_A_MAPPING"),
+                   ("m.yaml", 1, 17, "resources", "DUPLICATE_YAML_KEY"), ("broken.yaml", 1, 6, None, "YAML_ERROR"),
+                   ("empty.yaml", 0, None, None, "NO_SECTION")}
+    assert {r["problem"] for r in problems.collect()} == {"DUPLICATE_YAML_KEY", "NOT_A_MAPPING", "YAML_ERROR", "NO_SECTION",
+                                                          "NULL_TARGET"}
+    assert all(r["line"] for r in problems.where("problem = 'DUPLICATE_YAML_KEY'").collect())
+
+
+def test_yaml_merged_defaults_are_no_duplicates(spark, tmp_path):
+    (tmp_path / "m.yaml").write_text("""base: &base {database: d, target_schema: s, is_pii: no}
+resources:
+  tables:
+    a: {<<: *base, name: a}
+    b: {name: b, <<: *base, target_schema: own}
+""")
+    man, problems = load_manifest(spark, str(tmp_path / "m.yaml"), "yaml")
+    assert sorted((r["database"], r["name"], r["target_schema"], r["is_pii"]) for r in man.collect()) == [
+        ("d", "a", "s", False), ("d", "b", "own", False)]
+    assert problems.count() == 0
