@@ -13,8 +13,8 @@ _logging.getLogger(__name__).addHandler(_logging.NullHandler())
 from .operators.copy import copy_table, split_by_flag, write_csv
 from .operators.estimate import estimate_manifest, estimate_transfer
 from .operators.reconcile import (count_rows, keyed_diff, not_upgraded, reconcile_counts,
-                                  reconcile_inventory, reconcile_partitions, reconcile_rows, row_differences, table_checksum,
-                                  table_checksums)
+                                  reconcile_inventory, reconcile_partitions, reconcile_rows, row_differences, schema_changes,
+                                  table_checksum, table_checksums)
 from .operators.rewrite import mapping_from_manifest, rewrite_catalog, rewrite_references
 from .operators.select import exclude_schemas, exclude_tables, include_tables, select_tables
 from .operators.sequence import with_sequence
@@ -28,7 +28,7 @@ from .plans.validate import validate
 from .plans.views import migrate_views, view_plan
 from .sources.catalog import describe_table, inventory, list_databases
 from .sources.manifest import (build_manifest, load_manifest, load_view_manifest, manifest_from_csv,
-                               manifest_problems, write_manifest)
+                               manifest_problems, write_manifest, yaml_problems)
 from .session import build_session, scale_conf, scratch, work_root
 from .sources.stats import table_stats
 

@@ -4,7 +4,7 @@ Two kinds of row hash:
 
 * ``row_hash`` -- ``xxhash64`` over the typed columns. Fast, stays inside whole-stage codegen, no
   text is built. Use it when both sides are read by Spark (the normal migration case). Types must
-  agree on both sides; ``align_columns`` in the reconcile module casts the target to the source.
+  agree on both sides; ``align`` in the reconcile module casts both to a common type.
 * ``row_digest`` -- md5 of a canonical text of the row, of which the first 16 hex digits are read
   as an unsigned 64-bit number. Slower, but any SQL engine with md5 can rebuild it from the same
   rules, so a checksum taken in Spark can be compared with one taken elsewhere.

@@ -1,7 +1,7 @@
 """Reconciliation of source and target: inventories, counts, checksums, rows.
 
-Everything here is a DataFrame plan; nothing is collected except a bounded set of bucket ids in
-the narrowed row comparison.
+Everything here is a DataFrame plan; what the driver collects is the number of differing nodes and their
+rows per level of the narrowed comparison. Columns are compared in a common type that loses nothing.
 
 Scale notes
 -----------
@@ -11,10 +11,10 @@ Scale notes
   billion rows: a hot duplicate does not make a hot shuffle partition.
 * Count and checksum are global aggregates: partial per task, one tiny final merge. No shuffle
   of rows at all, which is why they are the default verification of a copy.
-* ``reconcile_rows(method="narrow")`` first compares per-bucket signatures (count and two
-  independent 64/32-bit hash sums per hash bucket of whole rows), then runs the same
-  difference only over rows in buckets whose signatures differ. On a correct copy that is two
-  scans and a shuffle of ``buckets`` rows instead of a shuffle of both tables.
+* ``reconcile_rows(method="narrow")`` first compares (count and two independent 64/32-bit hash sums) per node
+  of a hash tree, level by level under the nodes that differ, then runs the same difference only over rows
+  of differing leaves. On a correct copy that is two scans and a shuffle of ``buckets`` rows instead of
+  a shuffle of both tables; otherwise whole rows are shuffled in proportion to the change.
 * The keyed diff aggregates each side to one row per key *before* joining, so duplicate or hot
   keys never produce pairs.
 """
@@ -24,10 +24,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import (ArrayType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
+                               LongType, MapType, NullType, ShortType, StructField, StructType, TimestampNTZType,
+                               TimestampType)
 
 from ..functions.checksum import checksum_aggs, hash_inputs, row_digest, row_hash, row_hash32
-from ..session import work_root
+from ..session import drop_folder, pinned
 from .select import exclude_schemas as _exclude_schemas
 
 
@@ -35,26 +37,106 @@ class SchemaMismatch(ValueError):
     pass
 
 
-def align_columns(src: DataFrame, dst: DataFrame) -> DataFrame:
-    """``dst`` with the columns of ``src`` in ``src`` order, cast to ``src`` types.
+class TypeChanged(SchemaMismatch):
+    pass
+
+
+#: Decimal digits that hold every value of an integer type.
+_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+
+
+def _decimal(whole: int, scale: int) -> DataType | None:
+    return DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+
+
+def common_type(a: DataType, b: DataType) -> DataType | None:
+    """The type to which values of both types can be cast without loss, so that casts are equal exactly when
+    the values are; None if there is none (text and numbers, longs and doubles, decimals and doubles,
+    timestamps with and without a zone)."""
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        e = common_type(a.elementType, b.elementType)
+        return e and ArrayType(e, True)
+    if isinstance(a, MapType) and isinstance(b, MapType):
+        k, v = common_type(a.keyType, b.keyType), common_type(a.valueType, b.valueType)
+        return MapType(k, v, True) if k and v else None
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        if [f.name.lower() for f in a.fields] != [f.name.lower() for f in b.fields]:
+            return None
+        kinds = [common_type(x.dataType, y.dataType) for x, y in zip(a.fields, b.fields)]
+        return StructType([StructField(f.name, k, True) for f, k in zip(a.fields, kinds)]) if all(kinds) else None
+    if a.simpleString() == b.simpleString():
+        return a
+    if isinstance(a, NullType) or isinstance(b, NullType):
+        return b if isinstance(a, NullType) else a
+    ints = [_DIGITS.get(type(t)) for t in (a, b)]
+    if all(ints):
+        return a if ints[0] > ints[1] else b
+    if isinstance(b, (DecimalType, FloatType, DoubleType)) and ints[0] or isinstance(b, DoubleType) and isinstance(a, FloatType):
+        a, b, ints = b, a, ints[::-1]  # a is the wider kind
+    if isinstance(a, DecimalType):
+        if isinstance(b, DecimalType):
+            return _decimal(max(a.precision - a.scale, b.precision - b.scale), max(a.scale, b.scale))
+        return _decimal(max(a.precision - a.scale, ints[1]), a.scale) if ints[1] else None
+    if isinstance(a, DoubleType):  # 53 bits hold an int and a float, but not a long
+        return a if isinstance(b, FloatType) or (ints[1] or 99) <= 10 else None
+    if isinstance(a, FloatType):
+        return None if not ints[1] or ints[1] > 10 else a if ints[1] <= 5 else DoubleType()
+    times = [t for t in (a, b) if isinstance(t, (TimestampType, TimestampNTZType))]
+    if len(times) == 1 and any(isinstance(t, DateType) for t in (a, b)):
+        return times[0]
+    return None
+
+
+def _changes(src: StructType, dst: StructType) -> list[tuple]:
+    """(column, source type, target type, change) of the columns that differ."""
+    theirs = {f.name.lower(): f for f in dst.fields}
+    out = []
+    for f in src.fields:
+        g = theirs.pop(f.name.lower(), None)
+        if g is None:
+            out.append((f.name, f.dataType.simpleString(), None, "missing"))
+        elif f.dataType.simpleString() != g.dataType.simpleString():
+            change = "type_changed" if common_type(f.dataType, g.dataType) is None else "widened"
+            out.append((f.name, f.dataType.simpleString(), g.dataType.simpleString(), change))
+    return out + [(g.name, None, g.dataType.simpleString(), "extra") for g in theirs.values()]
 
-    Set operations in Spark match columns by position; a copy that reordered partition columns
-    to the end would otherwise compare column A against column B.
+
+def schema_changes(src: DataFrame, dst: DataFrame) -> DataFrame:
+    """(column, source_type, target_type, change) of the columns that differ: ``missing`` or ``extra`` in the
+    target, ``widened`` (the values can be compared without loss) or ``type_changed`` (they can't)."""
+    return src.sparkSession.createDataFrame(_changes(src.schema, dst.schema),
+                                            "column string, source_type string, target_type string, change string")
+
+
+def align(src: DataFrame, dst: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both frames with the columns of ``src`` in its order, each cast to the common type of both sides.
+
+    Set operations in Spark match columns by position, so a copy that reordered partition columns to the end
+    would otherwise compare column A against column B; and a cast of one side to the other's type would make
+    10.7 equal to 10. ``TypeChanged`` if a column's types have no common one without loss.
     """
-    dst_cols = {c.lower(): c for c in dst.columns}
-    missing = [c for c in src.columns if c.lower() not in dst_cols]
-    extra = [c for c in dst.columns if c.lower() not in {s.lower() for s in src.columns}]
+    changes = _changes(src.schema, dst.schema)
+    missing, extra = ([c[0] for c in changes if c[3] == k] for k in ("missing", "extra"))
     if missing or extra:
         raise SchemaMismatch(f"columns only in source: {missing}; only in target: {extra}")
-    dtypes = dict(dst.dtypes)
-    out = []
-    for f in src.schema.fields:
-        d = dst_cols[f.name.lower()]
-        c = F.col(f"`{d}`")
-        if dtypes[d] != f.dataType.simpleString():
-            c = c.cast(f.dataType)
-        out.append(c.alias(f.name))
-    return dst.select(*out)
+    if changed := [f"{c} ({a} -> {b})" for c, a, b, k in changes if k == "type_changed"]:
+        raise TypeChanged(f"type_changed: {', '.join(changed)}")
+    theirs = {f.name.lower(): f for f in dst.schema.fields}
+
+    def side(df: DataFrame, field_of) -> DataFrame:
+        out = []
+        for f in src.schema.fields:
+            own, kind = field_of(f), common_type(f.dataType, theirs[f.name.lower()].dataType)
+            c = F.col(f"`{own.name}`")
+            out.append((c if own.dataType.simpleString() == kind.simpleString() else c.cast(kind)).alias(f.name))
+        return df.select(*out)
+
+    return side(src, lambda f: f), side(dst, lambda f: theirs[f.name.lower()])
+
+
+def align_columns(src: DataFrame, dst: DataFrame) -> DataFrame:
+    """``dst`` with the columns of ``src`` in its order, in the common types of :func:`align`."""
+    return align(src, dst)[1]
 
 
 # ---------------------------------------------------------------- inventories
@@ -181,7 +263,7 @@ def reconcile_partitions(src: DataFrame, dst: DataFrame, partition_cols: list[st
     to copy again instead of only that the table differs. Null partition values are compared as
     values.
     """
-    dst = align_columns(src, dst)
+    src, dst = align(src, dst)
 
     def side(df: DataFrame, p: str) -> DataFrame:
         return (df.groupBy(*partition_cols).agg(*checksum_aggs(df, portable=portable))
@@ -199,29 +281,66 @@ def reconcile_partitions(src: DataFrame, dst: DataFrame, partition_cols: list[st
             .where(F.col("status").isNotNull()))
 
 
-def _bucket_signature(df: DataFrame, buckets: int) -> DataFrame:
-    h = row_hash(df)
-    h2 = row_hash32(df)
-    return (df.select(F.pmod(h, F.lit(buckets)).alias("_tm_b"),
-                      h.cast("decimal(38,0)").alias("_h"), h2.cast("decimal(38,0)").alias("_h2"))
-            .groupBy("_tm_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_h").alias("_sh"),
-                                  F.sum("_h2").alias("_sh2")))
+def _leaf(bits: int) -> F.Column:
+    """The node of a row at the depth of ``bits`` bits: the leading bits of its hash."""
+    return F.shiftrightunsigned(F.col("_tm_h"), 64 - bits)
+
+
+def _under(hashed: DataFrame, nodes: DataFrame, bits: int) -> DataFrame:
+    return hashed.join(nodes, _leaf(bits) == F.col("_tm_b"), "left_semi")
+
+
+def _differing(sides: list[DataFrame], bits: int) -> DataFrame:
+    """(node, rows) of the nodes at this depth whose count or hash sums differ between two hashed sides."""
+    s, t = (h.groupBy(_leaf(bits).alias("_tm_b")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_tm_h").cast("decimal(38,0)")).alias("_sh"),
+        F.sum(F.col("_tm_h2").cast("decimal(38,0)")).alias("_sh2")).alias(side) for h, side in zip(sides, "st"))
+    same = reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("_n", "_sh", "_sh2")])
+    return s.join(t, "_tm_b", "full_outer").where(~same).select(
+        "_tm_b", F.greatest(F.coalesce("s._n", F.lit(0)), F.coalesce("t._n", F.lit(0))).alias("_n"))
+
+
+def _hashes(df: DataFrame) -> DataFrame:
+    return df.select(row_hash(df).alias("_tm_h"), row_hash32(df).alias("_tm_h2"))
+
+
+def _first_bits(buckets: int) -> int:
+    return max(1, min(62, (max(2, buckets) - 1).bit_length()))
 
 
 def mismatched_buckets(src: DataFrame, dst: DataFrame, buckets: int = 65536) -> DataFrame:
-    """Bucket ids whose (count, hash sums) differ between the sides; at most ``buckets`` rows."""
-    s = _bucket_signature(src, buckets).alias("s")
-    t = _bucket_signature(dst, buckets).alias("t")
-    same = (F.col("s._n").eqNullSafe(F.col("t._n")) & F.col("s._sh").eqNullSafe(F.col("t._sh"))
-            & F.col("s._sh2").eqNullSafe(F.col("t._sh2")))
-    return s.join(t, "_tm_b", "full_outer").where(~same).select("_tm_b")
+    """The nodes of a hash tree's first level under which two aligned sides differ; ``buckets`` rows at most."""
+    return _differing([_hashes(src), _hashes(dst)], _first_bits(buckets)).select("_tm_b")
 
 
-def _in_buckets(df: DataFrame, bad: DataFrame, buckets: int) -> DataFrame:
-    cols = df.columns
-    keyed = df.withColumn("_tm_b", F.pmod(row_hash(df), F.lit(buckets)))
-    # ``bad`` holds at most ``buckets`` integers: a broadcast of proven size.
-    return keyed.join(F.broadcast(bad), "_tm_b", "left_semi").select(*[F.col(f"`{c}`") for c in cols])
+def differing_leaves(src: DataFrame, dst: DataFrame, buckets: int = 65536, rows_per_leaf: int = 4,
+                     broadcast_rows: int = 4_000_000) -> tuple[DataFrame, int, str, int] | None:
+    """The leaves of a hash tree under which the sides differ: (frame of ``_tm_b``, depth in bits, its folder, how
+    many); None if there are none.
+
+    The first level has ``buckets`` nodes. Each level compares (count, two hash sums) per node under the nodes
+    that differed on the level above, and its depth comes from the counts there: enough bits that the rows
+    under differing nodes spread to about one a node. It ends when those nodes hold at most ``rows_per_leaf`` rows
+    each on average, so what is under them is in proportion to the change, be it one row or millions scattered
+    over all nodes. A level costs a scan of both sides and a shuffle of one narrow row per node and task.
+    Nodes travel as a broadcast up to ``broadcast_rows`` of them; beyond that a level looks at all rows.
+    """
+    spark = src.sparkSession
+    bits, above = _first_bits(buckets), None
+    sides = [_hashes(src), _hashes(dst)]
+    while True:
+        under = [_under(h, F.broadcast(above[0]), above[1]) for h in sides] if above and above[2] <= broadcast_rows else sides
+        bad, folder = pinned(_differing(under, bits), "tree")
+        if above:
+            drop_folder(spark, above[3])
+        size = bad.agg(F.count(F.lit(1)).alias("nodes"), F.sum("_n").alias("rows")).first()
+        if not size["nodes"]:
+            drop_folder(spark, folder)
+            return None
+        if size["rows"] <= rows_per_leaf * size["nodes"] or bits == 62:
+            return bad.select("_tm_b"), bits, folder, size["nodes"]
+        above = bad.select("_tm_b"), bits, size["nodes"], folder
+        bits = min(62, bits + max(4, (size["rows"] // size["nodes"]).bit_length() + 1))
 
 
 def _has_map(t: DataType) -> bool:
@@ -270,8 +389,8 @@ SIDE, TIMES = "_tm_side", "_tm_times"
 def row_differences(src: DataFrame, dst: DataFrame) -> DataFrame:
     """The rows that differ, with ``_tm_side`` (`source` or `target`: where the row is too often) and
     ``_tm_times`` (how many times too often). One scan of each side and one exchange of distinct rows."""
+    src, dst = align(src, dst)
     schema = src.schema
-    dst = align_columns(src, dst)
     one = _each(src, schema, _without_maps).withColumn(TIMES, F.lit(1).cast("long"))
     other = _each(dst, schema, _without_maps).withColumn(TIMES, F.lit(-1).cast("long"))
     diff = (one.unionAll(other).groupBy(*[F.col(f"`{c}`") for c in src.columns]).agg(F.sum(TIMES).alias(TIMES))
@@ -282,34 +401,50 @@ def row_differences(src: DataFrame, dst: DataFrame) -> DataFrame:
     return out
 
 
+#: A row that is to be repeated more often is repeated by several tasks, so many times each.
+_REPEATS = 100_000
+
+
 def _rows_of(diff: DataFrame, side: str, columns: list[str]) -> DataFrame:
-    return (diff.where(F.col(SIDE) == side).withColumn(TIMES, F.explode(F.sequence(F.lit(1).cast("long"), F.col(TIMES))))
-            .select(*[F.col(f"`{c}`") for c in columns]))
+    """The rows of a side, each as often as it is too often there."""
+    mine = diff.where(F.col(SIDE) == side)
+    up_to = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n))
+    few = mine.where(F.col(TIMES) <= _REPEATS).withColumn(TIMES, up_to(F.col(TIMES)))
+    # Portions of at most _REPEATS, dealt to tasks before they are spelled out.
+    part, many = "_tm_part", mine.where(F.col(TIMES) > _REPEATS)
+    many = many.withColumn(part, up_to(F.ceil(F.col(TIMES) / _REPEATS)))
+    many = many.withColumn(TIMES, F.least(F.lit(_REPEATS).cast("long"), F.col(TIMES) - (F.col(part) - 1) * _REPEATS))
+    tasks = int(diff.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number isn't merged again
+    many = many.repartition(tasks, F.col(part)).withColumn(TIMES, up_to(F.col(TIMES))).drop(part)
+    return few.unionByName(many).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact",
                    buckets: int = 65536) -> tuple[DataFrame, DataFrame]:
-    """Bag difference of whole rows both ways: (rows only in source, rows only in target).
+    """Bag difference of whole rows both ways: (rows only in source, rows only in target), in the common
+    types of both sides (``TypeChanged`` if there are none).
 
     ``method="exact"``: ``row_differences`` over both tables; to use both answers from one pass, call
-    that. ``method="narrow"``: per-bucket signatures first (checkpointed, so that pass runs once), then
-    the difference over the rows of mismatched buckets only; without any, two empty frames and no second
-    read. Choose it for copies that should be equal: when most buckets differ it costs one pass more.
-    Take at least a few buckets per expected change. A differing row always changes its bucket's count
-    or hash sums unless another change in the same bucket cancels both its 64-bit and 32-bit sums at
+    that. ``method="narrow"``: a hash tree first (:func:`differing_leaves`, from ``buckets`` nodes down to as many as
+    the change needs), then the difference over the rows of differing leaves only; without any, two empty
+    frames and no second read. Choose it for copies that should be equal, or differ little: whole rows
+    are shuffled in proportion to the change, however scattered. A differing row always changes its node's
+    count or hash sums unless another change under the same node cancels both its 64-bit and 32-bit sums at
     once; use ``exact`` when that residual risk is not acceptable.
     """
     if method not in ("exact", "narrow"):
         raise ValueError(f"unknown method {method!r}")
-    dst = align_columns(src, dst)
+    src, dst = align(src, dst)
     columns = src.columns
     if method == "narrow":
-        work_root(src.sparkSession)  # a shared checkpoint folder must be registered before checkpoint()
-        bad = mismatched_buckets(src, dst, buckets).checkpoint(eager=True)
-        if bad.isEmpty():
+        found = differing_leaves(src, dst, buckets)
+        if found is None:
             empty = src.sparkSession.createDataFrame([], src.schema)
             return empty, empty
-        src, dst = _in_buckets(src, bad, buckets), _in_buckets(dst, bad, buckets)
+        bad, bits, _, n = found
+        bad = F.broadcast(bad) if n <= 4_000_000 else bad
+        src, dst = (_under(d.withColumn("_tm_h", row_hash(d)), bad, bits).select(*[F.col(f"`{c}`") for c in columns])
+                    for d in (src, dst))
     diff = row_differences(src, dst)
     return _rows_of(diff, "source", columns), _rows_of(diff, "target", columns)
 
@@ -342,7 +477,7 @@ def keyed_diff(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFrame:
     join reuses the aggregate's partitioning. ``changed`` means the bag of rows under the key
     differs in count or digest; use ``reconcile_rows`` for the rows themselves.
     """
-    dst = align_columns(src, dst)
+    src, dst = align(src, dst)
     vals = [c for c in src.columns if c not in keys]
     types = {f.name: f.dataType for f in src.schema.fields}
     zeros = {k: _zero(types[k]) for k in keys}

@@ -381,6 +381,21 @@ UNION ALL SELECT 'name', 'DUPLICATE_YAML_KEY', sum(CASE WHEN t_no % 5 = 0 THEN 2
 SELECT "database", name, CASE WHEN t_no % 17 <> 0 THEN t_no END AS t_no,
        row_number() OVER (ORDER BY CASE WHEN t_no % 17 <> 0 THEN t_no END NULLS LAST, "database", name) AS place
 FROM man"""
+    sql["type_changes"] = """
+WITH c AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 211 = 0 OR o_orderkey % 223 = 0 OR o_orderkey % 227 = 0 OR o_orderkey % 229 = 0)
+SELECT f.form, w.what, k AS "key" FROM c, (VALUES ('exact'), ('narrow')) f(form), (VALUES ('source'), ('target')) w(what)
+UNION ALL SELECT 'keyed', 'changed', k FROM c
+UNION ALL SELECT DISTINCT 'partitions', 'changed', k % 101 FROM c
+UNION ALL SELECT 'schema', x, 1 FROM (VALUES ('customer widened'), ('day type_changed'), ('price widened'), ('small widened'), ('part widened')) v(x)"""
+    sql["rows_diff_tree"] = """
+WITH v2a AS (
+  SELECT * REPLACE (CASE WHEN (l_orderkey * 7 + l_linenumber) % 13 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+  FROM lineitem WHERE (l_orderkey * 7 + l_linenumber) % 11 <> 0),
+v2 AS (SELECT * FROM v2a UNION ALL SELECT * FROM v2a WHERE (l_orderkey * 7 + l_linenumber) % 29 = 0)
+SELECT *, 'source' AS side FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM v2)
+UNION ALL SELECT *, 'target' FROM (SELECT * FROM v2 EXCEPT ALL SELECT * FROM lineitem)"""
+    sql["hot_repeats_diff"] = """
+SELECT o_orderstatus, count(*) AS times FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1"""
     sql["manifest_files"] = _with(MAN) + """
 SELECT "database", "name", target_schema, target_table, is_pii, t_no, format
 FROM man, (VALUES ('json'), ('csv'), ('yaml')) f(format)"""

@@ -30,7 +30,7 @@ from .. import schemas
 from ..functions.timefmt import mm_ss
 from ..operators.estimate import BYTES_PER_MB
 from ..operators import copy as copy_ops
-from ..operators.reconcile import SIDE, TIMES, reconcile_partitions, row_differences, table_checksums
+from ..operators.reconcile import SIDE, TIMES, _changes, reconcile_partitions, row_differences, table_checksums
 from ..sources.catalog import UPGRADED_TO, _in_session_catalog, describe_table, object_type, partition_columns
 from ..sources.stats import table_stats
 
@@ -59,6 +59,9 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
         res["reason"] = f"row counts differ: {s['row_count']} vs {t['row_count']}"
         return res
     src = spark.table(source)
+    if changes := _changes(src.schema, spark.table(target).schema):
+        res.update(ok=False, reason="schemas differ: " + ", ".join(f"{c} ({a} -> {b})" for c, a, b, _ in changes))
+        return res
     dst = spark.table(target).select(*[F.col(f"`{c}`") for c in src.columns])
     if verify == "checksum":
         cs = {r["table_name"]: r["checksum"] for r in table_checksums({"s": src, "t": dst}).collect()}

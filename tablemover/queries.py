@@ -730,6 +730,58 @@ def q_nested_keyed_diff(spark, sf):
     return keyed_diff(_threads(spark, sf, False), _threads(spark, sf, True), ["conv_id"])
 
 
+def _typed_orders(spark, sf, changed: bool) -> DataFrame:
+    """``orders`` in other types: as they are, or as a copy would hold them whose types were widened, with values
+    that only the wider type can hold in some rows."""
+    o = _t(spark, sf, "orders")
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    if not changed:
+        return o.select(k, (k % 101).cast("int").alias("part"), F.col("o_custkey").cast("int").alias("customer"),
+                        day.alias("day"), price.alias("price"), (k % 100).cast("byte").alias("small"))
+    return o.select(
+        (F.col("o_custkey") + F.when(k % 211 == 0, 0.7).otherwise(0.0)).alias("customer"), k,
+        F.when(k % 223 == 0, F.to_timestamp(day) + F.expr("INTERVAL 5 HOURS")).otherwise(F.to_timestamp(day)).alias("day"),
+        (price.cast("decimal(16,4)") + F.when(k % 227 == 0, F.lit("0.0001").cast("decimal(16,4)"))
+         .otherwise(F.lit("0").cast("decimal(16,4)"))).cast("decimal(16,4)").alias("price"),
+        ((k % 100) + F.when(k % 229 == 0, 1000).otherwise(0)).cast("short").alias("small"), (k % 101).alias("part"))
+
+
+def q_type_changes(spark, sf):
+    """``orders`` against a copy with wider types (int to double, date to timestamp, decimal scale, byte to short),
+    compared in every form: keys of the rows that differ, partitions that differ, and the columns' changes."""
+    from .operators.reconcile import reconcile_partitions, schema_changes
+    s, t = _typed_orders(spark, sf, False), _typed_orders(spark, sf, True)
+    out = [schema_changes(s, t.withColumn("day", F.col("day").cast("string"))).select(
+        F.lit("schema").alias("form"), F.concat_ws(" ", "column", "change").alias("what"), F.lit(1).cast("long").alias("key"))]
+    for form in ("exact", "narrow"):
+        for side, rows in zip(("source", "target"), reconcile_rows(s, t, form)):
+            out.append(rows.select(F.lit(form).alias("form"), F.lit(side).alias("what"), F.col("o_orderkey").alias("key")))
+    out.append(keyed_diff(s, t, ["o_orderkey"]).select(F.lit("keyed").alias("form"), F.col("status").alias("what"),
+                                                        F.col("o_orderkey").alias("key")))
+    out.append(reconcile_partitions(s, t, ["part"]).select(F.lit("partitions").alias("form"), F.col("status").alias("what"),
+                                                            F.col("part").cast("long").alias("key")))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+def q_rows_diff_tree(spark, sf):
+    """``lineitem`` against a copy with changes scattered over all nodes of the hash tree's first level (rows
+    gone, changed and doubled), found through the tree: every differing row with its side."""
+    li = _t(spark, sf, "lineitem")
+    h = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    v2 = li.where(h % 11 != 0).withColumn("l_quantity", F.when(h % 13 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    s, t = reconcile_rows(li, v2.unionAll(v2.where(h % 29 == 0)), "narrow", buckets=1024)
+    return s.withColumn("side", F.lit("source")).unionByName(t.withColumn("side", F.lit("target")))
+
+
+def q_hot_repeats_diff(spark, sf):
+    """A table whose rows repeat very often on one side only: how often each key is too often there."""
+    o = _t(spark, sf, "orders").select("o_orderstatus", F.lit(1).alias("one"))
+    s, t = reconcile_rows(o, o.where(F.col("o_orderstatus") == "P"))
+    return s.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("times")).unionByName(
+        t.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("times")))
+
+
 @_report
 def q_view_chain(spark, sf):
     """Thirty views, each over the next, named so that name order is reverse dependency order; the

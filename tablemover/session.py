@@ -74,6 +74,19 @@ def new_work_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def pinned(df, purpose: str):
+    """``df`` written as Parquet to the shared scratch folder and read back, and its folder: retried tasks see
+    the very same rows, and nothing is computed twice. ``drop_folder`` removes it when nobody reads it any more."""
+    path = new_work_dir(df.sparkSession, purpose)
+    df.write.parquet(path + "/t")
+    return df.sparkSession.read.schema(df.schema).parquet(path + "/t"), path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def new_database(spark: SparkSession, purpose: str) -> str:
     """Create a uniquely named database whose managed tables live in the shared scratch folder."""
     name = f"tm_{purpose}_{uuid.uuid4().hex[:10]}"

@@ -245,3 +245,63 @@ def test_checksums_are_order_free_and_see_every_row(spark, rows, rnd):
         ca, cb, cc = [table_checksum(x, portable=portable).collect()[0] for x in (a, b, c)]
         assert (ca["row_count"], ca["checksum"]) == (cb["row_count"], cb["checksum"])
         assert cc["checksum"] != ca["checksum"] and cc["row_count"] == ca["row_count"] + 1
+
+
+@pytest.mark.parametrize("a, b, kind", [
+    ("int", "long", "bigint"), ("int", "double", "double"), ("long", "double", None), ("string", "int", None),
+    ("date", "timestamp", "timestamp"), ("date", "timestamp_ntz", "timestamp_ntz"), ("timestamp", "timestamp_ntz", None),
+    ("decimal(12,2)", "decimal(14,4)", "decimal(14,4)"), ("decimal(38,0)", "decimal(38,10)", None),
+    ("int", "decimal(5,2)", "decimal(12,2)"), ("decimal(10,2)", "double", None), ("float", "double", "double"),
+    ("float", "int", "double"), ("short", "float", "float"), ("boolean", "int", None), ("array<int>", "array<double>", "array<double>"),
+    ("struct<a:int>", "struct<A:long>", "struct<a:bigint>"), ("map<string,int>", "map<string,string>", None)])
+def test_common_type_loses_nothing(spark, a, b, kind):
+    from tablemover.operators.reconcile import common_type
+    from pyspark.sql.types import _parse_datatype_string as parse
+    for x, y in ((a, b), (b, a)):
+        t = common_type(parse(x), parse(y))
+        assert (t and t.simpleString().lower()) == kind
+
+
+def test_different_types_are_not_equal(spark):
+    from tablemover.operators.reconcile import TypeChanged, reconcile_partitions, schema_changes
+    s = spark.sql("SELECT 1 AS k, 10 AS v, date'2024-01-01' AS d, 1.50BD AS p")
+    for change in ("10.7D AS v, d, p", "v, to_timestamp(d) + INTERVAL 5 HOURS AS d, p", "v, d, 1.501BD AS p"):
+        t = s.selectExpr("k", *[x.strip() for x in change.split(", ")])
+        for method in ("exact", "narrow"):
+            a, b = reconcile_rows(s, t, method)
+            assert a.count() == b.count() == 1
+        assert [r["status"] for r in keyed_diff(s, t, ["k"]).collect()] == ["changed"]
+        assert [r["status"] for r in reconcile_partitions(s, t, ["k"]).collect()] == ["changed"]
+    same = s.selectExpr("k", "10D AS v", "to_timestamp(d) AS d", "1.5000BD AS p")
+    assert reconcile_rows(s, same)[0].count() == 0 and keyed_diff(s, same, ["k"]).count() == 0
+    text = s.selectExpr("k", "'10' AS v", "d", "p")
+    assert [(r["column"], r["change"]) for r in schema_changes(s, text).collect()] == [("v", "type_changed")]
+    for compare in (lambda: reconcile_rows(s, text), lambda: reconcile_rows(s, text, "narrow"), lambda: keyed_diff(s, text, ["k"]),
+                    lambda: reconcile_partitions(s, text, ["k"])):
+        with pytest.raises(TypeChanged, match="v .int -> string"):
+            compare()
+
+
+def test_tree_narrows_to_the_change(spark):
+    from tablemover.operators.reconcile import _under, differing_leaves
+    from tablemover.functions.checksum import row_hash
+    a = spark.range(200_000).selectExpr("id", "id % 7 AS v")
+    for every, buckets in ((20, 64), (50_000, 64)):  # scattered over all nodes of the first level, and a few
+        b = a.withColumn("v", F.when(F.col("id") % every == 0, F.col("v") + 1).otherwise(F.col("v")))
+        leaves, bits, _, n = differing_leaves(a, b, buckets)
+        changed = 200_000 // every
+        assert leaves.count() == n <= 2 * changed
+        under = _under(a.withColumn("_tm_h", row_hash(a)), leaves, bits).count()
+        assert changed <= under <= 6 * changed
+        s, t = reconcile_rows(a, b, "narrow", buckets)
+        assert s.count() == t.count() == changed
+    assert differing_leaves(a, a, 64) is None
+
+
+def test_hot_repeats_are_spelled_out_by_several_tasks(spark):
+    from tablemover.operators.reconcile import _REPEATS
+    a = spark.range(3 * _REPEATS + 5).selectExpr("1 AS v")
+    s, t = reconcile_rows(a, a.limit(0))
+    sizes = s.groupBy(F.spark_partition_id()).count().collect()
+    assert s.count() == 3 * _REPEATS + 5 and t.count() == 0
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) <= 2 * _REPEATS + 5
