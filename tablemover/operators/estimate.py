@@ -54,6 +54,7 @@ def estimate_manifest(spark, manifest: DataFrame, rate: float, mode: str = "mb_p
     returned in ``skipped`` with a reason instead of being dropped silently.
     """
     from ..sources.catalog import inventory
+    from ..sources.listing import table_locations
     from ..sources.stats import table_stats
 
     from .select import one_per_key
@@ -74,7 +75,9 @@ def estimate_manifest(spark, manifest: DataFrame, rate: float, mode: str = "mb_p
         return per, tot, skipped
     label = {f"{d}.{n}": (d, ts, n) for d, n, ts in managed}
     # One unreadable table must not sink the estimate of the others: it is listed as skipped.
-    stats = table_stats({f"{d}.{n}": spark.table(f"`{d}`.`{n}`") for d, n, _ in managed}, errors="isolate", rows=False)
+    locations = {f"{d}.{n}": table_locations(spark, f"`{d}`.`{n}`") for d, n, _ in managed}
+    stats = table_stats({f"{d}.{n}": spark.table(f"`{d}`.`{n}`") for d, n, _ in managed}, errors="isolate", rows=False,
+                        locations=locations)
     keys = spark.createDataFrame([(k, d, ts, n) for k, (d, ts, n) in label.items()],
                                  "table_name string, database string, target_schema string, name string")
     j2 = stats.join(keys, "table_name")

@@ -7,7 +7,7 @@ is spelled out per column type from the canonical-text rules in ``functions.chec
 from __future__ import annotations
 
 from .plans.migration import DESCRIPTIONS
-from .queries import CATALOG, NONPII_ROOT, PII_ROOT, RATE, SOURCE_CATALOG, TABLE_COLUMNS, TABLES
+from .queries import CATALOG, NONPII_ROOT, PII_ROOT, RATE, SOURCE_CATALOG, TABLE_COLUMNS, TABLES, TEXT_TABLES
 
 DB = ("CASE WHEN c_nationkey = 8 THEN 'default' ELSE 'seg_' || lower(c_mktsegment) END")
 NAME = "'cust_' || CAST(c_custkey AS VARCHAR)"
@@ -396,6 +396,14 @@ SELECT *, 'source' AS side FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM
 UNION ALL SELECT *, 'target' FROM (SELECT * FROM v2 EXCEPT ALL SELECT * FROM lineitem)"""
     sql["hot_repeats_diff"] = """
 SELECT o_orderstatus, count(*) AS times FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1"""
+    lines = " UNION ALL ".join(
+        "SELECT '" + t + "' AS name, strlen(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in columns) + f")) + 1 AS b FROM {t}"
+        for t, (columns, _) in TEXT_TABLES.items())
+    sql["table_bytes"] = f"""
+WITH s AS (SELECT name, count(*) AS row_count, CAST(sum(b) AS BIGINT) AS bytes FROM ({lines}) GROUP BY name
+           UNION ALL SELECT 'nothing', 0, 0),
+e AS (SELECT *, bytes / 1e6 AS size_mb, bytes / 1e6 * {RATE} AS seconds FROM s)
+SELECT *, printf('%02d:%02d', CAST(floor(seconds / 60) AS BIGINT), CAST(floor(seconds - 60 * floor(seconds / 60)) AS BIGINT)) AS elapsed FROM e"""
     sql["manifest_files"] = _with(MAN) + """
 SELECT "database", "name", target_schema, target_table, is_pii, t_no, format
 FROM man, (VALUES ('json'), ('csv'), ('yaml')) f(format)"""

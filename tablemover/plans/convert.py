@@ -32,6 +32,7 @@ from ..operators.estimate import BYTES_PER_MB
 from ..operators import copy as copy_ops
 from ..operators.reconcile import SIDE, TIMES, _changes, reconcile_partitions, row_differences, table_checksums
 from ..sources.catalog import UPGRADED_TO, _in_session_catalog, describe_table, object_type, partition_columns
+from ..sources.listing import table_locations
 from ..sources.stats import table_stats
 
 
@@ -51,7 +52,8 @@ def _may_drop(drop_old: bool, verify: str) -> None:
 
 def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "count") -> dict:
     """Compare two tables; returns ``source_rows, target_rows, bytes, ok, reason``."""
-    stats = {r["table_name"]: r for r in table_stats({"s": spark.table(source), "t": spark.table(target)}).collect()}
+    stats = {r["table_name"]: r for r in table_stats(
+        {"s": spark.table(source), "t": spark.table(target)}, locations=_locations(spark, {"s": source, "t": target})).collect()}
     s, t = stats["s"], stats["t"]
     res = {"source_rows": s["row_count"], "target_rows": t["row_count"], "bytes": s["bytes"],
            "ok": s["row_count"] == t["row_count"], "reason": None, "source_fingerprint": s["fingerprint"]}
@@ -82,6 +84,12 @@ def verify_copy(spark: SparkSession, source: str, target: str, verify: str = "co
     return res
 
 
+def _locations(spark: SparkSession, names: dict[str, str]) -> dict[str, list[str]]:
+    """Of the tables whose files tasks can list, where they are, by label."""
+    found = {label: table_locations(spark, n) for label, n in names.items()}
+    return {label: paths for label, paths in found.items() if paths}
+
+
 def _outcome(row: dict, outcome: str, reason: str | None = None, **kw) -> dict:
     level = logging.INFO if outcome in ("CONVERTED", "CONVERTED_DROPPED", "REGISTERED", "DRY_RUN", "PLANNED") \
         or outcome.startswith("SKIPPED_") else logging.WARNING
@@ -177,7 +185,8 @@ def _fingerprints(spark: SparkSession, names: list[str]) -> dict[str, str | None
             log.warning("no fingerprint of %s: %s", n, e)
     if not frames:
         return {}
-    return {r["table_name"]: r["fingerprint"] for r in table_stats(frames, errors="isolate", rows=False).collect()}
+    return {r["table_name"]: r["fingerprint"] for r in table_stats(
+        frames, errors="isolate", rows=False, locations=_locations(spark, {n: n for n in frames})).collect()}
 
 
 def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dict | _Staged:
@@ -273,7 +282,9 @@ def verify_many(spark: SparkSession, pairs: list[tuple[str, str]], verify: str =
             frames[f"s{i}"], frames[f"t{i}"] = spark.table(m), spark.table(c)
         except Exception as e:  # noqa: BLE001
             res[i] = e
-    stats = {r["table_name"]: r for r in table_stats(frames, chunk=2 * chunk, errors="isolate").collect()} if frames else {}
+    stats = {r["table_name"]: r for r in table_stats(
+        frames, chunk=2 * chunk, errors="isolate", locations=_locations(spark, {k: pairs[int(k[1:])]["st".index(k[0])] for k in frames})
+    ).collect()} if frames else {}
     for i in range(len(pairs)):
         if res[i] is not None:
             continue
@@ -320,7 +331,8 @@ def _auto_sizes(spark: SparkSession, targets: DataFrame) -> DataFrame:
     schema = "database string, name string, bytes long"
     if not names:
         return spark.createDataFrame([], schema)
-    st = table_stats({k: spark.table(k) for k in names}, errors="isolate", rows=False).collect()
+    st = table_stats({k: spark.table(k) for k in names}, errors="isolate", rows=False,
+                     locations=_locations(spark, {k: k for k in names})).collect()
     return spark.createDataFrame([(*names[r["table_name"]], r["bytes"]) for r in st], schema)
 
 

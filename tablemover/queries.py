@@ -897,6 +897,34 @@ def q_view_manifest(spark, sf):
     return load_view_manifest(spark, path)
 
 
+def _text_table(spark, sf, db: str, table: str, columns: list[str], part: str | None = None) -> None:
+    """A managed table of plain text lines, so that its bytes are known: a line per row."""
+    line = F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("value")
+    w = _t(spark, sf, table).select(line, *([part] if part else [])).write.format("text")
+    (w.partitionBy(part) if part else w).saveAsTable(f"`{db}`.`{table}`")
+
+
+#: Tables written as text lines: the columns of a line, and the partition column.
+TEXT_TABLES = {"customer": (["c_custkey", "c_name", "c_mktsegment"], None),
+               "orders": (["o_orderkey", "o_custkey", "o_orderpriority"], "o_orderstatus"),
+               "documents": (["doc_id", "lang", "n_chars"], "source"), "lineitem": (["l_orderkey", "l_partkey", "l_linenumber"], None)}
+
+
+@_report
+def q_table_bytes(spark, sf):
+    """Bytes of tables of text lines, from a listing made by tasks: the catalog's tables as the inventory
+    sizes them, and the seconds that the estimate makes of them."""
+    from .operators.estimate import estimate_manifest
+    db = new_database(spark, "bytes")
+    for t, (columns, part) in TEXT_TABLES.items():
+        _text_table(spark, sf, db, t, columns, part)
+    spark.sql(f"CREATE TABLE `{db}`.nothing (value STRING) USING text")
+    inv = inventory(spark, [db], with_stats=True).select("name", "row_count", "bytes", "size_mb")
+    man = inv.select(F.lit(db).alias("database"), "name", F.lit("uc").alias("target_schema"))
+    per = estimate_manifest(spark, man, RATE, "seconds_per_mb")[0]
+    return inv.join(per.select(F.col("table_name").alias("name"), "seconds", "elapsed"), "name")
+
+
 @_report
 def q_inventory_two_schemas(spark, sf):
     """Schemas listed but for an excluded one (in another case), inventories united."""

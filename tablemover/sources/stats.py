@@ -1,8 +1,9 @@
 """Row counts and storage sizes of tables.
 
 Bytes, files and modification times come from a listing of the table's files, without opening them; rows
-from one plain count over a scan that reads no data columns, only when asked for. Views have no files:
-their bytes and files are null, not zero.
+from one plain count over a scan that reads no data columns, only when asked for. Tables given with their
+locations are listed by tasks (``sources.listing``), all of a chunk together; frames without a known location
+by the files that their scan reads. Views have no files: their bytes and files are null, not zero.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.estimate import BYTES_PER_MB
+from .listing import list_files, table_locations
 
 
 def _files(df: DataFrame, label: str) -> DataFrame | None:
@@ -26,7 +28,7 @@ def _files(df: DataFrame, label: str) -> DataFrame | None:
                          F.unix_micros("modificationTime").alias("_t"))
 
 
-def _stats_of(tables: dict[str, DataFrame], no_files: set[str], rows: bool) -> DataFrame:
+def _stats_of(tables: dict[str, DataFrame], no_files: set[str], rows: bool, locations: dict[str, list[str]]) -> DataFrame:
     """Statistics of several tables: one grouped count over all of them, one aggregate over their file
     lists (a row per file), put together by label; the labels are the broadcast side."""
     spark = next(iter(tables.values())).sparkSession
@@ -37,7 +39,11 @@ def _stats_of(tables: dict[str, DataFrame], no_files: set[str], rows: bool) -> D
         out = out.withColumn("row_count", F.coalesce("row_count", F.lit(0)).cast("long"))
     else:
         out = out.withColumn("row_count", F.lit(None).cast("long"))
-    lists = [x for x in (_files(df, n) for n, df in tables.items() if n not in no_files) if x is not None]
+    located = {n: locations[n] for n in tables if n not in no_files and locations.get(n)}
+    lists = [x for x in (_files(df, n) for n, df in tables.items() if n not in no_files and n not in located) if x is not None]
+    if located:
+        lists.append(list_files(spark, [(n, p) for n, paths in located.items() for p in paths]).select(
+            F.col("label").alias("table_name"), F.col("path").alias("_p"), F.col("size").alias("_s"), F.col("modified").alias("_t")))
     if not lists:
         return out.select("table_name", "row_count", *[F.lit(None).cast(t).alias(c) for c, t in (
             ("bytes", "long"), ("files", "long"), ("fingerprint", "string"), ("size_mb", "double"))])
@@ -47,7 +53,12 @@ def _stats_of(tables: dict[str, DataFrame], no_files: set[str], rows: bool) -> D
                               F.sum(F.xxhash64("_p", "_s", "_t").cast("decimal(38,0)")).cast("string"))
     agg = reduce(DataFrame.unionAll, lists).groupBy("table_name").agg(
         F.sum("_s").cast("long").alias("bytes"), F.count("_p").cast("long").alias("files"), fingerprint.alias("fingerprint"))
-    return out.join(agg, "table_name", "left").select(
+    # A located table without files has 0 bytes, and a fingerprint that differs from that of any file.
+    empty = F.col("bytes").isNull() & F.col("table_name").isin(list(located))
+    agg = out.join(agg, "table_name", "left")
+    for c, none in (("fingerprint", F.lit("0")), ("files", F.lit(0).cast("long")), ("bytes", F.lit(0).cast("long"))):
+        agg = agg.withColumn(c, F.when(empty, none).otherwise(F.col(c)))
+    return agg.select(
         "table_name", "row_count", "bytes", "files", "fingerprint",
         (F.col("bytes").cast("double") / F.lit(BYTES_PER_MB)).alias("size_mb"))
 
@@ -57,9 +68,10 @@ STATS_SCHEMA = ("table_name string, row_count long, bytes long, files long, fing
 
 
 def table_stats(tables: dict[str, DataFrame], chunk: int = 256, no_files: set[str] | list[str] = (),
-                errors: str = "raise", rows: bool = True) -> DataFrame:
+                errors: str = "raise", rows: bool = True, locations: dict[str, list[str]] | None = None) -> DataFrame:
     """``(table_name, row_count, bytes, files, fingerprint, size_mb)`` per table, in few jobs. Names in
     ``no_files`` (views) get counts only; ``rows=False`` leaves the counts out (null) and reads no table.
+    ``locations`` says where tables keep their files (``listing.table_locations``): those are listed by tasks.
 
     ``errors="isolate"`` runs the chunks eagerly (one small row per table comes back) and, when a
     chunk fails, runs its tables one by one, so an unreadable table yields an ``error`` text
@@ -71,7 +83,7 @@ def table_stats(tables: dict[str, DataFrame], chunk: int = 256, no_files: set[st
         raise ValueError("no tables")
 
     def stats(group: list[str]) -> DataFrame:
-        return _stats_of({n: tables[n] for n in group}, nf, rows)
+        return _stats_of({n: tables[n] for n in group}, nf, rows, locations or {})
 
     groups = [names[i:i + chunk] for i in range(0, len(names), chunk)]
     if errors != "isolate":
@@ -93,17 +105,18 @@ def table_stats(tables: dict[str, DataFrame], chunk: int = 256, no_files: set[st
 def catalog_table_stats(spark: SparkSession, names: list[str], chunk: int = 32, errors: str = "raise") -> DataFrame:
     """Stats of catalog tables by name; with ``errors="isolate"`` a table that cannot even be
     resolved gets an error row too."""
-    tables, views, failed = {}, set(), []
+    tables, views, failed, locations = {}, set(), [], {}
     for n in names:
         try:
             if spark.catalog.getTable(n).tableType == "VIEW":
                 views.add(n)
             tables[n] = spark.table(n)
+            locations[n] = None if n in views else table_locations(spark, n)
         except Exception as e:  # noqa: BLE001
             if errors != "isolate":
                 raise
             failed.append((n, None, None, None, None, None, str(e).strip() or repr(e)))
-    out = table_stats(tables, chunk, views, errors) if tables else None
+    out = table_stats(tables, chunk, views, errors, locations=locations) if tables else None
     if errors != "isolate":
         return out
     bad = spark.createDataFrame(failed, STATS_SCHEMA)
