@@ -41,9 +41,13 @@ def path_has_files(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def sql_text(v) -> str:
+    """A SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _props_sql(props: dict) -> str:
-    return ", ".join(f"'{k.replace(chr(39), chr(39) * 2)}' = '{str(v).replace(chr(39), chr(39) * 2)}'"
-                     for k, v in props.items())
+    return ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in props.items())
 
 
 def copy_table(spark: SparkSession, source: str, target: str, location: str, fmt: str | None = None,

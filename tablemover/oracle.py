@@ -404,6 +404,15 @@ WITH s AS (SELECT name, count(*) AS row_count, CAST(sum(b) AS BIGINT) AS bytes F
            UNION ALL SELECT 'nothing', 0, 0),
 e AS (SELECT *, bytes / 1e6 AS size_mb, bytes / 1e6 * {RATE} AS seconds FROM s)
 SELECT *, printf('%02d:%02d', CAST(floor(seconds / 60) AS BIGINT), CAST(floor(seconds - 60 * floor(seconds / 60)) AS BIGINT)) AS elapsed FROM e"""
+    sql["copy_journal"] = """
+WITH s AS (SELECT * FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'F'))
+SELECT * FROM s UNION ALL SELECT * FROM s WHERE l_returnflag = 'A'"""
+    sql["registered_declarations"] = """
+WITH r AS (SELECT CAST(c_custkey AS VARCHAR) AS what, concat_ws('|', c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), c_name,
+                                                              CAST(c_custkey % 3 AS VARCHAR)) AS value FROM customer)
+SELECT 'c2' AS t, what, value FROM r UNION ALL SELECT 'c3', what, value FROM r
+UNION ALL SELECT * FROM (VALUES ('c3', 'path', 'a\\b'), ('c3', 'q', 'o''neil'), ('c2', 'migration.owner', 'o''neil \\ co'),
+    ('c2', 'k', 'bigint it''s'), ('c2', 'name', 'varchar(30)'), ('c2', 'seg', 'char(12)'), ('c2', 'n', 'struct<a-b:int,c:string>')) v(a, b, c)"""
     sql["manifest_files"] = _with(MAN) + """
 SELECT "database", "name", target_schema, target_table, is_pii, t_no, format
 FROM man, (VALUES ('json'), ('csv'), ('yaml')) f(format)"""

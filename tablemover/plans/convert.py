@@ -30,8 +30,10 @@ from .. import schemas
 from ..functions.timefmt import mm_ss
 from ..operators.estimate import BYTES_PER_MB
 from ..operators import copy as copy_ops
+from ..operators.journal import NotInUnits, copy_in_units, drop_journal, has_journal
 from ..operators.reconcile import SIDE, TIMES, _changes, reconcile_partitions, row_differences, table_checksums
-from ..sources.catalog import UPGRADED_TO, _in_session_catalog, describe_table, object_type, partition_columns
+from ..sources.catalog import (UPGRADED_TO, _in_session_catalog, columns_ddl, copy_partitions, describe_table, object_type,
+                               partition_columns)
 from ..sources.listing import table_locations
 from ..sources.stats import table_stats
 
@@ -121,6 +123,7 @@ class _Staged:
     copy_side: str        # the external copy, under its current name
     copy_seconds: float
     before: str | None = None   # source file fingerprint taken before a fresh copy
+    journal: bool = False       # copied in units
 
 
 def _check(spark: SparkSession, row: dict, resume: bool,
@@ -153,19 +156,40 @@ def _check(spark: SparkSession, row: dict, resume: bool,
     return _skip(row, db, t, kind, ext_kind is not None, old_kind)
 
 
-def _copy(spark: SparkSession, row: dict, fmt: str | None, before: str | None) -> dict | _Staged:
+def _copy(spark: SparkSession, row: dict, fmt: str | None, before: str | None, unit_bytes: int | None = None) -> dict | _Staged:
     db, t, loc = row["database"], row["name"], row["location"]
     src, ext = _q(db, t), _q(db, t + "_ext")
-    start = time.monotonic()
+    start, note = time.monotonic(), None
     try:
-        if copy_ops.path_has_files(spark, loc):
+        begun = has_journal(spark, loc, src)
+        if not begun and copy_ops.path_has_files(spark, loc):
             return _outcome(row, "TARGET_NOT_EMPTY", f"location not empty: {loc}")
         log.info("copy started: %s.%s -> %s", db, t, loc)
-        copy_ops.copy_table(spark, src, ext, loc, fmt=fmt)
+        units = unit_bytes is not None and fmt is None
+        if units or begun:
+            try:
+                n = {r["state"]: r["n"] for r in copy_in_units(spark, src, ext, loc, unit_bytes or 16 << 30)
+                     .groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}
+                if begun:
+                    note = (f"resumed: {n.get('DONE_BEFORE', 0)} units were done, {n.get('TAKEN_BACK', 0)} taken back, "
+                            f"{n.get('COPIED', 0)} copied")
+            except NotInUnits:
+                units = False
+        if not units and not begun:
+            copy_ops.copy_table(spark, src, ext, loc, fmt=fmt)
     except Exception as e:  # noqa: BLE001
         return _outcome(row, "COPY_FAILED", str(e))
     log.info("copy done: %s.%s in %.1f s", db, t, time.monotonic() - start)
-    return _Staged(row, "copied", None, src, ext, time.monotonic() - start, before)
+    return _Staged(row, "copied", note, src, ext, time.monotonic() - start, before, units or begun)
+
+
+def _stage_of(spark: SparkSession, row: dict, state: tuple, fmt: str | None, unit_bytes: int | None) -> dict | _Staged:
+    """What a checked table's state asks for: a copy, the rest of one in units (also when the source changed
+    after it), or what an earlier run left."""
+    src = _q(row["database"], row["name"])
+    if state[0] == "fresh" or state[0] == "copied" and row.get("location") and has_journal(spark, row["location"], src):
+        return _copy(spark, row, fmt, _fingerprints(spark, [src]).get(src), unit_bytes)
+    return _resumed(row, *state)
 
 
 def _resumed(row: dict, stage: str, note: str | None) -> _Staged:
@@ -189,16 +213,10 @@ def _fingerprints(spark: SparkSession, names: list[str]) -> dict[str, str | None
         frames, errors="isolate", rows=False, locations=_locations(spark, {n: n for n in frames})).collect()}
 
 
-def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool) -> dict | _Staged:
+def _stage(spark: SparkSession, row: dict, fmt: str | None, resume: bool, unit_bytes: int | None = None) -> dict | _Staged:
     """Checks and copy of one table: an outcome row when it stops here, else the staged copy."""
     state = _check(spark, row, resume)
-    if isinstance(state, dict):
-        return state
-    stage, note = state
-    if stage != "fresh":
-        return _resumed(row, stage, note)
-    src = _q(row["database"], row["name"])
-    return _copy(spark, row, fmt, _fingerprints(spark, [src]).get(src))
+    return state if isinstance(state, dict) else _stage_of(spark, row, state, fmt, unit_bytes)
 
 
 def _finish(spark: SparkSession, st: _Staged, v: dict | Exception, drop_old: bool) -> dict:
@@ -237,6 +255,8 @@ def _finish(spark: SparkSession, st: _Staged, v: dict | Exception, drop_old: boo
                 undo = f"undo failed: {e2}"
             return _outcome(row, "RENAME_FAILED", f"rename {t}_ext -> {t}: {e}; first rename {undo}", **counts)
     outcome = "CONVERTED"
+    if st.journal:
+        drop_journal(spark, row["location"])
     if drop_old:
         try:
             spark.sql(f"DROP TABLE {old}")
@@ -249,15 +269,15 @@ def _finish(spark: SparkSession, st: _Staged, v: dict | Exception, drop_old: boo
 
 
 def convert_one(spark: SparkSession, row: dict, drop_old: bool = False, verify: str = "count",
-                fmt: str | None = None, resume: bool = True) -> dict:
-    """Convert one table; returns its outcome row.
+                fmt: str | None = None, resume: bool = True, unit_bytes: int | None = None) -> dict:
+    """Convert one table; returns its outcome row. ``unit_bytes`` copies in units (``journal.copy_in_units``).
 
     With ``resume`` a run picks up where a lost driver left off: a committed ``t_ext`` is verified
     and swapped in, a swap interrupted between its two renames is finished, and a finished swap is
     verified again before ``t_old`` may be dropped. Without it those states are skipped.
     """
     _may_drop(drop_old, verify)
-    st = _stage(spark, row, fmt, resume)
+    st = _stage(spark, row, fmt, resume, unit_bytes)
     if isinstance(st, dict):
         return st
     try:
@@ -353,7 +373,7 @@ def _plan_rows(targets: DataFrame, sizes: DataFrame | None = None) -> list[dict]
 def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool = False,
                         verify: str = "count", fmt: str | None = None, parallelism: int = 1,
                         resume: bool = True, sizes: DataFrame | str | None = None, batch: int = 16,
-                        dry_run: bool = False) -> DataFrame:
+                        dry_run: bool = False, unit_bytes: int | None = None) -> DataFrame:
     """Convert every table of ``targets`` (``plan_targets`` output); one outcome row per table.
 
     A pool of ``parallelism`` driver threads copies the tables one by one (each copy is its own Spark
@@ -362,6 +382,10 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
     (a few jobs each, ``verify_many``) and swapped (catalog calls) while others still copy, so thousands
     of small tables cost a few verification jobs per batch, and a huge one holds back nobody.
 
+    ``unit_bytes`` copies tables in units of about so many bytes with a journal (``journal.copy_in_units``): a run
+    that was stopped half-way goes on with the missing units, and after ``SOURCE_CHANGED`` only the units
+    whose files changed are copied again. Tables that can't be copied in units are copied whole.
+
     ``dry_run`` runs the checks only (state of each table and of its target location) and reports
     ``PLANNED`` with the action a real run would take; nothing is written.
     """
@@ -384,7 +408,8 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
                 out.append((i, st))
             elif st[0] == "fresh":
                 try:
-                    busy = copy_ops.path_has_files(spark, row["location"])
+                    busy = (not has_journal(spark, row["location"], _q(row["database"], row["name"]))
+                            and copy_ops.path_has_files(spark, row["location"]))
                 except Exception as e:  # noqa: BLE001 - the same outcome as in a real run
                     out.append((i, _outcome(row, "COPY_FAILED", str(e))))
                     continue
@@ -397,12 +422,7 @@ def convert_to_external(spark: SparkSession, targets: DataFrame, drop_old: bool
 
     def copy_one(i: int) -> dict | _Staged:
         st = _check(spark, rows[i], resume, types)
-        if isinstance(st, dict):
-            return st
-        if st[0] != "fresh":
-            return _resumed(rows[i], *st)
-        src = _q(rows[i]["database"], rows[i]["name"])
-        return _copy(spark, rows[i], fmt, _fingerprints(spark, [src]).get(src))
+        return st if isinstance(st, dict) else _stage_of(spark, rows[i], st, fmt, unit_bytes)
 
     def finish(staged: list[tuple[int, _Staged]]) -> list[tuple[int, dict]]:
         verdicts = verify_many(spark, [(x.managed_side, x.copy_side) for _, x in staged], verify)
@@ -441,9 +461,7 @@ def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: st
     return _q(*parts) if _in_session_catalog(spark, catalog) else _q(catalog, *parts)
 
 
-def _text(v) -> str:
-    """A SQL string literal."""
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+_text = copy_ops.sql_text
 
 
 def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None) -> tuple[dict, dict | None, str]:
@@ -461,11 +479,12 @@ def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None)
         # Columns with their types, partition columns and storage options are the source's: inferring
         # them from the files would turn a text partition '01' into a number, or lose a CSV's header.
         info = describe_table(spark, src)
-        columns = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in spark.table(src).schema.fields)
+        columns = columns_ddl(spark, src)
         options = ", ".join(f"{_text(k)} {_text(v)}" for k, v in info.get("options", {}).items() if k.lower() != "path")
         parts = ", ".join(_q(c) for c in partition_columns(spark, src))
         stmt = (f"CREATE TABLE {dst} ({columns}) USING {provider}" + (f" OPTIONS ({options})" if options else "")
-                + (f" PARTITIONED BY ({parts})" if parts else "") + f" LOCATION {_text(loc)} TBLPROPERTIES ({tp})")
+                + (f" PARTITIONED BY ({parts})" if parts else "") + f" LOCATION {_text(loc)}"
+                + (f" COMMENT {_text(info['comment'])}" if info.get("comment") else "") + f" TBLPROPERTIES ({tp})")
     except Exception as e:  # noqa: BLE001 - one outcome per table
         return base, _outcome(base, "REGISTER_FAILED", str(e)), dst
     if dry_run:
@@ -474,7 +493,7 @@ def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_target_name(spark, row.get('target_catalog'), row['target_schema'])}")
         spark.sql(stmt)
         if partition_columns(spark, dst):
-            spark.sql(f"ALTER TABLE {dst} RECOVER PARTITIONS")
+            copy_partitions(spark, src, dst)
     except Exception as e:  # noqa: BLE001
         return base, _outcome(base, "REGISTER_FAILED", str(e)), dst
     return base, None, dst
@@ -484,7 +503,7 @@ def _registered(spark: SparkSession, row: dict, base: dict, v: dict | Exception)
     src = _q(row["source_schema"], row["source_name"])
     dst = _target_name(spark, row.get("target_catalog"), row["target_schema"], row["target_name"])
     if not isinstance(v, Exception) and v["ok"]:
-        kinds = [[(f.name, f.dataType.simpleString()) for f in spark.table(t).schema.fields] for t in (src, dst)]
+        kinds = [columns_ddl(spark, t) for t in (src, dst)]
         if kinds[0] != kinds[1]:
             v = {**v, "ok": False, "reason": f"schemas differ: {kinds[0]} vs {kinds[1]}"}
     if isinstance(v, Exception) or not v["ok"]:
@@ -502,7 +521,7 @@ def _registered(spark: SparkSession, row: dict, base: dict, v: dict | Exception)
     target = ".".join(x for x in (row.get("target_catalog"), row["target_schema"], row["target_name"]) if x)
     try:
         spark.sql(f"ALTER TABLE {_q(row['source_schema'], row['source_name'])} SET TBLPROPERTIES "
-                  f"('{UPGRADED_TO}' = '{target.replace(chr(39), chr(39) * 2)}')")
+                  f"({_text(UPGRADED_TO)} = {_text(target)})")
         reason = None
     except Exception as e:  # noqa: BLE001 - the registration itself stands
         reason = f"registered, but the source could not be marked: {str(e).splitlines()[0] if str(e) else e}"

@@ -925,6 +925,75 @@ def q_table_bytes(spark, sf):
     return inv.join(per.select(F.col("table_name").alias("name"), "seconds", "elapsed"), "name")
 
 
+class _Stopped(RuntimeError):
+    pass
+
+
+def _stop_after(n: int):
+    """A unit watcher that ends the run at the unit after ``n``, as a lost driver would."""
+    seen = []
+
+    def watch(unit, state):
+        seen.append(unit)
+        if len(seen) > n:
+            raise _Stopped(unit)
+    return watch
+
+
+def q_copy_journal(spark, sf):
+    """K1, K2: ``lineitem`` (partitioned) copied in units, the run stopped after two of them, run again to the end, then
+    again after the source lost a partition and gained rows: the target's rows."""
+    from .operators.journal import copy_in_units
+    db, loc = new_database(spark, "units"), new_work_dir(spark, "units") + "/data"
+    _managed(spark, sf, db, "lineitem", ["l_returnflag", "l_linestatus"])
+    src, dst = f"`{db}`.`lineitem`", f"`{db}`.`lineitem_ext`"
+    try:
+        copy_in_units(spark, src, dst, loc, unit_bytes=1 << 16, parallelism=1, on_unit=_stop_after(2))
+    except _Stopped:
+        pass
+    first = copy_in_units(spark, src, dst, loc, unit_bytes=1 << 16)
+    spark.sql(f"ALTER TABLE {src} DROP PARTITION (l_returnflag = 'N', l_linestatus = 'F')")
+    spark.sql(f"INSERT INTO {src} BY NAME SELECT * FROM {src} WHERE l_returnflag = 'A'")
+    again = copy_in_units(spark, src, dst, loc, unit_bytes=1 << 16)
+    states = [{r["state"]: r["n"] for r in x.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()} for x in (first, again)]
+    assert states[0]["DONE_BEFORE"] == 2 and states[1]["DONE_BEFORE"] and states[1]["TAKEN_BACK"] and states[1]["COPIED"], states
+    return spark.table(dst).select(*_t(spark, sf, "lineitem").columns)
+
+
+def q_registered_declarations(spark, sf):
+    """A table with char and varchar columns, comments, odd nested names, properties and a partition stored
+    elsewhere, registered and copied: its declarations and rows as both targets have them."""
+    src, tgt = new_database(spark, "decl"), new_database(spark, "declt")
+    root = new_work_dir(spark, "decl")
+    spark.sql(f"CREATE TABLE `{src}`.c (k BIGINT COMMENT 'it''s', name VARCHAR(30), seg CHAR(12), n STRUCT<`a-b`: INT, c: STRING>, "
+              f"p INT) USING parquet PARTITIONED BY (p) LOCATION '{root}/base' COMMENT 'customers' TBLPROPERTIES ('path' = 'a\\\\b', 'q' = 'o\\'neil')")
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"),
+                                         F.struct(F.col("c_nationkey").alias("a-b"), F.col("c_name").alias("c")).alias("n"),
+                                         (F.col("c_custkey") % 3).cast("int").alias("p"))
+    c.where("p < 2").write.insertInto(f"`{src}`.c")
+    c.where("p = 2").drop("p").write.parquet(f"{root}/else where")
+    spark.sql(f"ALTER TABLE `{src}`.c ADD PARTITION (p = 2) LOCATION '{root}/else where'")
+    inv = inventory(spark, [src])
+    man = spark.createDataFrame([(src, "c", tgt, "c2", False, 1)], "database string, name string, target_schema string, "
+                                "target_table string, is_pii boolean, t_no int")
+    none = spark.createDataFrame([], "table_catalog string, table_schema string, table_name string, table_type string")
+    out = register_external(spark, plan_migration(inv, none, "spark_catalog", man), inv, dry_run=False, owner="o'neil \\ co").collect()
+    assert [r["outcome"] for r in out] == ["REGISTERED"], out
+    copy_ops.copy_table(spark, f"`{src}`.c", f"`{tgt}`.c3", root + "/copy")
+    facts = []
+    for t in ("c2", "c3"):
+        for r in spark.sql(f"SHOW TBLPROPERTIES `{tgt}`.{t}").collect():
+            if r["key"] in ("path", "q", "migration.owner"):
+                facts.append((t, r["key"], r["value"]))
+    for r in spark.sql(f"DESCRIBE `{tgt}`.c2").collect():
+        if r["col_name"] in ("k", "name", "seg", "n"):
+            facts.append(("c2", r["col_name"], f"{r['data_type']} {r['comment'] or ''}".strip()))
+    rows = [spark.table(f"`{tgt}`.{t}").select(F.lit(t).alias("t"), F.col("k").cast("string").alias("what"), F.concat_ws(
+        "|", F.rtrim("name"), F.rtrim("seg"), F.col("n")["a-b"].cast("string"), F.col("n")["c"], F.col("p").cast("string")).alias("value"))
+        for t in ("c2", "c3")]
+    return rows[0].unionByName(rows[1]).unionByName(spark.createDataFrame(sorted(set(facts)), "t string, what string, value string"))
+
+
 @_report
 def q_inventory_two_schemas(spark, sf):
     """Schemas listed but for an excluded one (in another case), inventories united."""
@@ -934,7 +1003,7 @@ def q_inventory_two_schemas(spark, sf):
     _external(spark, sf, b, "region")
     _managed(spark, sf, c, "supplier")
     spark.sql(f"CREATE VIEW `{b}`.big AS SELECT * FROM `{b}`.region")
-    dbs = [d for d in list_databases(spark, [a, b, c], [c]) if d != c]
+    dbs = list_databases(spark, [a, b, c], [c.upper()])
     inv = inventory(spark, dbs, with_stats=True)
     place = F.when(F.col("database") == a, "a").when(F.col("database") == b, "b").otherwise("c")
     return inv.select(place.alias("schema"), "name", "object_type", "row_count")

@@ -27,14 +27,14 @@ UPGRADED_TO = "upgraded_to"
 
 def list_databases(spark: SparkSession, schemas: str | list[str] | None = "all",
                    exclude_schemas: str | list[str] | None = None) -> list[str]:
-    """Database names: all of them (``"all"``/None) or the given list, minus the excluded ones,
-    in name order."""
+    """Database names: all of them (``"all"``/None) or the given list, minus the excluded ones (names are
+    compared without case, as the catalog does), in name order."""
     if schemas in (None, "all"):
         names = [d.name for d in spark.catalog.listDatabases()]
     else:
         names = parse_name_list(schemas)
-    ex = set(parse_name_list(exclude_schemas))
-    return sorted({n for n in names if n not in ex})
+    ex = {x.lower() for x in parse_name_list(exclude_schemas)}
+    return sorted({n for n in names if n.lower() not in ex})
 
 
 def _field(info, key: str) -> F.Column:
@@ -188,3 +188,35 @@ def describe_table(spark: SparkSession, name: str) -> dict:
             "num_buckets": int(info["Num Buckets"]) if info.get("Num Buckets", "").isdigit() else None,
             "bucket_columns": _name_list(info.get("Bucket Columns")),
             "sort_columns": _name_list(info.get("Sort Columns")), "properties": props, "options": options}
+
+
+def _session_table(spark: SparkSession, name: str):
+    """(catalog, identifier, metadata) of a table of the session catalog."""
+    state = spark._jsparkSession.sessionState()
+    ident = state.sqlParser().parseTableIdentifier(name)
+    return state.catalog(), ident, state.catalog().getTableMetadata(ident)
+
+
+def columns_ddl(spark: SparkSession, name: str) -> str:
+    """The table's column list as DDL, as it was declared: char and varchar types, nested names in quotes,
+    comments. Tables of another catalog give the columns that a scan shows."""
+    try:
+        schema = _session_table(spark, name)[2].schema()
+    except Exception:  # noqa: BLE001 - another catalog's name has three parts
+        schema = spark._jvm.org.apache.spark.sql.types.StructType.fromJson(spark.table(name).schema.json())
+    return spark._jvm.org.apache.spark.sql.catalyst.util.CharVarcharUtils.getRawSchema(schema).toDDL()
+
+
+def copy_partitions(spark: SparkSession, source: str, target: str, batch: int = 500) -> None:
+    """Every partition entry of ``source``, with its own location, in batches into ``target``'s catalog entry.
+    Between tables of other catalogs, partitions are recovered from the directory layout."""
+    try:
+        catalog, src, _ = _session_table(spark, source)
+        _, dst, _ = _session_table(spark, target)
+    except Exception:  # noqa: BLE001
+        spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+        return
+    groups = catalog.listPartitions(src, spark._jvm.scala.Option.apply(None)).grouped(batch)
+    while groups.hasNext():
+        catalog.createPartitions(dst, groups.next(), True)
+    spark.catalog.refreshTable(target)
