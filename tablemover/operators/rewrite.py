@@ -24,8 +24,8 @@ Plan of the token rule (all built-in expressions):
    text's own length), join it back to the texts on an internal id and swap the tokens by position.
 
 Texts without any candidate never reach the join; a text's tokens are never shuffled, only its
-candidate identifiers. The ids are fixed by writing the texts to the checkpoint folder once, so rows
-with null or repeated keys of their own are rewritten like all others.
+candidate identifiers. The texts are dealt evenly over tasks and written once, with their tokens and a fixed id,
+as Parquet in the scratch folder, so rows with null or repeated keys of their own are rewritten like all others.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tokens import IDENT_TOKEN, NAME_PART, SQL_TOKEN
-from ..session import work_root
+from ..session import pinned
 
 
 # Fixed values of the literal catalog rule: an optional back-tick, the catalog name, an optional
@@ -112,10 +112,11 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
     if join_hint:
         m = m.hint(join_hint)
     cat_swap = F.lit(bool(catalog_to) and bool(catalog_from))
-    work_root(df.sparkSession)  # a shared checkpoint folder must be registered before checkpoint()
-    rid = "_tm_row"
-    df = df.withColumn(rid, F.monotonically_increasing_id()).checkpoint(eager=True)
-    cand = (df.select(rid, F.posexplode(tokens(text_col)).alias("_pos", "_tok"))
+    # Texts are tokenised once, dealt evenly over tasks, and written with their tokens under a fixed id.
+    rid, toks, columns = "_tm_row", "_tm_tokens", df.columns
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df, _ = pinned(df.repartition(n).select(F.monotonically_increasing_id().alias(rid), "*", tokens(text_col).alias(toks)), "rewrite")
+    cand = (df.select(rid, F.posexplode(toks).alias("_pos", "_tok"))
             .where((F.instr("_tok", ".") > 0) & F.col("_tok").rlike(r"(?U)^[\w`]") & F.col("_tok").rlike(IDENT_TOKEN))
             .withColumn("_parts", F.regexp_extract_all("_tok", F.lit(NAME_PART), 1))
             .withColumn("_cat", _has_cat(F.col("_parts"), catalog_from))
@@ -129,6 +130,7 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
     per_text = (hits.select(rid, "_pos", F.concat_ws(".", head, name, rest).alias("_new"))
                 .groupBy(rid).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_hits")))
     j = df.join(per_text, rid, "left")
-    swapped = F.transform(tokens(text_col), lambda t, p: F.coalesce(F.try_element_at(F.col("_hits"), p), t))
+    swapped = F.transform(toks, lambda t, p: F.coalesce(F.try_element_at(F.col("_hits"), p), t))
     text = F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(F.array_join(swapped, ""))
-    return j.withColumn(out_col, text).drop("_hits", rid)
+    out = j.withColumn(out_col, text)
+    return out.select(*[F.col(f"`{c}`") for c in (columns if out_col in columns else [*columns, out_col])])
