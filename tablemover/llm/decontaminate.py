@@ -3,33 +3,29 @@
 **Embedding.** The CGK random walk copies a sequence into a longer one: at step j it writes the current
 symbol and moves on by a random bit that depends on j and the symbol alone. Two sequences with few edits
 fall back into step after each edit, so a small edit distance becomes a small Hamming distance. Symbols
-are words (lower-cased runs of letters, digits and non-ASCII characters, hashed).
+are characters of the lower-cased words (runs of letters, digits and non-ASCII characters) joined by spaces,
+so a typo costs the walk what it costs the verification.
 
-**Windows.** Every word of every text starts a window; so does every word of every benchmark item as
-long as the walk stays inside the item. Items are covered window by window to their full size: an edited
-copy is found through any of its windows. Short items use shorter walks (16, 8, 4, 2 or 1 steps, the
-longest not above the item's word count).
+**Windows.** Every second character of every text starts a window; so does every character of every benchmark item as
+long as the walk stays inside the item. The walk's steps come from the item's size (:func:`steps_of`), and items are
+covered window by window to their full size: an edited copy is found through any of its windows.
 
-**LSH.** A repetition samples half of the walk's positions (six at least) and hashes their symbols to a key. With p the
-share of equal positions and m samples, two windows meet in one repetition with probability p^m. An
-edited copy holds two windows without a common word at least, so R repetitions miss it with
-probability (1 - p^m)^(2R) at most; R is the least that reaches ``recall`` at p = ``agreement`` (windows
-that overlap add to it; unedited copies always meet).
-
-**Character windows.** A typo costs a walk a whole word, but the verification one character. So every
-character of an item and of the texts (lower-cased words joined by spaces) also starts a window of q
-characters, and equal windows meet. q is the largest (16 at most) for which a copy with ``max_edits`` edits
-at random places keeps q characters in a row unedited with probability ``recall`` (:func:`window_chars`):
-longer items have longer windows, milder edits are found more surely, and unedited copies always meet.
+**LSH.** A repetition samples some of the walk's steps, some three steps apart, and hashes their symbols to a key;
+equal keys meet. All repetitions sample the same walk. How many an item's size class needs comes from
+``max_edits``: copies of the class's items with so many edits, spread evenly (replaced characters, mixed edits, one
+in each word) and at random places, are made, and repetitions are added until ``recall`` of each kind meet at their place
+(:func:`repetitions_for`). Unedited copies always meet.
 
 **Verification.** Whatever meets names an item and the place where its copy should start, and every such
 place is verified: the exact edit distance between the item and the best-fitting stretch of that place
-(Sellers' recurrence on bit vectors, many places at a time) must be at most ``max_edits`` of the item's
-length in characters. Nothing is dropped before that.
+must be at most ``max_edits`` of the item's length in characters. Equal stretches are seen at once. Otherwise
+the least edits of the item's pieces, one after the other, add up to a lower bound, and a place is left
+as soon as that passes the allowance; only what is left is compared as a whole (Sellers' recurrence on bit
+vectors, many places at a time, or one by one on long integers where items are long and places few).
 
 **Scale.** Texts stay in their partition: there is no shuffle of texts at all. The items' keys travel to
-the tasks in blocks of at most ``block_words`` benchmark words (about 16 bytes x R each), so a benchmark
-of any size costs more passes, not more memory.
+the tasks in blocks of at most ``block_words`` benchmark words; a larger benchmark costs more passes, each
+written before the next, and not more memory.
 """
 
 from __future__ import annotations
@@ -41,46 +37,159 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import clean_strings, col, fresh, mix, text_slices, utf8_parts, word_hashes
+from .common import clean_strings, col, fresh, mix, text_slices, utf8_parts, word_hashes, written
 
-STEPS = (16, 8, 4, 2, 1)
+STEPS = (30, 24, 16, 8, 4, 2, 1)
+SAMPLES = (10, 7, 5, 3, 2, 1, 1)
+#: Most repetitions; short items, whose few windows may all be hit, can need them.
+MOST_REPETITIONS = 16
 _FILTER_BITS = 21
 _PLACES = 1024
+_STRETCH = 1 << 14
+#: Every so many characters of a text start a window; of an item, every one.
+_STRIDE = 2
+_PIECE = 64
+_SIMULATED = 48
+
+
+def steps_of(chars: int) -> int:
+    """Steps of the walk for an item of so many characters: two thirds of them at most."""
+    return next(s for s in STEPS if s <= max(1, 2 * chars // 3))
 
 
 def samples(steps: int) -> int:
-    return max(steps // 2, min(steps, 6))
+    return SAMPLES[STEPS.index(steps)]
 
 
 def repetitions(steps: int, recall: float, agreement: float) -> int:
+    """Repetitions that find one of two clean windows with probability ``recall`` where ``agreement`` of the
+    walk's positions are equal: the least that is taken."""
     return max(1, math.ceil(math.log(1 - recall) / (2 * math.log(1 - agreement ** samples(steps)))))
 
 
-def _chosen(steps: int, rep: int) -> np.ndarray:
+def _chosen(steps: int, rep: int) -> list[int]:
+    """The sampled steps of a repetition: one of each of the walk's equal parts, evenly spaced in the first
+    repetitions (a walk often writes a symbol twice), drawn in later ones."""
+    part = steps / samples(steps)
+    if rep < math.floor(part):
+        return [int(part * k) + rep for k in range(samples(steps))]
     rng = np.random.default_rng([steps, rep])
-    return np.sort(rng.permutation(steps)[:samples(steps)])
+    return [min(steps - 1, int(part * k + rng.integers(math.ceil(part)))) for k in range(samples(steps))]
 
 
-def walk_keys(h: np.ndarray, steps: int, rep: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, last place + 1) of the walk from every word. Places past the last word read a zero symbol."""
+def walks(h: np.ndarray, steps: int, reps: int, stride: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
+    """(keys of each repetition, last place + 1) of the walk from every ``stride``-th symbol. Places past the last
+    symbol read a zero symbol."""
     n = len(h)
-    symbols = np.concatenate([h, np.zeros(steps, np.uint64)])
-    symbols = mix(symbols + np.uint64(0x632BE59BD9B4E019 * (rep + 1) & (2 ** 64 - 1)))
-    pos = np.arange(n)
-    key = np.full(n, steps, np.uint64)
-    chosen = set(_chosen(steps, rep).tolist())
-    one = np.uint64(1)
-    for j in range(steps):
-        s = symbols[pos]
-        if j in chosen:
-            key ^= s
-            key *= np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(32)
-        last = pos
-        s >>= np.uint64(j)
-        s &= one
-        pos = pos + s.view(np.int64)
-    return mix(key), last + 1
+    count = -(-n // stride)
+    keys, last = [np.empty(count, np.uint64) for _ in range(reps)], np.empty(count, np.int64)
+    chosen = [set(_chosen(steps, r)) for r in range(reps)]
+    h = np.concatenate([h.astype(np.uint64), np.zeros(steps, np.uint64)])
+    size = _STRETCH * stride
+    for a in range(0, n, size):  # a stretch stays in the processor's cache through all steps
+        m = min(size, n - a)
+        symbols = mix(h[a:a + m + steps] + np.uint64(0x632BE59BD9B4E019))
+        moves = (symbols >> np.uint64(32)).astype(np.uint32)
+        pos = np.arange(0, m, stride)
+        mine = [np.full(len(pos), steps * 64 + r, np.uint64) for r in range(reps)]
+        for j in range(steps):
+            sampled = [r for r in range(reps) if j in chosen[r]]
+            if sampled:
+                letter = symbols.take(pos, mode="clip")
+                for r in sampled:
+                    mine[r] *= np.uint64(0x9E3779B97F4A7C15)
+                    mine[r] ^= letter
+            if j < steps - 1:
+                pos += ((moves >> np.uint32(j)) & np.uint32(1)).astype(np.int8).take(pos, mode="clip")
+        out = slice(a // stride, a // stride + len(pos))
+        for r in range(reps):
+            keys[r][out] = mix(mine[r])
+        last[out] = pos + (a + 1)
+    return keys, last
+
+
+def walk_keys(h: np.ndarray, steps: int, rep: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key of one repetition, last place + 1) of the walk from every symbol."""
+    keys, last = walks(h, steps, rep + 1)
+    return keys[rep], last
+
+
+def _edited(text: np.ndarray, edits: int, kind: str, rng) -> tuple[np.ndarray, np.ndarray]:
+    """A copy with ``edits`` edits, and where each of its characters stood."""
+    n, letters = len(text), np.unique(text)
+    places = np.arange(edits) * n // max(edits, 1) if kind != "random" else np.sort(rng.permutation(n)[:edits])
+    if kind == "words":
+        ends = np.append(np.flatnonzero(text == 32), n)
+        places = ((np.append(0, ends[:-1] + 1) + ends) // 2)[:edits]
+    out, at, todo = [], [], set(places.tolist())
+    for i, c in enumerate(text.tolist()):
+        how = 0 if kind in ("replaced", "words") else int(rng.integers(3))
+        if i not in todo:
+            out.append(c)
+            at.append(i)
+        elif how < 2:  # replaced, or doubled by another
+            new = 0xFFFF if kind in ("replaced", "words") else int(rng.choice(letters))  # a letter that the item hasn't
+            out += [new] if how == 0 else [c, new]
+            at += [i] if how == 0 else [i, i]
+    return np.array(out, np.uint32), np.array(at, np.int64)
+
+
+def repetitions_for(items: list, steps: int, recall: float, max_edits: float) -> int:
+    """Repetitions with which ``recall`` of the copies of these items (code points) with ``max_edits`` meet, for each
+    kind of edits; ``MOST_REPETITIONS`` if none suffice."""
+    rng = np.random.default_rng(steps)
+    shown = [items[i] for i in np.linspace(0, len(items) - 1, min(_SIMULATED, len(items))).astype(int)]
+    need = []
+    for kind in ("replaced", "words", "mixed", "random"):
+        first = []
+        for x in shown:
+            copy, at = _edited(x, math.floor(max_edits * len(x)), kind, rng)
+            mine, end = walks(x, steps, MOST_REPETITIONS)
+            theirs, their_end = walks(copy, steps, MOST_REPETITIONS, _STRIDE)
+            rows, cols = np.flatnonzero(end <= len(x)), np.flatnonzero(their_end <= len(copy))
+            near = np.abs(rows[:, None] - at[cols * _STRIDE]) <= 1  # a meeting at the place, not by chance elsewhere
+            first.append(next((r + 1 for r in range(MOST_REPETITIONS)
+                               if (near & (mine[r][rows][:, None] == theirs[r][cols])).any()), MOST_REPETITIONS + 1))
+        # Few copies are made, so half of what may be missed is kept in reserve.
+        need.append(int(np.sort(first)[math.ceil((1 + recall) / 2 * len(first)) - 1]))
+    return min(max(need), MOST_REPETITIONS)
+
+
+def _codes(chars: np.ndarray) -> np.ndarray:
+    """Characters as numbers below 255. Some share one, which can only make strings more alike."""
+    return ((chars ^ (chars >> np.uint32(7))) % np.uint32(251)).astype(np.uint8)
+
+
+def piece_edits(pieces: np.ndarray, which: np.ndarray, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Least edit distances of ``pieces[which]`` (rows of 64 codes) to ``codes[begins:ends]``, many places at a time."""
+    one, top = np.uint64(1), np.uint64(63)
+    masks = np.zeros((len(pieces), 256), np.uint64)
+    for k in range(64):
+        masks[np.arange(len(pieces)), pieces[:, k]] |= one << np.uint64(k)
+    masks = masks.ravel()
+    out = np.empty(len(which), np.int64)
+    order = np.argsort(ends - begins, kind="stable")
+    for a in range(0, len(order), _PLACES):
+        part = order[a:a + _PLACES]
+        n, row, end = len(part), which[part] * 256, ends[part]
+        vp, vn = np.full(n, 2 ** 64 - 1, np.uint64), np.zeros(n, np.uint64)
+        score = np.full(n, 64, np.int64)
+        best = score.copy()
+        at, shortest = begins[part], int((end - begins[part]).min())
+        for j in range(int((end - begins[part]).max())):
+            if j < shortest:
+                eq = masks[row + codes[at + j]]
+            else:  # past its end a place reads a code that matches nothing
+                eq = masks[row + np.where(at + j < end, codes[np.minimum(at + j, len(codes) - 1)], 255)]
+            xv = eq | vn
+            xh = (((eq & vp) + vp) ^ vp) | eq
+            hp, hn = vn | ~(xh | vp), vp & xh
+            score += ((hp >> top) - (hn >> top)).view(np.int64)
+            hp, hn = hp << one, hn << one
+            vp, vn = hn | ~(xv | hp), hp & xv
+            np.minimum(best, score, out=best)
+        out[part] = best
+    return out
 
 
 def edit_distance(pattern: str, text: str) -> tuple[int, int]:
@@ -107,48 +216,6 @@ def edit_distance(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
-def window_chars(n: int, edits: int, recall: float) -> int:
-    """Longest window (16 at most, 1 at least) of which a text of ``n`` characters with ``edits`` edits at
-    random places keeps an unedited one with probability ``recall``."""
-    clean = 1 - edits / n
-    for q in range(min(16, n), 1, -1):
-        none = [1.0] * q + [1 - clean ** q]  # none[j]: no such window in the first j characters
-        for j in range(q + 1, n + 1):
-            none.append(none[-1] - none[j - q - 1] * (1 - clean) * clean ** q)
-        if 1 - none[n] >= recall:
-            return q
-    return 1
-
-
-class Grams:
-    """Hashes of runs of characters, joined from runs of 1, 2, 4, .. by the bits of their length."""
-
-    _BASE = 0x9E3779B97F4A7C15
-
-    def __init__(self, chars: np.ndarray):
-        self.n, self.parts = len(chars), {1: chars.astype(np.uint64) + np.uint64(1)}
-
-    def part(self, size: int) -> np.ndarray:
-        if size not in self.parts:
-            half, n = self.part(size // 2), max(0, self.n - size + 1)
-            self.parts[size] = half[:n] + half[size // 2:size // 2 + n] * np.uint64(pow(self._BASE, size // 2, 1 << 64))
-        return self.parts[size]
-
-    def keys(self, q: int, at: np.ndarray | None = None) -> np.ndarray:
-        """Hash of the ``q`` characters from every character that has so many, or from those ``at``."""
-        n, out, done = max(0, self.n - q + 1), None, 0
-        for size in (1 << k for k in range(q.bit_length()) if q >> k & 1):
-            x = self.part(size)[done:done + n] if at is None else self.part(size)[at + done]
-            out = x if out is None else out + x * np.uint64(pow(self._BASE, done, 1 << 64))
-            done += size
-        return mix(out)
-
-
-def grams(chars: np.ndarray, q: int) -> np.ndarray:
-    """Hash of the ``q`` characters from every character that has so many."""
-    return Grams(chars).keys(q)
-
-
 def plain_chars(low: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(code points of the words, a space after each; where each word starts, and the end)."""
     size = stops - starts
@@ -174,6 +241,10 @@ def least_edits(patterns: list, which: np.ndarray, chars: np.ndarray, begins: np
         part = order[a:a + _PLACES]
         part = part[(sizes[which[part]] + 63) // 64 == blocks]
         a += len(part)
+        if len(part) < 3 * (blocks - 1):  # few places, long patterns: a column costs less on one long integer
+            for x in part:
+                out[x] = edit_distance("".join(map(chr, patterns[which[x]].tolist())), "".join(map(chr, chars[begins[x]:ends[x]].tolist())))[0]
+            continue
         items, row = np.unique(which[part], return_inverse=True)
         alphabet = np.unique(np.concatenate([patterns[i] for i in items]))
         masks = np.zeros((blocks, len(items), len(alphabet) + 1), np.uint64)  # the last column matches nothing
@@ -218,31 +289,25 @@ class Index:
         h, off, starts, stops = word_hashes(arr)
         low, _ = utf8_parts(pc.utf8_lower(clean_strings(arr)))
         chars, begin = plain_chars(low, starts, stops)
-        self.ids, self.words, self.max_edits = ids, np.diff(off), max_edits
-        self.begin = [begin[off[i]:off[i + 1]] - begin[off[i]] for i in range(len(ids))]
+        self.ids, self.max_edits = ids, max_edits
         self.plain = [chars[begin[off[i]]:max(begin[off[i]], begin[off[i + 1]] - 1)] for i in range(len(ids))]
-        self.allowed = np.array([math.floor(max_edits * len(x)) for x in self.plain])
-        self.tables, self.grams = [], []
-        for steps in STEPS:
-            mine = [i for i in range(len(ids)) if self.words[i] >= steps
-                    and (steps == STEPS[0] or self.words[i] < STEPS[STEPS.index(steps) - 1])]
-            for rep in range(repetitions(steps, recall, agreement) if mine else 0):
-                found = []
-                for i in mine:
-                    k, last = walk_keys(h[off[i]:off[i + 1]], steps, rep)
-                    ok = np.flatnonzero(last <= self.words[i])
-                    found.append((k[ok], i, self.begin[i][ok]))
-                self.tables.append((steps, rep, *self._table(found)))
+        self.allowed = np.array([math.floor(max_edits * len(x)) for x in self.plain], np.int64)
+        self.tables = []  # (steps, table of each repetition)
         classes: dict = {}
         for i, x in enumerate(self.plain):
-            if self.allowed[i]:
-                classes.setdefault(window_chars(len(x), int(self.allowed[i]), recall), []).append(i)
-        # Windows begin with the shortest class's characters: most places of a text end at this filter.
-        self.least, self.first = min(classes, default=0), np.zeros(1 << _FILTER_BITS, bool)
-        for i in np.flatnonzero(self.allowed):
-            self.first[(grams(self.plain[i], self.least) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-        for q, mine in sorted(classes.items()):
-            self.grams.append((q, *self._table([(g := grams(self.plain[i], q), i, np.arange(len(g))) for i in mine])))
+            if len(x):
+                # Without allowed edits a walk over the whole item meets equal ones only; one repetition does.
+                classes.setdefault(steps_of(len(x)), []).append(i)
+        for steps, mine in sorted(classes.items()):
+            edited = [self.plain[i] for i in mine if self.allowed[i]]
+            reps = max(repetitions(steps, recall, agreement), repetitions_for(edited, steps, recall, max_edits)) if edited else 1
+            found: list = [[] for _ in range(min(reps, MOST_REPETITIONS))]
+            for i in mine:
+                keys, last = walks(self.plain[i], steps, len(found))
+                ok = np.flatnonzero(last <= len(self.plain[i]))
+                for r, k in enumerate(keys):
+                    found[r].append((k[ok], i, ok))
+            self.tables.append((steps, [self._table(f) for f in found]))
 
     @staticmethod
     def _table(found: list) -> tuple:
@@ -256,62 +321,106 @@ class Index:
         return k[order], item[order], place[order], seen
 
     @staticmethod
-    def _meet(k: np.ndarray, at: np.ndarray, keys, item, place, seen):
-        """(character where the copy should start, item) of keys that meet; ``at`` are the keys' characters."""
+    def _meet(k: np.ndarray, keys, item, place, seen):
+        """(character of the meeting, character where the copy should start, item) of keys that meet."""
         maybe = np.flatnonzero(seen[(k >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         lo, hi = np.searchsorted(keys, k[maybe], "left"), np.searchsorted(keys, k[maybe], "right")
         n = hi - lo
         x = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        w = np.repeat(maybe, n)
-        here = at[w]
+        here = np.repeat(maybe, n) * _STRIDE
         return here, here - place[x], item[x]
 
-    def candidates(self, h: np.ndarray, begin: np.ndarray, chars: np.ndarray):
+    def candidates(self, chars: np.ndarray):
         """(a character of the copy, character where it should start, item) of all that meet."""
-        for steps, rep, *table in self.tables:
-            yield self._meet(walk_keys(h, steps, rep)[0], begin, *table)
-        if self.grams:
-            g = Grams(chars)
-            some = np.flatnonzero(self.first[(g.keys(self.least) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-            for q, *table in self.grams:
-                at = some[some <= len(chars) - q]
-                yield self._meet(g.keys(q, at), at, *table)
+        for steps, tables in self.tables:
+            for k, table in zip(walks(chars, steps, len(tables), _STRIDE)[0], tables):
+                yield self._meet(k, *table)
+
+
+def _places(index: Index, chars: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, item, least start, greatest start) of the places that meet; starts of one text and item that lie
+    within the allowed edits of each other are one place."""
+    got = [x for x in index.candidates(chars) if len(x[0])]
+    if not got:
+        return (np.zeros(0, np.int64),) * 4
+    here, start, item = (np.concatenate(c).astype(np.int64) for c in zip(*got))
+    t = np.searchsorted(first, here, "right") - 1
+    order = np.lexsort((start, item, t))
+    t, item, start = t[order], item[order], start[order]
+    spot = start // np.maximum(index.allowed[item], 1)
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (item[1:] != item[:-1]) | (spot[1:] != spot[:-1])
+    a = np.flatnonzero(new)
+    b = np.append(a[1:], len(t)) - 1
+    return t[a], item[a], start[a], start[b]
+
+
+def _equal(index: Index, chars: np.ndarray, item: np.ndarray, start: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the item stands at ``start``, inside the text that has the characters from ``begin`` to ``end``."""
+    sizes = np.array([len(x) for x in index.plain], np.int64)[item]
+    flat, offset = np.concatenate(index.plain), np.cumsum([0] + [len(x) for x in index.plain])[item]
+    ok = (start >= begin) & (start + sizes <= end)
+    for part in np.linspace(0, 1, 9):  # a look at a few characters leaves few to compare
+        rows = np.flatnonzero(ok)
+        at = (part * (sizes[rows] - 1)).astype(np.int64)
+        ok[rows] = chars[start[rows] + at] == flat[offset[rows] + at]
+    for x in np.flatnonzero(ok):
+        ok[x] = np.array_equal(chars[start[x]:start[x] + sizes[x]], index.plain[item[x]])
+    return ok
+
+
+def _edits(index: Index, chars: np.ndarray, item, low, high, begin, end) -> np.ndarray:
+    """Least edits of each place, or more than its item allows: that the exact number is known only up to there."""
+    allowed = index.allowed[item]
+    sizes = np.array([len(x) for x in index.plain], np.int64)[item]
+    out = np.full(len(item), 1 << 40, np.int64)
+    lo, hi = np.maximum(low - allowed, begin), np.minimum(high + allowed + sizes, end)
+    # A stretch shorter than the item by more than the allowed edits cannot hold a copy.
+    open_, bound = np.flatnonzero((allowed > 0) & (hi - lo >= sizes - allowed)), np.zeros(len(item), np.int64)
+    codes = _codes(chars)
+    for k in range(8):  # pieces of 64 characters, an eighth of a longer item's
+        rows = open_[sizes[open_] > (k + 1) * _PIECE]  # the rest is left to the whole comparison
+        if not len(rows):
+            break
+        size = np.maximum(_PIECE, sizes[rows] // 8)
+        a = np.maximum(lo[rows], low[rows] + k * size - allowed[rows])
+        b = np.maximum(a, np.minimum(hi[rows], high[rows] + (k + 1) * size + allowed[rows]))
+        for short in (True, False):
+            some = np.flatnonzero((size == _PIECE) == short)
+            if len(some):
+                names, which = np.unique(item[rows[some]], return_inverse=True)
+                step = [max(_PIECE, len(index.plain[i]) // 8) for i in names]
+                pieces = [index.plain[i][k * p:(k + 1) * p] for i, p in zip(names, step)]
+                bound[rows[some]] += (piece_edits(_codes(np.stack(pieces)), which, codes, a[some], b[some]) if short
+                                      else least_edits(pieces, which, chars, a[some], b[some]))
+        open_ = open_[bound[open_] <= allowed[open_]]
+    out[open_] = least_edits(index.plain, item[open_], chars, lo[open_], hi[open_])
+    return out
 
 
 def find_items(texts: pa.Array, index: Index):
     """(text number, item number, edits) for each text and item whose copy it holds, least edits."""
-    sizes = np.array([len(x) for x in index.plain], np.int64)
     for a, b in text_slices(texts, 1 << 20):
         part = clean_strings(texts.slice(a, b - a))
         h, off, starts, stops = word_hashes(part)
-        if not len(h):
+        if not len(h) or not index.tables:
             continue
         low, _ = utf8_parts(pc.utf8_lower(part))
         chars, begin = plain_chars(low, starts, stops)
         first = begin[off]  # of each text, and the end
-        met = []
-        for here, start, item in index.candidates(h, begin, chars):
-            t = np.searchsorted(first, here, "right") - 1
-            # Starts that lie within the allowed edits of each other are one place.
-            met.append(np.unique(np.stack([t, item, (start + (1 << 40)) // np.maximum(index.allowed[item], 1)]), axis=1)
-                       if len(t) else np.zeros((3, 0), np.int64))
-        t, item, spot = np.unique(np.concatenate(met, axis=1), axis=1).astype(np.int64) if met else np.zeros((3, 0), np.int64)
-        if not len(t):
-            continue
-        allowed = index.allowed[item]
-        start = spot * np.maximum(allowed, 1) - (1 << 40)
-        lo = np.maximum(start - allowed, first[t])
-        hi = np.minimum(start + 2 * allowed + sizes[item], first[t + 1] - 1)
-        edits = np.full(len(t), 1 << 40)
-        # A stretch shorter than the item by more than the allowed edits cannot hold a copy.
-        fuzzy = np.flatnonzero((allowed > 0) & (hi - lo >= sizes[item] - allowed))
-        edits[fuzzy] = least_edits(index.plain, item[fuzzy], chars, lo[fuzzy], hi[fuzzy])
-        for x in np.flatnonzero((allowed == 0) & (hi - lo == sizes[item])):  # too short for any edit: whole words must be equal
-            if (np.array_equal(chars[lo[x]:hi[x]], index.plain[item[x]]) and chars[hi[x]] == 32
-                    and (lo[x] == 0 or chars[lo[x] - 1] == 32)):
-                edits[x] = 0
+        t, item, least, most = _places(index, chars, first)
+        edits = np.full(len(t), 1 << 40, np.int64)
+        for start in (least, most):
+            edits[_equal(index, chars, item, start, first[t], first[t + 1] - 1)] = 0
+        # Too short for any edit: whole words must be equal.
+        for x in np.flatnonzero((index.allowed[item] == 0) & (edits == 0)):
+            s, e = int(least[x]), int(least[x]) + len(index.plain[item[x]])
+            if not (chars[e] == 32 and (s == first[t[x]] or chars[s - 1] == 32)):
+                edits[x] = 1 << 40
+        rest = np.flatnonzero(edits > 0)
+        edits[rest] = np.minimum(edits[rest], _edits(index, chars, item[rest], least[rest], most[rest], first[t[rest]], first[t[rest] + 1] - 1))
         best: dict = {}
-        for x in np.flatnonzero(edits <= allowed):
+        for x in np.flatnonzero(edits <= index.allowed[item]):
             key = (int(t[x]), int(item[x]))
             best[key] = min(best.get(key, 1 << 40), int(edits[x]))
         for (x, i), e in sorted(best.items()):
@@ -349,7 +458,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
               .add(item_name, benchmark.schema[item_col].dataType).add("item_chars", "long").add("edits", "long"))
     src = docs.select(col(id_col), col(text_col).alias(fresh([id_col], "text")))
     item_type = None
-    out = None
+    out, last = None, None
     for index in item_blocks(benchmark, item_col, item_text, block_words, recall, agreement, max_edits):
         def run(batches, index=index):
             for batch in batches:
@@ -362,16 +471,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     [batch.column(0).take(pa.array(t, pa.int64())), pa.array([index.ids[x] for x in i], item_type),
                      pa.array([len(index.plain[x]) for x in i], pa.int64()), pa.array(e, pa.int64())], names=schema.names)
 
-        found = src.mapInArrow(run, schema)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+        if last is not None:  # a block's matches are written before the next block's keys are made
+            last = written(last, "decontaminate")
+            out = last if out is None else out.unionByName(last)
+        last = src.mapInArrow(run, schema)
+    if last is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    return last if out is None else out.unionByName(last)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text: str = "text", max_edits: float = 0.2, recall: float = 0.9, agreement: float = 0.92,
                       block_words: int = 500_000) -> DataFrame:
     """The documents that hold no benchmark item, columns unchanged."""
-    at = docs.columns.index(text_col)
+    at, seen = docs.columns.index(text_col), False
     for index in item_blocks(benchmark, item_col, item_text, block_words, recall, agreement, max_edits):
         def run(batches, index=index):
             for batch in batches:
@@ -380,5 +493,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                     keep[t] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        if seen:
+            docs = written(docs, "decontaminate")
+        docs, seen = docs.mapInArrow(run, docs.schema), True
     return docs

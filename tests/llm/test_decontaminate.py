@@ -140,3 +140,57 @@ def test_typos_in_most_words_are_verified():
     copy = " ".join(words)
     assert len(set(words) & set(item.split())) < 0.4 * len(set(item.split()))
     assert [(t, i, e) for t, i, e in D.find_items(pa.array([some(30) + " " + copy + " " + some(30), some(200)]), index)] == [(0, 0, 32)]
+
+
+def _spread(text, kind, rng, share=0.2):
+    """A copy with edits in one of every few characters, so that no run of characters is left alone."""
+    if kind == "words":  # one replaced character in each word
+        return " ".join(w[:len(w) // 2] + "q" + w[len(w) // 2 + 1:] for w in text.split())
+    out, k = list(text), int(share * len(text))
+    for at in sorted((i * len(text) // k for i in range(k)), reverse=True):
+        out[at:at + 1] = ["q"] if kind == "replaced" else rng.choice([[], [out[at], "x"], ["x"]])
+    return "".join(out)
+
+
+def test_recall_of_evenly_spread_edits():
+    import pyarrow as pa
+
+    rng, some = _texts(11)
+    for words in (12, 25, 50):
+        items = [some(words) for _ in range(40)]
+        index = D.Index(list(range(40)), items, 0.9, 0.92)
+        for kind in ("words", "replaced", "mixed"):
+            texts = [f"{some(15)} {_spread(x, kind, rng)} {some(15)}" for x in items]
+            got = {(t, i) for t, i, _ in D.find_items(pa.array(texts), index)}
+            want = [i for i, x in enumerate(items) if D.edit_distance(x, texts[i])[0] <= int(0.2 * len(x))]
+            assert len(want) >= 25 and sum((i, i) in got for i in want) >= 0.85 * len(want), (words, kind)
+
+
+def test_long_item_and_long_text():
+    import time
+    import pyarrow as pa
+
+    rng, some = _texts(12)
+    long = some(1800)
+    index = D.Index([0, 1], [long, some(40)], 0.9, 0.92)
+    copy = list(long)
+    for at in rng.sample(range(len(copy)), len(copy) // 10):
+        copy[at] = "x"
+    texts = [some(100) + " " + long + " " + some(100), some(100) + " " + "".join(copy), some(4000)]
+    start = time.process_time()
+    got = list(D.find_items(pa.array(texts), index))
+    assert [(t, i) for t, i, _ in got] == [(0, 0), (1, 0)] and got[0][2] == 0 and 0 < got[1][2] <= len(long) // 10
+    assert time.process_time() - start < 30
+
+
+def test_piece_bound_is_never_above_the_distance():
+    rng = random.Random(13)
+    code = lambda s: np.array([ord(c) for c in s], np.uint32)
+    pieces = ["".join(rng.choice("abcdé漢 ") for _ in range(64)) for _ in range(5)]
+    text = "".join(rng.choice("abcdéz漢 ") for _ in range(600))
+    which = np.array([rng.randrange(5) for _ in range(80)])
+    a = np.array([rng.randrange(560) for _ in which])
+    b = np.minimum(600, a + np.array([rng.randint(0, 150) for _ in which]))
+    got = D.piece_edits(np.stack([D._codes(code(p)) for p in pieces]), which, D._codes(code(text)), a, b)
+    exact = [D.edit_distance(pieces[w], text[x:y])[0] for w, x, y in zip(which, a, b)]
+    assert all(g <= e for g, e in zip(got, exact)) and sum(g == e for g, e in zip(got, exact)) > 70
