@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -55,9 +57,11 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end(), m.group()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), 2, m.end(), m.group()) for m in HEX.finditer(text)]
-    taken = [(a, b) for a, _, b, _ in found]
+    taken = sorted((a, b) for a, _, b, _ in found)
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     for m in TOKEN.finditer(text):
-        if mixed(m.group()) and not any(a < m.end() and m.start() < b for a, b in taken):
+        before = bisect_left(starts, m.end())  # spans that begin before the token's end; do any reach into it?
+        if mixed(m.group()) and not (before and reach[before - 1] > m.start()):
             found.append((m.start(), 3, m.end(), m.group()))
     return sorted(found)
 

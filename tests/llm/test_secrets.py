@@ -63,3 +63,25 @@ def test_verdict_uses_owners_and_repositories(spark, docs_of):
         assert (got[i]["span_owners"], got[i]["span_repositories"]) == ("2", "2")
     strict = X.scan_secrets(docs_of(rows), ["doc_id"], repository=["lang"], max_owners=1).where("doc_id >= 100")
     assert all(r["n_copied"] == 1 for r in strict.collect())
+
+
+def test_many_tokens_and_digests_in_one_text():
+    """The overlap of tokens with spans, against the plain rule, in a text long enough to show a quadratic scan."""
+    import random
+    import time
+
+    from tablemover.llm import secrets as S
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefABCDEF0123456789xyzXYZ") for _ in range(n))
+    parts = [rng.choice([word(40), "".join(rng.choice("0123456789abcdef") for _ in range(36)), f"token={word(20)}", "AKIA" + "A1B2C3D4E5F6G7H8"])
+             for _ in range(400)]
+    text = " ".join(parts)
+    spans = S.candidates(text)
+    base = [(a, b) for a, k, b, _ in spans if k < 3]
+    plain = [(m.start(), m.end()) for m in S.TOKEN.finditer(text)
+             if S.mixed(m.group()) and not any(a < m.end() and m.start() < b for a, b in base)]
+    assert [(a, b) for a, k, b, _ in spans if k == 3] == plain and plain
+    start = time.process_time()
+    S.candidates(" ".join([text] * 60))
+    assert time.process_time() - start < 20
