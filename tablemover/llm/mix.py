@@ -146,8 +146,20 @@ def mix_decisions(sizes: DataFrame, weights: DataFrame, limit: float = 3.0, bloc
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     t = targets.select(F.col("source").alias("t_source"), "blocks", ratio.alias("ratio"))
     whole = F.floor("ratio").cast("long")
+    # Rows that repeat (an id, or a null one, with one size) more often than a block holds are dealt by their row, too.
+    same = ["source", "doc", "size"]
+    often = written(sizes.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select(
+        *[F.col(c).alias(f"o_{c}") for c in same]), "mix-repeats")
+    if not often.isEmpty():
+        row = F.monotonically_increasing_id()
+        each = [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in same]
+        sizes = sizes.withColumn("row", row).join(often, each, "left").select(
+            *same, F.when(F.col("o_size").isNotNull(), F.col("row")).otherwise(F.lit(0)).alias("row"))
+    else:
+        sizes = sizes.withColumn("row", F.lit(0))
+    number = F.when(F.col("row") == 0, F.xxhash64("doc", "size")).otherwise(F.xxhash64("doc", "size", "row"))
     base = (sizes.join(t, F.col("source").eqNullSafe(F.col("t_source")))
-            .withColumn("h", F.xxhash64("doc", "size"))
+            .withColumn("h", number)
             .withColumn("frac", F.when(F.col("size") > 0, F.col("ratio") - whole).otherwise(F.lit(0.0)))
             .select("doc", "source", F.pmod("h", "blocks").alias("block"), "size", whole.alias("copies"),
                     F.lit(False).alias("open"), "frac", "h"))

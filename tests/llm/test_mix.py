@@ -77,3 +77,15 @@ def test_edges_and_clashing_columns(spark, docs_of):
     assert all((r["doc_id"], r["text"]) in keys for r in out.collect())
     assert mix.mix_sources(d.limit(0)).count() == 0
     assert mix.mix_sources(d.where("text is null")).count() >= 0
+
+
+def test_repeated_and_null_ids_are_dealt_to_blocks(spark):
+    rows = [(None, "a", 7)] * 3000 + [(5, "a", 3)] * 1500 + [(i, "b", i % 9 + 1) for i in range(100, 400)]
+    sizes = spark.createDataFrame(rows, "doc long, source string, size long")
+    from tablemover.llm.common import written
+    d = mix.mix_decisions(written(sizes, "t"), mix.cycle_weights(sizes.select("source")), block=64).collect()
+    assert len(d) == len(rows)
+    for s in ("a", "b"):
+        mine = [r for r in d if r["source"] == s]
+        taken = sum(r["copies"] * r["size"] for r in mine)
+        assert abs(taken - mine[0]["target"]) <= max(r["size"] for r in mine)
