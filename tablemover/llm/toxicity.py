@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import col, fresh, mix, segment_sums, text_slices, word_hashes
 
@@ -75,9 +75,11 @@ def held_out(doc_id, modulus: int, remainder: int):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, modulus: int,
-                  remainder: int, max_train: int, shards: int) -> DataFrame:
-    """(shard, place, text, y): at most about ``max_train`` labelled rows outside the held-out fold, chosen
-    and ordered by a hash of the id. Labels other than 0 and 1, and ids with differing labels, are left out."""
+                  remainder: int, max_train: int, shards: int, texts_per_id: int = 4) -> DataFrame:
+    """(shard, place, text, y): the texts of at most about ``max_train`` labelled ids outside the held-out fold, chosen
+    and ordered by a hash of the id. Labels other than 0 and 1, and ids with differing labels, are left out. An
+    id that repeats gives each distinct text once, and at most ``texts_per_id`` of them (by their hash), so
+    the sample is bounded by rows as well; the ids, ``max_train`` at most, are broadcast."""
     lab = (labels.where(col(label).isin(0, 1) & col(id_col).isNotNull() & ~held_out(col(id_col), modulus, remainder))
            .groupBy(col(id_col).alias("y_id")).agg(F.min(col(label)).alias("y"), F.max(col(label)).alias("y2"))
            .where("y = y2").withColumn("place", F.xxhash64("y_id")))
@@ -85,7 +87,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str, t
     share = min(1.0, max_train / max(n, 1))
     lab = lab.where(F.pmod("place", F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
     d = docs.select(col(id_col).alias("d_id"), col(text_col).alias("text"))
-    return (d.join(lab, F.col("d_id") == F.col("y_id"))
+    found = (d.join(F.broadcast(lab), F.col("d_id") == F.col("y_id"))
+             .groupBy("y_id", "place", "y", F.xxhash64("text").alias("h"), F.length("text").alias("n")).agg(F.min("text").alias("text")))
+    first = Window.partitionBy("y_id").orderBy("h", "n")
+    return (found.withColumn("k", F.row_number().over(first)).where(F.col("k") <= texts_per_id)
             .select(F.pmod(F.xxhash64("place", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), "place", "text",
                     F.col("y").cast("int").alias("y")))
 

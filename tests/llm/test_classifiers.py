@@ -104,3 +104,48 @@ def test_edge_rows(spark, docs_of):
         assert [r["held_out"] for r in t if r["doc_id"] is None] == [False]
     assert toxicity.toxicity_scores(d.limit(0), none).count() == 0
     assert quality.keep_quality(d.limit(0), quality.fit_quality(d, none)).columns == d.columns
+
+
+def test_training_sample_is_bounded_by_rows(spark, docs_of):
+    from tablemover.llm.toxicity import training_rows
+
+    rows = [(1, f"text {i}") for i in range(500)] + [(1, "same")] * 500 + [(i, f"doc {i}") for i in range(2, 40)] + [(2, None), (3, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    got = training_rows(docs_of(rows), labels, "toxic", "doc_id", "text", 5, 99, 10_000, 1).collect()
+    of_one = [r for r in got if r["place"] == next(x["place"] for x in got if x["text"] and x["text"].startswith("text"))]
+    assert len(of_one) == 4 and len({r["text"] for r in of_one}) == 4
+    assert sorted(r["text"] or "" for r in got if r not in of_one) == sorted([f"doc {i}" for i in range(2, 40)] + ["", ""])
+
+
+def test_ftrl_against_a_plain_one():
+    """The weights of a few examples, against the update written out coordinate by coordinate."""
+    import inspect
+    import math
+
+    from tablemover.llm.toxicity import fit_ftrl
+
+    rng = np.random.default_rng(3)
+    examples = [(np.unique(rng.integers(0, 12, 4)), int(rng.integers(2))) for _ in range(60)]
+    given = {k: p.default for k, p in inspect.signature(fit_ftrl).parameters.items() if p.default is not inspect.Parameter.empty}
+    alpha, beta, l1, l2, epochs = (given[k] for k in ("alpha", "beta", "l1", "l2", "epochs"))
+    z, n, bias, bn = {}, {}, 0.0, 0.0
+
+    def weight(c):
+        if abs(z.get(c, 0.0)) <= l1:
+            return 0.0
+        return -(z[c] - math.copysign(l1, z[c])) / ((beta + math.sqrt(n[c])) / alpha + l2)
+
+    for _ in range(epochs):
+        for cells, y in examples:
+            x = sum(weight(c) for c in cells.tolist()) + bias
+            g = 1 / (1 + math.exp(-max(-35, min(35, x)))) - y
+            for c in cells.tolist():
+                w, old = weight(c), n.get(c, 0.0)
+                z[c] = z.get(c, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w
+                n[c] = old + g * g
+            bn += g * g
+            bias -= 0.1 * g / (1 + math.sqrt(bn))
+    m = fit_ftrl(examples)
+    want = {c: weight(c) for c in z if abs(z[c]) > l1}
+    assert dict(zip(m.coords.tolist(), m.weights.tolist())).keys() == want.keys() and want
+    assert all(abs(w - want[c]) < 1e-6 for c, w in zip(m.coords.tolist(), m.weights.tolist())) and abs(m.bias - bias) < 1e-9
