@@ -29,6 +29,11 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def path_has_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists and holds anything (one directory listing, not a recursive one)."""
     try:

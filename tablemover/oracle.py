@@ -413,6 +413,23 @@ WITH r AS (SELECT CAST(c_custkey AS VARCHAR) AS what, concat_ws('|', c_name, c_m
 SELECT 'c2' AS t, what, value FROM r UNION ALL SELECT 'c3', what, value FROM r
 UNION ALL SELECT * FROM (VALUES ('c3', 'path', 'a\\b'), ('c3', 'q', 'o''neil'), ('c2', 'migration.owner', 'o''neil \\ co'),
     ('c2', 'k', 'bigint it''s'), ('c2', 'name', 'varchar(30)'), ('c2', 'seg', 'char(12)'), ('c2', 'n', 'struct<a-b:int,c:string>')) v(a, b, c)"""
+    sql["rewrite_parsed"] = """
+WITH s AS (SELECT s_suppkey, 't' || CAST(s_suppkey AS VARCHAR) AS t FROM supplier)
+SELECT s_suppkey, CASE s_suppkey % 5
+    WHEN 0 THEN 'SELECT seg.x FROM new.n_' || t || ' seg WHERE seg.x > 1'
+    WHEN 1 THEN 'SELECT * FROM new.`q-' || t || '` -- old.' || t
+    WHEN 2 THEN 'WITH c AS (SELECT new.n_' || t || '.x FROM new.n_' || t || ') SELECT ''old.' || t || ''' FROM c'
+    WHEN 3 THEN 'SELECT old.' || t || ' FROM other old WHERE EXISTS (SELECT 1 FROM main.new.n_' || t || ')'
+    ELSE 'SELECT new.n_' || t || '.* FROM new.n_' || t || ' JOIN x.y USING (id)' END AS new_text
+FROM s"""
+    sql["view_graph"] = """
+WITH l AS (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 20 = 7),
+t AS (SELECT s_suppkey AS k, CAST(length(bin(s_suppkey)) - 1 AS INTEGER) AS level FROM supplier WHERE s_suppkey > 0)
+SELECT 't.v' || CAST(k AS VARCHAR) AS "view", level, NULL AS cycle FROM t
+UNION ALL
+SELECT 't.' || x || CAST(k AS VARCHAR), (SELECT max(level) + 1 FROM t),
+       't.a' || CAST(k AS VARCHAR) || ' -> t.b' || CAST(k AS VARCHAR) || ' -> t.a' || CAST(k AS VARCHAR)
+FROM l, (VALUES ('a'), ('b')) y(x)"""
     sql["manifest_files"] = _with(MAN) + """
 SELECT "database", "name", target_schema, target_table, is_pii, t_no, format
 FROM man, (VALUES ('json'), ('csv'), ('yaml')) f(format)"""

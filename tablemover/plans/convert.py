@@ -464,6 +464,37 @@ def _target_name(spark: SparkSession, catalog: str | None, schema: str, name: st
 _text = copy_ops.sql_text
 
 
+def statement_error(spark: SparkSession, statement: str) -> str | None:
+    """Why a statement doesn't parse, found without running it; None if it does."""
+    try:
+        spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+        return None
+    except Exception as e:  # noqa: BLE001
+        return next((x for x in str(e).splitlines() if x.strip()), repr(e))
+
+
+def _dry_problems(spark: SparkSession, row: dict, statement: str, provider: str) -> str | None:
+    """What would stop a registration: the statement, an unknown provider, a source that can't be read, a target
+    that exists, a location that is gone."""
+    if wrong := statement_error(spark, statement):
+        return wrong
+    jvm = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource
+    try:
+        jvm.lookupDataSource(provider, spark._jsparkSession.sessionState().conf())
+    except Exception as e:  # noqa: BLE001
+        return str(e).splitlines()[0]
+    try:
+        spark.table(_q(row["source_schema"], row["source_name"])).schema  # noqa: B018 - analysis alone
+        if spark.catalog.tableExists(_target_name(spark, row.get("target_catalog"), row["target_schema"], row["target_name"])):
+            return "the target exists already"
+    except Exception as e:  # noqa: BLE001
+        return str(e).splitlines()[0]
+    loc = row.get("location")
+    if loc and not copy_ops.path_exists(spark, loc):
+        return f"location does not exist: {loc}"
+    return None
+
+
 def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None) -> tuple[dict, dict | None, str]:
     """Create the target table over the source's files: (base row, failure outcome or None, name)."""
     dst = _target_name(spark, row.get("target_catalog"), row["target_schema"], row["target_name"])
@@ -488,7 +519,8 @@ def _register(spark: SparkSession, row: dict, dry_run: bool, owner: str | None)
     except Exception as e:  # noqa: BLE001 - one outcome per table
         return base, _outcome(base, "REGISTER_FAILED", str(e)), dst
     if dry_run:
-        return base, _outcome(base, "DRY_RUN", stmt), dst
+        wrong = _dry_problems(spark, row, stmt, provider)
+        return base, _outcome(base, "STATEMENT_INVALID" if wrong else "DRY_RUN", f"{wrong}: {stmt}" if wrong else stmt), dst
     try:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_target_name(spark, row.get('target_catalog'), row['target_schema'])}")
         spark.sql(stmt)

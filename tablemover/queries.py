@@ -28,7 +28,7 @@ from .plans.migrate import migrate
 from .plans.migration import plan_migration
 from .plans.report import ineligible, outcome_counts
 from .plans.targets import plan_targets
-from .plans.views import migrate_views, view_plan
+from .plans.views import migrate_views, view_mapping, view_plan
 from .session import new_database, new_work_dir, scratch
 from .sources.catalog import inventory
 from .sources.manifest import build_manifest, dedup_manifest, manifest_problems, type_manifest
@@ -792,7 +792,6 @@ def q_view_chain(spark, sf):
         below = "orders" if i == 29 else f"v{i + 1:02d}"
         spark.sql(f"CREATE VIEW `{src}`.v{i:02d} AS SELECT * FROM `{src}`.{below}")
     vp = view_plan(inventory(spark, [src])).withColumn("target_schema", F.lit(tgt))
-    from .plans.views import view_mapping
     out = migrate_views(spark, vp, view_mapping(vp), dry_run=False)
     made = outcome_counts(out, "outcome").withColumnRenamed("objects", "n")
     return made.unionByName(spark.table(f"`{tgt}`.v00").groupBy(F.col("o_orderstatus").alias("outcome"))
@@ -994,6 +993,43 @@ def q_registered_declarations(spark, sf):
     return rows[0].unionByName(rows[1]).unionByName(spark.createDataFrame(sorted(set(facts)), "t string, what string, value string"))
 
 
+def q_rewrite_parsed(spark, sf):
+    """A query text per supplier, with blanks and comments around dots, doubled back-ticks, an alias that is named
+    like a database, sub-queries and common table expressions, rewritten as the parser reads them."""
+    from .operators.references import rewrite_parsed
+    t = F.concat(F.lit("t"), F.col("s_suppkey").cast("string"))
+    k = F.col("s_suppkey") % 5
+    text = (F.when(k == 0, F.concat(F.lit("SELECT seg.x FROM old . "), t, F.lit(" seg WHERE seg.x > 1")))
+            .when(k == 1, F.concat(F.lit("SELECT * FROM `d``b`."), t, F.lit(" -- old."), t))
+            .when(k == 2, F.concat(F.lit("WITH c AS (SELECT old."), t, F.lit(".x FROM old./* old.t */"), t, F.lit(") SELECT 'old."), t, F.lit("' FROM c")))
+            .when(k == 3, F.concat(F.lit("SELECT old."), t, F.lit(" FROM other old WHERE EXISTS (SELECT 1 FROM cat.old."), t, F.lit(")")))
+            .otherwise(F.concat(F.lit("SELECT old."), t, F.lit(".* FROM old."), t, F.lit(" JOIN x.y USING (id)"))))
+    texts = _t(spark, sf, "supplier").select("s_suppkey", text.alias("text"))
+    names = _t(spark, sf, "supplier").select(t.alias("t"))
+    mapping = names.select(F.concat(F.lit("old."), "t").alias("key"), F.concat(F.lit("new.n_"), "t").alias("value")).unionByName(
+        names.select(F.concat(F.lit("d`b."), "t").alias("key"), F.concat(F.lit("new.q-"), "t").alias("value")))
+    return rewrite_parsed(texts, "text", mapping, "cat", "main").select("s_suppkey", "new_text")
+
+
+def q_view_graph(spark, sf):
+    """A view per supplier over the view of supplier k/2 (a tree of views), and for some suppliers two views that
+    read each other: the level of each view and the cycle that it is part of."""
+    from .operators.references import view_graph
+    c = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"))
+    name = lambda k: F.concat(F.lit("v"), k.cast("string"))
+    below = F.floor(F.col("k") / 2).cast("long")
+    tree = c.select(name(F.col("k")).alias("v"), F.when(below == 0, F.lit("SELECT 1 AS a FROM base.t")).otherwise(
+        F.concat(F.lit("SELECT * FROM s."), name(below))).alias("text")).where("v <> 'v0'")
+    loops = c.where("k % 20 = 7")
+    a, b = F.concat(F.lit("a"), F.col("k").cast("string")), F.concat(F.lit("b"), F.col("k").cast("string"))
+    loop = loops.select(a.alias("v"), F.concat(F.lit("SELECT * FROM s."), b).alias("text")).unionByName(
+        loops.select(b.alias("v"), F.concat(F.lit("SELECT 's.c' FROM s."), a, F.lit(" JOIN s."), name(F.col("k")), F.lit(" USING (a)")).alias("text")))
+    views = tree.unionByName(loop)
+    plan = views.select(F.lit("s").alias("source_schema"), F.col("v").alias("source_view"), F.lit("t").alias("target_schema"),
+                        F.col("v").alias("target_view"), F.col("text").alias("view_text"))
+    return view_graph(spark, plan, view_mapping(plan))
+
+
 @_report
 def q_inventory_two_schemas(spark, sf):
     """Schemas listed but for an excluded one (in another case), inventories united."""
