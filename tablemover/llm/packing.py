@@ -30,7 +30,7 @@ import types
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from .common import clean_strings, col, fresh, text_slices, utf8_parts, with_row_id, written
 
@@ -377,7 +377,8 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = 2048, ro
                           (F.col(file) == F.col(file + "_")) & (col(length_col) == F.col(l)))
     number = fresh(numbered.columns, "number")
     found = found.select(*[col(c) for c in pieces.columns], (F.col(place) - F.col(first) + F.col(begin)).alias(number))
-    at, schema = pieces.columns.index(length_col), pieces.schema.add(sequence, LongType()).add(offset, LongType())
+    at = pieces.columns.index(length_col)
+    schema = StructType([*pieces.schema.fields, StructField(sequence, LongType()), StructField(offset, LongType())])
 
     def run(batches):
         for b in batches:
