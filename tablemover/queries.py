@@ -1030,6 +1030,24 @@ def q_view_graph(spark, sf):
     return view_graph(spark, plan, view_mapping(plan))
 
 
+@_report
+def q_conversion_rates(spark, sf):
+    """Text tables of known size converted, in units and with verification: the megabytes of each, and
+    whether the reported rate and elapsed text are those of its size and seconds."""
+    db, root = new_database(spark, "rates"), new_work_dir(spark, "rates")
+    for t, (columns, part) in TEXT_TABLES.items():
+        _text_table(spark, sf, db, t, columns, part)
+    man = spark.createDataFrame([(db, t, "uc", t, False, i) for i, t in enumerate(TEXT_TABLES)], "database string, name string, "
+                                "target_schema string, target_table string, is_pii boolean, t_no int")
+    out = convert_to_external(spark, plan_targets(man, CATALOG, root + "/pii", root + "/nonpii"), drop_old=True, verify="checksum",
+                              parallelism=4, unit_bytes=1 << 18)
+    sec = F.col("seconds")
+    rate = F.when(sec > 0, F.col("size_mb") / sec).otherwise(0.0)
+    text = F.concat_ws(":", F.lpad(F.floor(sec / 60).cast("string"), 2, "0"), F.lpad((F.floor(sec) % 60).cast("string"), 2, "0"))
+    return out.select("name", "outcome", "source_rows", "size_mb", (F.abs(F.col("mb_per_s") - rate) < 1e-9).alias("rate_agrees"),
+                      (F.col("elapsed") == text).alias("elapsed_agrees"))
+
+
 @_report
 def q_inventory_two_schemas(spark, sf):
     """Schemas listed but for an excluded one (in another case), inventories united."""
