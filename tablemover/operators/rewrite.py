@@ -23,9 +23,10 @@ Plan of the token rule (all built-in expressions):
 4. gather the replacements of each text into a ``position -> new token`` map (bounded by the
    text's own length), join it back to the texts on an internal id and swap the tokens by position.
 
-Texts without any candidate never reach the join; a text's tokens are never shuffled, only its
-candidate identifiers. The texts are dealt evenly over tasks and written once, with their tokens and a fixed id,
-as Parquet in the scratch folder, so rows with null or repeated keys of their own are rewritten like all others.
+Texts without any candidate never reach the join; a text's tokens are never written or shuffled: only its
+candidate identifiers are, and the text itself, which is split again where its replacements are. The texts are dealt
+evenly over tasks and written once, with a fixed id, as Parquet in the scratch folder, so rows with null or repeated
+keys of their own are rewritten like all others.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.tokens import IDENT_TOKEN, NAME_PART, SQL_TOKEN
+from ..functions.tokens import NAME_PART, SQL_TOKEN
 from ..session import pinned
 
 
@@ -53,7 +54,19 @@ def rewrite_catalog(text, catalog_from: str = "hive_metastore", catalog_to: str
 
 
 def _unquote(p: Column) -> Column:
-    return F.regexp_replace(p, r"^`|`$", "")
+    return F.when(F.instr(p, "`") > 0, F.regexp_replace(p, r"^`|`$", "")).otherwise(p)
+
+
+def _is_dotted(token: Column) -> Column:
+    """Whether a token of ``tokens`` is an identifier of several parts: one that begins with a word character or a
+    back-tick, and holds a dot. Only beginnings outside ASCII need a pattern."""
+    c = F.ascii(token)
+    word = c.between(97, 122) | c.between(65, 90) | c.between(48, 57) | c.isin(95, 96)
+    return (F.instr(token, ".") > 0) & (word | ((c > 127) & token.rlike(r"(?U)^\w")))
+
+
+def _name_parts(token: Column) -> Column:
+    return F.when(F.instr(token, "`") > 0, F.regexp_extract_all(token, F.lit(NAME_PART), 1)).otherwise(F.split(token, r"\."))
 
 
 def _render(name: Column) -> Column:
@@ -108,29 +121,29 @@ def rewrite_references(df: DataFrame, text_col: str, mapping: DataFrame | dict,
     asks for another.
     """
     out_col = out_col or text_col
-    m = _mapping_frame(df, mapping)
+    m = _mapping_frame(df, mapping).withColumn("_tm_value", _render(F.col("_tm_value")))
     if join_hint:
         m = m.hint(join_hint)
     cat_swap = F.lit(bool(catalog_to) and bool(catalog_from))
-    # Texts are tokenised once, dealt evenly over tasks, and written with their tokens under a fixed id.
-    rid, toks, columns = "_tm_row", "_tm_tokens", df.columns
+    # Texts are dealt evenly over tasks and written under a fixed id, without their tokens, which are many times as large.
+    rid, columns = "_tm_row", df.columns
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df, _ = pinned(df.repartition(n).select(F.monotonically_increasing_id().alias(rid), "*", tokens(text_col).alias(toks)), "rewrite")
-    cand = (df.select(rid, F.posexplode(toks).alias("_pos", "_tok"))
-            .where((F.instr("_tok", ".") > 0) & F.col("_tok").rlike(r"(?U)^[\w`]") & F.col("_tok").rlike(IDENT_TOKEN))
-            .withColumn("_parts", F.regexp_extract_all("_tok", F.lit(NAME_PART), 1))
+    df, _ = pinned(df.repartition(n).select(F.monotonically_increasing_id().alias(rid), "*"), "rewrite")
+    cand = (df.select(rid, F.posexplode(tokens(F.col(f"`{text_col}`"))).alias("_pos", "_tok"))
+            .where(_is_dotted(F.col("_tok")))
+            .withColumn("_parts", _name_parts(F.col("_tok")))
             .withColumn("_cat", _has_cat(F.col("_parts"), catalog_from))
             .withColumn("_tm_key", _key(F.col("_parts"), F.col("_cat"))))
     hits = cand.join(m, "_tm_key", "left").where(F.col("_tm_value").isNotNull() | (F.col("_cat") & cat_swap))
     parts, cat, new = F.col("_parts"), F.col("_cat"), F.col("_tm_value")
     i = F.when(cat, F.lit(2)).otherwise(F.lit(1))
     head = F.when(cat, F.lit(catalog_to or catalog_from or ""))
-    name = F.when(new.isNotNull(), _render(new)).otherwise(F.array_join(F.slice(parts, i, 2), "."))
+    name = F.when(new.isNotNull(), new).otherwise(F.array_join(F.slice(parts, i, 2), "."))
     rest = F.when(F.size(parts) >= i + 2, F.array_join(F.slice(parts, i + 2, F.size(parts)), "."))
     per_text = (hits.select(rid, "_pos", F.concat_ws(".", head, name, rest).alias("_new"))
                 .groupBy(rid).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_hits")))
     j = df.join(per_text, rid, "left")
-    swapped = F.transform(toks, lambda t, p: F.coalesce(F.try_element_at(F.col("_hits"), p), t))
-    text = F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(F.array_join(swapped, ""))
+    swapped = F.transform(tokens(F.col(f"`{text_col}`")), lambda t, p: F.coalesce(F.try_element_at(F.col("_hits"), p), t))
+    text = F.when(F.col("_hits").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(swapped, ""))
     out = j.withColumn(out_col, text)
     return out.select(*[F.col(f"`{c}`") for c in (columns if out_col in columns else [*columns, out_col])])
