@@ -292,10 +292,14 @@ def _under(hashed: DataFrame, nodes: DataFrame, bits: int) -> DataFrame:
 
 def _differing(sides: list[DataFrame], bits: int) -> DataFrame:
     """(node, rows) of the nodes at this depth whose count or hash sums differ between two hashed sides."""
+    # Sums of 32 bits a row each at most, in longs: half the size of decimals, and without the bits that the node tells.
+    # One that overflows (2^31 rows under a node at least) is null and counts as a difference: its rows are looked at.
+    parts = {"_sh": F.shiftright(F.col("_tm_h").bitwiseAND(F.lit((1 << (64 - bits)) - 1).cast("long")), 32), "_sl": F.col("_tm_h").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")),
+             "_sh2": F.col("_tm_h2").cast("long")}
     s, t = (h.groupBy(_leaf(bits).alias("_tm_b")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_tm_h").cast("decimal(38,0)")).alias("_sh"),
-        F.sum(F.col("_tm_h2").cast("decimal(38,0)")).alias("_sh2")).alias(side) for h, side in zip(sides, "st"))
-    same = reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("_n", "_sh", "_sh2")])
+        F.count(F.lit(1)).alias("_n"), *[F.try_sum(c).alias(name) for name, c in parts.items()]).alias(side)
+        for h, side in zip(sides, "st"))
+    same = F.coalesce(reduce(lambda a, b: a & b, [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("_n", *parts)]), F.lit(False))
     return s.join(t, "_tm_b", "full_outer").where(~same).select(
         "_tm_b", F.greatest(F.coalesce("s._n", F.lit(0)), F.coalesce("t._n", F.lit(0))).alias("_n"))
 
@@ -343,6 +347,23 @@ def differing_leaves(src: DataFrame, dst: DataFrame, buckets: int = 65536, rows_
         bits = min(62, bits + max(4, (size["rows"] // size["nodes"]).bit_length() + 1))
 
 
+#: Up to so many nodes are broadcast as they are.
+_FEW_NODES = 500_000
+#: Bits of the deepest nodes that are sent to all tasks as a bitmap: at most 2^(_MAP_BITS - 6) rows of 64 nodes each.
+_MAP_BITS = 27
+
+
+def _under_bitmap(hashed: DataFrame, nodes: DataFrame, bits: int) -> DataFrame:
+    """The rows under ``nodes``, however many there are: nodes deeper than ``_MAP_BITS`` stand for their ancestor there
+    (so some equal rows pass too), and 64 neighbours are one broadcast row."""
+    depth = min(bits, _MAP_BITS)
+    spot = F.shiftrightunsigned("_tm_b", bits - depth)
+    mask = lambda node: F.call_function("shiftleft", F.lit(1).cast("long"), node.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    words = F.broadcast(nodes.groupBy(F.shiftrightunsigned(spot, 6).alias("_tm_w")).agg(F.bit_or(mask(spot)).alias("_tm_m")))
+    leaf, mine = _leaf(depth), mask(_leaf(depth))
+    return hashed.join(words, (F.shiftrightunsigned(leaf, 6) == F.col("_tm_w")) & (F.col("_tm_m").bitwiseAND(mine) != 0), "left_semi")
+
+
 def _has_map(t: DataType) -> bool:
     if isinstance(t, MapType):
         return True
@@ -442,8 +463,9 @@ def reconcile_rows(src: DataFrame, dst: DataFrame, method: str = "exact",
             empty = src.sparkSession.createDataFrame([], src.schema)
             return empty, empty
         bad, bits, _, n = found
-        bad = F.broadcast(bad) if n <= 4_000_000 else bad
-        src, dst = (_under(d.withColumn("_tm_h", row_hash(d)), bad, bits).select(*[F.col(f"`{c}`") for c in columns])
+        # Whole rows aren't shuffled to find those under differing nodes: few nodes are broadcast, many as a bitmap.
+        under = _under_bitmap if n > _FEW_NODES else lambda h, nodes, at: _under(h, F.broadcast(nodes), at)
+        src, dst = (under(d.withColumn("_tm_h", row_hash(d)), bad, bits).select(*[F.col(f"`{c}`") for c in columns])
                     for d in (src, dst))
     diff = row_differences(src, dst)
     return _rows_of(diff, "source", columns), _rows_of(diff, "target", columns)

@@ -305,3 +305,18 @@ def test_hot_repeats_are_spelled_out_by_several_tasks(spark):
     sizes = s.groupBy(F.spark_partition_id()).count().collect()
     assert s.count() == 3 * _REPEATS + 5 and t.count() == 0
     assert len(sizes) > 1 and max(r["count"] for r in sizes) <= 2 * _REPEATS + 5
+
+
+def test_many_differing_nodes_travel_as_a_bitmap(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from tablemover.operators import reconcile
+    monkeypatch.setattr(reconcile, "_FEW_NODES", 10)
+    a = spark.range(20000).select((F.col("id") % 15000).alias("k"), F.concat(F.lit("v"), F.col("id") % 7).alias("v"))
+    b = a.where("k % 11 <> 0").withColumn("v", F.when(F.col("k") % 13 == 0, None).otherwise(F.col("v")))
+    want = [sorted((r["k"], r["v"] or "") for r in x.collect()) for x in reconcile.reconcile_rows(a, b, "exact")]
+    for bits in (27, 9, 6):  # as deep as the nodes, and ancestors that more equal rows share
+        monkeypatch.setattr(reconcile, "_MAP_BITS", bits)
+        s, t = reconcile.reconcile_rows(a, b, "narrow", buckets=64)
+        assert "SortMergeJoin" not in s._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert [sorted((r["k"], r["v"] or "") for r in x.collect()) for x in (s, t)] == want and want[0] and want[1]
