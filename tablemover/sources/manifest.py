@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.sequence import with_sequence
+from ..session import pinned
 from ..schemas import MANIFEST, MANIFEST_CSV, VIEW_MANIFEST
 from .yaml_entries import read_entries
 
@@ -33,7 +34,7 @@ def parse_flag(c) -> F.Column:
 def _read_yaml(spark: SparkSession, path: str, leaf: str) -> DataFrame:
     """All entries as text columns. One entry told differently by two files is an error; what is wrong within a
     file is in :func:`yaml_problems`."""
-    entries = read_entries(spark, path, YAML_ROOT, leaf).where("problem is null")
+    entries, _ = pinned(read_entries(spark, path, YAML_ROOT, leaf).where("problem is null"), "entries")
     text = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("fields"))))
     differs = (entries.groupBy("entry").agg(F.count_distinct("file").alias("files"), F.count_distinct(text).alias("texts"),
                                             F.min("file").alias("a"), F.max("file").alias("b"))

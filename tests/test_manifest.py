@@ -166,3 +166,28 @@ resources:
     assert sorted((r["database"], r["name"], r["target_schema"], r["is_pii"]) for r in man.collect()) == [
         ("d", "a", "s", False), ("d", "b", "own", False)]
     assert problems.count() == 0
+
+
+def test_a_file_is_read_entry_by_entry(tmp_path):
+    import tracemalloc
+
+    from tablemover.sources.yaml_entries import parse
+    peaks = []
+    for n in (300, 3000):
+        p = tmp_path / f"{n}.yaml"
+        p.write_text("resources:\n  tables:\n" + "".join(f"    e{i}:\n      name: e{i}\n      target_schema: s\n" for i in range(n)))
+        list(parse(str(p), "resources", "views"))  # imports
+        tracemalloc.start()
+        assert sum(1 for r in parse(str(p), "resources", "tables") if r[3] == {"name": r[2], "target_schema": "s"}) == n
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert (peaks[1] - peaks[0]) / 2700 < 400, peaks  # bytes an entry: its key and line, to tell repeats
+
+
+def test_yaml_files_without_a_last_line_end(spark, tmp_path):
+    (tmp_path / "a.yaml").write_bytes("resources:\r\n  tables: &t\n    a: {name: 'é', database: d}\n    b: &b\n      <<: {name: q}\n      database: |+\n        x\n\n".encode()[:-1])
+    (tmp_path / "b.yaml").write_bytes(b"resources: {views: 1, tables: {c: {name: c}}}\n---\nx: *t")
+    from tablemover.sources.yaml_entries import read_entries
+    rows = [(r["file"][-6], r["document"], r["entry"], r["fields"], r["problem"]) for r in read_entries(spark, str(tmp_path), "resources", "tables").collect()]
+    assert sorted(rows, key=str) == sorted([("a", 0, "a", {"name": "é", "database": "d"}, None), ("a", 0, "b", {"database": "x\n", "name": "q"}, None),
+        ("b", 0, "c", {"name": "c"}, None), ("b", 1, None, None, "YAML_ERROR")], key=str)
