@@ -1,14 +1,16 @@
 """Copies in units with a journal, so that a copy that was stopped goes on where it stopped.
 
 The source's files are dealt into units of about ``unit_bytes``: a folder's files stay together, large folders
-are split, small ones share a unit. Each unit is copied by a job of its own into a staging folder beside the
-target's data, checked against the source files it was made from, and then committed: its files move to their
-place under names that carry the unit, and a record of the unit is written. All of this lies in hidden folders
-of the target location, which Spark's readers pass over:
+are split, small ones share a unit. Each unit is copied into a staging folder beside the target's data, checked
+against the source files it was made from, and then committed: its files move to their place under names that
+carry the unit, and a record of the unit is written. A unit that gives every core work is copied by a job of its
+own; smaller ones share a job, so that neither cores nor the number of jobs depend on how small the units are. All
+of this lies in hidden folders of the target location, which Spark's readers pass over:
 
     _journal/plan-<version>   unit, path, size and time of every source file (Parquet)
     _journal/done/<unit>@<version>  the files that a committed unit consists of
     _journal/staging/<unit>@<version>  a unit that is being copied
+    _journal/staging/job-<id>  the files of units that are being copied by one job, a folder for each
 
 A unit whose staging folder is marked complete only moves the rest of its files, one that isn't is copied again, and
 a committed one is never touched: whenever the driver or an executor is lost, each unit counts once. If the
@@ -21,8 +23,10 @@ from __future__ import annotations
 import json
 import logging
 import math
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,6 +38,9 @@ from .reconcile import table_checksums
 log = logging.getLogger(__name__)
 
 JOURNAL = "_journal"
+STAGING = f"{JOURNAL}/staging"
+#: Bytes that one task reads, and the most units that share a job.
+_TASK_BYTES, _MOST_UNITS = 128 << 20, 64
 UNITS = "unit string, state string, files long, bytes long, row_count long"
 
 
@@ -164,8 +171,10 @@ def copy_in_units(spark: SparkSession, source: str, target: str, location: str,
     copies the units whose files changed. The table is created when all units are there, with the source's
     columns, partitions, options, comment and properties. With ``verify`` the rows and checksum of every unit
     are compared with those of its source files before it is committed (``UnitDiffers`` otherwise).
-    ``on_unit(unit, state)`` is told of every unit before it is committed. ``parallelism`` units are copied
-    side by side. ``NotInUnits`` for tables that aren't plain files of one location (views, bucketed tables,
+    ``on_unit(unit, state)`` is told of every unit before it is committed; what it raises ends the run, and no
+    further unit is copied or committed. (After any other failure of a unit the others go on.) ``parallelism``
+    jobs run side by side, each copying one unit, or several if these alone would leave cores without work.
+    ``NotInUnits`` for tables that aren't plain files of one location (views, bucketed tables,
     partitions stored elsewhere); ``TargetNotEmpty`` if the location holds anything else.
     """
     info = describe_table(spark, source)
@@ -186,19 +195,29 @@ def copy_in_units(spark: SparkSession, source: str, target: str, location: str,
     wanted = {f"{u['unit']}@{u['version']}": u for u in units}
     done = set(n for n in store.names(f"{JOURNAL}/done") if not n.endswith(".tmp"))
     out = [_take_back(store, name) for name in sorted(done - set(wanted))]
+    _drop_leftovers(store)
+    parallelism = max(1, parallelism)
     copier = _Copier(spark, store, source, info, places[0], plan, verify, on_unit)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        jobs = [(name, u, None if name in done else pool.submit(copier.copy, name)) for name, u in wanted.items()]
+    tasks = math.ceil(2 * spark.sparkContext.defaultParallelism / parallelism)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        jobs = {name: job for names in _shared([(n, u["bytes"]) for n, u in wanted.items() if n not in done], tasks)
+                for job in [pool.submit(copier.copy, names)] for name in names}
         failed = None
-        for name, u, job in jobs:
+        for name, u in wanted.items():
             try:
-                rows = json.loads(store.read(f"{JOURNAL}/done/{name}"))["rows"] if job is None else job.result()
-                out.append((u["unit"], "DONE_BEFORE" if job is None else "COPIED", u["files"], u["bytes"], rows))
+                if name in done:
+                    rows = json.loads(store.read(f"{JOURNAL}/done/{name}"))["rows"]
+                elif name not in (ended := jobs[name].result()):
+                    continue  # the run was ended before
+                elif isinstance(rows := ended[name], Exception):
+                    raise rows
+                out.append((u["unit"], "DONE_BEFORE" if name in done else "COPIED", u["files"], u["bytes"], rows))
             except Exception as e:  # noqa: BLE001 - the other units go on; the first failure is raised at the end
                 log.warning("unit %s of %s: %s", name, source, e)
                 failed = failed or e
     if failed:
         raise failed
+    store.delete(STAGING)
     _create(spark, source, target, location, info, properties)
     return spark.createDataFrame(out, UNITS)
 
@@ -227,46 +246,124 @@ def _take_back(store: _Store, name: str) -> tuple:
     return name.rsplit("@", 1)[0], "TAKEN_BACK", len(record["files"]), None, record["rows"]
 
 
+def _shared(units: list[tuple[str, int]], tasks: int) -> list[list[str]]:
+    """The (name, bytes) units dealt into jobs, in order: a job gets units until it has ``tasks`` tasks."""
+    jobs, room = [], 0
+    for name, size in units:
+        need = max(1, math.ceil(size / _TASK_BYTES))
+        if not jobs or need > room or len(jobs[-1]) == _MOST_UNITS:
+            jobs.append([])
+            room = tasks
+        jobs[-1].append(name)
+        room -= need
+    return jobs
+
+
+def _drop_leftovers(store: _Store) -> None:
+    """Deletes what jobs of a stopped run wrote for units that aren't complete."""
+    staged = store.names(STAGING)
+    used = set()
+    for n in staged:
+        if not n.startswith("job-") and store.exists(f"{STAGING}/{n}/_copied"):
+            used.add(json.loads(store.read(f"{STAGING}/{n}/_copied")).get("data", "").split("/")[-2:][0])
+    for n in staged:
+        if n.startswith("job-") and n not in used:
+            store.delete(f"{STAGING}/{n}")
+
+
 class _Copier:
     def __init__(self, spark, store, source, info, base, plan, verify, on_unit):
         self.spark, self.store, self.info, self.base, self.plan, self.verify, self.on_unit = spark, store, info, base, plan, verify, on_unit
         self.schema, self.parts = spark.table(source).schema, partition_columns(spark, source)
+        self.ended = False
 
     def _read(self, paths: list[str], base: str) -> DataFrame:
         return (self.spark.read.format(self.info["provider"]).options(**self.info.get("options", {})).schema(self.schema)
                 .option("basePath", base).load(paths))
 
-    def copy(self, name: str) -> int | None:
-        """Copies (unless its staging folder is complete), checks and commits one unit; returns its rows."""
+    def copy(self, names: list[str]) -> dict[str, int | None | Exception]:
+        """Copies (unless their staging folders are complete), checks and commits units; the rows or the failure of
+        each one that the run came to before it was ended."""
+        out: dict[str, int | None | Exception] = {}
+        todo = [] if self.ended else [n for n in names if not self.store.exists(f"{STAGING}/{n}/_copied")]
+        try:
+            if todo:
+                out = self._stage(todo)
+        except Exception as e:  # noqa: BLE001 - one unit's failure is not the others'
+            out = {todo[0]: e}
+            if len(todo) > 1:
+                log.warning("units %s are copied one by one: %s", ", ".join(todo), e)
+                out = {}
+                for n in todo:
+                    try:
+                        out |= {} if self.ended else self._stage([n])
+                    except Exception as own:  # noqa: BLE001
+                        out[n] = own
+        for n in names:
+            if n not in out and not self.ended:
+                try:
+                    out[n] = self._commit(n)
+                except Exception as e:  # noqa: BLE001
+                    out[n] = e
+        return out
+
+    def _stage(self, names: list[str]) -> dict[str, Exception]:
+        """Copies units by one job and marks those complete whose copies are right; the others' failures."""
+        paths = {n: [] for n in names}
+        key = F.concat_ws("@", "unit", "version")
+        for r in self.plan.where(key.isin(names)).select(key.alias("name"), "path").collect():
+            paths[r["name"]].append(r["path"])
+        src = {n: self._read(p, self.base) for n, p in paths.items()}
+        for n in names:
+            self.store.delete(f"{STAGING}/{n}")
+        label = "_unit"
+        while label in {f.name.lower() for f in self.schema}:
+            label = f"_{label}"
+        job = f"{STAGING}/job-{uuid.uuid4().hex}"
+        if len(names) == 1:
+            data, rows, by, to = {names[0]: f"{STAGING}/{names[0]}/data"}, src[names[0]], self.parts, f"{STAGING}/{names[0]}/data"
+        else:
+            data = {n: f"{job}/{label}={n}" for n in names}
+            rows = reduce(DataFrame.unionByName, [df.withColumn(label, F.lit(n)) for n, df in src.items()])
+            by, to = [label, *self.parts], job
+        w = rows.write.format(self.info["provider"]).options(**self.info.get("options", {}))
+        (w.partitionBy(*by) if by else w).save(f"{self.store.root}/{to}")
+        for folder in data.values():
+            self.store.fs.mkdirs(self.store.path(folder))  # units without rows
+        counts, failed = dict.fromkeys(names), {}
+        if self.verify:
+            copied = {n: f"{self.store.root}/{folder}" for n, folder in data.items()}
+            tables = {f"s {n}": df for n, df in src.items()} | {f"t {n}": self._read([at], at) for n, at in copied.items()}
+            sums = {r["table_name"]: (r["row_count"], r["checksum"]) for r in table_checksums(tables).collect()}
+            for n in names:
+                counts[n] = sums[f"s {n}"][0]
+                if sums[f"s {n}"] != sums[f"t {n}"]:
+                    failed[n] = UnitDiffers(f"unit {n}: the copy differs from its source files")
+        for n in names:
+            if n not in failed:
+                self.store.write(f"{STAGING}/{n}/_copied", json.dumps({"rows": counts[n], "files": self.store.files(data[n]), "data": data[n]}))
+        return failed
+
+    def _commit(self, name: str) -> int | None:
         unit, version = name.rsplit("@", 1)
-        staging = f"{JOURNAL}/staging/{name}"
-        if not self.store.exists(f"{staging}/_copied"):
-            self.store.delete(staging)
-            paths = [r["path"] for r in self.plan.where((F.col("unit") == unit) & (F.col("version") == int(version))).select("path").collect()]
-            src = self._read(paths, self.base)
-            w = src.write.format(self.info["provider"]).options(**self.info.get("options", {}))
-            (w.partitionBy(*self.parts) if self.parts else w).save(f"{self.store.root}/{staging}/data")
-            rows = None
-            if self.verify:
-                copied = [f"{self.store.root}/{staging}/data"]
-                sums = {r["table_name"]: r for r in table_checksums({"s": src, "t": self._read(copied, copied[0])}).collect()}
-                if (sums["s"]["row_count"], sums["s"]["checksum"]) != (sums["t"]["row_count"], sums["t"]["checksum"]):
-                    raise UnitDiffers(f"unit {name}: the copy differs from its source files")
-                rows = sums["s"]["row_count"]
-            files = self.store.files(f"{staging}/data")
-            self.store.write(f"{staging}/_copied", json.dumps({"rows": rows, "files": files}))
         if self.on_unit:
-            self.on_unit(unit, "COPIED")
-        record = json.loads(self.store.read(f"{staging}/_copied"))
+            try:
+                self.on_unit(unit, "COPIED")
+            except Exception:
+                self.ended = True
+                raise
+        record = json.loads(self.store.read(f"{STAGING}/{name}/_copied"))
+        data = record.get("data", f"{STAGING}/{name}/data")
         placed = []
         for f in record["files"]:
             folder, _, leaf = f.rpartition("/")
             to = f"{folder}/{unit}-{version}-{leaf}".lstrip("/")
-            if self.store.exists(f"{staging}/data/{f}"):  # else it was moved before
-                self.store.move(f"{staging}/data/{f}", to)
+            if self.store.exists(f"{data}/{f}"):  # else it was moved before
+                self.store.move(f"{data}/{f}", to)
             placed.append(to)
         self.store.write(f"{JOURNAL}/done/{name}", json.dumps({"rows": record["rows"], "files": placed}))
-        self.store.delete(staging)
+        self.store.delete(f"{STAGING}/{name}")
+        self.store.delete(data)
         return record["rows"]
 
 

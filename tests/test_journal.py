@@ -138,3 +138,83 @@ def test_empty_table(spark, db):
     spark.sql(f"CREATE TABLE {db}.e (a INT, v VARCHAR(3)) USING parquet")
     copy_in_units(spark, f"`{db}`.`e`", f"`{db}`.`e_ext`", new_work_dir(spark, "units") + "/e")
     assert spark.table(f"{db}.e_ext").count() == 0
+
+
+def folders(spark, loc, folder):
+    store = journal._Store(spark, loc)
+    return [n for n in store.names(f"{journal.JOURNAL}/{folder}") if folder != "staging" or store.exists(f"{journal.JOURNAL}/staging/{n}/_copied")]
+
+
+def test_a_stopped_run_begins_no_further_unit(spark, table, monkeypatch):
+    src, dst, loc = table
+    monkeypatch.setattr(journal, "_MOST_UNITS", 2, raising=False)
+
+    def stop(unit, state):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        copy_in_units(spark, src, dst, loc, unit_bytes=8000, parallelism=1, on_unit=stop)
+    assert len(folders(spark, loc, "staging")) == 2 and folders(spark, loc, "done") == []
+    # What a job left that was lost before it marked its units is deleted, what is marked is only moved.
+    spark.range(3).write.parquet(f"{loc}/_journal/staging/job-lost/_unit=x")
+    monkeypatch.setattr(journal, "_MOST_UNITS", 64, raising=False)
+    assert list(states(copy_in_units(spark, src, dst, loc, unit_bytes=8000))) == ["COPIED"]
+    assert same(spark, src, dst) and not journal._Store(spark, loc).exists("_journal/staging")
+
+
+def test_small_units_share_jobs(spark, table, monkeypatch):
+    src, dst, loc = table
+    checks = []
+    sums = journal.table_checksums
+    monkeypatch.setattr(journal, "table_checksums", lambda tables, **kw: (checks.append(len(tables)), sums(tables, **kw))[1])
+    units = states(copy_in_units(spark, src, dst, loc, unit_bytes=8000, parallelism=1))["COPIED"]
+    assert units > 2 and len(checks) < units and sum(checks) == 2 * units and same(spark, src, dst)
+
+
+def test_jobs_are_filled_and_large_units_have_their_own():
+    mb = 1 << 20
+    units = [("a", mb), ("b", 0), ("c", 300 * mb), ("d", 16 << 30), ("e", mb), ("f", mb), ("g", mb), ("h", mb), ("i", mb)]
+    assert journal._shared(units, 4) == [["a", "b"], ["c"], ["d"], ["e", "f", "g", "h"], ["i"]]
+    assert journal._shared([], 4) == []
+
+
+def test_a_unit_that_cannot_be_read_or_differs_does_not_hold_up_the_others(spark, table, monkeypatch):
+    src, dst, loc = table
+    files = sorted(r["f"] for r in spark.table(src).select(F.input_file_name().alias("f")).distinct().collect())
+    path = files[0].removeprefix("file://")
+    with open(path, "rb") as f:
+        whole = f.read()
+    with open(path, "wb") as f:
+        f.write(b"PAR1 nothing PAR1")
+    with pytest.raises(Exception):
+        copy_in_units(spark, src, dst, loc, unit_bytes=8000)
+    units = {r["unit"] for r in spark.read.parquet(f"{loc}/_journal/plan-1").select("unit").distinct().collect()}
+    assert len(folders(spark, loc, "done")) == len(units) - 1 > 1
+    with open(path, "wb") as f:
+        f.write(whole)
+    spark.catalog.refreshTable(src)
+
+    sums, n = journal.table_checksums, {"calls": 0}
+
+    def wrong(tables, **kw):
+        n["calls"] += 1
+        return sums({k: df.limit(1) if k.startswith("t ") and n["calls"] == 1 else df for k, df in tables.items()}, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(journal, "table_checksums", wrong)
+        with pytest.raises(journal.UnitDiffers):
+            copy_in_units(spark, src, dst, loc, unit_bytes=8000)
+    assert states(copy_in_units(spark, src, dst, loc, unit_bytes=8000))["COPIED"] >= 1 and same(spark, src, dst)
+
+
+@pytest.mark.parametrize("parts", [["p"], []])
+def test_units_of_a_job_keep_odd_partitions_names_and_nulls(spark, db, parts):
+    odd = F.element_at(F.array(F.lit("a b é"), F.lit(None).cast("string"), F.lit("c@1"), F.lit("")), (F.col("id") % 4 + 1).cast("int"))
+    w = spark.range(0, 400, 1, 4).select("id", F.lit(1).alias("_unit"), F.lit(None).cast("int").alias("n"), odd.alias("p")).write
+    (w.partitionBy(*parts) if parts else w).saveAsTable(f"{db}.odd")
+    spark.table(f"{db}.odd").where("false").write.mode("append").insertInto(f"{db}.odd")
+    src, dst = f"`{db}`.`odd`", f"`{db}`.`odd_ext`"
+    report = copy_in_units(spark, src, dst, new_work_dir(spark, "units") + "/d", unit_bytes=10)
+    assert report.count() > 2 and report.agg(F.sum("row_count")).first()[0] == 400
+    a, b = spark.table(src), spark.table(dst)
+    assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and b.count() == 400
