@@ -11,7 +11,7 @@ those leaves, and pairs that meet in a leaf are checked on all 64 bits. Nothing
 within the radius always meets exactly once.
 
 **Skew.** Copies share one fingerprint and count once in the tree, so a group of copies of any size is
-one row there. The join on leaves is a sort-merge join that adaptive execution can split.
+one row there. The join on leaves is a sort-merge join at every size, which adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -121,7 +121,8 @@ def near_pairs(fps: DataFrame, radius: int = 2, slices: int = 8) -> DataFrame:
     probes = (fps.select(F.col("fp").alias("a"), leaf_column(F.col("fp"), slices).alias("home"),
                          F.explode(offsets).alias("off"))
               .select("a", (F.col("home") + F.col("off")).alias("leaf"), (F.col("off") == 0).alias("own")))
-    return (homes.join(probes, "leaf")
+    # A merge join at every size: Spark sizes the probes as before the explode and would broadcast them.
+    return (homes.join(probes.hint("merge"), "leaf")
             .where((F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius) & (~F.col("own") | (F.col("a") < F.col("b"))))
             .select("a", "b"))
 
@@ -139,8 +140,9 @@ def _grouped(docs: DataFrame, keep: list[str], text_col: str, shingle: int, radi
         "fp", "least", F.coalesce("v", "fp").alias("root"))
     rooted = written(rooted, "simhash-roots")
     best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = rooted.join(best, "root").select(F.col("fp").alias("nfp"), "root", "component_id")
-    return prints.join(label, prints["fp"] == label["nfp"], "left").drop("nfp")
+    # Merge joins at every size: these lists grow with the documents.
+    label = rooted.join(best.hint("merge"), "root").select(F.col("fp").alias("nfp"), "root", "component_id")
+    return prints.join(label.hint("merge"), prints["fp"] == label["nfp"], "left").drop("nfp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,

@@ -62,6 +62,18 @@ def test_pairs_are_exact(spark, slices):
     assert set(got) == want and set(got.values()) <= {1}
 
 
+def test_lists_that_grow_are_not_broadcast(spark, docs_of, tmp_path):
+    def final(df):
+        rows = df.collect()
+        return rows, df._jdf.queryExecution().executedPlan().toString()
+    spark.range(50).selectExpr("id * 1000003 as fp").write.parquet(str(tmp_path / "fps"))
+    _, plan = final(S.near_pairs(spark.read.parquet(str(tmp_path / "fps"))))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    docs_of([(i, f"word{i} word{i % 3}") for i in range(20)]).write.parquet(str(tmp_path / "docs"))
+    rows, plan = final(S.near_duplicates(spark.read.parquet(str(tmp_path / "docs"))))
+    assert len(rows) == 20 and plan.count("SortMergeJoin") >= 2 and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(300, 200), (200, 250), (7, 7), (300, 200)]
     got = dict(components.connected_components(spark.createDataFrame(links, "a long, b long")).collect())
