@@ -208,8 +208,8 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, text_col: str
         weights = cycle_weights(sizes.select("source"))
     d = mix_decisions(sizes, weights, limit, block, seed).where("copies > 0").select("doc", F.col("copies").cast("int").alias("n"))
     n, k = fresh(named.columns, "copies"), fresh(named.columns, "copy")
-    d = written(names.select("doc", "r0", "r1").join(d, "doc")
+    # Merge joins at every size: both lists grow with the documents, and files of row numbers are far smaller than their rows.
+    d = written(names.select("doc", "r0", "r1").hint("merge").join(d, "doc")
                 .select(*[F.col(f"r{i}").alias(c) for i, c in enumerate(row)], F.col("n").alias(n)), "mix-copies")
-    # A merge join at every size: the list of copies grows with the documents.
     return (named.join(d.hint("merge"), row).withColumn(k, F.explode(F.sequence(F.lit(1), col(n))))
             .select(*[col(c) for c in docs.columns]))

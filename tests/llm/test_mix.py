@@ -89,3 +89,15 @@ def test_repeated_and_null_ids_are_dealt_to_blocks(spark):
         mine = [r for r in d if r["source"] == s]
         taken = sum(r["copies"] * r["size"] for r in mine)
         assert abs(taken - mine[0]["target"]) <= max(r["size"] for r in mine)
+
+
+def test_row_numbers_are_not_broadcast(docs_of, monkeypatch):
+    plans = {}
+
+    def noted(df, purpose, real=mix.written):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, purpose)
+
+    monkeypatch.setattr(mix, "written", noted)
+    assert mix.mix_sources(docs_of([(i, "a b c", "en", f"s{i % 2}") for i in range(20)])).count()
+    assert "SortMergeJoin [doc#" in plans["mix-copies"]
